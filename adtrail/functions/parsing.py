@@ -39,7 +39,8 @@ def to_number(c: Column | str, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, _INTEGRAL):
         return c.cast("double")
     d = c.try_cast("double")
-    return F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(d)
+    # Spark orders NaN above +inf, so this is false for NaN, +-inf and NULL.
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
 
 
 def to_count(c: Column | str, dtype: T.DataType | None = None) -> Column:

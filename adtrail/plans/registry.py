@@ -24,7 +24,6 @@ from adtrail.operators.facts import combine_facts
 from adtrail.operators.joins import join_marketing_data
 from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics, summarize_metrics
-from adtrail.plans.batch import transform_sources
 from adtrail.sources.analytics import parse_quality
 from adtrail.sources.bindings import ingested_sources, raw_sources
 
@@ -36,26 +35,45 @@ FILTER_DAY = ("1998-06-15",)
 MEAN_DECIMALS = 6
 
 
+_PLANS: dict[tuple[str, str, str], object] = {}
+
+
+def _memo(spark: SparkSession, sf_dir: str, stage: str, build: Callable[[], object]):
+    """Lazy plan objects are immutable, so the frames of a stage are built
+    once per application and input folder and shared by later queries
+    (no data is cached, only the analysed plan)."""
+    key = (spark.sparkContext.applicationId, sf_dir, stage)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return ingested_sources(spark, sf_dir)
+    return _memo(spark, sf_dir, "sources", lambda: ingested_sources(spark, sf_dir))
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return clean_sources(_sources(spark, sf_dir))
+    return _memo(spark, sf_dir, "cleaned", lambda: clean_sources(_sources(spark, sf_dir)))
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_marketing_data(_cleaned(spark, sf_dir))
+    return _memo(spark, sf_dir, "joined", lambda: join_marketing_data(_cleaned(spark, sf_dir)))
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_key_metrics(_joined(spark, sf_dir))
+    return _memo(spark, sf_dir, "metrics", lambda: add_key_metrics(_joined(spark, sf_dir)))
+
+
+def _attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _memo(spark, sf_dir, "attributed", lambda: ATT.perform_attribution(
+        _metrics(spark, sf_dir), _cleaned(spark, sf_dir)[S.REVENUE]))
 
 
 def final_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 28-column analytics table as read back for analysis: NULL-date
     rows dropped (SRC13)."""
-    return transform_sources(_sources(spark, sf_dir)).where(F.col("date").isNotNull())
+    return _memo(spark, sf_dir, "final",
+                 lambda: _attributed(spark, sf_dir).where(F.col("date").isNotNull()))
 
 
 def _std(source: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -111,7 +129,7 @@ def q_platform_channel(spark, sf_dir):
 
 
 def q_attribution(spark, sf_dir):
-    return transform_sources(_sources(spark, sf_dir))
+    return _attributed(spark, sf_dir)
 
 
 def q_attribution_no_revenue(spark, sf_dir):

@@ -155,6 +155,9 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def ingested_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Raw sources after the reader-level coercions, as if read from files."""
+    """Raw sources after the reader-level coercions (dates and numbers
+    parsed). They are typed columns, not text exports, so the
+    missing-value-token check is skipped."""
     from adtrail.sources.files import coerce_source
-    return {name: coerce_source(df, name) for name, df in raw_sources(spark, sf_dir).items()}
+    return {name: coerce_source(df, name, text_tokens=False)
+            for name, df in raw_sources(spark, sf_dir).items()}

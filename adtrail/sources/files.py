@@ -42,15 +42,18 @@ def is_missing_path(err: AnalysisException) -> bool:
     return name == "PATH_NOT_FOUND" or "Path does not exist" in str(err)
 
 
-def coerce_source(df: DataFrame, source: str) -> DataFrame:
-    """Text cleanup plus the reader-level coercions of one source."""
+def coerce_source(df: DataFrame, source: str, text_tokens: bool = True) -> DataFrame:
+    """Text cleanup plus the reader-level coercions of one source.
+
+    ``text_tokens=False`` skips the missing-value-token check, for inputs
+    that are typed columns rather than text exports."""
     dates = set(S.INGEST_DATE_COLUMNS.get(source, []))
     nums = set(S.INGEST_NUMERIC_COLUMNS.get(source, []))
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for name in df.columns:
         c = F.col(f"`{name}`")
-        if isinstance(types[name], T.StringType):
+        if text_tokens and isinstance(types[name], T.StringType):
             c = na_to_null(c)
         if name in dates:
             c = to_timestamp_ntz(c, types[name])
