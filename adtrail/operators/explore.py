@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from adtrail import schemas as S
 from adtrail.functions import metrics as M
-from adtrail.operators.reports import ad_platform_rows, keys_not_null
+from adtrail.operators.reports import ad_platform_rows, has_columns, keys_not_null
 
 ALL = "All"
 
@@ -61,36 +61,47 @@ def key_totals(df: DataFrame) -> DataFrame:
     )
 
 
-def spend_by_platform(df: DataFrame) -> DataFrame:
-    """platform -> spend_usd (AG9)."""
+def spend_by_platform(df: DataFrame) -> DataFrame | None:
+    """platform -> spend_usd (AG9). None when an input column is missing
+    (FLT8), as for every chart below."""
+    if not has_columns(df, "platform", "spend_usd"):
+        return None
     return (df.where(keys_not_null("platform")).groupBy("platform")
             .agg(M.money_sum("spend_usd").alias("spend_usd")))
 
 
-def clicks_over_time(df: DataFrame) -> DataFrame:
+def clicks_over_time(df: DataFrame) -> DataFrame | None:
     """date -> clicks (AG10)."""
+    if not has_columns(df, "date", "clicks"):
+        return None
     return (df.where(keys_not_null("date")).groupBy("date")
             .agg(M.count_sum("clicks").alias("clicks")))
 
 
-def ctr_by_platform(df: DataFrame) -> DataFrame:
+def ctr_by_platform(df: DataFrame) -> DataFrame | None:
     """Ad platform -> total_clicks, total_impressions, aggregate_ctr (AG11)."""
+    if not has_columns(df, "platform", "clicks", "impressions"):
+        return None
     per = (ad_platform_rows(df).groupBy("platform")
            .agg(M.count_sum("clicks").alias("total_clicks"),
                 M.count_sum("impressions").alias("total_impressions")))
     return per.withColumn("aggregate_ctr", M.ctr("total_clicks", "total_impressions"))
 
 
-def web_daily(df: DataFrame) -> DataFrame:
+def web_daily(df: DataFrame) -> DataFrame | None:
     """date -> total_sessions, total_pageviews for web traffic (AG12)."""
+    if not has_columns(df, "date", "sessions", "pageviews", "platform"):
+        return None
     web = df.where((F.col("platform") == S.WEB_TRAFFIC) & keys_not_null("date"))
     return web.groupBy("date").agg(M.count_sum("sessions").alias("total_sessions"),
                                    M.count_sum("pageviews").alias("total_pageviews"))
 
 
-def revenue_over_time(df: DataFrame) -> DataFrame:
+def revenue_over_time(df: DataFrame) -> DataFrame | None:
     """(date, platform) -> attributed revenue, only groups above 0
     (AG13, FLT7)."""
+    if not has_columns(df, "date", "platform", S.ATTRIBUTED_REVENUE_COL):
+        return None
     keys = ["date", "platform"]
     per = (df.where(keys_not_null(*keys)).groupBy(*keys)
            .agg(M.money_sum(S.ATTRIBUTED_REVENUE_COL).alias(S.ATTRIBUTED_REVENUE_COL)))

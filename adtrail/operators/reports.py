@@ -16,7 +16,7 @@ from adtrail import schemas as S
 from adtrail.functions import metrics as M
 
 
-def _has(df: DataFrame, *cols: str) -> bool:
+def has_columns(df: DataFrame, *cols: str) -> bool:
     return all(c in df.columns for c in cols)
 
 
@@ -29,7 +29,7 @@ def keys_not_null(*keys: str) -> Column:
 
 def daily_client_spend(df: DataFrame) -> DataFrame | None:
     """(date, client_id) -> spend_usd (AG2)."""
-    if not _has(df, "spend_usd", "client_id", "date"):
+    if not has_columns(df, "spend_usd", "client_id", "date"):
         return None
     keys = ["date", "client_id"]
     return (df.where(keys_not_null(*keys)).groupBy(*keys)
@@ -38,7 +38,7 @@ def daily_client_spend(df: DataFrame) -> DataFrame | None:
 
 def clicks_by_platform(df: DataFrame) -> DataFrame | None:
     """platform -> clicks (AG3)."""
-    if not _has(df, "clicks", "platform"):
+    if not has_columns(df, "clicks", "platform"):
         return None
     return (df.where(keys_not_null("platform")).groupBy("platform")
             .agg(M.count_sum("clicks").alias("clicks")))
@@ -53,7 +53,7 @@ def ad_platform_rows(df: DataFrame) -> DataFrame:
 def ctr_trends(df: DataFrame) -> DataFrame | None:
     """date -> total_clicks, total_impressions, daily_ctr over ad platforms
     (AG4)."""
-    if not _has(df, "clicks", "impressions", "date", "platform"):
+    if not has_columns(df, "clicks", "impressions", "date", "platform"):
         return None
     daily = (ad_platform_rows(df).where(keys_not_null("date")).groupBy("date")
              .agg(M.count_sum("clicks").alias("total_clicks"),
@@ -64,7 +64,7 @@ def ctr_trends(df: DataFrame) -> DataFrame | None:
 def campaign_summary(df: DataFrame) -> DataFrame | None:
     """(client_id, campaign_id) -> total_spend, total_clicks,
     total_impressions (AG5). All five inputs are checked (D12)."""
-    if not _has(df, "client_id", "campaign_id", "spend_usd", "clicks", "impressions"):
+    if not has_columns(df, "client_id", "campaign_id", "spend_usd", "clicks", "impressions"):
         return None
     keys = ["client_id", "campaign_id"]
     return (df.where(keys_not_null(*keys)).groupBy(*keys)
