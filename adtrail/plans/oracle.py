@@ -231,6 +231,7 @@ ORACLE_SQL: dict[str, str] = {
     "key_metrics": _q("SELECT * FROM metrics"),
     "summary_means": _q(f"SELECT {_MEANS} FROM metrics"),
     "revenue_daily_channel": _q("SELECT * FROM rev_daily"),
+    "stream_revenue_daily": _q("SELECT * FROM rev_daily"),
     "platform_channel": _q(f"""
         SELECT platform, {_CHANNEL_OF_PLATFORM.format(p='platform')} AS channel,
                count(*) AS touchpoints

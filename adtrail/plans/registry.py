@@ -8,6 +8,7 @@ match the SQL in ``adtrail.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +20,15 @@ from adtrail.operators import attribution as ATT
 from adtrail.operators import explore as X
 from adtrail.operators import ids as IDS
 from adtrail.operators import reports as R
-from adtrail.operators.cleaning import clean_sources, enforce_types, standardize_columns
+from adtrail.operators.cleaning import clean_source, clean_sources, enforce_types, standardize_columns
 from adtrail.operators.facts import combine_facts
 from adtrail.operators.joins import join_marketing_data
 from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics, summarize_metrics
 from adtrail.sources.analytics import parse_quality
-from adtrail.sources.bindings import ingested_sources, raw_sources
+from adtrail.session import checkpoint_path
+from adtrail.sources.bindings import ingested_sources, raw_sources, revenue_projection, table
+from adtrail.streaming.refresh import land_stream, read_landed
 
 # fixed values: parameters of the filter queries (values present in the data)
 FILTER_CLIENT = "42"
@@ -175,6 +178,21 @@ def q_next_client_id(spark, sf_dir):
     return IDS.next_client_number(_sources(spark, sf_dir)[S.CLIENTS])
 
 
+def q_stream_revenue_daily(spark, sf_dir):
+    """STM1/STM2 on the driver tables: the orders file is picked up by a
+    file stream (glob-filtered), projected to raw revenue rows, landed
+    idempotently, and daily channel revenue is recomputed from the landed
+    rows. Each call uses a fresh folder under the shared checkpoint root."""
+    orders_schema = table(spark, sf_dir, "orders").schema
+    stream = (spark.readStream.schema(orders_schema).option("pathGlobFilter", "orders.parquet")
+              .parquet(sf_dir))
+    root = checkpoint_path(spark, "registry", f"stream-{uuid.uuid4().hex}")
+    q = land_stream(revenue_projection(stream), f"{root}/bronze/{S.REVENUE}", f"{root}/ckpt", None)
+    q.awaitTermination()
+    landed = read_landed(spark, root, [S.REVENUE])[S.REVENUE]
+    return ATT.aggregate_revenue(ATT.prepare_revenue(clean_source(landed, S.REVENUE)))
+
+
 def q_campaigns_per_client(spark, sf_dir):
     return IDS.campaigns_per_client(combine_facts(_cleaned(spark, sf_dir), spark))
 
@@ -219,4 +237,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preview": _over_final(X.preview),
     "next_client_id": q_next_client_id,
     "campaigns_per_client": q_campaigns_per_client,
+    "stream_revenue_daily": q_stream_revenue_daily,
 }

@@ -117,10 +117,15 @@ def _channel() -> Column:
             .when(p == "4", "organic").otherwise("other"))
 
 
+def revenue_projection(orders: DataFrame) -> DataFrame:
+    """Raw revenue rows from order rows; works on a static or a streaming
+    frame."""
+    return orders.select(_client().alias("client_id"), F.col("o_orderdate").alias("date"),
+                         _channel().alias("channel"), F.col("o_totalprice").alias("attributed_revenue"))
+
+
 def raw_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    return o.select(_client().alias("client_id"), F.col("o_orderdate").alias("date"),
-                    _channel().alias("channel"), F.col("o_totalprice").alias("attributed_revenue"))
+    return revenue_projection(table(spark, sf_dir, "orders"))
 
 
 def _signup_text() -> Column:

@@ -62,14 +62,16 @@ def raw_stream(spark: SparkSession, source: str, folder: str, max_files_per_trig
     return reader.load(folder)
 
 
-def land_stream(stream: DataFrame, bronze: str, checkpoint: str, name: str):
+def land_stream(stream: DataFrame, bronze: str, checkpoint: str, name: str | None):
     """Start a stream that lands each micro-batch idempotently as parquet
     and stops when the files present at start are processed."""
     def land(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{bronze}/batch={batch_id}")
 
-    return (stream.writeStream.queryName(name).foreachBatch(land)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    return writer.trigger(availableNow=True).start()
 
 
 def land_new_files(spark: SparkSession, landing: dict[str, str], work_root: str,
