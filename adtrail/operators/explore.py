@@ -61,6 +61,15 @@ def key_totals(df: DataFrame) -> DataFrame:
     )
 
 
+def format_key_totals(totals: DataFrame) -> DataFrame:
+    """Display strings for the headline totals: money as ``$1,234.56``,
+    counts as ``1,234`` (FMT1)."""
+    money = ["total_spend_usd", "total_attributed_revenue_usd"]
+    return totals.select(*[
+        (F.concat(F.lit("$"), F.format_number(c, 2)) if c in money else F.format_number(c, 0)).alias(c)
+        for c in totals.columns])
+
+
 def spend_by_platform(df: DataFrame) -> DataFrame | None:
     """platform -> spend_usd (AG9). None when an input column is missing
     (FLT8), as for every chart below."""

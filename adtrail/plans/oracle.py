@@ -232,6 +232,16 @@ ORACLE_SQL: dict[str, str] = {
     "summary_means": _q(f"SELECT {_MEANS} FROM metrics"),
     "revenue_daily_channel": _q("SELECT * FROM rev_daily"),
     "stream_revenue_daily": _q("SELECT * FROM rev_daily"),
+    "final_round_trip": _q("SELECT * FROM fin"),
+    "kpis_display": _q(f"""
+        SELECT '$' || format('{{:,.2f}}', COALESCE({_money('spend_usd')}, 0.0)) AS total_spend_usd,
+               format('{{:,}}', COALESCE({_count('clicks')}, 0)) AS total_clicks,
+               format('{{:,}}', COALESCE({_count('impressions')}, 0)) AS total_impressions,
+               format('{{:,}}', COALESCE({_count('sessions')}, 0)) AS total_sessions,
+               format('{{:,}}', COALESCE({_count('emails_sent')}, 0)) AS total_emails_sent,
+               '$' || format('{{:,.2f}}', COALESCE({_money('attributed_revenue_from_source_usd')}, 0.0))
+                   AS total_attributed_revenue_usd
+        FROM fin"""),
     "platform_channel": _q(f"""
         SELECT platform, {_CHANNEL_OF_PLATFORM.format(p='platform')} AS channel,
                count(*) AS touchpoints

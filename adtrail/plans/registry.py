@@ -25,7 +25,8 @@ from adtrail.operators.facts import combine_facts
 from adtrail.operators.joins import join_marketing_data
 from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics, summarize_metrics
-from adtrail.sources.analytics import parse_quality
+from adtrail.sinks import write_parquet
+from adtrail.sources.analytics import load_analytics, parse_quality
 from adtrail.session import checkpoint_path
 from adtrail.sources.bindings import ingested_sources, raw_sources, revenue_projection, table
 from adtrail.streaming.refresh import land_stream, read_landed
@@ -178,6 +179,19 @@ def q_next_client_id(spark, sf_dir):
     return IDS.next_client_number(_sources(spark, sf_dir)[S.CLIENTS])
 
 
+def q_kpis_display(spark, sf_dir):
+    return X.format_key_totals(X.key_totals(final_table(spark, sf_dir)))
+
+
+def q_final_round_trip(spark, sf_dir):
+    """SNK2 then SRC12/SRC13: the final table written as parquet
+    (partitioned by platform) under the shared checkpoint root, and read
+    back for analysis."""
+    path = checkpoint_path(spark, "registry", f"final-{uuid.uuid4().hex}")
+    write_parquet(_attributed(spark, sf_dir), path)
+    return load_analytics(spark, path, "parquet")
+
+
 def q_stream_revenue_daily(spark, sf_dir):
     """STM1/STM2 on the driver tables: the orders file is picked up by a
     file stream (glob-filtered), projected to raw revenue rows, landed
@@ -238,4 +252,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "next_client_id": q_next_client_id,
     "campaigns_per_client": q_campaigns_per_client,
     "stream_revenue_daily": q_stream_revenue_daily,
+    "kpis_display": q_kpis_display,
+    "final_round_trip": q_final_round_trip,
 }
