@@ -1,7 +1,10 @@
 """Facts LEFT JOIN the client dimension (JN1-JN3).
 
 Join strategy: the dimension is broadcast only after a bounded row count
-proves it small (``limit(n + 1).count()`` reads at most n + 1 rows).
+proves it small. The count is an incremental ``take`` of a one-column
+projection: Spark scans one partition, then 4x more, and stops as soon as
+n + 1 rows are seen, so a huge dimension costs a few partitions, not a
+task per file.
 Otherwise the join is left to the planner: a shuffle join whose skewed
 partitions (one client holding a large share of facts) AQE splits at run
 time, and which AQE still turns into a broadcast when the measured size of
@@ -27,9 +30,14 @@ log = logging.getLogger(__name__)
 CLIENT_BROADCAST_MAX_ROWS = 200_000
 
 
+def bounded_count(df: DataFrame, max_rows: int) -> int:
+    """min(row count, max_rows + 1), reading as few partitions as possible."""
+    return len(df.select(F.lit(1).alias("_one")).take(max(max_rows, 0) + 1))
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """Bounded check: True when ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return bounded_count(df, max_rows) <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
@@ -63,12 +71,11 @@ def join_with_clients(facts: DataFrame, clients: DataFrame,
     ``signup_date`` stays NULL (a date column holds no text).
 
     ``dim_rows`` is a bounded row count already taken by the caller
-    (``limit(broadcast_max_rows + 1).count()``); without it the bound is
-    checked here.
+    (``bounded_count``); without it the bound is checked here.
     """
     dim = client_dimension(clients)
     if dim_rows is None and broadcast_max_rows > 0:
-        dim_rows = dim.limit(broadcast_max_rows + 1).count()
+        dim_rows = bounded_count(dim, broadcast_max_rows)
     if dim_rows is not None and dim_rows <= broadcast_max_rows:
         dim = F.broadcast(dim)
     left = facts
@@ -97,7 +104,7 @@ def join_marketing_data(cleaned: dict[str, DataFrame],
     if clients is None or is_blank(clients):
         log.error("clients are missing; cannot join")
         return None
-    dim_rows = client_dimension(clients).limit(max(broadcast_max_rows, 0) + 1).count()
+    dim_rows = bounded_count(client_dimension(clients), broadcast_max_rows)
     if dim_rows == 0:
         log.error("clients are empty; cannot join")
         return None
