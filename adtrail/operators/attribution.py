@@ -25,6 +25,7 @@ from adtrail.functions.channels import channel_for_platform
 from adtrail.functions.metrics import money_sum
 from adtrail.functions.parsing import to_key, to_number, to_timestamp_ntz
 from adtrail.operators.cleaning import is_blank
+from adtrail.operators.joins import salted_left_join
 
 log = logging.getLogger(__name__)
 
@@ -63,12 +64,14 @@ def map_platforms(df: DataFrame) -> DataFrame:
     return df.withColumn("channel_for_merge", channel_for_platform("platform"))
 
 
-def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame) -> DataFrame:
+def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame, salt_buckets: int = 0) -> DataFrame:
     """LEFT JOIN on (client_id, date, channel_for_merge = channel); no match
     -> 0.0 (JN4). A pre-existing attributed column is recomputed (D11).
 
     Touchpoints whose platform has no channel (e.g. the revenue rows
-    themselves) carry a NULL key and match nothing.
+    themselves) carry a NULL key and match nothing. ``salt_buckets > 1``
+    salts the join explicitly for a hot (client, day, channel); by default
+    AQE's skew-join splitting handles it.
     """
     types = {f.name: f.dataType for f in touchpoints.schema.fields}
     keep = [c for c in touchpoints.columns if c != S.ATTRIBUTED_REVENUE_COL]
@@ -84,9 +87,14 @@ def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame) -> DataFrame
     r = daily_revenue.select(
         F.col("client_id").alias("_rev_client_id"), F.col("date").alias("_rev_date"),
         F.col("channel").alias("_rev_channel"), F.col(S.ATTRIBUTED_REVENUE_COL))
-    cond = [t["client_id"] == r["_rev_client_id"], t["date"] == r["_rev_date"],
-            t["channel_for_merge"] == r["_rev_channel"]]
-    joined = t.join(r, on=cond, how="left")
+    def cond(a: DataFrame, b: DataFrame) -> list:
+        return [a["client_id"] == b["_rev_client_id"], a["date"] == b["_rev_date"],
+                a["channel_for_merge"] == b["_rev_channel"]]
+
+    if salt_buckets > 1:
+        joined = salted_left_join(t, r, cond, salt_buckets)
+    else:
+        joined = t.join(r, on=cond(t, r), how="left")
     out = [F.col(f"`{c}`") for c in keep]
     out.append(F.coalesce(F.col(S.ATTRIBUTED_REVENUE_COL), F.lit(0.0)).alias(S.ATTRIBUTED_REVENUE_COL))
     if S.ATTRIBUTED_MODEL_COL not in keep:
@@ -94,7 +102,8 @@ def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame) -> DataFrame
     return joined.select(*out)
 
 
-def perform_attribution(touchpoints: DataFrame, revenue: DataFrame | None) -> DataFrame:
+def perform_attribution(touchpoints: DataFrame, revenue: DataFrame | None,
+                        salt_buckets: int = 0) -> DataFrame:
     """ATT1: revenue missing, empty-file or without its amount column ->
     placeholders; else aggregate, map and merge.
 
@@ -107,4 +116,4 @@ def perform_attribution(touchpoints: DataFrame, revenue: DataFrame | None) -> Da
     if "attributed_revenue_usd" not in revenue.columns:
         log.error("revenue lacks attributed_revenue_usd; adding placeholder columns")
         return prepare_placeholders(touchpoints)
-    return merge_revenue(touchpoints, aggregate_revenue(prepare_revenue(revenue)))
+    return merge_revenue(touchpoints, aggregate_revenue(prepare_revenue(revenue)), salt_buckets)

@@ -47,6 +47,27 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return df
 
 
+SALT = "_salt"
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, on: list, buckets: int) -> DataFrame:
+    """LEFT JOIN that spreads every key over ``buckets`` tasks.
+
+    Each left row gets a salt from a hash of its whole content -- fixed for
+    the row, so a recomputed task sends it to the same bucket -- and each
+    right row is replicated once per bucket. A key holding a third of all
+    left rows is then split ``buckets`` ways. ``on`` is a list of column
+    names, or a function ``(left, right) -> list[Column]`` of conditions.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(buckets))
+    lsalted = left.withColumn(SALT, salt.cast("int"))
+    rsalted = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    if callable(on):
+        cond = on(lsalted, rsalted) + [lsalted[SALT] == rsalted[SALT]]
+        return lsalted.join(rsalted, on=cond, how="left").drop(lsalted[SALT]).drop(rsalted[SALT])
+    return lsalted.join(rsalted, on=list(on) + [SALT], how="left").drop(SALT)
+
+
 def client_dimension(clients: DataFrame) -> DataFrame:
     """The five dimension columns, key as text, date as timestamp_ntz."""
     types = {f.name: f.dataType for f in clients.schema.fields}
@@ -65,23 +86,30 @@ def client_dimension(clients: DataFrame) -> DataFrame:
 
 def join_with_clients(facts: DataFrame, clients: DataFrame,
                       broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS,
-                      dim_rows: int | None = None) -> DataFrame:
+                      dim_rows: int | None = None, salt_buckets: int = 0) -> DataFrame:
     """LEFT JOIN on ``client_id`` (as text). Duplicate client ids fan out,
     as in any equi-join. Unmatched rows get 'Unknown' text attributes; their
     ``signup_date`` stays NULL (a date column holds no text).
 
     ``dim_rows`` is a bounded row count already taken by the caller
-    (``bounded_count``); without it the bound is checked here.
+    (``bounded_count``); without it the bound is checked here. A dimension
+    too big to broadcast is joined by shuffle; ``salt_buckets > 1`` then
+    salts it explicitly (see ``salted_left_join``), otherwise AQE's
+    skew-join splitting handles hot clients.
     """
     dim = client_dimension(clients)
     if dim_rows is None and broadcast_max_rows > 0:
         dim_rows = bounded_count(dim, broadcast_max_rows)
-    if dim_rows is not None and dim_rows <= broadcast_max_rows:
-        dim = F.broadcast(dim)
+    small = dim_rows is not None and dim_rows <= broadcast_max_rows
     left = facts
     if not isinstance(facts.schema["client_id"].dataType, T.StringType):
         left = facts.withColumn("client_id", to_key("client_id"))
-    joined = left.join(dim, on="client_id", how="left")
+    if small:
+        joined = left.join(F.broadcast(dim), on="client_id", how="left")
+    elif salt_buckets > 1:
+        joined = salted_left_join(left, dim, ["client_id"], salt_buckets)
+    else:
+        joined = left.join(dim, on="client_id", how="left")
     cols = [F.col(c) for c in left.columns]
     for name in S.CLIENT_ATTRIBUTE_COLUMNS:
         c = F.col(name)
@@ -92,7 +120,8 @@ def join_with_clients(facts: DataFrame, clients: DataFrame,
 
 
 def join_marketing_data(cleaned: dict[str, DataFrame],
-                        broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS) -> DataFrame | None:
+                        broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS,
+                        salt_buckets: int = 0) -> DataFrame | None:
     """No clients (missing, invalid or empty) -> None; otherwise the stacked
     facts joined with the dimension. With no fact rows the result is an
     empty frame with all joined columns.
@@ -109,4 +138,4 @@ def join_marketing_data(cleaned: dict[str, DataFrame],
         log.error("clients are empty; cannot join")
         return None
     facts = combine_facts(cleaned, clients.sparkSession)
-    return join_with_clients(facts, clients, broadcast_max_rows, dim_rows)
+    return join_with_clients(facts, clients, broadcast_max_rows, dim_rows, salt_buckets)

@@ -33,15 +33,17 @@ log = logging.getLogger(__name__)
 
 
 def transform_sources(sources: dict[str, DataFrame | None],
-                      broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS) -> DataFrame | None:
+                      broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS,
+                      salt_buckets: int = 0) -> DataFrame | None:
     """clean -> stack facts -> join clients -> metrics -> attribution
-    (ATT4). None when there is no client dimension."""
+    (ATT4). None when there is no client dimension. ``salt_buckets``
+    turns on explicit salting of both joins (default: AQE skew splitting)."""
     cleaned = clean_sources(sources)
-    joined = join_marketing_data(cleaned, broadcast_max_rows)
+    joined = join_marketing_data(cleaned, broadcast_max_rows, salt_buckets)
     if joined is None:
         return None
     with_metrics = add_key_metrics(joined)
-    return perform_attribution(with_metrics, cleaned.get(S.REVENUE))
+    return perform_attribution(with_metrics, cleaned.get(S.REVENUE), salt_buckets)
 
 
 def generate_summary_reports(spark: SparkSession, output_dir: str, data_path: str | None = None,
@@ -92,13 +94,14 @@ def analyze(spark: SparkSession, written: dict | None, reports_dir: str,
 
 
 def run_batch(spark: SparkSession, paths: dict[str, str], output: dict, reports_dir: str,
-              lift_path: str | None = None, read_options: dict | None = None) -> dict | None:
+              lift_path: str | None = None, read_options: dict | None = None,
+              salt_buckets: int = 0) -> dict | None:
     """The whole batch: ingest -> gate -> transform -> save -> analyze."""
     data = ingest_all(spark, paths, **(read_options or {}))
     if not essential_sources_present(data):
         log.error("essential sources missing or empty; skipping the run")
         return None
-    final = transform_sources(data)
+    final = transform_sources(data, salt_buckets=salt_buckets)
     if final is None:
         log.error("transformation produced nothing; skipping load and analytics")
         return None

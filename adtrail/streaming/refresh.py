@@ -103,12 +103,13 @@ def read_landed(spark: SparkSession, work_root: str, sources=S.ALL_SOURCES) -> d
 
 
 def refresh(spark: SparkSession, landing: dict[str, str], work_root: str, output: dict,
-            reports_dir: str | None = None, checkpoint_root: str | None = None) -> dict | None:
+            reports_dir: str | None = None, checkpoint_root: str | None = None,
+            salt_buckets: int = 0) -> dict | None:
     """Land new files, then rebuild the final table (and reports) from all
     landed data (STM1). Returns the written output config, or None when
     there is no client dimension yet."""
     land_new_files(spark, landing, work_root, checkpoint_root)
-    final = transform_sources(read_landed(spark, work_root, list(landing)))
+    final = transform_sources(read_landed(spark, work_root, list(landing)), salt_buckets=salt_buckets)
     if final is None:
         log.warning("nothing to refresh yet")
         return None

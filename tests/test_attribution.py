@@ -69,3 +69,10 @@ def test_existing_attribution_column_is_recomputed(spark):
     tp = touchpoints(spark).withColumn(S.ATTRIBUTED_REVENUE_COL, F.lit(7.0))
     out = perform_attribution(tp, revenue(spark))
     assert total(out) == 300.0
+
+
+def test_salted_attribution_matches(spark):
+    plain = perform_attribution(touchpoints(spark), revenue(spark))
+    salted = perform_attribution(touchpoints(spark), revenue(spark), salt_buckets=4)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+    assert salted.columns == plain.columns
