@@ -44,8 +44,9 @@ def cpm(spend: Column | str = "spend_usd", impressions: Column | str = "impressi
 def total_interactions(clicks: Column | str = "clicks",
                        emails_sent: Column | str = "emails_sent",
                        sessions: Column | str = "sessions") -> Column:
-    """Row sum of the three interaction counts (MTH4)."""
-    return _col(clicks) + _col(emails_sent) + _col(sessions)
+    """Row sum of the three interaction counts (MTH4); NULL instead of an
+    overflow error on absurd inputs."""
+    return F.try_add(F.try_add(_col(clicks), _col(emails_sent)), _col(sessions))
 
 
 def roi_percent(revenue: Column | str, spend: Column | str) -> Column:
@@ -57,7 +58,7 @@ def roi_percent(revenue: Column | str, spend: Column | str) -> Column:
 def money_sum(c: Column | str) -> Column:
     """Sum of a money column, exact to 1/10000 and independent of the order
     in which tasks combine partial sums; returned as double."""
-    return F.sum(_col(c).cast(MONEY_TYPE)).cast("double")
+    return F.sum(_col(c).try_cast(MONEY_TYPE)).cast("double")
 
 
 def count_sum(c: Column | str) -> Column:

@@ -1,9 +1,14 @@
 """Column expressions that coerce raw text and numbers.
 
-All of them are built-in Spark expressions (``try_cast``,
-``try_to_timestamp``, ``split``), so they stay inside whole-stage codegen;
-bad input becomes NULL or a default instead of failing the job under ANSI
-mode.
+Every rule is written once, as Spark SQL expression text built from a
+column name (``*_sql`` functions). The Column helpers wrap that text with
+``F.expr``; the cleaning steps put many of them into one ``selectExpr``, so
+a wide projection costs one call into the JVM instead of one per
+expression node. All of them are built-in expressions (``try_cast``,
+``try_to_timestamp``, ``split``, ``try_multiply``): they stay inside
+whole-stage codegen, and bad input -- including values that would
+overflow -- becomes NULL or a default instead of failing the job under
+ANSI mode.
 """
 
 from __future__ import annotations
@@ -20,70 +25,101 @@ EXTRA_DATE_FORMATS = ["yyyy/MM/dd", "MM/dd/yyyy", "yyyy-MM-dd HH:mm:ss"]
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_DATETIME = (T.TimestampNTZType, T.TimestampType, T.DateType)
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def na_to_null(c: Column | str) -> Column:
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# --- SQL text builders (x is SQL expression text) ----------------------------
+
+def na_to_null_sql(x: str) -> str:
+    tokens = ", ".join(_lit(t) for t in NA_TOKENS)
+    return f"CASE WHEN trim({x}) IN ({tokens}) THEN CAST(NULL AS STRING) ELSE {x} END"
+
+
+def number_sql(x: str, dtype: T.DataType | None = None) -> str:
+    if isinstance(dtype, _INTEGRAL):
+        return f"CAST({x} AS DOUBLE)"
+    d = f"TRY_CAST({x} AS DOUBLE)"
+    # Spark orders NaN above +inf, so the test is false for NaN, +-inf and NULL.
+    return f"CASE WHEN abs({d}) < double('Infinity') THEN {d} END"
+
+
+def count_sql(x: str, dtype: T.DataType | None = None) -> str:
+    if isinstance(dtype, _INTEGRAL):
+        return f"COALESCE(CAST({x} AS BIGINT), CAST(0 AS BIGINT))"
+    return f"COALESCE(TRY_CAST({number_sql(x, dtype)} AS BIGINT), CAST(0 AS BIGINT))"
+
+
+def timestamp_sql(x: str, dtype: T.DataType | None = None) -> str:
+    if isinstance(dtype, _DATETIME):
+        return f"CAST({x} AS TIMESTAMP_NTZ)"
+    if isinstance(dtype, _NUMERIC):
+        return "CAST(NULL AS TIMESTAMP_NTZ)"
+    s = f"CAST({x} AS STRING)"
+    parts = [f"TRY_CAST({s} AS TIMESTAMP_NTZ)"]
+    parts += [f"CAST(try_to_timestamp({s}, {_lit(fmt)}) AS TIMESTAMP_NTZ)" for fmt in EXTRA_DATE_FORMATS]
+    return f"COALESCE({', '.join(parts)})"
+
+
+def key_sql(x: str) -> str:
+    return f"CAST({x} AS STRING)"
+
+
+def duration_sql(x: str) -> str:
+    parts = f"split(CAST({x} AS STRING), ':', -1)"
+
+    def part(i: int) -> str:
+        return f"TRY_CAST(get({parts}, {i}) AS BIGINT)"
+
+    hms = (f"try_add(try_add(try_multiply({part(0)}, 3600), try_multiply({part(1)}, 60)), {part(2)})")
+    ms = f"try_add(try_multiply({part(0)}, 60), {part(1)})"
+    return (f"COALESCE(CASE size({parts}) WHEN 3 THEN {hms} WHEN 2 THEN {ms} END, "
+            f"CAST(0 AS BIGINT))")
+
+
+# --- Column helpers (c is a column name) -------------------------------------
+
+def na_to_null(c: str) -> Column:
     """Text tokens that CSV exports use for 'missing' become NULL."""
-    c = _col(c)
-    return F.when(F.trim(c).isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
+    return F.expr(na_to_null_sql(quote(c)))
 
 
-def to_number(c: Column | str, dtype: T.DataType | None = None) -> Column:
+def to_number(c: str, dtype: T.DataType | None = None) -> Column:
     """Numeric parse, bad -> NULL. NaN and +-infinity also become NULL so
     aggregates skip them (CST1)."""
-    c = _col(c)
-    if isinstance(dtype, _INTEGRAL):
-        return c.cast("double")
-    d = c.try_cast("double")
-    # Spark orders NaN above +inf, so this is false for NaN, +-inf and NULL.
-    return F.when(F.abs(d) < F.lit(float("inf")), d)
+    return F.expr(number_sql(quote(c), dtype))
 
 
-def to_count(c: Column | str, dtype: T.DataType | None = None) -> Column:
-    """Count columns: NULL or unparseable -> 0, fraction truncated (CST2)."""
-    c = _col(c)
-    if isinstance(dtype, _INTEGRAL):
-        return F.coalesce(c.cast("bigint"), F.lit(0).cast("bigint"))
-    return F.coalesce(to_number(c, dtype).try_cast("bigint"), F.lit(0).cast("bigint"))
+def to_count(c: str, dtype: T.DataType | None = None) -> Column:
+    """Count columns: NULL, unparseable or out of range -> 0, fraction
+    truncated (CST2)."""
+    return F.expr(count_sql(quote(c), dtype))
 
 
-def to_timestamp_ntz(c: Column | str, dtype: T.DataType | None = None) -> Column:
+def to_timestamp_ntz(c: str, dtype: T.DataType | None = None) -> Column:
     """Zone-free timestamp parse, bad -> NULL (DT1)."""
-    c = _col(c)
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-        return c.cast("timestamp_ntz")
-    if isinstance(dtype, _NUMERIC):
-        return F.lit(None).cast("timestamp_ntz")
-    s = c.cast("string")
-    parsed = [s.try_cast("timestamp_ntz")]
-    parsed += [F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz") for fmt in EXTRA_DATE_FORMATS]
-    return F.coalesce(*parsed)
+    return F.expr(timestamp_sql(quote(c), dtype))
 
 
-def to_key(c: Column | str) -> Column:
+def to_key(c: str) -> Column:
     """Join keys are text (STR2)."""
-    return _col(c).cast("string")
+    return F.expr(key_sql(quote(c)))
 
 
-def duration_seconds(c: Column | str) -> Column:
+def duration_seconds(c: str) -> Column:
     """``H:M:S`` or ``M:S`` text -> whole seconds; any other shape, a part
-    that is not an integer, or NULL -> 0 (STR1)."""
-    parts = F.split(_col(c).cast("string"), ":", -1)
-    n = F.size(parts)
-
-    def part(i: int) -> Column:
-        return F.get(parts, i).try_cast("bigint")
-
-    hms = part(0) * 3600 + part(1) * 60 + part(2)
-    ms = part(0) * 60 + part(1)
-    secs = F.when(n == 3, hms).when(n == 2, ms)
-    return F.coalesce(secs, F.lit(0).cast("bigint"))
+    that is not an integer, an overflowing value, or NULL -> 0 (STR1)."""
+    return F.expr(duration_sql(quote(c)))
 
 
-def strip_prefix(c: Column | str, prefix: str) -> Column:
+def strip_prefix(c: str, prefix: str) -> Column:
     """Remove every occurrence of ``prefix`` text from an id (STR3)."""
-    return F.replace(_col(c).cast("string"), F.lit(prefix), F.lit(""))
+    return F.replace(F.col(c).cast("string"), F.lit(prefix), F.lit(""))

@@ -10,17 +10,16 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from adtrail import schemas as S
-from adtrail.functions.parsing import (duration_seconds, to_count, to_key, to_number,
-                                       to_timestamp_ntz)
+from adtrail.functions.parsing import (count_sql, duration_sql, key_sql, number_sql, quote,
+                                       timestamp_sql)
 
 log = logging.getLogger(__name__)
 
-Item = tuple[str, Column, T.DataType]
+Item = tuple[str, str, T.DataType]  # (output name, SQL text, input type)
 
 
 def is_blank(df: DataFrame | None) -> bool:
@@ -28,43 +27,39 @@ def is_blank(df: DataFrame | None) -> bool:
     return df is not None and len(df.columns) == 0
 
 
-def _quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
 def _standardized_items(df: DataFrame, platform: str) -> list[Item]:
     types = {f.name: f.dataType for f in df.schema.fields}
     mapping = S.COLUMN_MAPS.get(platform)
-    tag = ("platform", F.lit(platform), T.StringType())
+    tag = ("platform", f"'{platform}'", T.StringType())
     if mapping is None:
         log.warning("no column map for %s; keeping all columns", platform)
-        items = [(n, _quoted(n), types[n]) for n in df.columns if n != "platform"]
+        items = [(n, quote(n), types[n]) for n in df.columns if n != "platform"]
         if "platform" in types:
             pos = df.columns.index("platform")
             return items[:pos] + [tag] + items[pos:]
         return items + [tag]
-    items = [(canon, _quoted(raw), types[raw]) for raw, canon in mapping.items() if raw in types]
+    items = [(canon, quote(raw), types[raw]) for raw, canon in mapping.items() if raw in types]
     return items + [tag]
 
 
-def _typed(items: list[Item]) -> list[Column]:
+def _typed(items: list[Item]) -> list[str]:
     out = []
     duration = None
-    for name, c, t in items:
+    for name, x, t in items:
         if name == S.DURATION_TEXT_COLUMN:
-            duration = c
+            duration = x
             continue
         if name in S.TEXT_KEY_COLUMNS:
-            c = to_key(c)
+            x = key_sql(x)
         elif name in S.DATE_COLUMNS:
-            c = to_timestamp_ntz(c, t)
+            x = timestamp_sql(x, t)
         elif name in S.COUNT_COLUMNS:
-            c = to_count(c, t)
+            x = count_sql(x, t)
         elif name in S.AMOUNT_COLUMNS:
-            c = to_number(c, t)
-        out.append(c.alias(name))
+            x = number_sql(x, t)
+        out.append(f"{x} AS {quote(name)}")
     if duration is not None:
-        out.append(duration_seconds(duration).alias(S.DURATION_SECONDS_COLUMN))
+        out.append(f"{duration_sql(duration)} AS {quote(S.DURATION_SECONDS_COLUMN)}")
     return out
 
 
@@ -76,7 +71,7 @@ def standardize_columns(df: DataFrame, platform: str) -> DataFrame:
     Renames happen in one ``select``, so facebook's own ``platform`` column
     becomes ``platform_detail`` before the tag is added.
     """
-    return df.select(*[c.alias(n) for n, c, _ in _standardized_items(df, platform)])
+    return df.selectExpr(*[f"{x} AS {quote(n)}" for n, x, _ in _standardized_items(df, platform)])
 
 
 def enforce_types(df: DataFrame) -> DataFrame:
@@ -86,7 +81,7 @@ def enforce_types(df: DataFrame) -> DataFrame:
     amounts and rates -> double (bad -> NULL); ``client_id`` -> text;
     ``avg_session_duration_str`` is replaced by whole seconds appended last.
     """
-    return df.select(*_typed([(f.name, _quoted(f.name), f.dataType) for f in df.schema.fields]))
+    return df.selectExpr(*_typed([(f.name, quote(f.name), f.dataType) for f in df.schema.fields]))
 
 
 def clean_source(df: DataFrame, platform: str) -> DataFrame:
@@ -95,7 +90,7 @@ def clean_source(df: DataFrame, platform: str) -> DataFrame:
     if is_blank(df):
         log.warning("source %s is empty", platform)
         return df
-    return df.select(*_typed(_standardized_items(df, platform)))
+    return df.selectExpr(*_typed(_standardized_items(df, platform)))
 
 
 def clean_sources(sources: dict[str, DataFrame | None]) -> dict[str, DataFrame]:

@@ -2,7 +2,7 @@
 
 The text below restates the bindings and the transformation rules in
 plain SQL over the driver's tables; it shares no code with the Spark
-side. Money sums go through DECIMAL(18,4) exactly as on the Spark side,
+side. Money sums go through DECIMAL(38,4) exactly as on the Spark side,
 counts are BIGINT, and every output column carries the same alias as the
 Spark query.
 """
@@ -16,7 +16,7 @@ _CHANNEL_OF_PLATFORM = """CASE {p} WHEN 'google_ads' THEN 'google_ads' WHEN 'fac
 
 
 def _money(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,4))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(38,4))) AS DOUBLE)"
 
 
 def _count(x: str) -> str:

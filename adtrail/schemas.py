@@ -188,5 +188,6 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
              "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
              "None", "n/a", "nan", "null"]
 
-# Money is summed as an exact decimal so results do not depend on task order.
-MONEY_TYPE = "decimal(18,4)"
+# Money is summed as an exact decimal so results do not depend on task order;
+# 38 digits leave room for any realistic total without overflow.
+MONEY_TYPE = "decimal(38,4)"

@@ -22,11 +22,10 @@ import logging
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adtrail import schemas as S
-from adtrail.functions.parsing import na_to_null, to_number, to_timestamp_ntz
+from adtrail.functions.parsing import na_to_null_sql, number_sql, quote, timestamp_sql
 
 log = logging.getLogger(__name__)
 
@@ -50,17 +49,17 @@ def coerce_source(df: DataFrame, source: str, text_tokens: bool = True) -> DataF
     dates = set(S.INGEST_DATE_COLUMNS.get(source, []))
     nums = set(S.INGEST_NUMERIC_COLUMNS.get(source, []))
     types = {f.name: f.dataType for f in df.schema.fields}
-    cols = []
+    exprs = []
     for name in df.columns:
-        c = F.col(f"`{name}`")
+        x = quote(name)
         if text_tokens and isinstance(types[name], T.StringType):
-            c = na_to_null(c)
+            x = na_to_null_sql(x)
         if name in dates:
-            c = to_timestamp_ntz(c, types[name])
+            x = timestamp_sql(x, types[name])
         elif name in nums:
-            c = to_number(c, types[name])
-        cols.append(c.alias(name))
-    return df.select(*cols)
+            x = number_sql(x, types[name])
+        exprs.append(f"{x} AS {quote(name)}")
+    return df.selectExpr(*exprs)
 
 
 def validate_required(df: DataFrame, source: str) -> bool:

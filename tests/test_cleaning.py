@@ -95,3 +95,10 @@ def test_clean_sources_drops_none_and_passes_blank(spark):
     assert set(out) == {"revenue", "web_traffic"}
     assert out["web_traffic"].columns == []
     assert out["revenue"].select(F.col("attributed_revenue_usd")).first()[0] == 1.0
+
+
+def test_garbage_never_fails_the_job(spark):
+    df = spark.createDataFrame([("99999999999999999:0:0", "1e300", "9.9e18")], "d string, x string, c string")
+    r = df.select(duration_seconds("d").alias("d"), to_number("x").alias("x"),
+                  to_count("c", T.StringType()).alias("c")).first()
+    assert r.d == 0 and r.x == 1e300 and r.c == 0

@@ -81,3 +81,10 @@ def test_summary_means_skip_nan(spark):
 def test_summary_requires_columns(spark):
     with pytest.raises(ValueError):
         summarize_metrics(spark.createDataFrame([(1.0,)], "ctr double"))
+
+
+def test_money_sum_and_interactions_do_not_overflow(spark):
+    df = spark.createDataFrame([(1e40, 9223372036854775807, 1, 1), (2.5, 0, 0, 0)],
+                               "spend_usd double, clicks bigint, emails_sent bigint, sessions bigint")
+    assert df.select(M.money_sum("spend_usd")).first()[0] == 2.5  # out-of-range value skipped, no error
+    assert [r[0] for r in df.select(M.total_interactions()).collect()] == [None, 0]
