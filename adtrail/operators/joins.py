@@ -119,6 +119,19 @@ def join_with_clients(facts: DataFrame, clients: DataFrame,
     return joined.select(*cols)
 
 
+def count_dimension(clients: DataFrame | None, broadcast_max_rows: int) -> int | None:
+    """Bounded row count of the client dimension; None when it is missing,
+    invalid or empty (JN3)."""
+    if clients is None or is_blank(clients):
+        log.error("clients are missing; cannot join")
+        return None
+    dim_rows = bounded_count(client_dimension(clients), broadcast_max_rows)
+    if dim_rows == 0:
+        log.error("clients are empty; cannot join")
+        return None
+    return dim_rows
+
+
 def join_marketing_data(cleaned: dict[str, DataFrame],
                         broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS,
                         salt_buckets: int = 0) -> DataFrame | None:
@@ -130,12 +143,8 @@ def join_marketing_data(cleaned: dict[str, DataFrame],
     it small enough to broadcast?".
     """
     clients = cleaned.get(S.CLIENTS)
-    if clients is None or is_blank(clients):
-        log.error("clients are missing; cannot join")
-        return None
-    dim_rows = bounded_count(client_dimension(clients), broadcast_max_rows)
-    if dim_rows == 0:
-        log.error("clients are empty; cannot join")
+    dim_rows = count_dimension(clients, broadcast_max_rows)
+    if dim_rows is None:
         return None
     facts = combine_facts(cleaned, clients.sparkSession)
     return join_with_clients(facts, clients, broadcast_max_rows, dim_rows, salt_buckets)

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from adtrail import schemas as S
 from adtrail.operators.attribution import perform_attribution
 from adtrail.operators.cleaning import clean_sources
-from adtrail.operators.joins import CLIENT_BROADCAST_MAX_ROWS, join_marketing_data
+from adtrail.operators.facts import combine_facts
+from adtrail.operators.joins import CLIENT_BROADCAST_MAX_ROWS, count_dimension, join_with_clients
 from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics
 from adtrail.operators.reports import REPORTS, ad_platform_rows
@@ -32,18 +33,38 @@ from adtrail.sources.files import essential_sources_present, ingest_all
 log = logging.getLogger(__name__)
 
 
+def build_final(cleaned: dict[str, DataFrame],
+                broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS,
+                salt_buckets: int = 0) -> DataFrame | None:
+    """The 28-column final table from cleaned sources; None without a
+    client dimension.
+
+    Same rows as clean -> join clients -> metrics -> attribution, planned
+    for a narrow shuffle: revenue is attached to the 18 fact columns first
+    (the only join that must shuffle the facts at scale), then the client
+    attributes (a broadcast when the dimension is small) and the per-row
+    metrics are added after the shuffle. Neither step depends on the other:
+    attribution keys on (client_id, date, platform), which the client join
+    and the metrics do not change, and a fanned-out duplicate client
+    copies the same revenue either way.
+    """
+    clients = cleaned.get(S.CLIENTS)
+    dim_rows = count_dimension(clients, broadcast_max_rows)
+    if dim_rows is None:
+        return None
+    facts = combine_facts(cleaned, clients.sparkSession)
+    attributed = perform_attribution(facts, cleaned.get(S.REVENUE), salt_buckets)
+    joined = join_with_clients(attributed, clients, broadcast_max_rows, dim_rows, salt_buckets)
+    return add_key_metrics(joined).select(*S.FINAL_COLUMNS)
+
+
 def transform_sources(sources: dict[str, DataFrame | None],
                       broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS,
                       salt_buckets: int = 0) -> DataFrame | None:
     """clean -> stack facts -> join clients -> metrics -> attribution
     (ATT4). None when there is no client dimension. ``salt_buckets``
     turns on explicit salting of both joins (default: AQE skew splitting)."""
-    cleaned = clean_sources(sources)
-    joined = join_marketing_data(cleaned, broadcast_max_rows, salt_buckets)
-    if joined is None:
-        return None
-    with_metrics = add_key_metrics(joined)
-    return perform_attribution(with_metrics, cleaned.get(S.REVENUE), salt_buckets)
+    return build_final(clean_sources(sources), broadcast_max_rows, salt_buckets)
 
 
 def generate_summary_reports(spark: SparkSession, output_dir: str, data_path: str | None = None,

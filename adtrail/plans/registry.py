@@ -27,6 +27,7 @@ from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics, summarize_metrics
 from adtrail.sinks import write_parquet
 from adtrail.sources.analytics import load_analytics, parse_quality
+from adtrail.plans.batch import build_final
 from adtrail.session import checkpoint_path
 from adtrail.sources.bindings import ingested_sources, raw_sources, revenue_projection, table
 from adtrail.streaming.refresh import land_stream, read_landed
@@ -69,8 +70,7 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, sf_dir, "attributed", lambda: ATT.perform_attribution(
-        _metrics(spark, sf_dir), _cleaned(spark, sf_dir)[S.REVENUE]))
+    return _memo(spark, sf_dir, "attributed", lambda: build_final(_cleaned(spark, sf_dir)))
 
 
 def final_table(spark: SparkSession, sf_dir: str) -> DataFrame:

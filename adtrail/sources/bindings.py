@@ -138,7 +138,7 @@ def _signup_text() -> Column:
 def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    cn = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"], "inner")  # 25 rows by spec
+    cn = c.join(n, c["c_nationkey"] == n["n_nationkey"], "inner")
     return cn.select(F.col("c_custkey").cast("string").alias("client_id"),
                      F.col("c_name").alias("name"), F.col("c_mktsegment").alias("industry"),
                      F.col("n_name").alias("account_manager"), _signup_text().alias("signup_date"))
