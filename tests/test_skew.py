@@ -60,3 +60,23 @@ def test_hot_client_salted_join_is_whole(spark):
         assert out.columns == ["client_id", "n"] + S.CLIENT_ATTRIBUTE_COLUMNS
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_revenue_key_is_whole(spark):
+    from adtrail.operators.attribution import perform_attribution
+    # one (client, day, channel) holds a third of the touchpoints
+    tp = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 500).cast("string")).alias("client_id"),
+        F.lit("2024-01-01").alias("date"), F.lit("google_ads").alias("platform"), F.col("id").alias("n"))
+    rev = spark.createDataFrame([("HOT", "2024-01-01", "google_ads", 5.0), ("7", "2024-01-01", "google_ads", 1.0)],
+                                "client_id string, date string, channel string, attributed_revenue_usd double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        for salt in (0, 8):
+            out = perform_attribution(tp, rev, salt_buckets=salt)
+            got = out.groupBy(S.ATTRIBUTED_REVENUE_COL).count().collect()
+            assert {r[0]: r[1] for r in got} == {5.0: 10_000, 1.0: 40, 0.0: 19_960}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
