@@ -13,9 +13,10 @@ import logging
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adtrail import schemas as S
+from adtrail.functions.parsing import quote
 from adtrail.operators.cleaning import is_blank
 
 log = logging.getLogger(__name__)
@@ -26,65 +27,49 @@ def empty_frame(spark: SparkSession, schema=S.FACT_SCHEMA) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _aligned_columns(df: DataFrame, schema) -> list:
-    present = set(df.columns)
-    cols = []
-    for f in schema.fields:
-        if f.name in present:
-            cols.append(F.col(f"`{f.name}`").try_cast(f.dataType))
-        else:
-            cols.append(F.lit(None).cast(f.dataType))
-    return cols
-
-
-def _with_default(name: str, c, dtype):
+def _sql_default(name: str, expr: str, dtype) -> str:
     if name in S.FACT_ZERO_COLUMNS:
-        return F.coalesce(c, F.lit(0).cast(dtype))
+        return f"COALESCE({expr}, CAST(0 AS {dtype.simpleString()}))"
     if name in S.FACT_RATE_COLUMNS:
-        return F.coalesce(c, F.lit(0.0))
+        return f"COALESCE({expr}, CAST(0.0 AS DOUBLE))"
     if name in S.FACT_TEXT_COLUMNS:
-        return F.coalesce(c, F.lit(S.UNKNOWN))
-    return c
+        return f"COALESCE({expr}, '{S.UNKNOWN}')"
+    return expr
+
+
+def _aligned_exprs(df: DataFrame, schema) -> list[tuple[str, str, T.DataType]]:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for f in schema.fields:
+        t = f.dataType.simpleString()
+        if f.name not in types:
+            e = f"CAST(NULL AS {t})"
+        elif types[f.name] == f.dataType:
+            e = quote(f.name)
+        else:
+            e = f"TRY_CAST({quote(f.name)} AS {t})"
+        out.append((f.name, e, f.dataType))
+    return out
 
 
 def align_to_schema(df: DataFrame, schema=S.FACT_SCHEMA) -> DataFrame:
     """Select exactly the schema's columns in its order; absent -> NULL."""
-    return df.select(*[c.alias(f.name) for c, f in zip(_aligned_columns(df, schema), schema.fields)])
+    return df.selectExpr(*[f"{e} AS {quote(n)}" for n, e, _ in _aligned_exprs(df, schema)])
 
 
 def fill_fact_defaults(df: DataFrame) -> DataFrame:
     """Numbers NULL -> 0, rates NULL -> 0.0, descriptive text NULL ->
     'Unknown'. ``client_id``, ``date`` and ``platform`` stay as they are."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[_with_default(n, F.col(n), types[n]).alias(n) for n in df.columns])
-
-
-def _sql_default(name: str, expr: str, dtype) -> str:
-    if name in S.FACT_ZERO_COLUMNS:
-        return f"COALESCE({expr}, CAST(0 AS {dtype.simpleString()}))"
-    if name in S.FACT_RATE_COLUMNS:
-        return f"COALESCE({expr}, CAST(0.0 AS DOUBLE))"
-    if name in S.FACT_TEXT_COLUMNS:
-        return f"COALESCE({expr}, '{S.UNKNOWN}')"
-    return expr
+    return df.selectExpr(*[f"{_sql_default(f.name, quote(f.name), f.dataType)} AS {quote(f.name)}"
+                           for f in df.schema.fields])
 
 
 def aligned_fact_branch(df: DataFrame) -> DataFrame:
     """One source on the fact schema with its defaults filled, in a single
     projection (the defaults commute with UNION ALL). Written as SQL
     expressions: one call to the JVM instead of one per expression node."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    exprs = []
-    for f in S.FACT_SCHEMA.fields:
-        t = f.dataType.simpleString()
-        if f.name not in types:
-            e = f"CAST(NULL AS {t})"
-        elif types[f.name] == f.dataType:
-            e = f"`{f.name}`"
-        else:
-            e = f"TRY_CAST(`{f.name}` AS {t})"
-        exprs.append(f"{_sql_default(f.name, e, f.dataType)} AS `{f.name}`")
-    return df.selectExpr(*exprs)
+    return df.selectExpr(*[f"{_sql_default(n, e, t)} AS {quote(n)}"
+                           for n, e, t in _aligned_exprs(df, S.FACT_SCHEMA)])
 
 
 def combine_facts(cleaned: dict[str, DataFrame], spark: SparkSession | None = None) -> DataFrame:
