@@ -79,3 +79,10 @@ def test_campaigns_per_client(spark):
     assert ("C101", "google_ads", "G1") in pairs and len(pairs) == 5
     counts = {(r.client_id, r.platform): r.campaigns for r in campaign_counts(df).collect()}
     assert counts[("C101", "facebook_ads")] == 1
+
+
+def test_filters_without_match_are_empty(spark):
+    df = final(spark)
+    assert X.apply_filters(df, client="NOPE").count() == 0
+    assert X.apply_filters(df, platform="tiktok").count() == 0
+    assert X.apply_filters(df, date_range=("2030-01-01", "2030-12-31")).count() == 0
