@@ -233,6 +233,13 @@ ORACLE_SQL: dict[str, str] = {
     "revenue_daily_channel": _q("SELECT * FROM rev_daily"),
     "stream_revenue_daily": _q("SELECT * FROM rev_daily"),
     "final_round_trip": _q("SELECT * FROM fin"),
+    "stream_web_daily": _q("""
+        SELECT date, CAST(SUM(sessions) AS BIGINT) AS total_sessions, CAST(SUM(pageviews) AS BIGINT) AS total_pageviews
+        FROM (SELECT TRY_CAST(strftime(ts, '%Y-%m-%d') AS TIMESTAMP) AS date,
+                     CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS pageviews,
+                     CASE WHEN event_type IN ('view', 'click') THEN 1 ELSE 0 END AS sessions
+              FROM events)
+        WHERE date IS NOT NULL GROUP BY date"""),
     "kpis_display": _q(f"""
         SELECT '$' || format('{{:,.2f}}', COALESCE({_money('spend_usd')}, 0.0)) AS total_spend_usd,
                format('{{:,}}', COALESCE({_count('clicks')}, 0)) AS total_clicks,

@@ -29,7 +29,8 @@ from adtrail.sinks import write_parquet
 from adtrail.sources.analytics import load_analytics, parse_quality
 from adtrail.plans.batch import build_final
 from adtrail.session import checkpoint_path
-from adtrail.sources.bindings import ingested_sources, raw_sources, revenue_projection, table
+from adtrail.sources.bindings import (ingested_sources, raw_sources, revenue_projection, table,
+                                     web_projection_from_events)
 from adtrail.streaming.refresh import land_stream, read_landed
 
 # fixed values: parameters of the filter queries (values present in the data)
@@ -207,6 +208,19 @@ def q_stream_revenue_daily(spark, sf_dir):
     return ATT.aggregate_revenue(ATT.prepare_revenue(clean_source(landed, S.REVENUE)))
 
 
+def q_stream_web_daily(spark, sf_dir):
+    """STM1 on the events table: a file stream turns events into raw web
+    traffic rows (text day stamps), lands them idempotently, and the daily
+    sessions / page views chart (AG12) is computed from the landed rows."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    root = checkpoint_path(spark, "registry", f"stream-{uuid.uuid4().hex}")
+    q = land_stream(web_projection_from_events(stream), f"{root}/bronze/{S.WEB_TRAFFIC}", f"{root}/ckpt", None)
+    q.awaitTermination()
+    landed = read_landed(spark, root, [S.WEB_TRAFFIC])[S.WEB_TRAFFIC]
+    return X.web_daily(clean_source(landed, S.WEB_TRAFFIC))
+
+
 def q_campaigns_per_client(spark, sf_dir):
     return IDS.campaigns_per_client(combine_facts(_cleaned(spark, sf_dir), spark))
 
@@ -252,6 +266,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "next_client_id": q_next_client_id,
     "campaigns_per_client": q_campaigns_per_client,
     "stream_revenue_daily": q_stream_revenue_daily,
+    "stream_web_daily": q_stream_web_daily,
     "kpis_display": q_kpis_display,
     "final_round_trip": q_final_round_trip,
 }

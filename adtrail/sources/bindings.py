@@ -144,6 +144,24 @@ def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("n_name").alias("account_manager"), _signup_text().alias("signup_date"))
 
 
+def web_projection_from_events(events: DataFrame) -> DataFrame:
+    """Raw web-traffic rows from event rows (static or streaming): one hit
+    per event, the day as ``yyyy-MM-dd`` text (day truncation happens here,
+    the reader parses the text), views count as page views, views and
+    clicks as sessions, errors as bounces, and the event value as an
+    ``M:SS`` duration text."""
+    kind = F.col("event_type")
+    secs = F.floor(F.col("value")).cast("bigint")
+    return events.select(
+        F.col("user_id").cast("string").alias("client_id"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.when(kind == "view", 1).otherwise(0).alias("pageviews"),
+        F.when(kind.isin("view", "click"), 1).otherwise(0).alias("sessions"),
+        F.when(kind == "error", 1.0).otherwise(0.0).alias("bounce_rate"),
+        F.concat_ws(":", (secs / 60).cast("bigint").cast("string"),
+                    F.lpad((secs % 60).cast("string"), 2, "0")).alias("avg_session_duration"))
+
+
 RAW_BINDINGS = {
     S.GOOGLE_ADS: raw_google_ads,
     S.FACEBOOK_ADS: raw_facebook_ads,

@@ -102,3 +102,14 @@ def test_garbage_never_fails_the_job(spark):
     r = df.select(duration_seconds("d").alias("d"), to_number("x").alias("x"),
                   to_count("c", T.StringType()).alias("c")).first()
     assert r.d == 0 and r.x == 1e300 and r.c == 0
+
+
+def test_events_become_web_traffic_rows(spark):
+    from adtrail.sources.bindings import web_projection_from_events
+    ev = spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 5, 13, 45, 12, 500), 7, "view", 65.9, "{}"),
+         (2, dt.datetime(2024, 1, 5, 23, 59, 59), 7, "error", 0.5, "{}")],
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    rows = clean_source(web_projection_from_events(ev), "web_traffic").orderBy("bounce_rate").collect()
+    assert [r.date for r in rows] == [dt.datetime(2024, 1, 5)] * 2  # truncated to the day
+    assert [(r.pageviews, r.sessions, r.avg_session_duration_seconds) for r in rows] == [(1, 1, 65), (0, 0, 0)]
