@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import logging
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,7 +81,7 @@ def generate_summary_reports(spark: SparkSession, output_dir: str, data_path: st
     if df is None or df.isEmpty():
         log.warning("no data loaded for report generation; skipping reports")
         return []
-    written = []
+    jobs = {}
     for name, (build, keys) in REPORTS.items():
         report = build(df)
         if report is None:
@@ -89,9 +90,22 @@ def generate_summary_reports(spark: SparkSession, output_dir: str, data_path: st
         if name == "ctr_trends_report" and ad_platform_rows(df).isEmpty():
             log.warning("no ad-platform rows; skipping %s", name)
             continue
-        write_report_csv(report, os.path.join(output_dir, name), order_by=keys)
-        written.append(name)
-    return written
+        jobs[name] = (report, os.path.join(output_dir, name), keys)
+    run_concurrently({n: (lambda r=r, p=p, k=k: write_report_csv(r, p, order_by=k))
+                      for n, (r, p, k) in jobs.items()})
+    return list(jobs)
+
+
+def run_concurrently(actions: dict, max_workers: int = 4) -> None:
+    """Run independent Spark actions from a few driver threads so the
+    scheduler can overlap their jobs; the first failure is raised."""
+    if len(actions) <= 1:
+        for fn in actions.values():
+            fn()
+        return
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(actions))) as pool:
+        for future in [pool.submit(fn) for fn in actions.values()]:
+            future.result()
 
 
 def analyze(spark: SparkSession, written: dict | None, reports_dir: str,

@@ -7,6 +7,8 @@ Prints one JSON line:
                         attribution -> parquet partitioned by platform
 * ``report_*`` / ``dash_*`` / ``lift``  read the written table back (the
                         reference's analysis path)
+* ``analyze_write_reports``  the whole analysis step: load, four report CSVs
+                        and the lift CSV written
 * ``raw_*``            registered queries recomputed from the driver tables
 
 Each timing is the median of ``BENCH_REPEAT`` warm runs (default 3) after
@@ -30,7 +32,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from adtrail.operators import explore as X  # noqa: E402
 from adtrail.operators import reports as R  # noqa: E402
 from adtrail.operators.lift import channel_lift  # noqa: E402
-from adtrail.plans.batch import transform_sources  # noqa: E402
+from adtrail.plans.batch import analyze, transform_sources  # noqa: E402
 from adtrail.plans.registry import QUERIES  # noqa: E402
 from adtrail.sinks import write_parquet  # noqa: E402
 from adtrail.session import build_session, checkpoint_root  # noqa: E402
@@ -104,6 +106,10 @@ def main() -> None:
     for name, build in analysis.items():
         out[name] = _time(lambda b=build: _run(b()), repeat, name=name)
 
+    written = {"format": "parquet", "path": f"{scratch}/final_{last}"}
+    out["analyze_write_reports"] = _time(
+        lambda: analyze(spark, written, f"{scratch}/reports_{next(counter)}"), repeat, name="analyze")
+
     for name in ["ctr_trends", "attribution", "summary_means", "channel_lift",
                  "daily_client_spend", "parse_quality", "campaigns_per_client"]:
         out[f"raw_{name}"] = _time(lambda n=name: _run(QUERIES[n](spark, sf_dir)), repeat, name=name)
