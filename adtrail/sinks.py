@@ -29,15 +29,35 @@ def _layout(df: DataFrame, partition_by: Sequence[str], sort_within: Sequence[st
 
 
 def replace_table(df: DataFrame, table: str = S.FINAL_TABLE,
-                  partition_by: Sequence[str] = ("platform",),
-                  sort_within: Sequence[str] = ("date",)) -> None:
+                  partition_by: Sequence[str] = (),
+                  sort_within: Sequence[str] = ("platform", "date")) -> None:
     """Replace a catalog table with ``df`` (SNK1). A zero-row frame still
-    creates the table with all its columns."""
+    creates the table with all its columns.
+
+    Unpartitioned (the default), the new data is written to a staging
+    table and swapped in by renames only after that write has committed, so
+    a job that fails half-way (executors lost beyond the retry limit, bad
+    input) leaves the old table untouched. Rows are clustered by
+    (platform, date) inside each task, so row groups are almost always
+    single-platform and narrow in time: platform and date predicates skip
+    row groups without folder partitioning. With ``partition_by`` the table
+    is overwritten in place (renaming a partitioned table would leave its
+    partition locations behind).
+    """
+    spark = df.sparkSession
     df, parts = _layout(df, partition_by, sort_within)
-    w = df.write.mode("overwrite").format("parquet")
     if parts:
-        w = w.partitionBy(*parts)
-    w.saveAsTable(table)
+        df.write.mode("overwrite").format("parquet").partitionBy(*parts).saveAsTable(table)
+        log.info("replaced table %s in place", table)
+        return
+    staging, previous = f"{table}__staging", f"{table}__previous"
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    df.write.mode("overwrite").format("parquet").saveAsTable(staging)
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
     log.info("replaced table %s", table)
 
 

@@ -61,7 +61,7 @@ def test_load_empty_parquet_and_table_keep_columns(spark, tmp_dir):
     empty.write.parquet(path)
     back = load_analytics(spark, path, "parquet")
     assert back is not None and back.count() == 0 and back.columns == ["colA", "colB"]
-    replace_table(empty, "t_empty_two", partition_by=())
+    replace_table(empty, "t_empty_two")
     back = load_analytics(spark, fmt="table", table="t_empty_two")
     assert back.count() == 0 and back.columns == ["colA", "colB"]
 
@@ -71,3 +71,23 @@ def test_loaded_date_is_timestamp(spark, tmp_dir):
     spark.createDataFrame([("2024-01-01", 1), ("garbage", 2)], "date string, n int").write.parquet(path)
     back = load_analytics(spark, path, "parquet")
     assert dict(back.dtypes)["date"] == "timestamp_ntz" and back.count() == 1
+
+
+def test_failed_replace_keeps_old_table(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    good = spark.createDataFrame(ROWS, SCHEMA)
+    replace_table(good, "t_safe")
+    bad = good.withColumn("col2", F.when(F.col("col1") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("col2")))
+    with pytest.raises(Exception):
+        replace_table(bad, "t_safe")
+    assert spark.table("t_safe").count() == 3  # old table intact
+    replace_table(good.limit(2), "t_safe")
+    assert spark.table("t_safe").count() == 2
+
+
+def test_partitioned_table_replace(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    replace_table(df, "t_parts", partition_by=("platform",))
+    replace_table(df.limit(1), "t_parts", partition_by=("platform",))
+    assert spark.table("t_parts").count() == 1
