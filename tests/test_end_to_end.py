@@ -120,3 +120,20 @@ def test_streaming_without_revenue(spark, tmp_dir, layout):
     final = load_analytics(spark, out["parquet"]["path"])
     assert final.count() == 7
     assert {r[0] for r in final.select(S.ATTRIBUTED_REVENUE_COL).collect()} == {0.0}
+
+
+def test_command_line_batch_and_refresh(spark, tmp_dir):
+    from adtrail.__main__ import main
+    raw = os.path.join(tmp_dir, "raw")
+    write_sources(raw)
+    out = os.path.join(tmp_dir, "final")
+    written = main(["batch", "--raw-dir", raw, "--out", out, "--reports", os.path.join(tmp_dir, "rep")], spark)
+    assert written["path"] == out
+    check_final(load_analytics(spark, out))
+    landing = os.path.join(tmp_dir, "landing")
+    write_sources(landing, layout="folders")
+    written = main(["refresh", "--landing-dir", landing, "--work-dir", os.path.join(tmp_dir, "work"),
+                    "--checkpoint-dir", os.path.join(tmp_dir, "ck"), "--format", "table",
+                    "--table", "cli_final"], spark)
+    assert written["table"] == "cli_final"
+    check_final(load_analytics(spark, fmt="table", table="cli_final"))
