@@ -75,11 +75,14 @@ def land_stream(stream: DataFrame, bronze: str, checkpoint: str, name: str | Non
 
 
 def land_new_files(spark: SparkSession, landing: dict[str, str], work_root: str,
-                   checkpoint_root: str | None = None) -> None:
-    """Land every source folder's new files into bronze parquet (step 1)."""
+                   checkpoint_root: str | None = None, max_files_per_trigger: int | None = None) -> None:
+    """Land every source folder's new files into bronze parquet (step 1).
+
+    With ``max_files_per_trigger`` a large backlog is drained in several
+    bounded micro-batches instead of one."""
     ckpt = checkpoint_root or checkpoint_path(spark, "streams")
-    queries = [land_stream(raw_stream(spark, src, folder), f"{work_root}/bronze/{src}",
-                           f"{ckpt}/{src}", f"land_{src}")
+    queries = [land_stream(raw_stream(spark, src, folder, max_files_per_trigger),
+                           f"{work_root}/bronze/{src}", f"{ckpt}/{src}", f"land_{src}")
                for src, folder in landing.items()]
     for q in queries:
         q.awaitTermination()
@@ -104,11 +107,11 @@ def read_landed(spark: SparkSession, work_root: str, sources=S.ALL_SOURCES) -> d
 
 def refresh(spark: SparkSession, landing: dict[str, str], work_root: str, output: dict,
             reports_dir: str | None = None, checkpoint_root: str | None = None,
-            salt_buckets: int = 0) -> dict | None:
+            salt_buckets: int = 0, max_files_per_trigger: int | None = None) -> dict | None:
     """Land new files, then rebuild the final table (and reports) from all
     landed data (STM1). Returns the written output config, or None when
     there is no client dimension yet."""
-    land_new_files(spark, landing, work_root, checkpoint_root)
+    land_new_files(spark, landing, work_root, checkpoint_root, max_files_per_trigger)
     final = transform_sources(read_landed(spark, work_root, list(landing)), salt_buckets=salt_buckets)
     if final is None:
         log.warning("nothing to refresh yet")

@@ -137,3 +137,15 @@ def test_command_line_batch_and_refresh(spark, tmp_dir):
                     "--table", "cli_final"], spark)
     assert written["table"] == "cli_final"
     check_final(load_analytics(spark, fmt="table", table="cli_final"))
+
+
+def test_streaming_backlog_in_bounded_batches(spark, tmp_dir):
+    landing = write_sources(os.path.join(tmp_dir, "landing"), layout="folders")
+    for i in range(3):  # a backlog of extra revenue files
+        with open(os.path.join(landing["revenue"], f"more_{i}.csv"), "w") as f:
+            f.write(f"client_id,date,channel,attributed_revenue\nC102,2024-12-0{i + 3},email,1.0\n")
+    work = os.path.join(tmp_dir, "work")
+    out = {"parquet": {"save": True, "path": os.path.join(tmp_dir, "final")}}
+    refresh(spark, landing, work, out, checkpoint_root=os.path.join(tmp_dir, "ck"), max_files_per_trigger=1)
+    assert len([d for d in os.listdir(os.path.join(work, "bronze", "revenue")) if d.startswith("batch=")]) == 4
+    assert load_analytics(spark, out["parquet"]["path"]).count() == 13
