@@ -17,7 +17,8 @@ import logging
 import os
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from adtrail import schemas as S
 from adtrail.operators.attribution import perform_attribution
@@ -128,10 +129,37 @@ def analyze(spark: SparkSession, written: dict | None, reports_dir: str,
     return done
 
 
+def with_quality_metrics(final: DataFrame) -> tuple[DataFrame, Observation]:
+    """Attach data-quality counts to the final table's write: total rows,
+    rows without a date, facts whose client is unknown, rows carrying
+    revenue. ``observe`` computes them inside the write job itself -- no
+    extra scan -- and sits on top of the plan, so no pushdown is blocked."""
+    obs = Observation("final_table_quality")
+    observed = final.observe(
+        obs,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("date").isNull()).alias("rows_without_date"),
+        F.count_if(F.col("name") == F.lit(S.UNKNOWN)).alias("rows_with_unknown_client"),
+        F.count_if(F.col(S.ATTRIBUTED_REVENUE_COL) > 0).alias("rows_with_revenue"),
+    )
+    return observed, obs
+
+
+def log_quality(metrics: dict) -> None:
+    if metrics.get("rows_without_date"):
+        log.warning("%d rows have no parseable date", metrics["rows_without_date"])
+    if metrics.get("rows_with_unknown_client"):
+        log.warning("%d rows reference clients missing from the client table",
+                    metrics["rows_with_unknown_client"])
+
+
 def run_batch(spark: SparkSession, paths: dict[str, str], output: dict, reports_dir: str,
               lift_path: str | None = None, read_options: dict | None = None,
               salt_buckets: int = 0) -> dict | None:
-    """The whole batch: ingest -> gate -> transform -> save -> analyze."""
+    """The whole batch: ingest -> gate -> transform -> save -> analyze.
+
+    Returns the written output config with the observed quality counts
+    under ``"quality"``, or None when the run stopped early."""
     data = ingest_all(spark, paths, **(read_options or {}))
     if not essential_sources_present(data):
         log.error("essential sources missing or empty; skipping the run")
@@ -140,6 +168,10 @@ def run_batch(spark: SparkSession, paths: dict[str, str], output: dict, reports_
     if final is None:
         log.error("transformation produced nothing; skipping load and analytics")
         return None
+    final, obs = with_quality_metrics(final)
     written = save_final(final, output)
+    if written is not None:
+        written = {**written, "quality": obs.get}
+        log_quality(written["quality"])
     analyze(spark, written, reports_dir, lift_path)
     return written

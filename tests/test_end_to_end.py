@@ -67,6 +67,8 @@ def test_run_batch(spark, tmp_dir):
     reports = os.path.join(tmp_dir, "reports")
     written = run_batch(spark, paths, {"parquet": {"save": True, "path": out_path}}, reports)
     assert written["path"] == out_path
+    assert written["quality"] == {"rows": 10, "rows_without_date": 0, "rows_with_unknown_client": 1,
+                                  "rows_with_revenue": 3}
     check_final(load_analytics(spark, out_path))
     assert sorted(os.listdir(reports)) == [
         "campaign_summary_report", "cross_channel_lift_report", "ctr_trends_report",
