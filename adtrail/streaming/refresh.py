@@ -48,13 +48,37 @@ def text_schema(source: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in S.REQUIRED_COLUMNS[source]])
 
 
+def csv_layout(spark: SparkSession, source: str, folder: str) -> T.StructType:
+    """Text schema of a CSV source in its files' column order.
+
+    A CSV stream maps columns by position, so the schema must follow the
+    header of the exports; it is read from the files already in the folder
+    (the required columns in their usual order when there are none yet)."""
+    try:
+        header = (spark.read.option("header", True).option("pathGlobFilter", SUFFIX["csv"])
+                  .option("recursiveFileLookup", True).csv(folder).columns)
+    except AnalysisException as err:
+        if not (is_missing_path(err) or "UNABLE_TO_INFER_SCHEMA" in str(err)):
+            raise
+        header = []
+    if not header:
+        return text_schema(source)
+    return T.StructType([T.StructField(c, T.StringType()) for c in header])
+
+
 def raw_stream(spark: SparkSession, source: str, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New files of one source folder as a streaming frame (STM2)."""
+    """New files of one source folder as a streaming frame (STM2).
+
+    JSON fields are matched by name. CSV columns follow the header layout
+    of the folder's files, and ``enforceSchema`` is off, so a later file
+    with a different header fails the stream instead of landing values
+    under the wrong names."""
     fmt = source_format(source)
-    reader = (spark.readStream.schema(text_schema(source)).format(fmt)
+    schema = csv_layout(spark, source, folder) if fmt == "csv" else text_schema(source)
+    reader = (spark.readStream.schema(schema).format(fmt)
               .option("pathGlobFilter", SUFFIX[fmt]).option("recursiveFileLookup", True))
     if fmt == "csv":
-        reader = reader.option("header", True).option("escape", '"')
+        reader = reader.option("header", True).option("escape", '"').option("enforceSchema", False)
     else:
         reader = reader.option("multiLine", True)
     if max_files_per_trigger:
@@ -96,7 +120,7 @@ def read_landed(spark: SparkSession, work_root: str, sources=S.ALL_SOURCES) -> d
     out = {}
     for src in sources:
         try:
-            df = spark.read.parquet(f"{work_root}/bronze/{src}").drop("batch")
+            df = spark.read.option("mergeSchema", True).parquet(f"{work_root}/bronze/{src}").drop("batch")
         except AnalysisException as err:
             if not is_missing_path(err):
                 raise

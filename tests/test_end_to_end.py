@@ -151,3 +151,15 @@ def test_streaming_backlog_in_bounded_batches(spark, tmp_dir):
     refresh(spark, landing, work, out, checkpoint_root=os.path.join(tmp_dir, "ck"), max_files_per_trigger=1)
     assert len([d for d in os.listdir(os.path.join(work, "bronze", "revenue")) if d.startswith("batch=")]) == 4
     assert load_analytics(spark, out["parquet"]["path"]).count() == 13
+
+
+def test_streaming_csv_with_reordered_and_extra_columns(spark, tmp_dir):
+    landing = write_sources(os.path.join(tmp_dir, "landing"), layout="folders")
+    g = os.path.join(landing["google_ads"], "google_ads.csv")
+    with open(g, "w") as f:  # same rows, columns shuffled, one extra column
+        f.write("geo,cost_usd,note,client_id,clicks,date,impressions,device_type,campaign_id\n"
+                "US,5.0,x,C101,10,2024-12-01,100,mobile,G1\nUS,15.0,y,C101,30,2024-12-01,900,desktop,G1\n"
+                "FR,1.0,z,C999,5,2024-12-02,0,mobile,G2\n")
+    out = {"parquet": {"save": True, "path": os.path.join(tmp_dir, "final")}}
+    refresh(spark, landing, os.path.join(tmp_dir, "work"), out, checkpoint_root=os.path.join(tmp_dir, "ck"))
+    check_final(load_analytics(spark, out["parquet"]["path"]))
