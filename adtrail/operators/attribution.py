@@ -102,6 +102,56 @@ def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame, salt_buckets
     return joined.select(*out)
 
 
+def attach_branch_revenue(branch: DataFrame, platform: str, revenue: DataFrame | None,
+                          salt_buckets: int = 0) -> DataFrame:
+    """Revenue for one source branch whose rows all carry ``platform``;
+    ``revenue`` is the prepared revenue source (``prepare_revenue``).
+
+    A platform without a channel (e.g. the revenue rows themselves) can
+    never match, so it gets 0.0 with no join and no shuffle. Otherwise the
+    branch's own channel is summed per (client_id, date) -- filter pushed
+    into the revenue scan, partial aggregation before the shuffle -- and
+    LEFT JOINed on (client_id, date). The revenue side is unique on the join
+    keys, so a query that never reads the revenue column drops the join.
+    Same rows as ``merge_revenue`` applied after the union.
+    """
+    channel = S.PLATFORM_TO_CHANNEL.get(platform)
+    keep = [F.col(f"`{c}`") for c in branch.columns if c != S.ATTRIBUTED_REVENUE_COL]
+    if revenue is None or channel is None:
+        return branch.select(*keep, F.lit(0.0).alias(S.ATTRIBUTED_REVENUE_COL))
+    daily = (revenue.where((F.col("channel") == F.lit(channel)) & F.col("client_id").isNotNull()
+                           & F.col("date").isNotNull())
+             .groupBy("client_id", "date")
+             .agg(money_sum("attributed_revenue_usd").alias(S.ATTRIBUTED_REVENUE_COL)))
+    r = daily.select(F.col("client_id").alias("_rev_client_id"), F.col("date").alias("_rev_date"),
+                     F.col(S.ATTRIBUTED_REVENUE_COL))
+
+    def cond(a: DataFrame, b: DataFrame) -> list:
+        return [a["client_id"] == b["_rev_client_id"], a["date"] == b["_rev_date"]]
+
+    if salt_buckets > 1:
+        joined = salted_left_join(branch.select(*keep), r, cond, salt_buckets)
+    else:
+        t = branch.select(*keep)
+        joined = t.join(r, on=cond(t, r), how="left")
+    out = [F.col(f"`{c}`") for c in branch.columns if c != S.ATTRIBUTED_REVENUE_COL]
+    return joined.select(*out, F.coalesce(F.col(S.ATTRIBUTED_REVENUE_COL), F.lit(0.0))
+                         .alias(S.ATTRIBUTED_REVENUE_COL))
+
+
+def prepared_revenue_or_none(revenue: DataFrame | None) -> DataFrame | None:
+    """The cleaned revenue source with typed keys and amounts; None when it
+    is missing, an empty-file marker, or lacks its amount column
+    (ATT2/ATT3) -- attributed revenue is then 0.0 everywhere."""
+    if revenue is None or is_blank(revenue):
+        log.warning("no revenue data; attributed revenue is 0.0")
+        return None
+    if "attributed_revenue_usd" not in revenue.columns:
+        log.error("revenue lacks attributed_revenue_usd; attributed revenue is 0.0")
+        return None
+    return prepare_revenue(revenue)
+
+
 def perform_attribution(touchpoints: DataFrame, revenue: DataFrame | None,
                         salt_buckets: int = 0) -> DataFrame:
     """ATT1: revenue missing, empty-file or without its amount column ->

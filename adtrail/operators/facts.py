@@ -72,17 +72,28 @@ def aligned_fact_branch(df: DataFrame) -> DataFrame:
                            for n, e, t in _aligned_exprs(df, S.FACT_SCHEMA)])
 
 
+def fact_branches(cleaned: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every cleaned source except ``clients`` (so revenue rows are facts
+    too) on the fixed fact schema, keyed by its platform tag; empty
+    sources are left out."""
+    return {name: aligned_fact_branch(df) for name, df in cleaned.items()
+            if name != S.CLIENTS and df is not None and not is_blank(df)}
+
+
+def union_branches(frames: list[DataFrame], spark: SparkSession | None = None,
+                   schema=S.FACT_SCHEMA) -> DataFrame:
+    """UNION ALL; an empty typed frame when there is nothing to stack."""
+    if not frames:
+        log.warning("no fact sources to combine")
+        return empty_frame(spark or SparkSession.getActiveSession(), schema)
+    return reduce(DataFrame.unionAll, frames)
+
+
 def combine_facts(cleaned: dict[str, DataFrame], spark: SparkSession | None = None) -> DataFrame:
     """UNION ALL of every cleaned source except ``clients`` (so revenue rows
-    are facts too), on the fixed schema, with defaults filled.
+    are facts too), on the fixed schema, with defaults filled (SET1).
 
     Empty sources contribute no rows; with no usable source at all the
     result is an empty typed frame.
     """
-    frames = [df for name, df in cleaned.items()
-              if name != S.CLIENTS and df is not None and not is_blank(df)]
-    if not frames:
-        log.warning("no fact sources to combine")
-        spark = spark or SparkSession.getActiveSession()
-        return empty_frame(spark)
-    return reduce(DataFrame.unionAll, [aligned_fact_branch(df) for df in frames])
+    return union_branches(list(fact_branches(cleaned).values()), spark)

@@ -19,11 +19,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adtrail import schemas as S
-from adtrail.operators.attribution import perform_attribution
+from adtrail.operators.attribution import attach_branch_revenue, prepared_revenue_or_none
 from adtrail.operators.cleaning import clean_sources
-from adtrail.operators.facts import combine_facts
+from adtrail.operators.facts import fact_branches, union_branches
 from adtrail.operators.joins import CLIENT_BROADCAST_MAX_ROWS, count_dimension, join_with_clients
 from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics
@@ -42,22 +43,33 @@ def build_final(cleaned: dict[str, DataFrame],
     client dimension.
 
     Same rows as clean -> join clients -> metrics -> attribution, planned
-    for a narrow shuffle: revenue is attached to the 18 fact columns first
-    (the only join that must shuffle the facts at scale), then the client
-    attributes (a broadcast when the dimension is small) and the per-row
-    metrics are added after the shuffle. Neither step depends on the other:
-    attribution keys on (client_id, date, platform), which the client join
-    and the metrics do not change, and a fanned-out duplicate client
-    copies the same revenue either way.
+    for the least shuffling:
+
+    * revenue is attached per source branch, before the union and before
+      the client attributes and metrics exist: only branches whose platform
+      has a revenue channel join at all (the revenue rows themselves never
+      match, so they are not shuffled), each joins only its own channel's
+      daily revenue, and the shuffled rows carry the 18 fact columns only;
+    * the client attributes (a broadcast when the dimension is small) and
+      the per-row metrics are added after that.
+
+    None of the steps depends on another: attribution keys on (client_id,
+    date, platform), which the client join and the metrics do not change,
+    and a fanned-out duplicate client copies the same revenue either way.
     """
     clients = cleaned.get(S.CLIENTS)
     dim_rows = count_dimension(clients, broadcast_max_rows)
     if dim_rows is None:
         return None
-    facts = combine_facts(cleaned, clients.sparkSession)
-    attributed = perform_attribution(facts, cleaned.get(S.REVENUE), salt_buckets)
-    joined = join_with_clients(attributed, clients, broadcast_max_rows, dim_rows, salt_buckets)
-    return add_key_metrics(joined).select(*S.FINAL_COLUMNS)
+    revenue = prepared_revenue_or_none(cleaned.get(S.REVENUE))
+    branches = [attach_branch_revenue(df, platform, revenue, salt_buckets)
+                for platform, df in fact_branches(cleaned).items()]
+    schema = T.StructType(S.FACT_SCHEMA.fields + [T.StructField(S.ATTRIBUTED_REVENUE_COL, T.DoubleType())])
+    facts = union_branches(branches, clients.sparkSession, schema)
+    joined = join_with_clients(facts, clients, broadcast_max_rows, dim_rows, salt_buckets)
+    metrics = add_key_metrics(joined)
+    return metrics.select(*S.METRICS_COLUMNS, S.ATTRIBUTED_REVENUE_COL,
+                          F.lit(0.0).alias(S.ATTRIBUTED_MODEL_COL))
 
 
 def transform_sources(sources: dict[str, DataFrame | None],
