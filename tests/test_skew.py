@@ -80,3 +80,20 @@ def test_hot_revenue_key_is_whole(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_salted_build_equals_plain_build(spark):
+    import os
+    import pytest
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    from adtrail.operators.cleaning import clean_sources
+    from adtrail.plans.batch import build_final
+    from adtrail.sources.bindings import ingested_sources
+    cleaned = clean_sources(ingested_sources(spark, sf))
+    plain = build_final(cleaned)
+    salted = build_final(cleaned, broadcast_max_rows=0, salt_buckets=4)
+    assert salted.columns == plain.columns == S.FINAL_COLUMNS
+    diff = plain.exceptAll(salted).count() + salted.exceptAll(plain).count()
+    assert diff == 0 and salted.count() == plain.count()
