@@ -163,3 +163,15 @@ def test_streaming_csv_with_reordered_and_extra_columns(spark, tmp_dir):
     out = {"parquet": {"save": True, "path": os.path.join(tmp_dir, "final")}}
     refresh(spark, landing, os.path.join(tmp_dir, "work"), out, checkpoint_root=os.path.join(tmp_dir, "ck"))
     check_final(load_analytics(spark, out["parquet"]["path"]))
+
+
+def test_streaming_csv_layout_change_fails_loudly(spark, tmp_dir):
+    landing = write_sources(os.path.join(tmp_dir, "landing"), layout="folders")
+    work, ck = os.path.join(tmp_dir, "work"), os.path.join(tmp_dir, "ck")
+    out = {"parquet": {"save": True, "path": os.path.join(tmp_dir, "final")}}
+    refresh(spark, landing, work, out, checkpoint_root=ck)
+    with open(os.path.join(landing["revenue"], "swapped.csv"), "w") as f:  # columns in another order
+        f.write("date,client_id,attributed_revenue,channel\n2024-12-02,C102,40.0,facebook\n")
+    with pytest.raises(Exception):
+        refresh(spark, landing, work, {"parquet": {"save": True, "path": os.path.join(tmp_dir, "f2")}},
+                checkpoint_root=ck)
