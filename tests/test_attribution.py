@@ -23,7 +23,7 @@ def total(df):
     return sum(r[0] for r in df.select(S.ATTRIBUTED_REVENUE_COL).collect())
 
 
-def test_attribution_with_valid_data(spark):
+def test_revenue_lands_on_matching_channel(spark):
     out = perform_attribution(touchpoints(spark), revenue(spark))
     assert S.ATTRIBUTED_REVENUE_COL in out.columns and S.ATTRIBUTED_MODEL_COL in out.columns
     assert total(out) == 300.0
@@ -32,12 +32,12 @@ def test_attribution_with_valid_data(spark):
     assert out.columns[-2:] == [S.ATTRIBUTED_REVENUE_COL, S.ATTRIBUTED_MODEL_COL]
 
 
-def test_attribution_with_no_revenue(spark):
+def test_absent_revenue_gives_zero(spark):
     out = perform_attribution(touchpoints(spark), None)
     assert total(out) == 0.0 and S.ATTRIBUTED_MODEL_COL in out.columns
 
 
-def test_attribution_with_empty_revenue(spark):
+def test_empty_revenue_gives_zero(spark):
     for empty in (spark.createDataFrame([], T.StructType([])),
                   revenue(spark).limit(0)):
         out = perform_attribution(touchpoints(spark), empty)

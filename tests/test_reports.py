@@ -95,7 +95,7 @@ def test_generate_summary_reports_empty(spark, final, tmp_dir):
     assert not os.path.exists(out) or os.listdir(out) == []
 
 
-def test_generate_summary_reports_missing_columns(spark, tmp_dir):
+def test_reports_skip_when_inputs_missing(spark, tmp_dir):
     src = os.path.join(tmp_dir, "few")
     spark.createDataFrame([("C101", ts("2024-01-01"), "google_ads", 50.5), ("C102", ts("2024-01-01"),
                            "facebook_ads", 40.0)],
