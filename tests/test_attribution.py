@@ -9,13 +9,13 @@ TOUCH_SCHEMA = ("client_id string, date string, platform string, clicks bigint,
 
 
 def touchpoints(spark):
-    return spark.createDataFrame([("C1", "2024-01-01", "google_ads", 10, 100, 25.0),
-                                  ("C1", "2024-01-01", "email_campaigns", 5, 50, 10.0),
-                                  ("C2", "2024-01-02", "facebook_ads", 20, 200, 30.0)], TOUCH_SCHEMA)
+    return spark.createDataFrame([("C1", "2024-01-01", "google_ads", 14, 300, 7.5),
+                                  ("C1", "2024-01-01", "email_campaigns", 3, 90, 2.0),
+                                  ("C2", "2024-01-02", "facebook_ads", 8, 160, 4.25)], TOUCH_SCHEMA)
 
 
 def revenue(spark):
-    return spark.createDataFrame([("C1", "2024-01-01", "google_ads", 100.0), ("C2", "2024-01-02", "facebook", 200.0)],
+    return spark.createDataFrame([("C1", "2024-01-01", "google_ads", 70.0), ("C2", "2024-01-02", "facebook", 130.0)],
                                  "client_id string, date string, channel string, attributed_revenue_usd double")
 
 
@@ -26,7 +26,7 @@ def total(df):
 def test_revenue_lands_on_matching_channel(spark):
     out = perform_attribution(touchpoints(spark), revenue(spark))
     assert S.ATTRIBUTED_REVENUE_COL in out.columns and S.ATTRIBUTED_MODEL_COL in out.columns
-    assert total(out) == 300.0
+    assert total(out) == 200.0
     email = out.where("platform = 'email_campaigns'").first()
     assert email[S.ATTRIBUTED_REVENUE_COL] == 0.0
     assert out.columns[-2:] == [S.ATTRIBUTED_REVENUE_COL, S.ATTRIBUTED_MODEL_COL]
@@ -54,7 +54,7 @@ def test_full_revenue_repeated_on_each_touchpoint(spark):
     tp = spark.createDataFrame([("C1", "2024-01-01", "google_ads", 1, 1, 1.0),
                                 ("C1", "2024-01-01", "google_ads", 2, 2, 2.0)], TOUCH_SCHEMA)
     out = perform_attribution(tp, revenue(spark))
-    assert [r[0] for r in out.select(S.ATTRIBUTED_REVENUE_COL).collect()] == [100.0, 100.0]
+    assert [r[0] for r in out.select(S.ATTRIBUTED_REVENUE_COL).collect()] == [70.0, 70.0]
 
 
 def test_revenue_summed_per_key_and_null_keys_dropped(spark):
@@ -68,7 +68,7 @@ def test_revenue_summed_per_key_and_null_keys_dropped(spark):
 def test_existing_attribution_column_is_recomputed(spark):
     tp = touchpoints(spark).withColumn(S.ATTRIBUTED_REVENUE_COL, F.lit(7.0))
     out = perform_attribution(tp, revenue(spark))
-    assert total(out) == 300.0
+    assert total(out) == 200.0
 
 
 def test_salted_attribution_matches(spark):

@@ -2,87 +2,114 @@ import datetime as dt
 
 from adtrail.operators import explore as X
 from adtrail.operators.ids import campaign_counts, campaigns_per_client, next_client_number
-from tests.test_reports import FINAL_SCHEMA, ROWS
 from tests.conftest import ts
+from tests.test_reports import FINAL_SCHEMA, RECS, ROWS, brute_group
 
 
 def final(spark):
     return spark.createDataFrame(ROWS, FINAL_SCHEMA)
 
 
+def brute_filter(client=None, platform=None, lo=None, hi=None):
+    return [r for r in RECS if (client is None or r["client_id"] == client)
+            and (platform is None or r["platform"] == platform)
+            and (lo is None or r["date"] >= lo) and (hi is None or r["date"] <= hi)]
+
+
 def test_filters(spark):
     df = final(spark)
-    assert X.apply_filters(df).count() == 7
-    assert X.apply_filters(df, client="C101").count() == 4
-    assert X.apply_filters(df, platform="google_ads").count() == 3
-    assert X.apply_filters(df, date_range=("2024-01-01", "2024-01-02")).count() == 6
-    assert X.apply_filters(df, date_range=(dt.date(2024, 1, 2),)).count() == 1
-    assert X.apply_filters(df, date_range=("2024-01-01", "2024-01-02", "2024-01-03")).count() == 7
-    both = X.apply_filters(df, client="C101", platform="facebook_ads", date_range=("2024-01-03", "2024-01-03"))
-    assert both.count() == 1
+    assert X.apply_filters(df).count() == len(RECS)
+    assert X.apply_filters(df, client="K7").count() == len(brute_filter(client="K7"))
+    assert X.apply_filters(df, platform="google_ads").count() == len(brute_filter(platform="google_ads"))
+    assert X.apply_filters(df, date_range=("2024-03-01", "2024-03-02")).count() == \
+        len(brute_filter(lo=ts("2024-03-01"), hi=ts("2024-03-02")))
+    day = ts("2024-03-02")
+    assert X.apply_filters(df, date_range=(dt.date(2024, 3, 2),)).count() == len(brute_filter(lo=day, hi=day))
+    # any other number of dates means no date filter
+    assert X.apply_filters(df, date_range=("2024-03-01", "2024-03-02", "2024-03-03")).count() == len(RECS)
+    both = X.apply_filters(df, client="K7", platform="facebook_ads", date_range=("2024-03-03", "2024-03-03"))
+    assert both.count() == len(brute_filter("K7", "facebook_ads", ts("2024-03-03"), ts("2024-03-03"))) == 1
+
+
+def test_filters_without_match_are_empty(spark):
+    df = final(spark)
+    assert X.apply_filters(df, client="NOPE").count() == 0
+    assert X.apply_filters(df, platform="tiktok").count() == 0
+    assert X.apply_filters(df, date_range=("2030-01-01", "2030-12-31")).count() == 0
 
 
 def test_key_totals(spark):
     r = X.key_totals(final(spark)).first()
-    assert (r.total_clicks, r.total_impressions, r.total_sessions, r.total_emails_sent) == (590, 7200, 300, 5000)
-    assert r.total_spend_usd == 290.5 and r.total_attributed_revenue_usd == 495.0
+    total = lambda c: sum(x[c] for x in RECS)
+    assert (r.total_clicks, r.total_impressions, r.total_sessions, r.total_emails_sent) == (
+        total("clicks"), total("impressions"), total("sessions"), total("emails_sent"))
+    assert r.total_spend_usd == total("spend_usd")
+    assert r.total_attributed_revenue_usd == total("attributed_revenue_from_source_usd")
 
 
 def test_key_totals_absent_columns_and_empty(spark):
     df = spark.createDataFrame([("C1",)], "client_id string")
-    r = X.key_totals(df).first()
-    assert tuple(r) == (0.0, 0, 0, 0, 0, 0.0)
-    r = X.key_totals(final(spark).limit(0)).first()
-    assert tuple(r) == (0.0, 0, 0, 0, 0, 0.0)
+    assert tuple(X.key_totals(df).first()) == (0.0, 0, 0, 0, 0, 0.0)
+    assert tuple(X.key_totals(final(spark).limit(0)).first()) == (0.0, 0, 0, 0, 0, 0.0)
+
+
+def test_format_key_totals(spark):
+    df = spark.createDataFrame([(1234567.891, 1234567, 0, 0, 0, 0.5)],
+                               "total_spend_usd double, total_clicks bigint, total_impressions bigint, "
+                               "total_sessions bigint, total_emails_sent bigint, total_attributed_revenue_usd double")
+    r = X.format_key_totals(df).first()
+    assert (r.total_spend_usd, r.total_clicks, r.total_attributed_revenue_usd) == ("$1,234,567.89", "1,234,567", "$0.50")
 
 
 def test_chart_aggregates(spark):
     df = final(spark)
-    assert dict(X.spend_by_platform(df).collect())["google_ads"] == 190.5
-    assert dict((r.date, r.clicks) for r in X.clicks_over_time(df).collect())[ts("2024-01-01")] == 380
-    ctr = {r.platform: r.aggregate_ctr for r in X.ctr_by_platform(df).collect()}
-    assert set(ctr) == {"google_ads", "facebook_ads"} and ctr["google_ads"] == 370 / 4100 * 100
+    spend = {k[0]: v["spend_usd"] for k, v in brute_group(["platform"], ["spend_usd"]).items()}
+    assert dict(X.spend_by_platform(df).collect()) == spend
+    clicks = {k[0]: v["clicks"] for k, v in brute_group(["date"], ["clicks"]).items()}
+    assert {r.date: r.clicks for r in X.clicks_over_time(df).collect()} == clicks
+    ads = [r for r in RECS if r["platform"] in ("google_ads", "facebook_ads")]
+    want = brute_group(["platform"], ["clicks", "impressions"], ads)
+    got = {r.platform: r.aggregate_ctr for r in X.ctr_by_platform(df).collect()}
+    assert got == {k[0]: v["clicks"] / v["impressions"] * 100 for k, v in want.items()}
     assert X.web_daily(df) is None  # no pageviews column: chart skipped
-    web = X.web_daily(df.withColumn("pageviews", df.sessions * 2)).collect()
-    assert len(web) == 1 and web[0].total_sessions == 300 and web[0].total_pageviews == 600
+    web = {r.date: r.total_sessions for r in X.web_daily(df.withColumn("pageviews", df.sessions * 2)).collect()}
+    webs = [r for r in RECS if r["platform"] == "web_traffic"]
+    assert web == {k[0]: v["sessions"] for k, v in brute_group(["date"], ["sessions"], webs).items()}
     assert X.spend_by_platform(df.drop("spend_usd")) is None
-    rev = X.revenue_over_time(df).collect()
-    assert all(r.attributed_revenue_from_source_usd > 0 for r in rev) and len(rev) == 5
+    rev = {(r.date, r.platform): r.attributed_revenue_from_source_usd for r in X.revenue_over_time(df).collect()}
+    want_rev = {k: v["attributed_revenue_from_source_usd"]
+                for k, v in brute_group(["date", "platform"], ["attributed_revenue_from_source_usd"]).items()
+                if v["attributed_revenue_from_source_usd"] > 0}
+    assert rev == want_rev
 
 
 def test_date_bounds_and_distincts(spark):
     df = final(spark)
     b = X.date_bounds(df).first()
-    assert (b.min_label, b.max_label) == ("2024-01-01", "2024-01-03")
-    assert [r[0] for r in X.distinct_values(df, "client_id").collect()] == ["C101", "C102", "C103"]
-    assert [r[0] for r in X.selector_options(df, "platform").collect()] == [
-        "All", "email_campaigns", "facebook_ads", "google_ads", "web_traffic"]
+    assert (b.min_label, b.max_label) == ("2024-03-01", "2024-03-03")
+    assert [r[0] for r in X.distinct_values(df, "client_id").collect()] == sorted({r["client_id"] for r in RECS})
+    assert [r[0] for r in X.selector_options(df, "platform").collect()] == \
+        ["All"] + sorted({r["platform"] for r in RECS})
 
 
 def test_preview_is_ordered_top_five(spark):
     rows = X.preview(final(spark)).collect()
     assert len(rows) == 5
-    assert [(r.date, r.client_id) for r in rows] == sorted((r.date, r.client_id) for r in rows)
+    assert [(r.date, r.client_id) for r in rows] == sorted((r["date"], r["client_id"]) for r in RECS)[:5]
 
 
 def test_next_client_number(spark):
-    ok = spark.createDataFrame([("C101",), ("C117",), ("C105",)], "client_id string")
-    assert next_client_number(ok).first()[0] == 118
-    bad = spark.createDataFrame([("C101",), ("X-9",)], "client_id string")
+    ok = spark.createDataFrame([("C204",), ("C219",), ("C207",)], "client_id string")
+    assert next_client_number(ok).first()[0] == 220
+    bad = spark.createDataFrame([("C204",), ("X-9",)], "client_id string")
     assert next_client_number(bad).first()[0] == 101
     assert next_client_number(ok.limit(0)).first()[0] == 101
 
 
 def test_campaigns_per_client(spark):
     df = final(spark)
-    pairs = {(r.client_id, r.platform, r.campaign_id) for r in campaigns_per_client(df).collect()}
-    assert ("C101", "google_ads", "G1") in pairs and len(pairs) == 5
+    want = {(r["client_id"], r["platform"], r["campaign_id"]) for r in RECS
+            if r["platform"] in ("google_ads", "facebook_ads", "email_campaigns") and r["campaign_id"]}
+    assert {tuple(r) for r in campaigns_per_client(df).collect()} == want
     counts = {(r.client_id, r.platform): r.campaigns for r in campaign_counts(df).collect()}
-    assert counts[("C101", "facebook_ads")] == 1
-
-
-def test_filters_without_match_are_empty(spark):
-    df = final(spark)
-    assert X.apply_filters(df, client="NOPE").count() == 0
-    assert X.apply_filters(df, platform="tiktok").count() == 0
-    assert X.apply_filters(df, date_range=("2030-01-01", "2030-12-31")).count() == 0
+    assert counts == {(c, p): sum(1 for w in want if w[:2] == (c, p)) for c, p, _ in want}

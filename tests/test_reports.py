@@ -15,14 +15,30 @@ FINAL_SCHEMA = ("client_id string, date timestamp_ntz, platform string, campaign
                 "industry string, ctr double, attributed_revenue_from_source_usd double")
 
 ROWS = [
-    ("C101", ts("2024-01-01"), "google_ads", "G1", 100, 1000, 50.5, 0, 0, "Acme", "Retail", 10.0, 150.0),
-    ("C101", ts("2024-01-02"), "google_ads", "G1", 120, 1100, 60.0, 0, 0, "Acme", "Retail", 10.91, 0.0),
-    ("C102", ts("2024-01-01"), "facebook_ads", "FB1", 80, 1500, 45.0, 0, 0, "Bright", "SaaS", 5.33, 100.0),
-    ("C103", ts("2024-01-01"), "web_traffic", None, 0, 0, 0.0, 0, 300, "Green", "Hospitality", 0.0, 50.0),
-    ("C101", ts("2024-01-01"), "email_campaigns", "E1", 50, 0, 0.0, 5000, 0, "Acme", "Retail", 0.0, 75.0),
-    ("C102", ts("2024-01-01"), "google_ads", "G2", 150, 2000, 80.0, 0, 0, "Bright", "SaaS", 7.5, 0.0),
-    ("C101", ts("2024-01-03"), "facebook_ads", "FB1", 90, 1600, 55.0, 0, 0, "Acme", "Retail", 5.63, 120.0),
+    ("K7", ts("2024-03-01"), "google_ads", "GX", 60, 1200, 30.25, 0, 0, "Orchid", "Travel", 5.0, 80.0),
+    ("K7", ts("2024-03-02"), "google_ads", "GX", 45, 900, 22.5, 0, 0, "Orchid", "Travel", 5.0, 0.0),
+    ("K8", ts("2024-03-01"), "facebook_ads", "FY", 30, 1000, 12.0, 0, 0, "Quartz", "Energy", 3.0, 40.0),
+    ("K9", ts("2024-03-01"), "web_traffic", None, 0, 0, 0.0, 0, 120, "Sable", "Media", 0.0, 25.0),
+    ("K7", ts("2024-03-01"), "email_campaigns", "EZ", 12, 0, 0.0, 2500, 0, "Orchid", "Travel", 0.0, 35.0),
+    ("K8", ts("2024-03-01"), "google_ads", "GW", 70, 1400, 41.75, 0, 0, "Quartz", "Energy", 5.0, 0.0),
+    ("K7", ts("2024-03-03"), "facebook_ads", "FY", 25, 500, 9.5, 0, 0, "Orchid", "Travel", 5.0, 55.0),
+    ("K9", ts("2024-03-02"), "web_traffic", None, 0, 0, 0.0, 0, 90, "Sable", "Media", 0.0, 0.0),
 ]
+COLS = [c.split()[0] for c in FINAL_SCHEMA.split(", ")]
+RECS = [dict(zip(COLS, r)) for r in ROWS]
+
+
+def brute_group(keys, measures, rows=RECS):
+    """Pure-Python group-by over the fixture: NULL keys dropped, sums."""
+    out = {}
+    for r in rows:
+        k = tuple(r[c] for c in keys)
+        if any(v is None for v in k):
+            continue
+        acc = out.setdefault(k, {m: 0 for m in measures})
+        for m in measures:
+            acc[m] += r[m]
+    return out
 
 
 @pytest.fixture
@@ -35,32 +51,38 @@ def to_pd(df, keys):
 
 
 def test_daily_client_spend(final):
-    got = to_pd(R.daily_client_spend(final), ["date", "client_id"])
-    assert list(got.columns) == ["date", "client_id", "spend_usd"]
-    assert len(got) == 5
-    row = got[(got.client_id == "C102") & (got.date == ts("2024-01-01"))].iloc[0]
-    assert row.spend_usd == 125.0
+    got = {(r.date, r.client_id): r.spend_usd for r in R.daily_client_spend(final).collect()}
+    want = {k: v["spend_usd"] for k, v in brute_group(["date", "client_id"], ["spend_usd"]).items()}
+    assert R.daily_client_spend(final).columns == ["date", "client_id", "spend_usd"]
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
 
 
 def test_clicks_by_platform(final):
     got = dict(R.clicks_by_platform(final).collect())
-    assert got == {"google_ads": 370, "facebook_ads": 170, "web_traffic": 0, "email_campaigns": 50}
+    assert got == {k[0]: v["clicks"] for k, v in brute_group(["platform"], ["clicks"]).items()}
 
 
 def test_ctr_trends_ratio_of_sums(final):
-    got = to_pd(R.ctr_trends(final), ["date"])
-    first = got.iloc[0]
-    assert (first.total_clicks, first.total_impressions) == (330, 4500)
-    assert first.daily_ctr == pytest.approx(330 / 4500 * 100)
-    assert len(got) == 3
+    ads = [r for r in RECS if r["platform"] in ("google_ads", "facebook_ads")]
+    want = brute_group(["date"], ["clicks", "impressions"], ads)
+    got = {r.date: r for r in R.ctr_trends(final).collect()}
+    assert got.keys() == {k[0] for k in want}
+    for (d,), v in want.items():
+        row = got[d]
+        assert (row.total_clicks, row.total_impressions) == (v["clicks"], v["impressions"])
+        assert row.daily_ctr == (v["clicks"] / v["impressions"] * 100 if v["impressions"] > 0 else 0.0)
 
 
 def test_campaign_summary_drops_null_campaign(final):
-    got = to_pd(R.campaign_summary(final), ["client_id", "campaign_id"])
-    assert list(got.columns) == ["client_id", "campaign_id", "total_spend", "total_clicks", "total_impressions"]
-    assert len(got) == 5  # the web row with campaign_id NULL is not a group
-    g1 = got[(got.client_id == "C101") & (got.campaign_id == "G1")].iloc[0]
-    assert (g1.total_spend, g1.total_clicks, g1.total_impressions) == (110.5, 220, 2100)
+    got = {(r.client_id, r.campaign_id): (r.total_spend, r.total_clicks, r.total_impressions)
+           for r in R.campaign_summary(final).collect()}
+    want = brute_group(["client_id", "campaign_id"], ["spend_usd", "clicks", "impressions"])
+    assert R.campaign_summary(final).columns == [
+        "client_id", "campaign_id", "total_spend", "total_clicks", "total_impressions"]
+    assert got.keys() == want.keys() and not any(k[1] is None for k in got)
+    for k, v in want.items():
+        assert got[k][0] == pytest.approx(v["spend_usd"]) and got[k][1:] == (v["clicks"], v["impressions"])
 
 
 def test_reports_none_when_columns_missing(spark):
@@ -82,7 +104,7 @@ def test_generate_summary_reports_files(spark, final, tmp_dir):
     written = generate_summary_reports(spark, out, data_path=src, fmt="parquet")
     assert written == list(R.REPORTS)
     spend = _read_csv_dir(os.path.join(out, "daily_client_spend_report"))
-    assert spend.spend_usd.sum() == pytest.approx(290.5)
+    assert spend.spend_usd.sum() == pytest.approx(sum(r["spend_usd"] for r in RECS))
     clicks = _read_csv_dir(os.path.join(out, "total_clicks_by_platform_report"))
     assert list(clicks.platform) == sorted(clicks.platform)  # written in key order
 
@@ -97,8 +119,8 @@ def test_generate_summary_reports_empty(spark, final, tmp_dir):
 
 def test_reports_skip_when_inputs_missing(spark, tmp_dir):
     src = os.path.join(tmp_dir, "few")
-    spark.createDataFrame([("C101", ts("2024-01-01"), "google_ads", 50.5), ("C102", ts("2024-01-01"),
-                           "facebook_ads", 40.0)],
+    spark.createDataFrame([("K7", ts("2024-03-01"), "google_ads", 12.75), ("K8", ts("2024-03-01"),
+                           "facebook_ads", 8.0)],
                           "client_id string, date timestamp_ntz, platform string, spend_usd double").write.parquet(src)
     out = os.path.join(tmp_dir, "reports")
     assert generate_summary_reports(spark, out, data_path=src) == ["daily_client_spend_report"]
@@ -106,12 +128,18 @@ def test_reports_skip_when_inputs_missing(spark, tmp_dir):
 
 def test_channel_lift(final):
     rows = channel_lift(final).collect()
-    # revenue per touchpoint: facebook 110, email 75, google 50 and web 50 (tie -> by name)
-    assert [r.platform for r in rows] == ["facebook_ads", "email_campaigns", "google_ads", "web_traffic"]
-    fb = next(r for r in rows if r.platform == "facebook_ads")
-    assert fb.total_touchpoints == 2 and fb.total_attributed_revenue == 220.0
-    assert fb.revenue_per_touchpoint == 110.0
-    assert fb.attributed_roi == pytest.approx((220.0 - 100.0) / 100.0 * 100)
+    per = brute_group(["platform"], ["attributed_revenue_from_source_usd", "spend_usd", "clicks", "impressions"])
+    n = {p: sum(1 for r in RECS if r["platform"] == p) for (p,) in per}
+    rpt = {p: v["attributed_revenue_from_source_usd"] / n[p] for (p,), v in per.items()}
+    assert [r.platform for r in rows] == sorted(rpt, key=lambda p: (-rpt[p], p))
+    for r in rows:
+        v = per[(r.platform,)]
+        assert r.total_touchpoints == n[r.platform]
+        assert r.total_attributed_revenue == pytest.approx(v["attributed_revenue_from_source_usd"])
+        assert r.revenue_per_touchpoint == pytest.approx(rpt[r.platform])
+        spend = v["spend_usd"]
+        want_roi = (v["attributed_revenue_from_source_usd"] - spend) / spend * 100 if spend > 0 else 0.0
+        assert r.attributed_roi == pytest.approx(want_roi)
     web = next(r for r in rows if r.platform == "web_traffic")
     assert web.attributed_roi == 0.0  # zero spend -> 0, not an error
 
@@ -123,7 +151,7 @@ def test_channel_lift_missing_columns(final):
 
 def test_conversion_flag(final):
     flags = [r.is_converted for r in with_conversion_flag(final).collect()]
-    assert flags.count(True) == 5
+    assert flags.count(True) == sum(1 for r in RECS if r["attributed_revenue_from_source_usd"] > 0)
 
 
 def test_reconciliation_between_reports(final):
