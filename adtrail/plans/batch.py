@@ -83,15 +83,16 @@ def transform_sources(sources: dict[str, DataFrame | None],
 
 def generate_summary_reports(spark: SparkSession, output_dir: str, data_path: str | None = None,
                              fmt: str = "parquet", table: str | None = S.FINAL_TABLE,
-                             final: DataFrame | None = None) -> list[str]:
+                             final: DataFrame | None = None, checked: bool = False) -> list[str]:
     """Load the final table once and write the four reports (AG17).
 
     Nothing is written when the table is empty; the CTR report is skipped
     when there are no ad-platform rows; a report whose columns are missing
-    is skipped. Returns the names of the reports written.
+    is skipped. ``checked=True`` means the caller already knows ``final``
+    has rows. Returns the names of the reports written.
     """
     df = final if final is not None else load_analytics(spark, data_path, fmt, table)
-    if df is None or df.isEmpty():
+    if df is None or (not checked and df.isEmpty()):
         log.warning("no data loaded for report generation; skipping reports")
         return []
     jobs = {}
@@ -131,7 +132,7 @@ def analyze(spark: SparkSession, written: dict | None, reports_dir: str,
     if final is None or final.isEmpty():
         log.warning("final table missing or empty; skipping analytics")
         return []
-    done = generate_summary_reports(spark, reports_dir, final=final)
+    done = generate_summary_reports(spark, reports_dir, final=final, checked=True)
     lift = channel_lift(final)
     if lift is not None:
         # At most one row per platform: a single ordered file is safe.
