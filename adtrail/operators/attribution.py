@@ -6,11 +6,20 @@ revenue channel receives that client's *full* revenue for the day and
 channel; nothing is split between touchpoints. The model column is a
 constant 0.0 placeholder.
 
-Revenue is aggregated to one row per (client, day, channel) *before* the
-join, so the join cannot multiply rows and its build side is bounded by
-the number of distinct keys, not by raw revenue rows. The aggregate is
-partial-then-final (map-side combine), so a hot client is pre-summed in
-every task before the shuffle.
+Two equivalent forms:
+
+* ``perform_attribution`` / ``merge_revenue`` work on any touchpoint frame,
+  mapping each row's platform to its channel;
+* ``attach_branch_revenue`` works on one source branch before the union
+  (its platform is a constant), which is what the batch uses: branches
+  without a channel skip the join entirely, and each other branch joins
+  only its own channel's revenue.
+
+Either way revenue is aggregated per key *before* the join, so the join
+cannot multiply rows and its build side is bounded by the number of
+distinct keys, not by raw revenue rows. The aggregate is partial-then-final
+(map-side combine), so a hot client is pre-summed in every task before the
+shuffle.
 """
 
 from __future__ import annotations
@@ -160,10 +169,7 @@ def perform_attribution(touchpoints: DataFrame, revenue: DataFrame | None,
     A zero-row revenue frame needs no special case: the left join then
     yields 0.0 everywhere, the same as the placeholders.
     """
-    if revenue is None or is_blank(revenue):
-        log.warning("no revenue data; adding placeholder columns")
-        return prepare_placeholders(touchpoints)
-    if "attributed_revenue_usd" not in revenue.columns:
-        log.error("revenue lacks attributed_revenue_usd; adding placeholder columns")
+    prepared = prepared_revenue_or_none(revenue)
+    if prepared is None:
         return prepare_placeholders(touchpoints)
-    return merge_revenue(touchpoints, aggregate_revenue(prepare_revenue(revenue)), salt_buckets)
+    return merge_revenue(touchpoints, aggregate_revenue(prepared), salt_buckets)
