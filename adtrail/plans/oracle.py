@@ -319,6 +319,15 @@ ORACLE_SQL: dict[str, str] = {
     "filter_platform": _q(f"SELECT * FROM fin WHERE platform = '{RG.FILTER_PLATFORM}'"),
     "filter_range": _q(f"""
         SELECT * FROM fin WHERE date BETWEEN TIMESTAMP '{RG.FILTER_RANGE[0]}' AND TIMESTAMP '{RG.FILTER_RANGE[1]}'"""),
+    "filtered_ctr_trends": _q(f"""
+        SELECT date, total_clicks, total_impressions,
+               {_ratio('total_clicks', 'total_impressions', '100')} AS daily_ctr
+        FROM (SELECT date, {_count('clicks')} AS total_clicks, {_count('impressions')} AS total_impressions
+              FROM fin
+              WHERE platform = '{RG.FILTER_PLATFORM}'
+                AND date BETWEEN TIMESTAMP '{RG.FILTER_YEAR[0]}' AND TIMESTAMP '{RG.FILTER_YEAR[1]}'
+                AND platform IN ('google_ads', 'facebook_ads') AND date IS NOT NULL
+              GROUP BY date)"""),
     "filter_day": _q(f"SELECT * FROM fin WHERE date = TIMESTAMP '{RG.FILTER_DAY[0]}'"),
     "preview": _q(f"SELECT * FROM fin ORDER BY {_PREVIEW_ORDER} LIMIT 5"),
     "next_client_id": _q("""

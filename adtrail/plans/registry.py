@@ -38,6 +38,7 @@ FILTER_CLIENT = "42"
 FILTER_PLATFORM = S.GOOGLE_ADS
 FILTER_RANGE = ("1997-01-01", "1997-03-31")
 FILTER_DAY = ("1998-06-15",)
+FILTER_YEAR = ("1997-01-01", "1997-12-31")
 MEAN_DECIMALS = 6
 
 
@@ -164,6 +165,12 @@ def q_filter_day(spark, sf_dir):
     return X.apply_filters(final_table(spark, sf_dir), date_range=FILTER_DAY)
 
 
+def q_filtered_ctr_trends(spark, sf_dir):
+    """The dashboard's composition: filters first, then the CTR chart."""
+    view = X.apply_filters(final_table(spark, sf_dir), platform=FILTER_PLATFORM, date_range=FILTER_YEAR)
+    return R.ctr_trends(view)
+
+
 def q_distinct_clients(spark, sf_dir):
     return X.distinct_values(final_table(spark, sf_dir), "client_id")
 
@@ -262,6 +269,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_platform": q_filter_platform,
     "filter_range": q_filter_range,
     "filter_day": q_filter_day,
+    "filtered_ctr_trends": q_filtered_ctr_trends,
     "preview": _over_final(X.preview),
     "next_client_id": q_next_client_id,
     "campaigns_per_client": q_campaigns_per_client,
