@@ -148,3 +148,28 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     lead = [c for c in PREVIEW_ORDER if c in df.columns]
     rest = [c for c in df.columns if c not in lead]
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in lead + rest]).limit(n)
+
+
+def dashboard_views(df: DataFrame, client: str = ALL, platform: str = ALL,
+                    date_range: Sequence = ()) -> dict[str, DataFrame | None]:
+    """Everything the interactive dashboard shows, as lazy frames: selector
+    options and date bounds over the whole table, then the filtered
+    preview, headline totals, five charts and the two report charts over
+    the filtered rows. A chart whose inputs are missing is None. Nothing
+    runs until a frame is used; each is its own small job."""
+    from adtrail.operators.reports import clicks_by_platform, ctr_trends
+    view = apply_filters(df, client, platform, date_range)
+    return {
+        "client_options": selector_options(df, "client_id"),
+        "platform_options": selector_options(df, "platform"),
+        "date_bounds": date_bounds(df),
+        "preview": preview(view),
+        "key_totals": key_totals(view),
+        "spend_by_platform": spend_by_platform(view),
+        "clicks_over_time": clicks_over_time(view),
+        "ctr_by_platform": ctr_by_platform(view),
+        "web_daily": web_daily(view),
+        "revenue_over_time": revenue_over_time(view),
+        "clicks_by_platform": clicks_by_platform(view),
+        "ctr_trends": ctr_trends(view),
+    }

@@ -113,3 +113,13 @@ def test_campaigns_per_client(spark):
     assert {tuple(r) for r in campaigns_per_client(df).collect()} == want
     counts = {(r.client_id, r.platform): r.campaigns for r in campaign_counts(df).collect()}
     assert counts == {(c, p): sum(1 for w in want if w[:2] == (c, p)) for c, p, _ in want}
+
+
+def test_dashboard_views(spark):
+    views = X.dashboard_views(final(spark), client="K7", date_range=("2024-03-01", "2024-03-02"))
+    assert views["web_daily"] is None  # the fixture has no pageviews column
+    assert views["client_options"].first()[0] == "All"
+    k7 = brute_filter(client="K7", lo=ts("2024-03-01"), hi=ts("2024-03-02"))
+    assert views["key_totals"].first().total_clicks == sum(r["clicks"] for r in k7)
+    assert views["preview"].count() == min(5, len(k7))
+    assert {r.platform for r in views["clicks_by_platform"].collect()} == {r["platform"] for r in k7}
