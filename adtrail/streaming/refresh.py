@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from adtrail import schemas as S
-from adtrail.plans.batch import analyze, transform_sources
+from adtrail.plans.batch import analyze, log_quality, transform_sources, with_quality_metrics
 from adtrail.session import checkpoint_path
 from adtrail.sinks import save_final
 from adtrail.sources.files import blank_frame, coerce_source, is_missing_path
@@ -66,7 +66,8 @@ def csv_layout(spark: SparkSession, source: str, folder: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in header])
 
 
-def raw_stream(spark: SparkSession, source: str, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def raw_stream(spark: SparkSession, source: str, folder: str, max_files_per_trigger: int | None = None,
+               json_lines: bool = False) -> DataFrame:
     """New files of one source folder as a streaming frame (STM2).
 
     JSON fields are matched by name. CSV columns follow the header layout
@@ -80,7 +81,8 @@ def raw_stream(spark: SparkSession, source: str, folder: str, max_files_per_trig
     if fmt == "csv":
         reader = reader.option("header", True).option("escape", '"').option("enforceSchema", False)
     else:
-        reader = reader.option("multiLine", True)
+        # a JSON array is parsed per file; JSON Lines files split across tasks
+        reader = reader.option("multiLine", not json_lines)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(folder)
@@ -99,13 +101,14 @@ def land_stream(stream: DataFrame, bronze: str, checkpoint: str, name: str | Non
 
 
 def land_new_files(spark: SparkSession, landing: dict[str, str], work_root: str,
-                   checkpoint_root: str | None = None, max_files_per_trigger: int | None = None) -> None:
+                   checkpoint_root: str | None = None, max_files_per_trigger: int | None = None,
+                   json_lines: bool = False) -> None:
     """Land every source folder's new files into bronze parquet (step 1).
 
     With ``max_files_per_trigger`` a large backlog is drained in several
     bounded micro-batches instead of one."""
     ckpt = checkpoint_root or checkpoint_path(spark, "streams")
-    queries = [land_stream(raw_stream(spark, src, folder, max_files_per_trigger),
+    queries = [land_stream(raw_stream(spark, src, folder, max_files_per_trigger, json_lines),
                            f"{work_root}/bronze/{src}", f"{ckpt}/{src}", f"land_{src}")
                for src, folder in landing.items()]
     for q in queries:
@@ -131,16 +134,21 @@ def read_landed(spark: SparkSession, work_root: str, sources=S.ALL_SOURCES) -> d
 
 def refresh(spark: SparkSession, landing: dict[str, str], work_root: str, output: dict,
             reports_dir: str | None = None, checkpoint_root: str | None = None,
-            salt_buckets: int = 0, max_files_per_trigger: int | None = None) -> dict | None:
+            salt_buckets: int = 0, max_files_per_trigger: int | None = None,
+            json_lines: bool = False) -> dict | None:
     """Land new files, then rebuild the final table (and reports) from all
-    landed data (STM1). Returns the written output config, or None when
-    there is no client dimension yet."""
-    land_new_files(spark, landing, work_root, checkpoint_root, max_files_per_trigger)
+    landed data (STM1). Returns the written output config with the observed
+    quality counts, or None when there is no client dimension yet."""
+    land_new_files(spark, landing, work_root, checkpoint_root, max_files_per_trigger, json_lines)
     final = transform_sources(read_landed(spark, work_root, list(landing)), salt_buckets=salt_buckets)
     if final is None:
         log.warning("nothing to refresh yet")
         return None
+    final, obs = with_quality_metrics(final)
     written = save_final(final, output)
+    if written is not None:
+        written = {**written, "quality": obs.get}
+        log_quality(written["quality"])
     if reports_dir:
         analyze(spark, written, reports_dir)
     return written

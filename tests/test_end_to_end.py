@@ -175,3 +175,15 @@ def test_streaming_csv_layout_change_fails_loudly(spark, tmp_dir):
     with pytest.raises(Exception):
         refresh(spark, landing, work, {"parquet": {"save": True, "path": os.path.join(tmp_dir, "f2")}},
                 checkpoint_root=ck)
+
+
+def test_streaming_json_lines_and_quality(spark, tmp_dir):
+    landing = write_sources(os.path.join(tmp_dir, "landing"), layout="folders")
+    fb = os.path.join(landing["facebook_ads"], "facebook_ads.json")
+    with open(fb, "w") as f:  # the same export as JSON Lines
+        f.write("\n".join(json.dumps(r) for r in FACEBOOK) + "\n")
+    out = {"parquet": {"save": True, "path": os.path.join(tmp_dir, "final")}}
+    written = refresh(spark, landing, os.path.join(tmp_dir, "work"), out,
+                      checkpoint_root=os.path.join(tmp_dir, "ck"), json_lines=True)
+    check_final(load_analytics(spark, out["parquet"]["path"]))
+    assert written["quality"]["rows"] == 10 and written["quality"]["rows_with_unknown_client"] == 1
