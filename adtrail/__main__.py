@@ -3,7 +3,8 @@
     python -m adtrail batch   --raw-dir data/raw --out data/processed/final --reports data/reports
     python -m adtrail refresh --landing-dir data/landing --work-dir data/work --out data/processed/v2
 
-``batch`` reads the six exports from one folder under their usual names;
+``batch`` reads the six exports from one folder under their usual names
+(``facebook_ads.jsonl`` with ``--json-lines``);
 ``refresh`` watches one sub-folder per source (``<landing>/<source>/``)
 and recomputes from everything landed so far. ``--format table`` replaces
 a catalog table instead of writing a parquet folder.
@@ -40,6 +41,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict | None:
     sub = p.add_subparsers(dest="command", required=True)
     b = sub.add_parser("batch", help="ingest -> transform -> save -> reports")
     b.add_argument("--raw-dir", required=True)
+    b.add_argument("--csv-multiline", action="store_true",
+                   help="CSV exports contain quoted line breaks (one task per file)")
     r = sub.add_parser("refresh", help="land new files, then recompute")
     r.add_argument("--landing-dir", required=True)
     r.add_argument("--work-dir", required=True)
@@ -50,6 +53,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict | None:
         q.add_argument("--table", default=S.FINAL_TABLE)
         q.add_argument("--reports", default=None, help="folder for report CSVs")
         q.add_argument("--salt-buckets", type=int, default=0)
+        q.add_argument("--json-lines", action="store_true",
+                       help="the facebook export is JSON Lines (splittable) instead of a JSON array")
     args = p.parse_args(argv)
     if args.format == "parquet" and not args.out:
         p.error("--out is required with --format parquet")
@@ -60,14 +65,18 @@ def main(argv: list[str] | None = None, spark=None) -> dict | None:
     if args.command == "batch":
         from adtrail.plans.batch import run_batch
         paths = {src: os.path.join(args.raw_dir, name) for src, name in RAW_FILES.items()}
+        if args.json_lines:
+            paths[S.FACEBOOK_ADS] = os.path.join(args.raw_dir, "facebook_ads.jsonl")
+        options = {src: {"multiline": True} for src in RAW_FILES if src != S.FACEBOOK_ADS and args.csv_multiline}
+        options[S.FACEBOOK_ADS] = {"json_lines": args.json_lines}
         written = run_batch(spark, paths, _output(args), args.reports or os.path.join(args.raw_dir, "reports"),
-                            salt_buckets=args.salt_buckets)
+                            read_options=options, salt_buckets=args.salt_buckets)
     else:
         from adtrail.streaming.refresh import refresh
         landing = {src: os.path.join(args.landing_dir, src) for src in RAW_FILES
                    if os.path.isdir(os.path.join(args.landing_dir, src)) or "://" in args.landing_dir}
         written = refresh(spark, landing, args.work_dir, _output(args), args.reports,
-                          args.checkpoint_dir, salt_buckets=args.salt_buckets)
+                          args.checkpoint_dir, salt_buckets=args.salt_buckets, json_lines=args.json_lines)
     print(json.dumps({"written": written}))
     return written
 

@@ -187,3 +187,15 @@ def test_streaming_json_lines_and_quality(spark, tmp_dir):
                       checkpoint_root=os.path.join(tmp_dir, "ck"), json_lines=True)
     check_final(load_analytics(spark, out["parquet"]["path"]))
     assert written["quality"]["rows"] == 10 and written["quality"]["rows_with_unknown_client"] == 1
+
+
+def test_command_line_reader_options(spark, tmp_dir):
+    from adtrail.__main__ import main
+    raw = os.path.join(tmp_dir, "raw")
+    write_sources(raw)
+    os.remove(os.path.join(raw, "facebook_ads.json"))
+    with open(os.path.join(raw, "facebook_ads.jsonl"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in FACEBOOK) + "\n")
+    out = os.path.join(tmp_dir, "final")
+    main(["batch", "--raw-dir", raw, "--out", out, "--json-lines", "--csv-multiline"], spark)
+    check_final(load_analytics(spark, out))
