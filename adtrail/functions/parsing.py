@@ -58,14 +58,19 @@ def count_sql(x: str, dtype: T.DataType | None = None) -> str:
     return f"COALESCE(TRY_CAST({number_sql(x, dtype)} AS BIGINT), CAST(0 AS BIGINT))"
 
 
-def timestamp_sql(x: str, dtype: T.DataType | None = None) -> str:
+def timestamp_sql(x: str, dtype: T.DataType | None = None, fmt: str | None = None) -> str:
+    """Zone-free timestamp; with ``fmt`` only that layout is accepted (a
+    source whose date layout is known), else ISO-8601 then the extra
+    layouts in order."""
     if isinstance(dtype, _DATETIME):
         return f"CAST({x} AS TIMESTAMP_NTZ)"
     if isinstance(dtype, _NUMERIC):
         return "CAST(NULL AS TIMESTAMP_NTZ)"
     s = f"CAST({x} AS STRING)"
+    if fmt:
+        return f"CAST(try_to_timestamp({s}, {_lit(fmt)}) AS TIMESTAMP_NTZ)"
     parts = [f"TRY_CAST({s} AS TIMESTAMP_NTZ)"]
-    parts += [f"CAST(try_to_timestamp({s}, {_lit(fmt)}) AS TIMESTAMP_NTZ)" for fmt in EXTRA_DATE_FORMATS]
+    parts += [f"CAST(try_to_timestamp({s}, {_lit(layout)}) AS TIMESTAMP_NTZ)" for layout in EXTRA_DATE_FORMATS]
     return f"COALESCE({', '.join(parts)})"
 
 
@@ -104,9 +109,10 @@ def to_count(c: str, dtype: T.DataType | None = None) -> Column:
     return F.expr(count_sql(quote(c), dtype))
 
 
-def to_timestamp_ntz(c: str, dtype: T.DataType | None = None) -> Column:
-    """Zone-free timestamp parse, bad -> NULL (DT1)."""
-    return F.expr(timestamp_sql(quote(c), dtype))
+def to_timestamp_ntz(c: str, dtype: T.DataType | None = None, fmt: str | None = None) -> Column:
+    """Zone-free timestamp parse, bad -> NULL (DT1); ``fmt`` fixes the
+    layout when a source's date format is known."""
+    return F.expr(timestamp_sql(quote(c), dtype, fmt))
 
 
 def to_key(c: str) -> Column:

@@ -41,7 +41,8 @@ def is_missing_path(err: AnalysisException) -> bool:
     return name == "PATH_NOT_FOUND" or "Path does not exist" in str(err)
 
 
-def coerce_source(df: DataFrame, source: str, text_tokens: bool = True) -> DataFrame:
+def coerce_source(df: DataFrame, source: str, text_tokens: bool = True,
+                  date_format: str | None = None) -> DataFrame:
     """Text cleanup plus the reader-level coercions of one source.
 
     ``text_tokens=False`` skips the missing-value-token check, for inputs
@@ -55,7 +56,7 @@ def coerce_source(df: DataFrame, source: str, text_tokens: bool = True) -> DataF
         if text_tokens and isinstance(types[name], T.StringType):
             x = na_to_null_sql(x)
         if name in dates:
-            x = timestamp_sql(x, types[name])
+            x = timestamp_sql(x, types[name], date_format)
         elif name in nums:
             x = number_sql(x, types[name])
         exprs.append(f"{x} AS {quote(name)}")
@@ -72,7 +73,7 @@ def validate_required(df: DataFrame, source: str) -> bool:
 
 
 def read_csv_source(spark: SparkSession, path: str, source: str,
-                    multiline: bool = False) -> DataFrame | None:
+                    multiline: bool = False, date_format: str | None = None) -> DataFrame | None:
     """One CSV export with a header line (SRC1, SRC2, SRC4, SRC5, SRC6)."""
     try:
         df = (spark.read.option("header", True).option("inferSchema", False)
@@ -88,11 +89,11 @@ def read_csv_source(spark: SparkSession, path: str, source: str,
         return blank_frame(spark)
     if not validate_required(df, source):
         return None
-    return coerce_source(df, source)
+    return coerce_source(df, source, date_format=date_format)
 
 
 def read_json_source(spark: SparkSession, path: str, source: str = S.FACEBOOK_ADS,
-                     json_lines: bool = False) -> DataFrame | None:
+                     json_lines: bool = False, date_format: str | None = None) -> DataFrame | None:
     """JSON export: a top-level array of objects, or JSON Lines (SRC3).
 
     Leaf values are read as text; a file that does not parse as a whole
@@ -113,7 +114,7 @@ def read_json_source(spark: SparkSession, path: str, source: str = S.FACEBOOK_AD
         return None
     if not validate_required(df, source):
         return None
-    return coerce_source(df.drop("_corrupt_record"), source)
+    return coerce_source(df.drop("_corrupt_record"), source, date_format=date_format)
 
 
 def read_source(spark: SparkSession, source: str, path: str, **options) -> DataFrame | None:

@@ -90,3 +90,12 @@ def test_ingest_all_and_gate(spark, tmp_dir):
     assert data["web_traffic"].columns == []  # missing file -> empty marker
     assert not essential_sources_present(data)
     assert essential_sources_present(data, essential=["clients"])
+
+
+def test_explicit_date_format_per_source(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "rev.csv"),
+              "client_id,date,channel,attributed_revenue\nC1,05.12.2024,email,10\nC2,2024-12-05,email,5\n")
+    fixed = {r.client_id: r.date for r in read_csv_source(spark, p, "revenue", date_format="dd.MM.yyyy").collect()}
+    assert fixed == {"C1": ts("2024-12-05"), "C2": None}  # only the declared layout is accepted
+    guessed = {r.client_id: r.date for r in read_csv_source(spark, p, "revenue").collect()}
+    assert guessed == {"C1": None, "C2": ts("2024-12-05")}  # without it: ISO and the common layouts
