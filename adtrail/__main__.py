@@ -53,6 +53,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict | None:
         q.add_argument("--table", default=S.FINAL_TABLE)
         q.add_argument("--reports", default=None, help="folder for report CSVs")
         q.add_argument("--salt-buckets", type=int, default=0)
+        q.add_argument("--date-format", default=None,
+                       help="date layout of the exports, e.g. dd.MM.yyyy (default: ISO and common layouts)")
         q.add_argument("--json-lines", action="store_true",
                        help="the facebook export is JSON Lines (splittable) instead of a JSON array")
     args = p.parse_args(argv)
@@ -67,8 +69,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict | None:
         paths = {src: os.path.join(args.raw_dir, name) for src, name in RAW_FILES.items()}
         if args.json_lines:
             paths[S.FACEBOOK_ADS] = os.path.join(args.raw_dir, "facebook_ads.jsonl")
-        options = {src: {"multiline": True} for src in RAW_FILES if src != S.FACEBOOK_ADS and args.csv_multiline}
-        options[S.FACEBOOK_ADS] = {"json_lines": args.json_lines}
+        options = {src: {"multiline": args.csv_multiline, "date_format": args.date_format}
+                   for src in RAW_FILES if src != S.FACEBOOK_ADS}
+        options[S.FACEBOOK_ADS] = {"json_lines": args.json_lines, "date_format": args.date_format}
         written = run_batch(spark, paths, _output(args), args.reports or os.path.join(args.raw_dir, "reports"),
                             read_options=options, salt_buckets=args.salt_buckets)
     else:
@@ -76,7 +79,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict | None:
         landing = {src: os.path.join(args.landing_dir, src) for src in RAW_FILES
                    if os.path.isdir(os.path.join(args.landing_dir, src)) or "://" in args.landing_dir}
         written = refresh(spark, landing, args.work_dir, _output(args), args.reports,
-                          args.checkpoint_dir, salt_buckets=args.salt_buckets, json_lines=args.json_lines)
+                          args.checkpoint_dir, salt_buckets=args.salt_buckets, json_lines=args.json_lines,
+                          date_format=args.date_format)
     print(json.dumps({"written": written}))
     return written
 

@@ -117,7 +117,8 @@ def land_new_files(spark: SparkSession, landing: dict[str, str], work_root: str,
             raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
 
 
-def read_landed(spark: SparkSession, work_root: str, sources=S.ALL_SOURCES) -> dict[str, DataFrame]:
+def read_landed(spark: SparkSession, work_root: str, sources=S.ALL_SOURCES,
+                date_format: str | None = None) -> dict[str, DataFrame]:
     """Landed rows per source, coerced like the file readers do; a source
     with nothing landed yet is the empty marker."""
     out = {}
@@ -128,19 +129,20 @@ def read_landed(spark: SparkSession, work_root: str, sources=S.ALL_SOURCES) -> d
             if not is_missing_path(err):
                 raise
             df = blank_frame(spark)
-        out[src] = coerce_source(df, src) if df.columns else df
+        out[src] = coerce_source(df, src, date_format=date_format) if df.columns else df
     return out
 
 
 def refresh(spark: SparkSession, landing: dict[str, str], work_root: str, output: dict,
             reports_dir: str | None = None, checkpoint_root: str | None = None,
             salt_buckets: int = 0, max_files_per_trigger: int | None = None,
-            json_lines: bool = False) -> dict | None:
+            json_lines: bool = False, date_format: str | None = None) -> dict | None:
     """Land new files, then rebuild the final table (and reports) from all
     landed data (STM1). Returns the written output config with the observed
     quality counts, or None when there is no client dimension yet."""
     land_new_files(spark, landing, work_root, checkpoint_root, max_files_per_trigger, json_lines)
-    final = transform_sources(read_landed(spark, work_root, list(landing)), salt_buckets=salt_buckets)
+    final = transform_sources(read_landed(spark, work_root, list(landing), date_format),
+                              salt_buckets=salt_buckets)
     if final is None:
         log.warning("nothing to refresh yet")
         return None

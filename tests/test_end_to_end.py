@@ -197,5 +197,6 @@ def test_command_line_reader_options(spark, tmp_dir):
     with open(os.path.join(raw, "facebook_ads.jsonl"), "w") as f:
         f.write("\n".join(json.dumps(r) for r in FACEBOOK) + "\n")
     out = os.path.join(tmp_dir, "final")
-    main(["batch", "--raw-dir", raw, "--out", out, "--json-lines", "--csv-multiline"], spark)
+    main(["batch", "--raw-dir", raw, "--out", out, "--json-lines", "--csv-multiline",
+          "--date-format", "yyyy-MM-dd"], spark)
     check_final(load_analytics(spark, out))
