@@ -10,6 +10,7 @@ Prints one JSON line:
 * ``analyze_write_reports``  the whole analysis step: load, four report CSVs
                         and the lift CSV written
 * ``raw_*``            registered queries recomputed from the driver tables
+                        (``raw_stream_*``: file stream -> landing -> aggregate)
 
 Each timing is the median of ``BENCH_REPEAT`` warm runs (default 3) after
 one untimed warm-up run; the ETL's first (cold) run is also reported as
@@ -111,7 +112,8 @@ def main() -> None:
         lambda: analyze(spark, written, f"{scratch}/reports_{next(counter)}"), repeat, name="analyze")
 
     for name in ["ctr_trends", "attribution", "summary_means", "channel_lift",
-                 "daily_client_spend", "parse_quality", "campaigns_per_client"]:
+                 "daily_client_spend", "parse_quality", "campaigns_per_client",
+                 "stream_revenue_daily", "stream_web_daily"]:
         out[f"raw_{name}"] = _time(lambda n=name: _run(QUERIES[n](spark, sf_dir)), repeat, name=name)
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
