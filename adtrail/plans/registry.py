@@ -25,10 +25,10 @@ from adtrail.operators.facts import combine_facts
 from adtrail.operators.joins import join_marketing_data
 from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics, summarize_metrics
-from adtrail.sinks import write_parquet
-from adtrail.sources.analytics import load_analytics, parse_quality
 from adtrail.plans.batch import build_final
 from adtrail.session import checkpoint_path
+from adtrail.sinks import write_parquet
+from adtrail.sources.analytics import load_analytics, parse_quality
 from adtrail.sources.bindings import (ingested_sources, raw_sources, revenue_projection, table,
                                      web_projection_from_events)
 from adtrail.streaming.refresh import land_stream, read_landed
@@ -200,31 +200,28 @@ def q_final_round_trip(spark, sf_dir):
     return load_analytics(spark, path, "parquet")
 
 
-def q_stream_revenue_daily(spark, sf_dir):
-    """STM1/STM2 on the driver tables: the orders file is picked up by a
-    file stream (glob-filtered), projected to raw revenue rows, landed
-    idempotently, and daily channel revenue is recomputed from the landed
-    rows. Each call uses a fresh folder under the shared checkpoint root."""
-    orders_schema = table(spark, sf_dir, "orders").schema
-    stream = (spark.readStream.schema(orders_schema).option("pathGlobFilter", "orders.parquet")
-              .parquet(sf_dir))
+def _land_table_stream(spark: SparkSession, sf_dir: str, name: str,
+                       projection: Callable[[DataFrame], DataFrame], source: str) -> DataFrame:
+    """A driver table picked up by a glob-filtered file stream, projected
+    to a raw source, landed idempotently under a fresh folder of the shared
+    checkpoint root, and read back coerced like a file reader would."""
+    schema = table(spark, sf_dir, name).schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
     root = checkpoint_path(spark, "registry", f"stream-{uuid.uuid4().hex}")
-    q = land_stream(revenue_projection(stream), f"{root}/bronze/{S.REVENUE}", f"{root}/ckpt", None)
-    q.awaitTermination()
-    landed = read_landed(spark, root, [S.REVENUE])[S.REVENUE]
+    land_stream(projection(stream), f"{root}/bronze/{source}", f"{root}/ckpt", None).awaitTermination()
+    return read_landed(spark, root, [source])[source]
+
+
+def q_stream_revenue_daily(spark, sf_dir):
+    """STM1/STM2 on orders: daily channel revenue from landed rows."""
+    landed = _land_table_stream(spark, sf_dir, "orders", revenue_projection, S.REVENUE)
     return ATT.aggregate_revenue(ATT.prepare_revenue(clean_source(landed, S.REVENUE)))
 
 
 def q_stream_web_daily(spark, sf_dir):
-    """STM1 on the events table: a file stream turns events into raw web
-    traffic rows (text day stamps), lands them idempotently, and the daily
-    sessions / page views chart (AG12) is computed from the landed rows."""
-    schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    root = checkpoint_path(spark, "registry", f"stream-{uuid.uuid4().hex}")
-    q = land_stream(web_projection_from_events(stream), f"{root}/bronze/{S.WEB_TRAFFIC}", f"{root}/ckpt", None)
-    q.awaitTermination()
-    landed = read_landed(spark, root, [S.WEB_TRAFFIC])[S.WEB_TRAFFIC]
+    """STM1 on events: raw web traffic rows with text day stamps, landed,
+    then the daily sessions / page views chart (AG12)."""
+    landed = _land_table_stream(spark, sf_dir, "events", web_projection_from_events, S.WEB_TRAFFIC)
     return X.web_daily(clean_source(landed, S.WEB_TRAFFIC))
 
 
