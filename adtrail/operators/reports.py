@@ -73,10 +73,11 @@ def campaign_summary(df: DataFrame) -> DataFrame | None:
                  M.count_sum("impressions").alias("total_impressions")))
 
 
-# fixed values: report file names and their sort keys
+# fixed values: report file names, their sort keys, and whether the row count
+# has a proven bound (one row per platform) so one output file is safe
 REPORTS = {
-    "daily_client_spend_report": (daily_client_spend, ["date", "client_id"]),
-    "total_clicks_by_platform_report": (clicks_by_platform, ["platform"]),
-    "ctr_trends_report": (ctr_trends, ["date"]),
-    "campaign_summary_report": (campaign_summary, ["client_id", "campaign_id"]),
+    "daily_client_spend_report": (daily_client_spend, ["date", "client_id"], False),
+    "total_clicks_by_platform_report": (clicks_by_platform, ["platform"], True),
+    "ctr_trends_report": (ctr_trends, ["date"], False),
+    "campaign_summary_report": (campaign_summary, ["client_id", "campaign_id"], False),
 }

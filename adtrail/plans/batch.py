@@ -96,7 +96,7 @@ def generate_summary_reports(spark: SparkSession, output_dir: str, data_path: st
         log.warning("no data loaded for report generation; skipping reports")
         return []
     jobs = {}
-    for name, (build, keys) in REPORTS.items():
+    for name, (build, keys, bounded) in REPORTS.items():
         report = build(df)
         if report is None:
             log.warning("skipping %s: missing required columns", name)
@@ -104,9 +104,9 @@ def generate_summary_reports(spark: SparkSession, output_dir: str, data_path: st
         if name == "ctr_trends_report" and ad_platform_rows(df).isEmpty():
             log.warning("no ad-platform rows; skipping %s", name)
             continue
-        jobs[name] = (report, os.path.join(output_dir, name), keys)
-    run_concurrently({n: (lambda r=r, p=p, k=k: write_report_csv(r, p, order_by=k))
-                      for n, (r, p, k) in jobs.items()})
+        jobs[name] = (report, os.path.join(output_dir, name), keys, bounded)
+    run_concurrently({n: (lambda r=r, p=p, k=k, b=b: write_report_csv(r, p, order_by=k, single_file=b))
+                      for n, (r, p, k, b) in jobs.items()})
     return list(jobs)
 
 

@@ -162,3 +162,12 @@ def test_reconciliation_between_reports(final):
     spend = R.daily_client_spend(final).agg({"spend_usd": "sum"}).first()[0]
     assert spend == pytest.approx(sum(r.total_spend for r in lift.values()))
     assert S.ATTRIBUTED_REVENUE_COL in final.columns
+
+
+def test_platform_report_is_one_file(spark, final, tmp_dir):
+    src = os.path.join(tmp_dir, "final")
+    final.write.parquet(src)
+    out = os.path.join(tmp_dir, "reports")
+    generate_summary_reports(spark, out, data_path=src)
+    parts = glob.glob(os.path.join(out, "total_clicks_by_platform_report", "part-*.csv"))
+    assert len(parts) == 1  # at most one row per platform: a single ordered file
