@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from adtrail.llm.benchmark_index import OP9_SQL, op9_benchmark_index
 from adtrail.llm.best_fit_packing import op3_best_fit_packing
+from adtrail.llm.license_scan import OP1_SQL, op1_license_scan
 from adtrail.llm.token_files import op6_token_files
 from adtrail.llm.url_templates import OP10_SQL, op10_url_templates
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_token_files": op6_token_files,
     "op9_benchmark_index": op9_benchmark_index,
@@ -15,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_license_scan": OP1_SQL,
     "op9_benchmark_index": OP9_SQL,
     "op10_url_templates": OP10_SQL,
 }
