@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from adtrail.llm.benchmark_index import OP9_SQL, op9_benchmark_index
 from adtrail.llm.best_fit_packing import op3_best_fit_packing
+from adtrail.llm.language_profiles import op4_language_profiles
 from adtrail.llm.license_scan import OP1_SQL, op1_license_scan
+from adtrail.llm.merkle_fingerprints import op5_merkle_fingerprints
 from adtrail.llm.token_files import op6_token_files
 from adtrail.llm.url_templates import OP10_SQL, op10_url_templates
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_language_profiles": op4_language_profiles,
+    "op5_merkle_fingerprints": op5_merkle_fingerprints,
     "op6_token_files": op6_token_files,
     "op9_benchmark_index": op9_benchmark_index,
     "op10_url_templates": op10_url_templates,
