@@ -6,6 +6,7 @@ from adtrail.llm.benchmark_index import OP9_SQL, op9_benchmark_index
 from adtrail.llm.best_fit_packing import op3_best_fit_packing
 from adtrail.llm.language_profiles import op4_language_profiles
 from adtrail.llm.license_scan import OP1_SQL, op1_license_scan
+from adtrail.llm.line_dedup import op7_line_dedup
 from adtrail.llm.merkle_fingerprints import op5_merkle_fingerprints
 from adtrail.llm.ngram_join import OP8_SQL, op8_ngram_join
 from adtrail.llm.token_files import op6_token_files
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_language_profiles": op4_language_profiles,
     "op5_merkle_fingerprints": op5_merkle_fingerprints,
     "op6_token_files": op6_token_files,
+    "op7_line_dedup": op7_line_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_benchmark_index": op9_benchmark_index,
     "op10_url_templates": op10_url_templates,
