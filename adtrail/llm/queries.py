@@ -9,11 +9,13 @@ from adtrail.llm.license_scan import OP1_SQL, op1_license_scan
 from adtrail.llm.line_dedup import op7_line_dedup
 from adtrail.llm.merkle_fingerprints import op5_merkle_fingerprints
 from adtrail.llm.ngram_join import OP8_SQL, op8_ngram_join
+from adtrail.llm.suffix_dedup import OP2_SQL, op2_suffix_dedup
 from adtrail.llm.token_files import op6_token_files
 from adtrail.llm.url_templates import OP10_SQL, op10_url_templates
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_profiles": op4_language_profiles,
     "op5_merkle_fingerprints": op5_merkle_fingerprints,
@@ -26,6 +28,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_license_scan": OP1_SQL,
+    "op2_suffix_dedup": OP2_SQL,
     "op8_ngram_join": OP8_SQL,
     "op9_benchmark_index": OP9_SQL,
     "op10_url_templates": OP10_SQL,
