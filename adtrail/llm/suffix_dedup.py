@@ -40,17 +40,16 @@ from pyspark.sql import functions as F
 
 from adtrail.llm import common as C
 from adtrail.llm import shingles as S
-from adtrail.llm.benchmark_index import small
 
 LENGTH = 400
 GRAM = 128
 SHARD_SEGMENTS = 1024          # distinct segments of a gram that suffix arrays handle
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 SLICE_BYTES = 2 << 20
 CHUNK_BYTES = 8 << 20          # longer texts are cut into overlapping chunks
 _PLACE_BITS = 24               # a place within a chunk
 
-RUNS = "rid long, start int, windows int, gram long, content long"
+RUNS = "rid long, start int, windows int, gram long, content long, repeats int, step int"
 
 
 def prefix_sums(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,6 +87,21 @@ def window_runs(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: i
     return text[first], first, last - first + 1, grams[anchor[first]], content
 
 
+def stretches(text: np.ndarray, first: np.ndarray, grams: np.ndarray, content: np.ndarray):
+    """A periodic text repeats a run at a constant step: the first run of each
+    such stretch, how often it stands, and the step."""
+    n = len(first)
+    same = np.zeros(n, bool)
+    same[1:] = (text[1:] == text[:-1]) & (grams[1:] == grams[:-1]) & (content[1:] == content[:-1])
+    gap = np.diff(first, prepend=0)
+    joined = same.copy()
+    joined[1:] &= ~same[:-1] | (gap[1:] == gap[:-1])
+    lead = np.flatnonzero(~joined)
+    repeats = np.diff(np.append(lead, n))
+    step = np.where(repeats > 1, gap[np.minimum(lead + 1, n - 1)] if n else 0, 0)
+    return lead, repeats, step
+
+
 def _chunks(data: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
     """Lists of (text number, offset, bytes) of bounded size. Chunks of one
     text overlap by one window less a byte."""
@@ -117,10 +131,13 @@ def find_runs(batches, length: int, gram: int) -> Iterator[pa.RecordBatch]:
                 text, first, windows, grams, content = window_runs(buf, starts, ends, length, gram)
                 number = np.array([i for i, _, _ in part])
                 offset = np.array([o for _, o, _ in part])
+                lead, repeats, step = stretches(text, first, grams, content)
+                text, first = text[lead], first[lead]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rids[a + number[text]]), pa.array((first - starts[text] + offset[text]).astype(np.int32)),
-                     pa.array(windows.astype(np.int32)), pa.array(grams.view(np.int64)), pa.array(content.view(np.int64))],
-                    ["rid", "start", "windows", "gram", "content"])
+                     pa.array(windows[lead].astype(np.int32)), pa.array(grams[lead].view(np.int64)),
+                     pa.array(content[lead].view(np.int64)), pa.array(repeats.astype(np.int32)), pa.array(step.astype(np.int32))],
+                    [x.split()[0] for x in RUNS.split(", ")])
 
 
 def words8(buf: np.ndarray) -> np.ndarray:
@@ -379,10 +396,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     """``rid, spans`` (start, end in bytes; they may overlap). ``texts``:
     rid, text."""
     runs = C.materialize(C.map_batches(texts, find_runs, RUNS, length=length, gram=gram), "runs")
-    grams = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    grams = runs.groupBy("gram").agg(F.sum("repeats").alias("n")).where("n > 1").select("gram")
     runs = C.materialize(runs.join(grams, "gram", "left_semi"), "met-runs")
     segments = runs.groupBy("gram", "content", "windows").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "start")).alias("at"))
+        F.sum("repeats").alias("copies"), F.min(F.struct("rid", "start")).alias("at"))
     kinds = segments.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"))
     segments = C.materialize(segments.join(kinds, "gram"), "segments")
 
@@ -391,7 +408,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     asked = C.materialize(mixed.groupBy(F.col("at.rid").alias("asked_id")).agg(F.collect_list(
         F.struct("gram", "content", "copies", "windows", F.col("at.start").alias("start"), "kinds")).alias("asked")), "asked")
     ids = asked.select(F.col("asked_id").alias("rid"))
-    asked_texts = (texts.join(small(ids, asked.count()), "rid", "left_semi").dropDuplicates(["rid"])
+    asked_texts = (texts.join(C.small(ids, asked.count()), "rid", "left_semi").dropDuplicates(["rid"])
                    .join(asked, F.col("rid") == F.col("asked_id")).select("text", "asked"))
     pieces = C.materialize(C.map_batches(asked_texts, cut_segments, "gram long, content long, copies long, windows int, bytes binary",
                                          length=length).join(kinds_of(segments, shard_segments), "gram", "left")
@@ -406,8 +423,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     by_hash = (many.join(twice, ["w1", "w2"], "left_semi").select("gram", "content", F.col("place").alias("first"), F.col("place").alias("last")))
 
     found = whole.unionByName(by_arrays).unionByName(by_hash)
-    spans = runs.join(found, ["gram", "content"]).where("last < windows").select(
-        "rid", F.struct((F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("last") + length).alias("end")).alias("span"))
+    at = F.explode(F.transform(F.sequence(F.lit(0), F.col("repeats") - 1), lambda i: F.col("start") + i * F.col("step")))
+    spans = (runs.join(found, ["gram", "content"]).where("last < windows").select("rid", "first", "last", at.alias("at"))
+             .select("rid", F.struct((F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("last") + length).alias("end")).alias("span")))
     return spans.groupBy("rid").agg(F.collect_list("span").alias("spans"))
 
 
