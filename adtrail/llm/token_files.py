@@ -78,11 +78,11 @@ def read_token_files(spark: SparkSession, path: str, columns: list[str] | None =
     in the whole stream. ``columns`` leaves the rest unread; filters on
     ``doc_id`` reach the row groups and pages."""
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
-    # one row per file: a running sum over the file numbers gives each file's place in the stream
+    # one row of two numbers per file, so small whatever a file holds: a running sum over the file numbers gives each file's place in the stream
     per_file = files.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_file.select(F.col("file").alias("base_file"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    out = (files.join(bases, files["file"] == bases["base_file"])
+    out = (files.join(F.broadcast(bases), files["file"] == bases["base_file"])
            .withColumn("start", F.col("base") + F.col("file_start")))
     return out.select(*(columns or ["doc_id", "start", "n_tokens", "ids"]))
 

@@ -42,7 +42,7 @@ class ChunkEncoder:
         self.tok.encode_special_tokens = True
         self.spaced = spaced
         self.tokenize = self.tok.model.tokenize  # of one pre-token; the attribute copies the model, so it is read once
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(self.learn, MEMO_ENTRIES // 2)
         self.tails: dict[str, bytes] = {}
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
@@ -74,34 +74,26 @@ class ChunkEncoder:
             return chunk
         return chunk[1:] if chunk[:1] == BARE else " " + chunk
 
-    def _learn(self, missing: set[str]) -> None:
-        """Add the ids of new chunks to the memo. Letters, or letters and a
-        run of stops or commas, are looked up pre-token by pre-token (a
-        pre-token never spans letters and punctuation); the rest goes
-        through the whole pipeline."""
-        memo, spaced, tokenize, rest = self.memo, self.spaced, self.tokenize, []
-        for c in missing:
-            key = c.rstrip(".,")
-            word = key[1:] if spaced and key[:1] == BARE else key
-            # one pre-token in both vocabularies, unchanged by composition and lower-cased letter by letter
-            if not (word.isalpha() and (word.isascii() or (max(word) < "\u0180" and "\u0130" not in word))):
-                rest.append(c)
-                continue
-            ids = memo.get(key)
-            if ids is None:
-                if not spaced:
-                    word = word.lower()
-                if not word.isascii():
-                    word = word.encode().decode("latin-1").translate(BYTE_CHARS)
-                if spaced and key[:1] != BARE:
-                    word = BLANK_CHAR + word
-                ids = array("I", [t.id for t in tokenize(word)]).tobytes()
-                memo[key] = ids
-            if len(key) < len(c):
-                memo[c] = ids + self._tail(c[len(key):])
-        for i in range(0, len(rest), 4096):
-            batch = rest[i:i + 4096]
-            memo.update(zip(batch, self._encode([self._text(c) for c in batch])))
+    def learn(self, chunk: str) -> bytes:
+        """Ids of a chunk the memo lacks. Letters, or letters and a run of
+        stops or commas, are looked up pre-token by pre-token (a pre-token
+        never spans letters and punctuation); the rest goes through the whole
+        pipeline."""
+        spaced = self.spaced
+        key = chunk.rstrip(".,")
+        word = key[1:] if spaced and key[:1] == BARE else key
+        # one pre-token in both vocabularies, unchanged by composition and lower-cased letter by letter
+        if not (word.isalpha() and (word.isascii() or (max(word) < "\u0180" and "\u0130" not in word))):
+            return self._encode([self._text(chunk)])[0]
+        if len(key) < len(chunk):
+            return self.memo[key] + self._tail(chunk[len(key):])
+        if not spaced:
+            word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_CHARS)
+        if spaced and key[:1] != BARE:
+            word = BLANK_CHAR + word
+        return array("I", [t.id for t in self.tokenize(word)]).tobytes()
 
     def _tail(self, tail: str) -> bytes:
         if tail not in self.tails:
@@ -112,25 +104,32 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        memo = self.memo
-        chunked = [self._chunks(t) for t in texts]
-        seen: set[str] = set()
-        for c in chunked:
-            if c is not None:
-                seen.update(c)
-        if missing := seen - memo.keys():
-            self._learn(missing)
-        out = [b"".join(map(memo.__getitem__, c)) if c is not None else self._encode([t])[0]
-               for t, c in zip(texts, chunked)]
-        for c in missing:
-            if len(c) > MEMO_CHUNK_CHARS:
-                del memo[c]
-        if len(memo) > MEMO_ENTRIES:  # start again from the chunks in use
-            kept = {c: memo[c] for c in seen if c in memo}
-            self.memo = kept if len(kept) <= MEMO_ENTRIES // 2 else {}
+        out, get = [], self.memo.__getitem__
+        for text in texts:
+            chunks = self._chunks(text)
+            out.append(self._encode([text])[0] if chunks is None else b"".join(map(get, chunks)))
         return out
 
 
+class Memo(dict):
+    """Ids of chunks met. At ``limit`` entries it becomes the older half and a
+    new one begins, so chunks in use stay."""
+
+    def __init__(self, learn, limit: int):
+        self.learn, self.limit, self.older = learn, limit, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.learn(chunk)
+        if len(chunk) <= MEMO_CHUNK_CHARS:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 _ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
