@@ -24,9 +24,6 @@ from adtrail.llm import common as C
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 10
 ANCHORS = 2  # posting lists intersected per window
-# Benchmark-side tables above this many rows are joined by shuffle. A row is a
-# word and two numbers, so a broadcast holds a few dozen MB at most.
-BROADCAST_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
@@ -40,11 +37,6 @@ def word_count(ws: Column) -> Column:
     return F.size(ws) - F.when(F.element_at(ws, -1) == "", 1).otherwise(0)
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast when the counted rows are few; else the planner's join."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def benchmark_windows(bench: DataFrame, window_words: int = WINDOW_WORDS,
                       id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """``item_id, phrase, n``: all runs of ``window_words`` words of an item;
@@ -62,7 +54,7 @@ def build_postings(docs: DataFrame, vocabulary: DataFrame, rows: int) -> DataFra
     """``term_id, doc_id, pos`` of every vocabulary word of every document,
     stored in the shared folder. ``docs``: doc_id, text."""
     exploded = docs.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "term"))
-    return C.materialize(exploded.join(small(vocabulary, rows), "term").select("term_id", "doc_id", "pos"), "postings")
+    return C.materialize(exploded.join(C.small(vocabulary, rows), "term").select("term_id", "doc_id", "pos"), "postings")
 
 
 def phrase_candidates(postings: DataFrame, terms: DataFrame, anchors: int = ANCHORS) -> DataFrame:
@@ -77,7 +69,7 @@ def phrase_candidates(postings: DataFrame, terms: DataFrame, anchors: int = ANCH
               .withColumn("lists", F.least(F.count(F.lit(1)).over(by_window), F.lit(anchors)))
               .where(F.col("rank") <= anchors).select("window", "offset", "term_id", "lists"))
     chosen = C.materialize(ranked, "anchors")
-    moved = (postings.join(small(chosen, chosen.count()), "term_id")
+    moved = (postings.join(C.small(chosen, chosen.count()), "term_id")
              .select("doc_id", (F.col("pos") - F.col("offset")).alias("start"), "window", "lists").where("start >= 0"))
     return (moved.groupBy("doc_id", "start", "window", "lists").agg(F.count(F.lit(1)).alias("found"))
             .where("found = lists").select("doc_id", "start", "window"))
@@ -108,7 +100,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window_words: int = WINDOW_
     n_terms, n_phrases = vocabulary.count(), phrases.count()
     postings = build_postings(base, vocabulary, n_terms)
     terms = split_terms.join(vocabulary, "term").select("window", "offset", "term_id")
-    found = (phrase_candidates(postings, terms).join(small(phrases, n_phrases), "window")
+    found = (phrase_candidates(postings, terms).join(C.small(phrases, n_phrases), "window")
              .groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "window", "phrase")).alias("found"))
              .withColumnRenamed("doc_id", "found_id"))
 

@@ -18,6 +18,10 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(_
 # so a worker's memory does not depend on the row count of an Arrow batch.
 SLICE_BYTES = 4 << 20
 
+# Tables of a few numbers or a word a row are broadcast up to this many rows (a
+# few dozen MB at most); larger ones are joined by shuffle.
+BROADCAST_ROWS = 200_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -57,6 +61,11 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast when the counted rows are few; else the planner's join."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator needs, under fixed names, so further
     columns of any name cannot clash. A null text is the empty text."""

@@ -11,8 +11,8 @@ common to many documents is hardly ever in a prefix. Any order gives the same
 result: the list of frequent shingles (of bounded length) decides costs only.
 
 A shingle shared by m classes does not make m * m / 2 pairs. First every class
-is verified against one pivot of its group, and every group against one pivot
-group per shingle. Then, per shingle, only classes of different components are
+is verified against one pivot of its group, and every group against the pivot
+groups with which it shares most shingles, one candidate per shingle. Then, per shingle, only classes of different components are
 compared: all classes outside the shingle's largest component with the rest.
 Pairs inside a component need no check, so no link that could change a
 component is lost.
@@ -37,8 +37,12 @@ from adtrail.llm import shingles as S
 from adtrail.llm.graph import connected_components
 
 PERCENT = 80
-FREQUENT = 200_000    # length of the list of shingles ordered last (1.6 MB)
-SLICE_REPEATS = 3     # a shingle counts as repeated in a slice from so many texts on
+FREQUENT = 1_000_000  # length of the list of shingles ordered last (8 MB)
+GROUP_PIVOTS = 8      # pivots a class is verified against in a round before step 2
+ROUNDS = 3            # further such rounds against large components
+LARGE = 32            # members of a component in one shingle
+BLOCK_PAIRS = 256     # partners compared with one copy of a pivot's text
+SLICE_REPEATS = 2     # a shingle counts as repeated in a slice from so many texts on
 
 PREFIXES = "doc_id long, n long, h1 long, h2 long, grp long, rare array<long>, common array<long>"
 
@@ -46,8 +50,8 @@ PREFIXES = "doc_id long, n long, h1 long, h2 long, grp long, rare array<long>, c
 def repeated_shingles(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).to_pylist()
-        for a, b in C.slices([len(t) for t in texts]):
-            _, codes, _ = S.shingle_sets(texts[a:b])
+        for a, b in C.slices([len(t) for t in texts], 2 * C.SLICE_BYTES):
+            _, codes, _ = S.shingle_sets(list(dict.fromkeys(texts[a:b])))  # a copy adds nothing
             values, counts = np.unique(codes, return_counts=True)
             often = counts >= SLICE_REPEATS
             yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["shingle", "n"])
@@ -89,42 +93,61 @@ def prefixes(batches, frequent: np.ndarray, percent: int) -> Iterator[pa.RecordB
                 ["doc_id", "n", "h1", "h2", "grp", "rare", "common"])
 
 
-def sets_of(batches) -> Iterator[pa.RecordBatch]:
+def verify_blocks(batches, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted: the pivot's text of a block, then the texts to
+    compare with it."""
+    pivot, sets = None, []
     for batch in batches:
-        docs, all_texts = batch.column(0), batch.column(1).to_pylist()
+        pivots, blocks, others, classes, all_texts = (c.to_pylist() for c in batch.columns)
+        links = []
         for a, b in C.slices([len(t) for t in all_texts]):
             text, code, _ = S.shingle_sets(all_texts[a:b])
-            ends = np.cumsum(np.bincount(text, minlength=b - a))
-            parts = np.split(code, ends[:-1])
-            yield pa.RecordBatch.from_arrays([docs[a:b], pa.array([p.tobytes() for p in parts], pa.binary())], ["cls", "codes"])
-
-
-def verify_pairs(batches, percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            same = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * same >= percent * (len(x) + len(y) - same))
-        rows = [(p, q) for p, q, k in zip(a, b, keep) if k]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], ["a", "b"])
+            parts = np.split(code, np.cumsum(np.bincount(text, minlength=b - a))[:-1])
+            for i, y in enumerate(parts, a):
+                at = (pivots[i], blocks[i])
+                if not others[i]:
+                    if pivot != at:
+                        pivot, sets = at, []
+                    sets.append(y)  # more than one if rows share an id
+                elif pivot == at:
+                    for x in sets:
+                        same = len(np.intersect1d(x, y, assume_unique=True))
+                        if 100 * same >= percent * (len(x) + len(y) - same):
+                            links.append((pivots[i], classes[i]))
+                            break
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
 def _sizes_fit(x, y, percent: int):
     return (F.least(x, y) * 100) >= (F.greatest(x, y) * percent)
 
 
+def _overlap_possible(x: str, y: str, percent: int):
+    """Two sets of sizes x and y that share k prefix shingles, the last at
+    places i and j, have at most k + min(x - i, y - j) - 1 shingles in common:
+    the others come after both places."""
+    most = F.col("k") + F.least(F.col(x) - F.col("i"), F.col(y) - F.col("j")) - 1
+    return most * (100 + percent) >= percent * (F.col(x) + F.col(y))
+
+
 def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b: class ids) that reach the Jaccard threshold. Sets are
-    taken anew from the texts of the classes in question."""
+    """The pairs (a, b: class ids) that reach the Jaccard threshold, verified on
+    the texts of the classes in question."""
     pairs = C.materialize(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    wanted = texts.join(asked, "doc_id", "left_semi")
-    sets = C.materialize(C.map_batches(wanted, sets_of, "cls long, codes binary"), "sets")
-    both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("codes").alias("x")), "a")
-            .join(sets.select(F.col("cls").alias("b"), F.col("codes").alias("y")), "b").select("a", "b", "x", "y"))
-    return C.map_batches(both, verify_pairs, "a long, b long", percent=percent)
+    # blocks of a pivot and some partners: a text is sent once a block, and no block grows with the data
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_PAIRS).alias("blocks"))
+    blocks = pairs.join(sizes, "a").select("a", "b", F.expr("int(pmod(xxhash64(b), blocks))").alias("block"))
+    asked = blocks.select(F.col("a").alias("asked_id"), F.col("a").alias("pivot"), "block").distinct().unionByName(
+        blocks.select(F.col("b").alias("asked_id"), F.col("a").alias("pivot"), "block"))
+    asked = C.materialize(asked.groupBy("asked_id").agg(F.collect_list(F.struct("pivot", "block")).alias("asked")), "asked")
+    ids = asked.select(F.col("asked_id").alias("doc_id"))
+    wanted = (texts.join(C.small(ids, asked.count()), "doc_id", "left_semi")
+              .join(asked, F.col("doc_id") == F.col("asked_id")))
+    # texts compress well on their way; their sets, being hashes, do not
+    rows = (wanted.select("doc_id", "text", F.explode("asked").alias("for"))
+            .select("for.pivot", "for.block", (F.col("for.pivot") != F.col("doc_id")).alias("other"), F.col("doc_id").alias("cls"), "text"))
+    dealt = rows.repartition("pivot", "block").sortWithinPartitions("pivot", "block", "other")
+    return C.map_batches(dealt, verify_blocks, "a long, b long", percent=percent)
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -138,43 +161,76 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     rows = C.materialize(C.map_batches(texts, prefixes, PREFIXES, frequent=frequent, percent=percent), "prefixes")
     members = C.materialize(rows.where("n > 0").groupBy("n", "h1", "h2", "grp").agg(F.min("doc_id").alias("cls")), "classes")
     groups = members.groupBy("grp", "n").agg(F.min("cls").alias("pivot"))
-    # the rows of one group carry the same prefix
-    prefix = rows.where("size(rare) + size(common) > 0").dropDuplicates(["grp", "n"]).select("grp", "n", "rare", "common")
+    # the rows of one group carry the same prefix; a group met in several slices counts as often, which only costs rows
+    prefix = rows.where("size(rare) + size(common) > 0")
 
     # 1. group pivots: rare shingles meet in a window, frequent ones by a pre-aggregated minimum
-    place = F.struct("n", "grp")
-    rare = prefix.select(F.explode("rare").alias("shingle"), "grp", "n")
+    place = F.struct("grp", "n", "pos")  # the pivot is a random group, as its name is a hash
+    rare = prefix.select(F.posexplode("rare").alias("pos", "shingle"), "grp", "n")
     by_shingle = Window.partitionBy("shingle")
     rare = (rare.withColumn("met", F.count(F.lit(1)).over(by_shingle)).withColumn("first", F.min(place).over(by_shingle))
             .where("met > 1").drop("met"))
-    common = prefix.select(F.explode("common").alias("shingle"), "grp", "n")
+    common = (prefix.select(F.posexplode("common").alias("at", "shingle"), "grp", "n", F.size("rare").alias("before"))
+              .select((F.col("at") + F.col("before")).alias("pos"), "shingle", "grp", "n"))
     firsts = common.groupBy("shingle").agg(F.count(F.lit(1)).alias("met"), F.min(place).alias("first")).where("met > 1").drop("met")
     met = C.materialize(rare.unionByName(common.join(firsts, "shingle")), "met")
 
     to_pivot = (met.where((F.col("grp") != F.col("first.grp")) & _sizes_fit(F.col("n"), F.col("first.n"), percent))
-                .select("grp", "n", F.col("first.grp").alias("grp2"), F.col("first.n").alias("n2")).distinct())
+                .groupBy("grp", "n", F.col("first.grp").alias("grp2"), F.col("first.n").alias("n2"))
+                .agg(F.count(F.lit(1)).alias("k"))
+                # of a group's pivots those that share most; the rest is left to step 2
+                .withColumn("rank", F.row_number().over(Window.partitionBy("grp", "n").orderBy(F.desc("k"), "grp2", "n2")))
+                .where(F.col("rank") <= GROUP_PIVOTS).select("grp", "n", "grp2", "n2"))
     pivot2 = groups.select(F.col("grp").alias("grp2"), F.col("n").alias("n2"), F.col("pivot").alias("b"))
     pairs = (members.join(groups, ["grp", "n"]).select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
              .unionByName(to_pivot.join(groups, ["grp", "n"]).join(pivot2, ["grp2", "n2"]).select(F.col("pivot").alias("a"), "b")))
     links = C.materialize(_links(pairs, texts, percent), "links")
     found = connected_components(links)
 
-    # 2. per shingle (and per group), classes of different components
-    known = members.join(found, members["cls"] == found["node"], "left").select(
-        "grp", "n", "cls", F.coalesce("component", "cls").alias("component"))
-    known = C.materialize(known, "known")
-    inside = known.groupBy("grp", "n").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    shared = met.select("shingle", "grp", "n").unionByName(
-        inside.select(F.col("grp").alias("shingle"), "grp", "n")).distinct().join(known, ["grp", "n"]).select("shingle", "cls", "n", "component")
-    sizes = shared.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("m"))
-    largest = sizes.groupBy("shingle").agg(F.max(F.struct("m", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_rows = C.materialize(shared.join(largest.select("shingle", F.col("top.component").alias("main")), "shingle"), "open")
-    outside = open_rows.where("component <> main").select("shingle", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    others = open_rows.select("shingle", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "main")
+    def open_places(found: DataFrame) -> DataFrame:
+        """Per shingle (and per group), the classes where these are of
+        different components, with the largest component there."""
+        known = members.join(found, members["cls"] == found["node"], "left").select(
+            "grp", "n", "cls", F.coalesce("component", "cls").alias("component"))
+        known = C.materialize(known, "known")
+        inside = known.groupBy("grp", "n").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+        shared = (met.select("shingle", "grp", "n", "pos").distinct()
+                  .unionByName(inside.select(F.col("grp").alias("shingle"), "grp", "n", F.lit(-1).alias("pos")))
+                  .join(known, ["grp", "n"]).select("shingle", "cls", "n", "component", "pos"))
+        sizes = shared.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("m"))
+        largest = sizes.groupBy("shingle").agg(F.max(F.struct("m", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+        return C.materialize(shared.join(largest.select("shingle", F.col("top.component").alias("main"), F.col("top.m").alias("main_size")),
+                                         "shingle"), "open")
+
+    open_rows = open_places(found)
+    for turn in range(ROUNDS):
+        # classes beside a large component: against other random members of it
+        large = open_rows.where(F.col("main_size") >= LARGE)
+        pivots = large.where("component = main").groupBy("shingle").agg(
+            F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "cls", "n")).alias("p"))
+        beside = (large.where("component <> main").join(pivots, "shingle").where(_sizes_fit(F.col("n"), F.col("p.n"), percent))
+                  .groupBy(F.col("cls").alias("a"), F.col("p.cls").alias("b")).agg(F.count(F.lit(1)).alias("k"))
+                  .withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("k"), "b")))
+                  .where(F.col("rank") <= GROUP_PIVOTS).select("a", "b"))
+        new = C.materialize(_links(beside, texts, percent), "links")
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
+        open_rows = open_places(connected_components(links))
+
+    # 2. classes of different components
+    outside = open_rows.where("component <> main").select("shingle", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("pos").alias("pa"))
+    others = open_rows.select("shingle", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("pos").alias("pb"), "main")
     # two rows outside the largest component meet once, not twice
     rest = (outside.join(others, "shingle")
             .where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-                   & _sizes_fit(F.col("na"), F.col("nb"), percent)).select("a", "b"))
+                   & _sizes_fit(F.col("na"), F.col("nb"), percent))
+            # the same pair may come either way round from two shingles
+            .select(*[F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in
+                      (("a", "b"), ("b", "a"), ("na", "nb"), ("nb", "na"), ("pa", "pb"), ("pb", "pa"))])
+            .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k"), F.max("pa").alias("i"), F.max("pb").alias("j"),
+                                               F.min("pa").alias("least"))
+            .where((F.col("least") < 0) | _overlap_possible("na", "nb", percent)).select("a", "b"))
     more = C.materialize(_links(rest, texts, percent), "links")
     final = connected_components(links.unionByName(more))
 
