@@ -176,7 +176,6 @@ free-unknown | 4 | 0.4 | free software | free software license
 reference | 4 | 0.3 | license | see ..3 license ..3 file
 reference | 4 | 0.3 | license | license md
 reference | 4 | 0.3 | license | license txt
-unknown | 4 | 0.3 | licensed under | licensed under
 """
 
 
