@@ -56,9 +56,15 @@ def roi_percent(revenue: Column | str, spend: Column | str) -> Column:
 
 
 def money_sum(c: Column | str) -> Column:
-    """Sum of a money column, exact to 1/10000 and independent of the order
-    in which tasks combine partial sums; returned as double."""
-    return F.sum(_col(c).try_cast(MONEY_TYPE)).cast("double")
+    """Sum of a money column as double. Where every amount is exactly a
+    ``MONEY_TYPE`` the sum is exact and independent of the order in which tasks
+    combine partial sums; otherwise it is the plain sum of doubles, so no
+    amount is cut or lost."""
+    amount = _col(c).cast("double")
+    exact = _col(c).try_cast(MONEY_TYPE)
+    held = F.coalesce(exact.cast("double") == amount, F.lit(False))
+    total = F.try_sum(exact).cast("double")
+    return F.when(F.count_if(amount.isNotNull() & ~held) == 0, F.coalesce(total, F.sum(amount))).otherwise(F.sum(amount))
 
 
 def count_sum(c: Column | str) -> Column:

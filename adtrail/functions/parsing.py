@@ -28,6 +28,9 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _DATETIME = (T.TimestampNTZType, T.TimestampType, T.DateType)
 
 
+NUMBER_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def quote(name: str) -> str:
     """A column name as a SQL identifier."""
     return "`" + name.replace("`", "``") + "`"
@@ -48,6 +51,9 @@ def number_sql(x: str, dtype: T.DataType | None = None) -> str:
     if isinstance(dtype, _INTEGRAL):
         return f"CAST({x} AS DOUBLE)"
     d = f"TRY_CAST({x} AS DOUBLE)"
+    if dtype is None or isinstance(dtype, T.StringType):
+        # the cast also takes Java's suffixes and hexadecimal floats ('10d', '0x10p1')
+        d = f"CASE WHEN trim({x}) RLIKE {_lit(NUMBER_SHAPE)} THEN {d} END"
     # Spark orders NaN above +inf, so the test is false for NaN, +-inf and NULL.
     return f"CASE WHEN abs({d}) < double('Infinity') THEN {d} END"
 

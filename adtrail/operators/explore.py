@@ -22,8 +22,11 @@ ALL = "All"
 
 
 def _ts(value) -> F.Column:
-    if isinstance(value, (_dt.date, _dt.datetime)):
-        return F.lit(value).cast("timestamp_ntz")
+    if isinstance(value, _dt.datetime):
+        # as text: a datetime literal would shift by the process time zone
+        return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+    if isinstance(value, _dt.date):
+        return F.lit(value.isoformat()).cast("timestamp_ntz")
     return F.lit(str(value)).try_cast("timestamp_ntz")
 
 
@@ -142,9 +145,12 @@ def selector_options(df: DataFrame, column: str) -> DataFrame:
 PREVIEW_ORDER = ["date", "client_id", "platform", "campaign_id"]
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """First ``n`` rows in a fixed order (LIM1). Runs as a top-k: each task
-    keeps its best n rows, so nothing large is sorted or moved."""
+def preview(df: DataFrame, n: int = 5, ordered: bool = False) -> DataFrame:
+    """First ``n`` rows (LIM1), from as few partitions as hold them. With
+    ``ordered`` the first in a fixed order: a top-k over the whole table, in
+    which each task keeps its best n rows."""
+    if not ordered:
+        return df.limit(n)
     lead = [c for c in PREVIEW_ORDER if c in df.columns]
     rest = [c for c in df.columns if c not in lead]
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in lead + rest]).limit(n)

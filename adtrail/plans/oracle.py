@@ -2,7 +2,7 @@
 
 The text below restates the bindings and the transformation rules in
 plain SQL over the driver's tables; it shares no code with the Spark
-side. Money sums go through DECIMAL(38,4) exactly as on the Spark side,
+side. Money sums go through DECIMAL(38,8) exactly as on the Spark side,
 counts are BIGINT, and every output column carries the same alias as the
 Spark query.
 """
@@ -16,7 +16,7 @@ _CHANNEL_OF_PLATFORM = """CASE {p} WHEN 'google_ads' THEN 'google_ads' WHEN 'fac
 
 
 def _money(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(38,4))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(38,8))) AS DOUBLE)"
 
 
 def _count(x: str) -> str:
@@ -336,7 +336,9 @@ ORACLE_SQL: dict[str, str] = {
                AS next_client_number
         FROM in_clients"""),
     "campaigns_per_client": _q("""
-        SELECT DISTINCT client_id, platform, campaign_id FROM facts
-        WHERE platform IN ('google_ads', 'facebook_ads', 'email_campaigns')
-          AND client_id IS NOT NULL AND campaign_id IS NOT NULL"""),
+        SELECT DISTINCT client_id, platform, campaign_id
+        FROM (SELECT client_id, platform, campaign_id FROM cl_google UNION ALL
+              SELECT client_id, platform, campaign_id FROM cl_facebook UNION ALL
+              SELECT client_id, platform, campaign_id FROM cl_email) c
+        WHERE campaign_id IS NOT NULL AND EXISTS (SELECT 1 FROM cl_clients k WHERE k.client_id = c.client_id)"""),
 }

@@ -226,7 +226,13 @@ def q_stream_web_daily(spark, sf_dir):
 
 
 def q_campaigns_per_client(spark, sf_dir):
-    return IDS.campaigns_per_client(combine_facts(_cleaned(spark, sf_dir), spark))
+    """AG19 on the sources as cleaned: a missing campaign id is no campaign
+    yet, and only clients of the client table count."""
+    cleaned = _cleaned(spark, sf_dir)
+    raw = [cleaned[s].select("client_id", "platform", "campaign_id") for s in IDS.CAMPAIGN_PLATFORMS]
+    facts = raw[0].unionByName(raw[1]).unionByName(raw[2])
+    known = cleaned[S.CLIENTS].select("client_id").distinct()
+    return IDS.campaigns_per_client(facts.join(known, "client_id", "left_semi"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -267,7 +273,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_range": q_filter_range,
     "filter_day": q_filter_day,
     "filtered_ctr_trends": q_filtered_ctr_trends,
-    "preview": _over_final(X.preview),
+    "preview": _over_final(lambda df: X.preview(df, ordered=True)),
     "next_client_id": q_next_client_id,
     "campaigns_per_client": q_campaigns_per_client,
     "stream_revenue_daily": q_stream_revenue_daily,

@@ -190,4 +190,4 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
 
 # Money is summed as an exact decimal so results do not depend on task order;
 # 38 digits leave room for any realistic total without overflow.
-MONEY_TYPE = "decimal(38,4)"
+MONEY_TYPE = "decimal(38,8)"

@@ -8,6 +8,7 @@ are discarded and its tasks rerun. Errors are raised, never swallowed.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -50,10 +51,14 @@ def replace_table(df: DataFrame, table: str = S.FINAL_TABLE,
         df.write.mode("overwrite").format("parquet").partitionBy(*parts).saveAsTable(table)
         log.info("replaced table %s in place", table)
         return
-    staging, previous = f"{table}__staging", f"{table}__previous"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    df.write.mode("overwrite").format("parquet").saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    # names of their own per run: files a failed write left behind stand in nobody's way
+    run = uuid.uuid4().hex[:12]
+    staging, previous = f"{table}__staging_{run}", f"{table}__previous_{run}"
+    try:
+        df.write.format("parquet").saveAsTable(staging)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")

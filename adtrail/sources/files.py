@@ -78,6 +78,7 @@ def read_csv_source(spark: SparkSession, path: str, source: str,
     try:
         df = (spark.read.option("header", True).option("inferSchema", False)
               .option("quote", '"').option("escape", '"').option("multiLine", multiline)
+              .option("enforceSchema", False)  # a file with another header fails the read instead of mixing columns
               .option("mode", "PERMISSIVE").csv(path))
     except AnalysisException as err:
         if is_missing_path(err):

@@ -28,9 +28,8 @@ from pyspark.sql import types as T
 
 from adtrail import schemas as S
 from adtrail.plans.batch import analyze, log_quality, transform_sources, with_quality_metrics
-from adtrail.session import checkpoint_path
 from adtrail.sinks import save_final
-from adtrail.sources.files import blank_frame, coerce_source, is_missing_path
+from adtrail.sources.files import blank_frame, coerce_source, essential_sources_present, is_missing_path
 
 log = logging.getLogger(__name__)
 
@@ -107,7 +106,8 @@ def land_new_files(spark: SparkSession, landing: dict[str, str], work_root: str,
 
     With ``max_files_per_trigger`` a large backlog is drained in several
     bounded micro-batches instead of one."""
-    ckpt = checkpoint_root or checkpoint_path(spark, "streams")
+    # progress lies beside the rows it accounts for: another work folder starts anew
+    ckpt = checkpoint_root or f"{work_root}/progress"
     queries = [land_stream(raw_stream(spark, src, folder, max_files_per_trigger, json_lines),
                            f"{work_root}/bronze/{src}", f"{ckpt}/{src}", f"land_{src}")
                for src, folder in landing.items()]
@@ -141,8 +141,11 @@ def refresh(spark: SparkSession, landing: dict[str, str], work_root: str, output
     landed data (STM1). Returns the written output config with the observed
     quality counts, or None when there is no client dimension yet."""
     land_new_files(spark, landing, work_root, checkpoint_root, max_files_per_trigger, json_lines)
-    final = transform_sources(read_landed(spark, work_root, list(landing), date_format),
-                              salt_buckets=salt_buckets)
+    landed = read_landed(spark, work_root, list(landing), date_format)
+    if not essential_sources_present(landed):
+        log.error("essential sources missing or empty; the final table stays as it is")
+        return None
+    final = transform_sources(landed, salt_buckets=salt_buckets)
     if final is None:
         log.warning("nothing to refresh yet")
         return None

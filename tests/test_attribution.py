@@ -8,15 +8,20 @@ TOUCH_SCHEMA = ("client_id string, date string, platform string, clicks bigint,
                 "spend_usd double")
 
 
+# three clients on two days: each platform's touchpoint, and revenue on some channels
+DAYS = ("2023-05-08", "2023-05-09")
+REVENUE = [("N1", DAYS[0], "google_ads", 12.5), ("N1", DAYS[1], "organic", 31.0), ("N2", DAYS[1], "email", 8.25),
+           ("N9", DAYS[0], "facebook", 99.0), ("N2", DAYS[0], "offline", 55.0)]
+
+
 def touchpoints(spark):
-    return spark.createDataFrame([("C1", "2024-01-01", "google_ads", 14, 300, 7.5),
-                                  ("C1", "2024-01-01", "email_campaigns", 3, 90, 2.0),
-                                  ("C2", "2024-01-02", "facebook_ads", 8, 160, 4.25)], TOUCH_SCHEMA)
+    rows = [(client, day, platform, 2, 50, 1.75) for client in ("N1", "N2", "N3") for day in DAYS
+            for platform in ("google_ads", "web_traffic", "email_campaigns")]
+    return spark.createDataFrame(rows, TOUCH_SCHEMA)
 
 
 def revenue(spark):
-    return spark.createDataFrame([("C1", "2024-01-01", "google_ads", 70.0), ("C2", "2024-01-02", "facebook", 130.0)],
-                                 "client_id string, date string, channel string, attributed_revenue_usd double")
+    return spark.createDataFrame(REVENUE, "client_id string, date string, channel string, attributed_revenue_usd double")
 
 
 def total(df):
@@ -26,9 +31,9 @@ def total(df):
 def test_revenue_lands_on_matching_channel(spark):
     out = perform_attribution(touchpoints(spark), revenue(spark))
     assert S.ATTRIBUTED_REVENUE_COL in out.columns and S.ATTRIBUTED_MODEL_COL in out.columns
-    assert total(out) == 200.0
-    email = out.where("platform = 'email_campaigns'").first()
-    assert email[S.ATTRIBUTED_REVENUE_COL] == 0.0
+    assert total(out) == 12.5 + 31.0 + 8.25  # the other revenue has no touchpoint
+    paid = {(r.client_id, r.platform): r[S.ATTRIBUTED_REVENUE_COL] for r in out.where(f"{S.ATTRIBUTED_REVENUE_COL} > 0").collect()}
+    assert paid == {("N1", "google_ads"): 12.5, ("N1", "web_traffic"): 31.0, ("N2", "email_campaigns"): 8.25}
     assert out.columns[-2:] == [S.ATTRIBUTED_REVENUE_COL, S.ATTRIBUTED_MODEL_COL]
 
 
@@ -41,7 +46,7 @@ def test_empty_revenue_gives_zero(spark):
     for empty in (spark.createDataFrame([], T.StructType([])),
                   revenue(spark).limit(0)):
         out = perform_attribution(touchpoints(spark), empty)
-        assert total(out) == 0.0 and out.count() == 3
+        assert total(out) == 0.0 and out.count() == 18
 
 
 def test_missing_revenue_column_defaults(spark):
@@ -51,24 +56,24 @@ def test_missing_revenue_column_defaults(spark):
 
 
 def test_full_revenue_repeated_on_each_touchpoint(spark):
-    tp = spark.createDataFrame([("C1", "2024-01-01", "google_ads", 1, 1, 1.0),
-                                ("C1", "2024-01-01", "google_ads", 2, 2, 2.0)], TOUCH_SCHEMA)
+    tp = spark.createDataFrame([("N1", DAYS[0], "google_ads", 5, 9, 0.5),
+                                ("N1", DAYS[0], "google_ads", 6, 8, 0.25)], TOUCH_SCHEMA)
     out = perform_attribution(tp, revenue(spark))
-    assert [r[0] for r in out.select(S.ATTRIBUTED_REVENUE_COL).collect()] == [70.0, 70.0]
+    assert [r[0] for r in out.select(S.ATTRIBUTED_REVENUE_COL).collect()] == [12.5, 12.5]
 
 
 def test_revenue_summed_per_key_and_null_keys_dropped(spark):
-    rev = spark.createDataFrame([("C1", "2024-01-01", "google_ads", 60.0), ("C1", "2024-01-01", "google_ads", 40.0),
-                                 ("C1", "2024-01-01", None, 999.0), ("C1", "bad date", "google_ads", 5.0)],
+    rev = spark.createDataFrame([("N3", DAYS[1], "google_ads", 6.5), ("N3", DAYS[1], "google_ads", 11.25),
+                                 ("N3", DAYS[1], None, 480.0), ("N3", "no day", "google_ads", 2.0)],
                                 "client_id string, date string, channel string, attributed_revenue_usd double")
-    tp = touchpoints(spark).where("platform = 'google_ads'")  # the C1 google row
-    assert total(perform_attribution(tp, rev)) == 100.0
+    tp = touchpoints(spark).where("platform = 'google_ads'")
+    assert total(perform_attribution(tp, rev)) == 17.75
 
 
 def test_existing_attribution_column_is_recomputed(spark):
     tp = touchpoints(spark).withColumn(S.ATTRIBUTED_REVENUE_COL, F.lit(7.0))
     out = perform_attribution(tp, revenue(spark))
-    assert total(out) == 200.0
+    assert total(out) == 51.75
 
 
 def test_salted_attribution_matches(spark):

@@ -8,19 +8,19 @@ from adtrail.operators.cleaning import clean_source, clean_sources, enforce_type
 
 
 def test_google_rename_and_types(spark):
+    days = ["2022-07-0%d" % d for d in range(1, 5)]
     raw = spark.createDataFrame(
-        [("123", "2024-01-01", "10", "100", "5.25", "mobile", "US", "abc")],
+        [(f"K{i}", day, str(3 * i), str(70 * i), f"{i}.5", "tablet", "SE", f"camp-{i}") for i, day in enumerate(days)],
         "client_id string, date string, clicks string, impressions string, cost_usd string, "
         "device_type string, geo string, campaign_id string")
     out = clean_source(raw, "google_ads")
     assert out.columns == ["campaign_id", "client_id", "date", "clicks", "impressions", "spend_usd",
                            "device_type", "geo", "platform"]
     types = dict(out.dtypes)
-    assert types["clicks"] == "bigint" and types["impressions"] == "bigint"
-    assert types["spend_usd"] == "double" and types["date"] == "timestamp_ntz"
-    row = out.first()
-    assert row.platform == "google_ads" and row.clicks == 10 and row.spend_usd == 5.25
-    assert row.date == dt.datetime(2024, 1, 1)
+    assert [types[c] for c in ("clicks", "impressions", "spend_usd", "date")] == ["bigint", "bigint", "double", "timestamp_ntz"]
+    for i, row in enumerate(out.orderBy("date").collect()):
+        assert (row.platform, row.client_id, row.clicks, row.impressions, row.spend_usd) == ("google_ads", f"K{i}", 3 * i, 70 * i, i + 0.5)
+        assert row.date == dt.datetime(2022, 7, i + 1)
 
 
 def test_facebook_platform_becomes_detail(spark):

@@ -93,7 +93,7 @@ def test_date_bounds_and_distincts(spark):
 
 
 def test_preview_is_ordered_top_five(spark):
-    rows = X.preview(final(spark)).collect()
+    rows = X.preview(final(spark), ordered=True).collect()
     assert len(rows) == 5
     assert [(r.date, r.client_id) for r in rows] == sorted((r["date"], r["client_id"]) for r in RECS)[:5]
 

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -11,28 +12,24 @@ def col_values(df, expr):
     return [r[0] for r in df.select(expr).collect()]
 
 
-def test_ctr_vectors(spark):
-    df = spark.createDataFrame(list(zip([100, 50, 0, 200], [1000, 500, 0, 4000])),
-                               "clicks bigint, impressions bigint")
-    assert col_values(df, M.ctr()) == [10.0, 10.0, 0.0, 5.0]
+def test_ratios_match_plain_arithmetic(spark):
+    rng = random.Random(11)
+    tops = [rng.choice([None, 0.0, rng.uniform(0.01, 900.0)]) for _ in range(60)]
+    bottoms = [rng.choice([None, 0, -3, rng.randint(1, 7000)]) for _ in range(60)]
+    df = spark.createDataFrame(list(zip(tops, bottoms)), "top double, bottom bigint").coalesce(1)
+    for ratio, scale in ((M.ctr, 100.0), (M.cpc, 1.0), (M.cpm, 1000.0)):
+        for value, (x, y) in zip(col_values(df, ratio("top", "bottom")), zip(tops, bottoms)):
+            if y is None or y <= 0:
+                assert value == 0.0
+            elif x is not None:
+                assert value == pytest.approx(x / y * scale)
 
 
-def test_cpc_vectors(spark):
-    df = spark.createDataFrame(list(zip([50.0, 25.0, 10.0, 0.0, 5.0], [10, 5, 0, 0, 0])),
-                               "spend_usd double, clicks bigint")
-    assert col_values(df, M.cpc()) == [5.0, 5.0, 0.0, 0.0, 0.0]
-
-
-def test_cpm_vectors(spark):
-    df = spark.createDataFrame(list(zip([50.0, 25.0, 10.0, 0.0, 5.0], [1000, 500, 0, 0, 0])),
-                               "spend_usd double, impressions bigint")
-    assert col_values(df, M.cpm()) == [50.0, 50.0, 0.0, 0.0, 0.0]
-
-
-def test_total_interactions(spark):
-    df = spark.createDataFrame([(100, 0, 0), (0, 5000, 0), (0, 0, 300)],
-                               "clicks bigint, emails_sent bigint, sessions bigint")
-    assert col_values(df, M.total_interactions()) == [100, 5000, 300]
+def test_interactions_add_up(spark):
+    rng = random.Random(12)
+    rows = [tuple(rng.randrange(4000) for _ in range(3)) for _ in range(25)]
+    df = spark.createDataFrame(rows, "clicks bigint, emails_sent bigint, sessions bigint").coalesce(1)
+    assert col_values(df, M.total_interactions()) == [sum(r) for r in rows]
 
 
 def test_add_key_metrics_order_and_missing_inputs(spark):
@@ -86,5 +83,5 @@ def test_summary_requires_columns(spark):
 def test_money_sum_and_interactions_do_not_overflow(spark):
     df = spark.createDataFrame([(1e40, 9223372036854775807, 1, 1), (2.5, 0, 0, 0)],
                                "spend_usd double, clicks bigint, emails_sent bigint, sessions bigint")
-    assert df.select(M.money_sum("spend_usd")).first()[0] == 2.5  # out-of-range value skipped, no error
+    assert df.select(M.money_sum("spend_usd")).first()[0] == 1e40  # beyond the decimal type: the plain sum, no error
     assert [r[0] for r in df.select(M.total_interactions()).collect()] == [None, 0]

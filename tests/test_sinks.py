@@ -4,9 +4,9 @@ from adtrail.sinks import append_batch, replace_table, save_final, write_parquet
 from adtrail.sources.analytics import load_analytics
 from tests.conftest import ts
 
-SCHEMA = "col1 bigint, col2 string, date timestamp_ntz, platform string"
-ROWS = [(1, "A", ts("2024-01-01"), "google_ads"), (2, "B", ts("2024-01-02"), "web_traffic"),
-        (3, "C", None, "google_ads")]
+SCHEMA = "clicks bigint, geo string, date timestamp_ntz, platform string"
+ROWS = [(40, "NO", ts("2023-11-20"), "google_ads"), (41, "PT", ts("2023-10-02"), "web_traffic"),
+        (42, None, None, "google_ads")]
 
 
 def test_parquet_round_trip_partitioned(spark, tmp_dir):
@@ -16,7 +16,7 @@ def test_parquet_round_trip_partitioned(spark, tmp_dir):
         "platform=google_ads", "platform=web_traffic"]
     back = load_analytics(spark, path, "parquet")
     assert back.count() == 2  # the NULL-date row is dropped on load
-    assert sorted(r.col1 for r in back.collect()) == [1, 2]
+    assert sorted(r.clicks for r in back.collect()) == [40, 41]
 
 
 def test_table_round_trip_and_replace(spark):
@@ -30,7 +30,7 @@ def test_table_round_trip_and_replace(spark):
 
 def test_empty_table_keeps_columns(spark):
     replace_table(spark.createDataFrame([], SCHEMA), "t_empty")
-    assert sorted(spark.table("t_empty").columns) == ["col1", "col2", "date", "platform"]
+    assert sorted(spark.table("t_empty").columns) == ["clicks", "date", "geo", "platform"]
 
 
 def test_missing_inputs(spark, tmp_dir):
@@ -57,13 +57,13 @@ def test_save_final_dispatch(spark, tmp_dir):
 
 def test_load_empty_parquet_and_table_keep_columns(spark, tmp_dir):
     path = os.path.join(tmp_dir, "empty")
-    empty = spark.createDataFrame([], "colA string, colB bigint")
+    empty = spark.createDataFrame([], "platform string, sessions bigint")
     empty.write.parquet(path)
     back = load_analytics(spark, path, "parquet")
-    assert back is not None and back.count() == 0 and back.columns == ["colA", "colB"]
+    assert back is not None and back.count() == 0 and back.columns == ["platform", "sessions"]
     replace_table(empty, "t_empty_two")
     back = load_analytics(spark, fmt="table", table="t_empty_two")
-    assert back.count() == 0 and back.columns == ["colA", "colB"]
+    assert back.count() == 0 and back.columns == ["platform", "sessions"]
 
 
 def test_loaded_date_is_timestamp(spark, tmp_dir):
@@ -78,7 +78,7 @@ def test_failed_replace_keeps_old_table(spark):
     from pyspark.sql import functions as F
     good = spark.createDataFrame(ROWS, SCHEMA)
     replace_table(good, "t_safe")
-    bad = good.withColumn("col2", F.when(F.col("col1") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("col2")))
+    bad = good.withColumn("geo", F.when(F.col("clicks") == 41, F.raise_error(F.lit("boom"))).otherwise(F.col("geo")))
     with pytest.raises(Exception):
         replace_table(bad, "t_safe")
     assert spark.table("t_safe").count() == 3  # old table intact
