@@ -38,7 +38,7 @@ def cut_pieces(batches, path: str, max_tokens: int) -> Iterator[pa.RecordBatch]:
     end = np.array([END_ID], "<u4").tobytes()
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for a, b in C.slices([len(t) for t in texts]):
+        for a, b in C.slices([len(t) for t in texts], 4 * C.SLICE_BYTES):
             rows = []
             for doc, data in zip(ids[a:b], enc.encode(texts[a:b])):
                 view = memoryview(data + end)

@@ -16,7 +16,7 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(_
 
 # Python tasks cut their input into slices of about this many bytes of text,
 # so a worker's memory does not depend on the row count of an Arrow batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 # Tables of a few numbers or a word a row are broadcast up to this many rows (a
 # few dozen MB at most); larger ones are joined by shuffle.

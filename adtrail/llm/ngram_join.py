@@ -43,6 +43,8 @@ ROUNDS = 3            # further such rounds against large components
 LARGE = 32            # members of a component in one shingle
 BLOCK_PAIRS = 256     # partners compared with one copy of a pivot's text
 SLICE_REPEATS = 2     # a shingle counts as repeated in a slice from so many texts on
+REPEAT_BYTES = 8 << 20  # text of such a slice; its shingles are one number a word
+SEEN_SETS = 100_000   # set hashes a task remembers so as to send equal sets' prefix once
 
 PREFIXES = "doc_id long, n long, h1 long, h2 long, grp long, rare array<long>, common array<long>"
 
@@ -50,9 +52,10 @@ PREFIXES = "doc_id long, n long, h1 long, h2 long, grp long, rare array<long>, c
 def repeated_shingles(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).to_pylist()
-        for a, b in C.slices([len(t) for t in texts], 2 * C.SLICE_BYTES):
-            _, codes, _ = S.shingle_sets(list(dict.fromkeys(texts[a:b])))  # a copy adds nothing
-            values, counts = np.unique(codes, return_counts=True)
+        for a, b in C.slices([len(t) for t in texts], REPEAT_BYTES):
+            once = list(dict.fromkeys(texts[a:b]))  # a copy adds nothing
+            codes = [S.shingle_sets(once[i:j])[1] for i, j in C.slices([len(t) for t in once])]
+            values, counts = np.unique(np.concatenate(codes), return_counts=True)
             often = counts >= SLICE_REPEATS
             yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["shingle", "n"])
 
@@ -62,8 +65,9 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def prefixes(batches, frequent: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
-    """Sizes, set hashes and prefixes. Of equal sets in one slice only the
-    first carries its prefix."""
+    """Sizes, set hashes and prefixes. Of equal sets a task remembers, only
+    the first carries its prefix."""
+    seen: set[int] = set()
     for batch in batches:
         docs, all_texts = batch.column(0), batch.column(1).to_pylist()
         for a, b in C.slices([len(t) for t in all_texts]):
@@ -80,6 +84,13 @@ def prefixes(batches, frequent: np.ndarray, percent: int) -> Iterator[pa.RecordB
             carries = np.zeros(b - a, bool)
             carries[first] = True
             carries &= n > 0
+            if len(seen) > SEEN_SETS:
+                seen.clear()
+            for i in np.flatnonzero(carries).tolist():
+                name = int(h1[i]) << 64 | int(h2[i])
+                if name in seen:
+                    carries[i] = False
+                seen.add(name)
             inside = place < prefix_length(n, percent)[text]
             grp = S.mix(total(np.where(inside, S.mix(code ^ np.uint64(0x2545F4914F6CDD1D)), np.uint64(0))) + n.astype(np.uint64))
             late = np.isin(code, frequent)

@@ -123,7 +123,7 @@ def _chunks(data: list[bytes], length: int) -> Iterator[list[tuple[int, int, byt
 def find_runs(batches, length: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-        for a, b in C.slices([len(t) for t in texts]):
+        for a, b in C.slices([len(t) for t in texts], 2 * SLICE_BYTES):
             for part in _chunks([t.encode() for t in texts[a:b]], length):
                 buf = np.frombuffer(b"".join(p for _, _, p in part), np.uint8)
                 ends = np.cumsum([len(p) for _, _, p in part])
