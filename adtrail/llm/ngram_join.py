@@ -17,6 +17,10 @@ compared: all classes outside the shingle's largest component with the rest.
 Pairs inside a component need no check, so no link that could change a
 component is lost.
 
+Each set has a bitmap in which every shingle flips one bit. The bitmaps of two
+sets differ in at most as many bits as the sets differ in shingles, which gives
+an upper bound of their overlap: pairs beyond it go before texts are compared.
+
 Defined cases: null, empty and blank texts have no shingles and are linked
 with nothing; rows with the same id share their component; a null id never is
 a component's id, and its row has one if another row has the same shingles;
@@ -46,7 +50,12 @@ SLICE_REPEATS = 2     # a shingle counts as repeated in a slice from so many tex
 REPEAT_BYTES = 8 << 20  # text of such a slice; its shingles are one number a word
 SEEN_SETS = 100_000   # set hashes a task remembers so as to send equal sets' prefix once
 
-PREFIXES = "doc_id long, n long, h1 long, h2 long, grp long, rare array<long>, common array<long>"
+WORDS = 8             # 64-bit words of a set's bitmap
+FOLDED = 4            # words of the folded bitmap that rows of step 2 carry
+
+BITMAP = [f"s{i}" for i in range(WORDS)]
+PREFIXES = ("doc_id long, n long, h1 long, h2 long, grp long, rare array<long>, common array<long>, "
+            + ", ".join(f"{c} long" for c in BITMAP))
 
 
 def repeated_shingles(batches) -> Iterator[pa.RecordBatch]:
@@ -94,14 +103,17 @@ def prefixes(batches, frequent: np.ndarray, percent: int) -> Iterator[pa.RecordB
             inside = place < prefix_length(n, percent)[text]
             grp = S.mix(total(np.where(inside, S.mix(code ^ np.uint64(0x2545F4914F6CDD1D)), np.uint64(0))) + n.astype(np.uint64))
             late = np.isin(code, frequent)
+            bits = np.bincount(text * (64 * WORDS) + (code % np.uint64(64 * WORDS)).astype(np.int64), minlength=(b - a) * 64 * WORDS)
+            bitmap = np.packbits((bits & 1).astype(bool).reshape(b - a, -1), axis=1).view(np.int64)
             lists = []
             for chosen in (inside & ~late & carries[text], inside & late & carries[text]):
                 sizes = np.bincount(text[chosen], minlength=b - a)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(code[chosen].view(np.int64))))
             yield pa.RecordBatch.from_arrays(
-                [docs[a:b], pa.array(n), *(pa.array(x.view(np.int64)) for x in (h1, h2, grp)), *lists],
-                ["doc_id", "n", "h1", "h2", "grp", "rare", "common"])
+                [docs[a:b], pa.array(n), *(pa.array(x.view(np.int64)) for x in (h1, h2, grp)), *lists,
+                 *(pa.array(bitmap[:, i], mask=~carries) for i in range(WORDS))],
+                ["doc_id", "n", "h1", "h2", "grp", "rare", "common", *BITMAP])
 
 
 def verify_blocks(batches, percent: int) -> Iterator[pa.RecordBatch]:
@@ -141,10 +153,30 @@ def _overlap_possible(x: str, y: str, percent: int):
     return most * (100 + percent) >= percent * (F.col(x) + F.col(y))
 
 
-def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _place_fits(x, y, i, j, percent: int):
+    """Two sets that share the shingle at places i and j have at most
+    min(i, j) shingles in common before it."""
+    return (F.least(i, j) + F.least(x - i, y - j)) * (100 + percent) >= percent * (x + y)
+
+
+def _bitmaps_fit(x, y, first: list[str], second: list[str], percent: int):
+    """With d different bits the overlap is at most (x + y - d) / 2."""
+    differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(q))) for p, q in zip(first, second)), F.lit(0))
+    return (x + y - differ) * (100 + percent) >= 2 * percent * (x + y)
+
+
+def _links(pairs: DataFrame, members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b: class ids) that reach the Jaccard threshold, verified on
     the texts of the classes in question."""
-    pairs = C.materialize(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def side(name: str) -> DataFrame:
+        return members.select(F.col("cls").alias(name), F.col("n").alias(f"n{name}"), *[F.col(c).alias(f"{name}_{c}") for c in BITMAP])
+
+    # rows that share an id may give a class id more than one set
+    fit = _bitmaps_fit(F.col("na"), F.col("nb"), [f"a_{c}" for c in BITMAP], [f"b_{c}" for c in BITMAP], percent)
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(fit & _sizes_fit(F.col("na"), F.col("nb"), percent))
+    pairs = C.materialize(pairs.select("a", "b").distinct(), "pairs")
     # blocks of a pivot and some partners: a text is sent once a block, and no block grows with the data
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_PAIRS).alias("blocks"))
     blocks = pairs.join(sizes, "a").select("a", "b", F.expr("int(pmod(xxhash64(b), blocks))").alias("block"))
@@ -170,7 +202,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     frequent = np.sort(often["shingle"].to_numpy(np.int64).view(np.uint64))
 
     rows = C.materialize(C.map_batches(texts, prefixes, PREFIXES, frequent=frequent, percent=percent), "prefixes")
-    members = C.materialize(rows.where("n > 0").groupBy("n", "h1", "h2", "grp").agg(F.min("doc_id").alias("cls")), "classes")
+    members = C.materialize(rows.where("n > 0").groupBy("n", "h1", "h2", "grp").agg(
+        F.min("doc_id").alias("cls"), *[F.min(c).alias(c) for c in BITMAP]), "classes")
     groups = members.groupBy("grp", "n").agg(F.min("cls").alias("pivot"))
     # the rows of one group carry the same prefix; a group met in several slices counts as often, which only costs rows
     prefix = rows.where("size(rare) + size(common) > 0")
@@ -186,7 +219,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     firsts = common.groupBy("shingle").agg(F.count(F.lit(1)).alias("met"), F.min(place).alias("first")).where("met > 1").drop("met")
     met = C.materialize(rare.unionByName(common.join(firsts, "shingle")), "met")
 
-    to_pivot = (met.where((F.col("grp") != F.col("first.grp")) & _sizes_fit(F.col("n"), F.col("first.n"), percent))
+    to_pivot = (met.where((F.col("grp") != F.col("first.grp")) & _sizes_fit(F.col("n"), F.col("first.n"), percent)
+                          & _place_fits(F.col("n"), F.col("first.n"), F.col("pos"), F.col("first.pos"), percent))
                 .groupBy("grp", "n", F.col("first.grp").alias("grp2"), F.col("first.n").alias("n2"))
                 .agg(F.count(F.lit(1)).alias("k"))
                 # of a group's pivots those that share most; the rest is left to step 2
@@ -195,19 +229,22 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     pivot2 = groups.select(F.col("grp").alias("grp2"), F.col("n").alias("n2"), F.col("pivot").alias("b"))
     pairs = (members.join(groups, ["grp", "n"]).select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
              .unionByName(to_pivot.join(groups, ["grp", "n"]).join(pivot2, ["grp2", "n2"]).select(F.col("pivot").alias("a"), "b")))
-    links = C.materialize(_links(pairs, texts, percent), "links")
+    links = C.materialize(_links(pairs, members, texts, percent), "links")
     found = connected_components(links)
 
+    short = [f"f{i}" for i in range(FOLDED)]
+    folded = [F.col(BITMAP[i]).bitwiseXOR(F.col(BITMAP[i + FOLDED])).alias(c) for i, c in enumerate(short)]
+
     def open_places(found: DataFrame) -> DataFrame:
         """Per shingle (and per group), the classes where these are of
         different components, with the largest component there."""
         known = members.join(found, members["cls"] == found["node"], "left").select(
-            "grp", "n", "cls", F.coalesce("component", "cls").alias("component"))
+            "grp", "n", "cls", F.coalesce("component", "cls").alias("component"), *folded)
         known = C.materialize(known, "known")
         inside = known.groupBy("grp", "n").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
         shared = (met.select("shingle", "grp", "n", "pos").distinct()
                   .unionByName(inside.select(F.col("grp").alias("shingle"), "grp", "n", F.lit(-1).alias("pos")))
-                  .join(known, ["grp", "n"]).select("shingle", "cls", "n", "component", "pos"))
+                  .join(known, ["grp", "n"]).select("shingle", "cls", "n", "component", "pos", *short))
         sizes = shared.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("m"))
         largest = sizes.groupBy("shingle").agg(F.max(F.struct("m", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
         return C.materialize(shared.join(largest.select("shingle", F.col("top.component").alias("main"), F.col("top.m").alias("main_size")),
@@ -223,26 +260,30 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
                   .groupBy(F.col("cls").alias("a"), F.col("p.cls").alias("b")).agg(F.count(F.lit(1)).alias("k"))
                   .withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("k"), "b")))
                   .where(F.col("rank") <= GROUP_PIVOTS).select("a", "b"))
-        new = C.materialize(_links(beside, texts, percent), "links")
+        new = C.materialize(_links(beside, members, texts, percent), "links")
         if new.isEmpty():
             break
         links = links.unionByName(new)
         open_rows = open_places(connected_components(links))
 
     # 2. classes of different components
-    outside = open_rows.where("component <> main").select("shingle", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("pos").alias("pa"))
-    others = open_rows.select("shingle", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("pos").alias("pb"), "main")
+    outside = open_rows.where("component <> main").select("shingle", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("pos").alias("pa"),
+                                                           *[F.col(c).alias(f"a_{c}") for c in short])
+    others = open_rows.select("shingle", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("pos").alias("pb"), "main",
+                              *[F.col(c).alias(f"b_{c}") for c in short])
     # two rows outside the largest component meet once, not twice
     rest = (outside.join(others, "shingle")
             .where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-                   & _sizes_fit(F.col("na"), F.col("nb"), percent))
+                   & _sizes_fit(F.col("na"), F.col("nb"), percent)
+                   & ((F.col("pa") < 0) | _place_fits(F.col("na"), F.col("nb"), F.col("pa"), F.col("pb"), percent))
+                   & _bitmaps_fit(F.col("na"), F.col("nb"), [f"a_{c}" for c in short], [f"b_{c}" for c in short], percent))
             # the same pair may come either way round from two shingles
             .select(*[F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in
                       (("a", "b"), ("b", "a"), ("na", "nb"), ("nb", "na"), ("pa", "pb"), ("pb", "pa"))])
             .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k"), F.max("pa").alias("i"), F.max("pb").alias("j"),
                                                F.min("pa").alias("least"))
             .where((F.col("least") < 0) | _overlap_possible("na", "nb", percent)).select("a", "b"))
-    more = C.materialize(_links(rest, texts, percent), "links")
+    more = C.materialize(_links(rest, members, texts, percent), "links")
     final = connected_components(links.unionByName(more))
 
     labelled = members.join(final, members["cls"] == final["node"], "left").select(
