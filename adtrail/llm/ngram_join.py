@@ -102,7 +102,7 @@ def prefixes(batches, frequent: np.ndarray, percent: int) -> Iterator[pa.RecordB
                 seen.add(name)
             inside = place < prefix_length(n, percent)[text]
             grp = S.mix(total(np.where(inside, S.mix(code ^ np.uint64(0x2545F4914F6CDD1D)), np.uint64(0))) + n.astype(np.uint64))
-            late = np.isin(code, frequent)
+            late = S.listed(code, frequent)
             bits = np.bincount(text * (64 * WORDS) + (code % np.uint64(64 * WORDS)).astype(np.int64), minlength=(b - a) * 64 * WORDS)
             bitmap = np.packbits((bits & 1).astype(bool).reshape(b - a, -1), axis=1).view(np.int64)
             lists = []

@@ -66,15 +66,20 @@ def shingle_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out_text), np.concatenate(out)
 
 
+def listed(code: np.ndarray, last: np.ndarray | None) -> np.ndarray:
+    """Which shingles are in the sorted list. The list may be far longer than
+    the shingles of one slice, so it is searched and not sorted again."""
+    if last is None or not len(last):
+        return np.zeros(len(code), bool)
+    return last[np.minimum(np.searchsorted(last, code), len(last) - 1)] == code
+
+
 def shingle_sets(texts: list[str], last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, shingle, place) of the distinct shingles, by text and
     shingle hash; the shingles listed in ``last`` (sorted) come after all
     others of a text. ``place`` counts from 0 in each text."""
     text, code = shingle_rows(texts)
-    late = np.zeros(len(code), bool)
-    if last is not None and len(last) and len(code):
-        at = np.minimum(np.searchsorted(last, code), len(last) - 1)
-        late = last[at] == code
+    late = listed(code, last)
     order = np.lexsort((code, late, text))
     text, code = text[order], code[order]
     if len(code):
