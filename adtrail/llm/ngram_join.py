@@ -177,6 +177,8 @@ def _links(pairs: DataFrame, members: DataFrame, texts: DataFrame, percent: int)
     fit = _bitmaps_fit(F.col("na"), F.col("nb"), [f"a_{c}" for c in BITMAP], [f"b_{c}" for c in BITMAP], percent)
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(fit & _sizes_fit(F.col("na"), F.col("nb"), percent))
     pairs = C.materialize(pairs.select("a", "b").distinct(), "pairs")
+    if pairs.isEmpty():
+        return pairs
     # blocks of a pivot and some partners: a text is sent once a block, and no block grows with the data
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_PAIRS).alias("blocks"))
     blocks = pairs.join(sizes, "a").select("a", "b", F.expr("int(pmod(xxhash64(b), blocks))").alias("block"))
@@ -232,6 +234,11 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     links = C.materialize(_links(pairs, members, texts, percent), "links")
     found = connected_components(links)
 
+    def joined(found: DataFrame, new: DataFrame) -> DataFrame:
+        """Components after new links: the known ones come as stars."""
+        stars = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return connected_components(stars.unionByName(new))
+
     short = [f"f{i}" for i in range(FOLDED)]
     folded = [F.col(BITMAP[i]).bitwiseXOR(F.col(BITMAP[i + FOLDED])).alias(c) for i, c in enumerate(short)]
 
@@ -263,8 +270,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
         new = C.materialize(_links(beside, members, texts, percent), "links")
         if new.isEmpty():
             break
-        links = links.unionByName(new)
-        open_rows = open_places(connected_components(links))
+        found = joined(found, new)
+        open_rows = open_places(found)
 
     # 2. classes of different components
     outside = open_rows.where("component <> main").select("shingle", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("pos").alias("pa"),
@@ -284,7 +291,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
                                                F.min("pa").alias("least"))
             .where((F.col("least") < 0) | _overlap_possible("na", "nb", percent)).select("a", "b"))
     more = C.materialize(_links(rest, members, texts, percent), "links")
-    final = connected_components(links.unionByName(more))
+    final = joined(found, more)
 
     labelled = members.join(final, members["cls"] == final["node"], "left").select(
         "n", "h1", "h2", F.coalesce("component", "cls").alias("component_id"))
