@@ -18,6 +18,10 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(_
 # so a worker's memory does not depend on the row count of an Arrow batch.
 SLICE_BYTES = 1 << 20
 
+# Bytes of an Arrow batch sent to a Python worker, unless the session says otherwise: Spark's own
+# 64 MB, held on both sides and twice while it grows, is much of a small executor's memory.
+BATCH_BYTES = "8m"
+
 # Tables of a few numbers or a word a row are broadcast up to this many rows (a
 # few dozen MB at most); larger ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
@@ -40,6 +44,8 @@ def map_batches(df: DataFrame, func: Callable, schema: str, **params) -> DataFra
     """``mapInArrow`` with keyword parameters bound to a module-level function
     ``func(batches, **params)``."""
     ship(df.sparkSession)
+    if df.sparkSession.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(partial(func, **params), schema)
 
 
