@@ -6,20 +6,12 @@ revenue channel receives that client's *full* revenue for the day and
 channel; nothing is split between touchpoints. The model column is a
 constant 0.0 placeholder.
 
-Two equivalent forms:
-
-* ``perform_attribution`` / ``merge_revenue`` work on any touchpoint frame,
-  mapping each row's platform to its channel;
-* ``attach_branch_revenue`` works on one source branch before the union
-  (its platform is a constant), which is what the batch uses: branches
-  without a channel skip the join entirely, and each other branch joins
-  only its own channel's revenue.
-
-Either way revenue is aggregated per key *before* the join, so the join
-cannot multiply rows and its build side is bounded by the number of
+Revenue is aggregated once per (client, day, channel) *before* the join, so
+the join cannot multiply rows and its build side is bounded by the number of
 distinct keys, not by raw revenue rows. The aggregate is partial-then-final
 (map-side combine), so a hot client is pre-summed in every task before the
-shuffle.
+shuffle. The batch sends only touchpoints of platforms that have a channel
+through the join (see ``plans.batch.build_final``).
 """
 
 from __future__ import annotations
@@ -78,7 +70,10 @@ def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame, salt_buckets
     -> 0.0 (JN4). A pre-existing attributed column is recomputed (D11).
 
     Touchpoints whose platform has no channel (e.g. the revenue rows
-    themselves) carry a NULL key and match nothing. ``salt_buckets > 1``
+    themselves) match nothing, nor do those without a client or a date.
+    These get a key of their own instead of a channel, so that they do not
+    all meet in one partition; as only mapped channels' revenue is read, no
+    such key can match. ``salt_buckets > 1``
     salts the join explicitly for a hot (client, day, channel); by default
     AQE's skew-join splitting handles it.
     """
@@ -92,8 +87,12 @@ def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame, salt_buckets
             proj.append(to_timestamp_ntz(c, types[c]).alias(c))
         else:
             proj.append(F.col(f"`{c}`"))
-    t = touchpoints.select(*proj, channel_for_platform("platform").alias("channel_for_merge"))
-    r = daily_revenue.select(
+    t = touchpoints.select(*proj)
+    channel = channel_for_platform("platform")
+    unmatched = F.col("client_id").isNull() | F.col("date").isNull() | channel.isNull()
+    spread = F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in t.columns]))
+    t = t.withColumn("channel_for_merge", F.when(unmatched, spread).otherwise(channel))
+    r = daily_revenue.where(F.col("channel").isin(sorted(set(S.PLATFORM_TO_CHANNEL.values())))).select(
         F.col("client_id").alias("_rev_client_id"), F.col("date").alias("_rev_date"),
         F.col("channel").alias("_rev_channel"), F.col(S.ATTRIBUTED_REVENUE_COL))
     def cond(a: DataFrame, b: DataFrame) -> list:
@@ -111,43 +110,6 @@ def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame, salt_buckets
     return joined.select(*out)
 
 
-def attach_branch_revenue(branch: DataFrame, platform: str, revenue: DataFrame | None,
-                          salt_buckets: int = 0) -> DataFrame:
-    """Revenue for one source branch whose rows all carry ``platform``;
-    ``revenue`` is the prepared revenue source (``prepare_revenue``).
-
-    A platform without a channel (e.g. the revenue rows themselves) can
-    never match, so it gets 0.0 with no join and no shuffle. Otherwise the
-    branch's own channel is summed per (client_id, date) -- filter pushed
-    into the revenue scan, partial aggregation before the shuffle -- and
-    LEFT JOINed on (client_id, date). The revenue side is unique on the join
-    keys, so a query that never reads the revenue column drops the join.
-    Same rows as ``merge_revenue`` applied after the union.
-    """
-    channel = S.PLATFORM_TO_CHANNEL.get(platform)
-    keep = [F.col(f"`{c}`") for c in branch.columns if c != S.ATTRIBUTED_REVENUE_COL]
-    if revenue is None or channel is None:
-        return branch.select(*keep, F.lit(0.0).alias(S.ATTRIBUTED_REVENUE_COL))
-    daily = (revenue.where((F.col("channel") == F.lit(channel)) & F.col("client_id").isNotNull()
-                           & F.col("date").isNotNull())
-             .groupBy("client_id", "date")
-             .agg(money_sum("attributed_revenue_usd").alias(S.ATTRIBUTED_REVENUE_COL)))
-    r = daily.select(F.col("client_id").alias("_rev_client_id"), F.col("date").alias("_rev_date"),
-                     F.col(S.ATTRIBUTED_REVENUE_COL))
-
-    def cond(a: DataFrame, b: DataFrame) -> list:
-        return [a["client_id"] == b["_rev_client_id"], a["date"] == b["_rev_date"]]
-
-    if salt_buckets > 1:
-        joined = salted_left_join(branch.select(*keep), r, cond, salt_buckets)
-    else:
-        t = branch.select(*keep)
-        joined = t.join(r, on=cond(t, r), how="left")
-    out = [F.col(f"`{c}`") for c in branch.columns if c != S.ATTRIBUTED_REVENUE_COL]
-    return joined.select(*out, F.coalesce(F.col(S.ATTRIBUTED_REVENUE_COL), F.lit(0.0))
-                         .alias(S.ATTRIBUTED_REVENUE_COL))
-
-
 def prepared_revenue_or_none(revenue: DataFrame | None) -> DataFrame | None:
     """The cleaned revenue source with typed keys and amounts; None when it
     is missing, an empty-file marker, or lacks its amount column

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adtrail import schemas as S
-from adtrail.operators.attribution import attach_branch_revenue, prepared_revenue_or_none
+from adtrail.operators.attribution import aggregate_revenue, merge_revenue, prepared_revenue_or_none
 from adtrail.operators.cleaning import clean_sources
 from adtrail.operators.facts import fact_branches, union_branches
 from adtrail.operators.joins import CLIENT_BROADCAST_MAX_ROWS, count_dimension, join_with_clients
@@ -45,11 +45,10 @@ def build_final(cleaned: dict[str, DataFrame],
     Same rows as clean -> join clients -> metrics -> attribution, planned
     for the least shuffling:
 
-    * revenue is attached per source branch, before the union and before
-      the client attributes and metrics exist: only branches whose platform
-      has a revenue channel join at all (the revenue rows themselves never
-      match, so they are not shuffled), each joins only its own channel's
-      daily revenue, and the shuffled rows carry the 18 fact columns only;
+    * revenue is aggregated once and joined once, before the client
+      attributes and metrics exist, so the shuffled rows carry the 18 fact
+      columns only; branches whose platform has no revenue channel (the
+      revenue rows themselves) can never match and pass it by;
     * the client attributes (a broadcast when the dimension is small) and
       the per-row metrics are added after that.
 
@@ -62,10 +61,15 @@ def build_final(cleaned: dict[str, DataFrame],
     if dim_rows is None:
         return None
     revenue = prepared_revenue_or_none(cleaned.get(S.REVENUE))
-    branches = [attach_branch_revenue(df, platform, revenue, salt_buckets)
-                for platform, df in fact_branches(cleaned).items()]
     schema = T.StructType(S.FACT_SCHEMA.fields + [T.StructField(S.ATTRIBUTED_REVENUE_COL, T.DoubleType())])
-    facts = union_branches(branches, clients.sparkSession, schema)
+    branches = fact_branches(cleaned)
+    mapped = [] if revenue is None else [df for p, df in branches.items() if p in S.PLATFORM_TO_CHANNEL]
+    passing = [df.withColumn(S.ATTRIBUTED_REVENUE_COL, F.lit(0.0)) for p, df in branches.items()
+               if revenue is None or p not in S.PLATFORM_TO_CHANNEL]
+    if mapped:
+        merged = merge_revenue(union_branches(mapped), aggregate_revenue(revenue), salt_buckets)
+        passing.insert(0, merged.select(*schema.names))
+    facts = union_branches(passing, clients.sparkSession, schema)
     joined = join_with_clients(facts, clients, broadcast_max_rows, dim_rows, salt_buckets)
     metrics = add_key_metrics(joined)
     return metrics.select(*S.METRICS_COLUMNS, S.ATTRIBUTED_REVENUE_COL,

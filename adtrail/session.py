@@ -45,18 +45,18 @@ def build_session(master: str | None = None, app_name: str = "adtrail",
     and let the launcher decide.
     """
     builder = SparkSession.builder.appName(app_name)
-    settings = dict(SCALE_DEFAULTS)
+    defaults = dict(SCALE_DEFAULTS)
     if master is not None:
         builder = builder.master(master)
         if master.startswith("local"):
-            settings.update(LOCAL_DEFAULTS)
-    settings.update(conf or {})
-    for k, v in settings.items():
+            defaults.update(LOCAL_DEFAULTS)
+    given = conf or {}
+    # the caller's settings, and those that only count when the JVM starts
+    for k, v in {**{k: v for k, v in defaults.items() if not k.startswith("spark.sql.")}, **given}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    # getOrCreate may hand back a running session; fill only unset keys.
-    for k, v in settings.items():
-        if k.startswith("spark.sql.") and spark.conf.get(k, None) is None:
+    for k, v in defaults.items():
+        if k.startswith("spark.sql.") and k not in given and spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
     return spark
 

@@ -21,10 +21,13 @@ log = logging.getLogger(__name__)
 def _layout(df: DataFrame, partition_by: Sequence[str], sort_within: Sequence[str]):
     cols = set(df.columns)
     parts = [c for c in partition_by if c in cols]
-    order = [c for c in sort_within if c in cols]
+    order = [c for c in sort_within if c in cols and c not in parts]
     if order:
         # No shuffle: each task sorts its own rows so parquet row groups get
         # tight min/max ranges on these columns (date filters skip groups).
+        # Folder columns come first: the writer sorts by them, and would
+        # otherwise undo the order within a folder.
+        order = parts + order
         df = df.sortWithinPartitions(*order)
     return df, parts
 

@@ -3,6 +3,7 @@ from pyspark.sql import types as T
 
 from adtrail import schemas as S
 from adtrail.operators.attribution import perform_attribution
+from tests.conftest import ts
 
 TOUCH_SCHEMA = ("client_id string, date string, platform string, clicks bigint, impressions bigint, "
                 "spend_usd double")
@@ -81,3 +82,15 @@ def test_salted_attribution_matches(spark):
     salted = perform_attribution(touchpoints(spark), revenue(spark), salt_buckets=4)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
     assert salted.columns == plain.columns
+
+
+def test_rows_without_key_get_nothing_and_are_spread(spark):
+    tp = spark.createDataFrame([(None, ts("2024-03-01"), "google_ads", n) for n in range(50)]
+                               + [("K9", None, "google_ads", 50), ("K9", ts("2024-03-01"), "google_ads", 51)],
+                               "client_id string, date timestamp_ntz, platform string, n int")
+    rev = spark.createDataFrame([("K9", ts("2024-03-01"), "google", 4.5), (None, ts("2024-03-01"), "google", 9.0)],
+                                "client_id string, date timestamp_ntz, channel string, attributed_revenue_usd double")
+    channel = S.PLATFORM_TO_CHANNEL["google_ads"]
+    out = perform_attribution(tp, rev.withColumn("channel", F.lit(channel)))
+    paid = {r["n"]: r[S.ATTRIBUTED_REVENUE_COL] for r in out.collect()}
+    assert paid == {**dict.fromkeys(range(51), 0.0), 51: 4.5}

@@ -4,6 +4,7 @@ cannot silently lose them."""
 import os
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
 from adtrail.operators import explore as X
@@ -30,11 +31,21 @@ def test_unused_revenue_join_and_branches_are_dropped(spark):
     assert flags == {"N", "R"}  # only the two ad-platform branches are scanned
 
 
-def test_revenue_joins_once_per_channel_branch(spark):
+def test_revenue_is_aggregated_and_joined_once(spark):
     plan = optimized(QUERIES["attribution"](spark, SF))
     joins = [ln for ln in plan.splitlines() if "Join LeftOuter" in ln and "_rev_client_id" in ln]
-    assert len(joins) == 4  # google, facebook, email, web; the revenue rows never join
-    assert plan.count("Aggregate [") >= 4  # each branch's revenue is pre-aggregated
+    assert len(joins) == 1  # the four mapped branches together; the revenue rows never join
+    assert plan.count("Aggregate [") == 1
+
+
+def test_written_files_are_in_date_order(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "ordered")
+    write_parquet(final_table(spark, SF), path)
+    files = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) >= 5
+    for f in files:
+        dates = pq.read_table(f, columns=["date"])["date"].to_pylist()
+        assert dates == sorted(dates)
 
 
 def test_customer_scan_reads_only_needed_columns(spark):
