@@ -52,7 +52,7 @@ def benchmark_windows(bench: DataFrame, window_words: int = WINDOW_WORDS,
 
 def build_postings(docs: DataFrame, vocabulary: DataFrame, rows: int) -> DataFrame:
     """``term_id, doc_id, pos`` of every vocabulary word of every document,
-    stored in the shared folder. ``docs``: doc_id, text."""
+    stored in the shared folder. ``docs``: doc_id (each row has its own), text."""
     exploded = docs.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "term"))
     return C.materialize(exploded.join(C.small(vocabulary, rows), "term").select("term_id", "doc_id", "pos"), "postings")
 
@@ -90,7 +90,8 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window_words: int = WINDOW_
                   item_text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, n_words, n_hit, n_items, item_ids,
     contaminated`` and ``spans`` (start and length of each occurrence)."""
-    base = C.id_text(docs, id_col, text_col)
+    # ids may be null or repeat, so postings go by a number of the row
+    base = C.materialize(C.id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "rows")
     windows = C.materialize(benchmark_windows(bench, window_words, item_col, item_text_col), "windows")
     phrases = C.materialize(windows.groupBy("phrase").agg(F.max("n").alias("n"))
                             .withColumn("window", F.monotonically_increasing_id()), "phrases")
@@ -98,17 +99,17 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window_words: int = WINDOW_
     vocabulary = C.materialize(split_terms.select("term").distinct()
                                .withColumn("term_id", F.monotonically_increasing_id().cast("long")), "vocabulary")
     n_terms, n_phrases = vocabulary.count(), phrases.count()
-    postings = build_postings(base, vocabulary, n_terms)
+    postings = build_postings(base.select(F.col("row").alias("doc_id"), "text"), vocabulary, n_terms)
     terms = split_terms.join(vocabulary, "term").select("window", "offset", "term_id")
     found = (phrase_candidates(postings, terms).join(C.small(phrases, n_phrases), "window")
              .groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "window", "phrase")).alias("found"))
-             .withColumnRenamed("doc_id", "found_id"))
+             .withColumnRenamed("doc_id", "row"))
 
-    checked = (base.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
-               .select("doc_id", words(F.col("text")).alias("ws"), "found"))
+    checked = (base.join(found, "row", "left")
+               .select("row", "doc_id", words(F.col("text")).alias("ws"), "found"))
     same = F.filter("found", lambda x: F.array_join(F.slice("ws", x["start"] + 1, x["n"]), " ") == x["phrase"])
     hits = C.materialize(checked.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", word_count(F.col("ws")).cast("long").alias("n_words"),
+        "row", "doc_id", word_count(F.col("ws")).cast("long").alias("n_words"),
         F.transform(same, lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["n"]).alias("end"),
                                              x["window"].alias("window"))).alias("hits")), "hits")
 

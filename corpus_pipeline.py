@@ -34,6 +34,17 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``number, text, doc``: rows under a number of their own, as ids may be
+    null or repeat; ``doc`` has the other columns."""
+    return C.materialize(docs.select(F.monotonically_increasing_id().alias("number"), "text",
+                                     F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc")), "numbered")
+
+
+def unnumbered(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group."""
     stays = (jaccard_components(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
@@ -42,10 +53,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark window occurs."""
-    leaks = (decontaminate(docs, C.table(spark, sf_dir, "benchmark")).where("contaminated")
-             .select(F.col("doc_id").alias("leak_id")))
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak_id"]), "left_anti")
+    """Documents in which no benchmark window occurs, judged row by row."""
+    rows = numbered(docs)
+    leaks = (decontaminate(rows, C.table(spark, sf_dir, "benchmark"), id_col="number")
+             .where("contaminated").select(F.col("doc_id").alias("number")))
+    return unnumbered(rows.join(leaks, "number", "left_anti"), docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from adtrail.llm import (benchmark_index, best_fit_packing, language_profiles, license_scan, line_dedup,
                          merkle_fingerprints, ngram_join, suffix_dedup, token_files, tokens, url_templates)
 from adtrail.llm import common as C
@@ -266,6 +267,22 @@ def test_decontamination(spark, docs, empty):
     assert not any(r.contaminated for r in benchmark_index.decontaminate(docs, bench.where("false")).collect())
 
 
+def test_decontamination_of_repeated_and_null_ids(spark, tmp_dir):
+    leak, other = "p1 p2 p3 p4 p5 p6 p7 p8 p9 p10", "q1 q2 q3 q4 q5 q6 q7 q8 q9 q10"
+    rows = [(1, "a " + leak), (1, "a " + leak), (2, leak + " b"), (2, "clean"), (3, "one solo"), (3, "one solo"),
+            (None, "c " + leak), (None, "c " + leak), (None, "clean too"), (None, other), (4, "p1 p2 p3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, leak), (2, "solo"), (3, other)], "item_id long, text string")
+    got = benchmark_index.decontaminate(docs, bench).collect()
+    want = collections.Counter({(1, 10, ("1",)): 2, (2, 10, ("1",)): 1, (2, 0, ()): 1, (3, 1, ("2",)): 2, (None, 10, ("1",)): 2,
+                                (None, 0, ()): 1, (None, 10, ("3",)): 1, (4, 0, ()): 1})
+    assert collections.Counter((r.doc_id, r.n_hit, tuple(r.item_ids)) for r in got) == want
+    bench.write.parquet(tmp_dir + "/benchmark.parquet")
+    kept = corpus_pipeline.decontamination_stage(spark, docs, tmp_dir)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(2, "clean"), (None, "clean too"), (4, "p1 p2 p3")], key=str)
+
+
 def test_license_scan(spark, docs, empty):
     rows = [(1, "Released under the MIT License. MIT\nlicense"), (2, "Licensed under the Apache License, Version 2.0."),
             (3, "GNU General Public License, version 3"), (4, "Licensed under CC BY-NC 4.0."), (5, "nothing"), (6, None)]
