@@ -4,7 +4,7 @@ Both supported vocabularies cut a text into pre-tokens at spaces, so the ids
 of a text are the ids of its blank-separated chunks in a row. A worker keeps
 the ids of chunks it has met (a bounded memo), which leaves the merge loop to
 new chunks only. Texts where the cut at blanks is not certain to fall between
-pre-tokens are encoded whole.
+pre-tokens, or that contain the text of an added token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -39,7 +39,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        # both vocabularies look for them in the text as it is, before any normalisation
+        self.added = sorted(t.content for t in self.tok.get_added_tokens_decoder().values())
         self.spaced = spaced
         self.tokenize = self.tok.model.tokenize  # of one pre-token; the attribute copies the model, so it is read once
         self.memo = Memo(self.learn, MEMO_ENTRIES // 2)
@@ -53,6 +54,8 @@ class ChunkEncoder:
         """Chunks of a text; None: encode it whole. Of a ``spaced``
         vocabulary a chunk stands for a blank and the word after it, and one
         that begins with ``BARE`` for itself."""
+        if any(t in text for t in self.added):
+            return None
         if not self.spaced:
             return None if _SEPARATORS.search(text) else text.split()
         if BARE in text or _DOUBLE_BLANK.search(text):

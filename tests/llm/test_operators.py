@@ -135,6 +135,16 @@ def test_chunk_encoder_equals_whole_encoding():
                 assert np.frombuffer(data, "<u4").tolist() == enc.tok.encode(t, add_special_tokens=False).ids
 
 
+def test_texts_of_added_tokens_are_encoded_as_the_file_says():
+    for name, spaced in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        fresh = Tokenizer.from_file(tokens.vocabulary_path(name))
+        added = [t.content for t in fresh.get_added_tokens_decoder().values()]
+        odd = [f(t) for t in added for f in (str, str.upper, "x {} y".format, "one two{}three four".format, "a\n{}\nb".format,
+                                             "\u00c9t\u00e9 {}".format)] + ["plain words", "<|", "\u00c9t\u00e9"]
+        got = tokens.ChunkEncoder(tokens.vocabulary_path(name), spaced).encode(odd)
+        assert added and [np.frombuffer(x, "<u4").tolist() for x in got] == [fresh.encode(t, add_special_tokens=False).ids for t in odd]
+
+
 def test_token_files_round_trip(spark, docs, empty):
     path = C.scratch_path(spark, "t")
     token_files.write_token_files(docs, path)
