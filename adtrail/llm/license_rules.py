@@ -102,7 +102,7 @@ upl-1.0 | 1 | 1.0 | spdx | spdx license identifier upl 1 0
 ms-pl | 1 | 1.0 | spdx | spdx license identifier ms pl
 ms-rl | 1 | 1.0 | spdx | spdx license identifier ms rl
 gpl-with-classpath | 2 | 0.95 | classpath | classpath exception 2 0
-gpl-with-linking | 2 | 0.9 | linking | (?:special|linking) exception ..6 link(?:ing)? this library
+gpl-with-linking | 2 | 0.9 | this library | (?:special|linking) exception ..6 link(?:ing)? this library
 mit | 2 | 0.95 | mit license | (?:released|licensed|distributed|available|published) under ..4 (?:the|an)~ mit license
 mit | 3 | 0.9 | expat | expat license
 x11 | 3 | 0.9 | x11 | x11 license
@@ -167,7 +167,7 @@ copyleft | 4 | 0.4 | copyleft | copyleft
 public-domain | 2 | 0.8 | public domain | (?:released|placed|dedicated|belongs?) (?:into|in|to) the public domain
 public-domain | 4 | 0.5 | public domain | public domain
 proprietary | 2 | 0.8 | proprietary | proprietary and confidential
-proprietary | 2 | 0.8 | reproduction | unauthorized (?:copying|reproduction|distribution|use) ..6 (?:is|are) (?:strictly)~ prohibited
+proprietary | 2 | 0.8 | prohibited | unauthorized (?:copying|reproduction|distribution|use) ..6 (?:is|are) (?:strictly)~ prohibited
 proprietary | 3 | 0.6 | all rights reserved | all rights reserved
 proprietary | 3 | 0.7 | end user license | end user license agreement
 proprietary | 3 | 0.7 | trade secret | trade secrets? of

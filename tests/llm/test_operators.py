@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -13,8 +14,8 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from adtrail.llm import (benchmark_index, best_fit_packing, language_profiles, license_scan, line_dedup,
-                         merkle_fingerprints, ngram_join, suffix_dedup, token_files, tokens, url_templates)
+from adtrail.llm import (benchmark_index, best_fit_packing, language_profiles, license_rules, license_scan,
+                         line_dedup, merkle_fingerprints, ngram_join, suffix_dedup, token_files, tokens, url_templates)
 from adtrail.llm import common as C
 from adtrail.llm.graph import connected_components
 
@@ -313,3 +314,33 @@ def test_url_templates(spark):
     assert got[3][2:] == ("com/de/", "block") and got[4] == ("x.com", "/fr/9", "com/fr/", "allow")
     assert got[6][:3] == got[7][:3] == ("", "", None) and got[9] == ("y.org", "", None, got[9][3])
     assert url_templates.filter_urls(pages).count() == len(rows) and url_templates.filter_urls(pages.where("false")).count() == 0
+def _matches(tree) -> list[str]:
+    """Texts of each branch of a parsed pattern, repeats at their least and once more."""
+    out = [""]
+    for op, arg in tree:
+        op = str(op)
+        if op == "BRANCH":
+            some = [x for branch in arg[1] for x in _matches(branch)]
+        elif op == "SUBPATTERN":
+            some = _matches(arg[3])
+        elif op == "MAX_REPEAT":
+            some = ["".join(c) for k in {arg[0], min(arg[0] + 1, int(arg[1]))} for c in itertools.product(_matches(arg[2]), repeat=k)]
+        elif op == "IN":
+            some = [chr(v if str(kind) == "LITERAL" else v[0]) for kind, v in arg]
+        else:
+            some = ["z" if op == "NOT_LITERAL" else chr(arg)]
+        out = [a + b for a in out for b in some]
+    return out
+
+
+def test_license_gates_drop_no_match(spark):
+    for rule in license_rules.all_rules():
+        pattern = license_rules.compile_pattern(rule.pattern)
+        for x in _matches(re._parser.parse(pattern)):
+            flat = x.replace("<", " ").replace(">", "")
+            assert re.fullmatch(pattern, x) and rule.keyword in flat and license_rules.stem(rule) in flat, (rule, x)
+    rows = [(1, "Unauthorized copying of this file is strictly prohibited."), (2, "special exception to link this library")]
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "proprietary", 2: "gpl-with-linking"}
+
+
