@@ -1,7 +1,9 @@
 """Document fingerprints as Merkle trees (operator 5).
 
 A text is cut into paragraphs (lines); long paragraphs are cut into sentences
-so that an edit touches a small leaf. Consecutive paragraphs form sections,
+so that an edit touches a small leaf, and what is still long (other scripts,
+tables, word lists) at the least hash of a few characters, so no leaf is longer
+than ``LEAF_CHARS`` and the cuts after an edit fall where they fell. Consecutive paragraphs form sections,
 whose ends follow from the content (a blank line, or a paragraph hash whose
 low bits are zero), so an insertion does not move later sections. Leaves are
 hashed, paragraphs hash their leaves, sections their paragraphs, the root the
@@ -25,15 +27,19 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adtrail.llm import common as C
 
-LEAF_CHARS = 160      # paragraphs above this are cut into sentences
+LEAF_CHARS = 160      # paragraphs above this are cut into sentences, sentences above this further
+LEAST_CHARS = 32      # of a leaf cut from a sentence, but for its last
+GRAM = 4              # characters hashed to find a cut
 SECTION_MASK = 3      # a section holds about four paragraphs
 
+_WEIGHTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 _SENTENCE = re.compile(r"[^.!?]*[.!?]+\s*|[^.!?]+$")
 
 
@@ -45,7 +51,30 @@ def leaves(paragraph: str) -> list[str]:
     """The paragraph's pieces; joined they are the paragraph."""
     if len(paragraph) <= LEAF_CHARS:
         return [paragraph]
-    return _SENTENCE.findall(paragraph) or [paragraph]
+    out = []
+    for sentence in _SENTENCE.findall(paragraph) or [paragraph]:
+        out += _pieces(sentence) if len(sentence) > LEAF_CHARS else [sentence]
+    return out
+
+
+def _pieces(sentence: str) -> list[str]:
+    """Leaves of LEAST_CHARS to LEAF_CHARS characters (the last may be
+    shorter), each ending after the first gram of least hash in that range."""
+    points = np.frombuffer(sentence.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    gram = points[GRAM - 1:]
+    for i in range(1, GRAM):
+        gram = gram + points[GRAM - 1 - i:-i] * _WEIGHTS[i]
+    order = gram * _WEIGHTS[0]
+    order ^= order >> np.uint64(32)
+    order *= _WEIGHTS[0]  # the gram that ends with character k + GRAM - 1
+    out, at = [], 0
+    while len(sentence) - at > LEAF_CHARS:
+        low = at + LEAST_CHARS
+        cut = low + int(order[low - GRAM:at + LEAF_CHARS - GRAM + 1].argmin())
+        out.append(sentence[at:cut])
+        at = cut
+    out.append(sentence[at:])
+    return out
 
 
 def tree(text: str) -> list[list[list[tuple[bytes, int]]]]:

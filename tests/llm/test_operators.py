@@ -194,6 +194,23 @@ def test_fingerprints(docs, empty):
     assert merkle_fingerprints.fingerprints(empty).count() == 0
 
 
+def test_leaves_of_unpunctuated_texts_are_bounded_and_keep_their_place():
+    rng = random.Random(8)
+    chinese = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(6000))
+    other = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(6000))
+    log = " ".join("k%d=%d" % (rng.randint(0, 99), rng.randint(0, 9999)) for _ in range(900))
+    for text in (chinese, log, "word " * 6000, "x" * 9000, "!" * 500 + chinese, "a" * 159 + chr(0xD800) * 9):
+        pieces = merkle_fingerprints.leaves(text)
+        assert "".join(pieces) == text and max(map(len, pieces)) <= merkle_fingerprints.LEAF_CHARS
+    fp = merkle_fingerprints.fingerprint
+    for text in (chinese, log, "word " * 6000):
+        half = len(text) // 2
+        inserted = text[:half] + "\u4e01#" + text[half:]
+        assert merkle_fingerprints.likeness(fp(text), fp(inserted)) > 0.85
+        assert 0.4 < merkle_fingerprints.likeness(fp(text), fp(text[:len(text) - half] + other[:half])) < 0.7
+        assert sum(n for _, n in merkle_fingerprints.differing(fp(text), fp(inserted))) < 0.15 * len(text)
+
+
 def test_line_dedup(spark, docs, empty):
     base = "the quick brown fox jumps over the lazy dog near the river bank today " * 3
     rows = [(1, "Alpha beta gamma.\nunique one here\nshort"), (2, "alpha  BETA gamma\nshort\nunique two there 12"),
