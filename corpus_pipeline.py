@@ -46,10 +46,14 @@ def unnumbered(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group."""
-    stays = (jaccard_components(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-             .select(F.col("doc_id").alias("stays_id")))
-    return docs.join(stays, docs["doc_id"].eqNullSafe(stays["stays_id"]), "left_semi")
+    """One row of each group: that with the smallest id, nulls last, and of
+    rows with the same id any one."""
+    rows = numbered(docs)
+    groups = jaccard_components(rows, id_col="number").select(F.col("doc_id").alias("number"), "component_id")
+    place = F.struct(F.col("doc.doc_id").isNull(), F.col("doc.doc_id"), F.col("number").alias("number"))
+    stays = (rows.select("number", "doc").join(groups, "number").groupBy("component_id")
+             .agg(F.min(place)["number"].alias("number")).select("number"))
+    return unnumbered(rows.join(stays, "number", "left_semi"), docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -263,6 +263,19 @@ def test_jaccard_components_match_brute_force(docs, empty):
     assert ngram_join.jaccard_components(empty).count() == 0
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
+    rng = random.Random(9)
+    one, two = (" ".join("v%d" % rng.randint(0, 999) for _ in range(80)) for _ in range(2))
+    rows = [(1, one), (1, one), (1, one + " end"), (None, one), (None, two), (None, two), (None, two + " end"), (None, "alone stays here"),
+            (7, "also alone"), (7, "this is another one with the id"), (8, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    got = [tuple(r) for r in kept.collect()]
+    assert kept.columns == docs.columns
+    assert sorted(d if d is not None else 99 for d, _ in got) == [1, 7, 7, 8, 99, 99, 99]
+    assert sum(t.startswith(one) for _, t in got) == sum(t.startswith(two) for _, t in got) == 1
+
+
 def test_connected_components(spark):
     links = [(i, i + 1) for i in range(20)] + [(30, 40), (40, 35), (7, 7)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
