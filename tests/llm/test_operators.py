@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -232,6 +233,21 @@ def test_line_dedup(spark, docs, empty):
     assert sum(r.n_removed for r in out) >= expected
 
 
+def test_line_dedup_similarity_is_of_characters(spark):
+    pairs = [("seven plain words with one wrong lettar here", "seven plain words with one wrong letter here"),
+             ("\u00e9t\u00e9 " * 9 + "fin", "\u00e9t\u00e9 " * 9 + "fim"), ("a b c d e f g h " + "w" * 30, "a b c d e f g h " + "v" * 30)]
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1, 2]), pa.array([5, 6, 7]), *(pa.array(x) for x in zip(*pairs))], list("abpq"))
+    parts = spark.createDataFrame([r for x in line_dedup.differing_parts([batch], 0.9) for r in x.to_pylist()])
+    assert {r.a for r in parts.where("levenshtein(p, q, int(limit)) >= 0").collect()} == {0, 1}
+    # lines of the same words in number, hence of one SimHash: the last word has one wrong letter
+    same = "the menu has these words " * 9
+    rows = [(1, same + "lettar"), (2, same + "letter")]
+    got = {r.row.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1}
+    size = line_dedup.line_table(["\u00e9t\u00e9 \u65e5\u672c x"])[6]
+    assert size.tolist() == [8]
+
+
 def test_simhash_counts_bits_of_long_lines():
     words = np.arange(1, 700, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     counts = line_dedup._bit_counts(words, np.array([0, 300]), np.array([300, 399]))
@@ -372,5 +388,3 @@ def test_license_gates_drop_no_match(spark):
     rows = [(1, "Unauthorized copying of this file is strictly prohibited."), (2, "special exception to link this library")]
     got = {r.doc_id: r.labels for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: "proprietary", 2: "gpl-with-linking"}
-
-
