@@ -9,6 +9,8 @@ from adtrail.llm.license_scan import OP1_SQL, op1_license_scan
 from adtrail.llm.line_dedup import op7_line_dedup
 from adtrail.llm.merkle_fingerprints import op5_merkle_fingerprints
 from adtrail.llm.ngram_join import OP8_SQL, op8_ngram_join
+from adtrail.llm.phrase_mining import OP13_SQL, op13_phrase_mining
+from adtrail.llm.prefix_counts import op12_token_counts
 from adtrail.llm.suffix_dedup import OP2_SQL, op2_suffix_dedup
 from adtrail.llm.token_files import op6_token_files
 from adtrail.llm.url_templates import OP10_SQL, op10_url_templates
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_benchmark_index": op9_benchmark_index,
     "op10_url_templates": op10_url_templates,
+    "op12_token_counts": op12_token_counts,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
 ORACLE_SQL = {
@@ -32,4 +36,5 @@ ORACLE_SQL = {
     "op8_ngram_join": OP8_SQL,
     "op9_benchmark_index": OP9_SQL,
     "op10_url_templates": OP10_SQL,
+    "op13_phrase_mining": OP13_SQL,
 }
