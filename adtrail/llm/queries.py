@@ -5,6 +5,7 @@ from __future__ import annotations
 from adtrail.llm.benchmark_index import OP9_SQL, op9_benchmark_index
 from adtrail.llm.best_fit_packing import op3_best_fit_packing
 from adtrail.llm.language_profiles import op4_language_profiles
+from adtrail.llm.lexical_search import OP11_SQL, op11_lexical_search
 from adtrail.llm.license_scan import OP1_SQL, op1_license_scan
 from adtrail.llm.line_dedup import op7_line_dedup
 from adtrail.llm.merkle_fingerprints import op5_merkle_fingerprints
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_benchmark_index": op9_benchmark_index,
     "op10_url_templates": op10_url_templates,
+    "op11_lexical_search": op11_lexical_search,
     "op12_token_counts": op12_token_counts,
     "op13_phrase_mining": op13_phrase_mining,
 }
@@ -36,5 +38,6 @@ ORACLE_SQL = {
     "op8_ngram_join": OP8_SQL,
     "op9_benchmark_index": OP9_SQL,
     "op10_url_templates": OP10_SQL,
+    "op11_lexical_search": OP11_SQL,
     "op13_phrase_mining": OP13_SQL,
 }
