@@ -43,7 +43,7 @@ from pyspark.sql.window import Window
 from adtrail.llm import common as C
 
 TOP = 10
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 ITEMS_PER_BLOCK = 1000
 BROADCAST_BLOCKS = 32  # blocks of items sent to every task; more are joined by shuffle
 ITEMS_HELD = 20_000  # items whose best documents a task carries on; beyond that it sends them and begins anew
