@@ -44,7 +44,7 @@ TOP = 2000
 SCALE = 2_000_000
 COVER = (100, 80)  # a phrase goes when 100 * f(longer) >= 80 * f(phrase)
 NO_LANG = "und"
-BLOCK_BYTES = 16 << 20  # text of a block: its relation is a few numbers a word in one task
+BLOCK_BYTES = 6 << 20  # text of a block: its relation is a few numbers a word in one task
 ROWS_PER_BATCH = 1 << 16
 
 BREAK = b"."
