@@ -10,7 +10,8 @@ positions of one piece) and items. Length k + 1 comes from length k as in SETM:
 2. a group count over all blocks keeps the groups that reach the least count.
    Each block sends a group once, so no key holds more rows than there are blocks;
 3. a semi-join with the frequent groups leaves the relation of (k + 1)-phrases,
-   which is written to the shared folder before the next length begins.
+   which is written to the shared folder before the next length begins. A filter
+   of bounded size, made of the frequent groups, keeps most others from being sent.
 
 A phrase is at most as frequent as each of its parts, so nothing that reaches
 the least count is lost. Scores, the rule for phrases inside longer ones and
@@ -46,6 +47,8 @@ COVER = (100, 80)  # a phrase goes when 100 * f(longer) >= 80 * f(phrase)
 NO_LANG = "und"
 BLOCK_BYTES = 6 << 20  # text of a block: its relation is a few numbers a word in one task
 ROWS_PER_BATCH = 1 << 16
+FILTER_BITS = 16  # of the filter of frequent groups, a group; at most 8 MB in all, then more groups pass it
+MOST_FILTER_BITS = 1 << 26
 
 BREAK = b"."
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -158,18 +161,52 @@ class Joined:
         self.pair = phrase[met].astype(np.int64) * len(self.word_ids) + self.word[to[met]]
 
 
-def group_rows(batches, k: int) -> Iterator[pa.RecordBatch]:
+def filter_places(left: np.ndarray, item: np.ndarray, bits: int) -> np.ndarray:
+    """Two places a group in a filter of ``bits`` bits (a power of two)."""
+    x = left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + item.astype(np.uint64)
+    for shift in (32, 29):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(31)
+    return np.stack([x & np.uint64(bits - 1), (x >> np.uint64(32)) & np.uint64(bits - 1)]).astype(np.int64)
+
+
+def filter_words(batches, bits: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        places = np.unique(filter_places(np.asarray(batch.column("left")), np.asarray(batch.column("item")), bits))
+        words, starts = np.unique(places >> 6, return_index=True)
+        ones = np.left_shift(np.uint64(1), (places & 63).astype(np.uint64))
+        held = np.bitwise_or.reduceat(ones, starts) if len(starts) else ones
+        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(held.view(np.int64))], ["word", "held"])
+
+
+def frequent_filter(groups: DataFrame, n: int) -> np.ndarray:
+    """Bits of all frequent groups (``left``, ``item``); its size, not the
+    number of groups, bounds what the driver gets and sends."""
+    bits = 1 << max(10, min(MOST_FILTER_BITS, FILTER_BITS * n).bit_length() - 1)
+    words = (C.map_batches(groups, filter_words, "word long, held long", bits=bits)
+             .groupBy("word").agg(F.bit_or("held").alias("held")).toArrow())
+    out = np.zeros(bits // 64, np.uint64)
+    out[np.asarray(words["word"])] = np.asarray(words["held"]).view(np.uint64)
+    return out
+
+
+def group_rows(batches, k: int, frequent: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """A block's groups with their counts; with a filter only those that pass it."""
     for batch in batches:
         for row in batch.to_pylist():
             joined = Joined(row, k)
             pairs, counts = np.unique(joined.pair, return_counts=True)
             n_words = max(len(joined.word_ids), 1)
             for a in range(0, len(pairs), ROWS_PER_BATCH):
-                some = pairs[a:a + ROWS_PER_BATCH]
+                some, n = pairs[a:a + ROWS_PER_BATCH], counts[a:a + ROWS_PER_BATCH]
+                left, item = joined.phrase_ids[some // n_words], joined.word_ids[some % n_words]
+                if frequent is not None:
+                    at = filter_places(left, item, 64 * len(frequent))
+                    held = ((frequent[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).all(axis=0)
+                    some, n, left, item = some[held], n[held], left[held], item[held]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), row["block"], np.int64)),
-                     pa.array(joined.phrase_ids[some // n_words]), pa.array(joined.word_ids[some % n_words]),
-                     pa.array(some), pa.array(counts[a:a + ROWS_PER_BATCH].astype(np.int64))],
+                    [pa.array(np.full(len(some), row["block"], np.int64)), pa.array(left), pa.array(item),
+                     pa.array(some), pa.array(n.astype(np.int64))],
                     ["block", "left", "item", "pair", "n"])
 
 
@@ -222,8 +259,10 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
                           .select("lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "a", "left", "item"))
         levels.append(level)
         if k < max_words:
-            kept = C.small(level.select("left", "item", "id"), level.count())
-            found = groups.select("block", "left", "item", "pair").join(kept, ["left", "item"])
+            passed = C.map_batches(relation, group_rows, GROUPS, k=k,
+                                   frequent=frequent_filter(level.select("left", "item"), level.count()))
+            found = (passed.select("block", "left", "item", "pair")
+                     .join(level.select("left", "item", "id"), ["left", "item"]))
             relation = C.materialize(C.map_batches(relation.join(_by_block(found, "pair"), "block"),
                                                    extended, RELATION, k=k), f"phrases-{k}")
     phrases = [f.select("lang", F.lit(i + 1).alias("k"), "phrase", "a") for i, f in enumerate(levels)]
