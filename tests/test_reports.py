@@ -14,16 +14,25 @@ FINAL_SCHEMA = ("client_id string, date timestamp_ntz, platform string, campaign
                 "impressions bigint, spend_usd double, emails_sent bigint, sessions bigint, name string, "
                 "industry string, ctr double, attributed_revenue_from_source_usd double")
 
-ROWS = [
-    ("K7", ts("2024-03-01"), "google_ads", "GX", 60, 1200, 30.25, 0, 0, "Orchid", "Travel", 5.0, 80.0),
-    ("K7", ts("2024-03-02"), "google_ads", "GX", 45, 900, 22.5, 0, 0, "Orchid", "Travel", 5.0, 0.0),
-    ("K8", ts("2024-03-01"), "facebook_ads", "FY", 30, 1000, 12.0, 0, 0, "Quartz", "Energy", 3.0, 40.0),
-    ("K9", ts("2024-03-01"), "web_traffic", None, 0, 0, 0.0, 0, 120, "Sable", "Media", 0.0, 25.0),
-    ("K7", ts("2024-03-01"), "email_campaigns", "EZ", 12, 0, 0.0, 2500, 0, "Orchid", "Travel", 0.0, 35.0),
-    ("K8", ts("2024-03-01"), "google_ads", "GW", 70, 1400, 41.75, 0, 0, "Quartz", "Energy", 5.0, 0.0),
-    ("K7", ts("2024-03-03"), "facebook_ads", "FY", 25, 500, 9.5, 0, 0, "Orchid", "Travel", 5.0, 55.0),
-    ("K9", ts("2024-03-02"), "web_traffic", None, 0, 0, 0.0, 0, 90, "Sable", "Media", 0.0, 0.0),
-]
+CHANNEL_CYCLE = ["web_traffic", "facebook_ads", "email_campaigns", "google_ads", "facebook_ads"]
+
+
+def touchpoints(n=19):
+    """Rows by rule: channels, clients and days go round in cycles of 5, 4 and 3; every third
+    campaign has no id, and every sixth ad no impressions."""
+    rows = []
+    for i in range(n):
+        platform, client = CHANNEL_CYCLE[i % 5], f"K{5 + i % 4}"
+        ad, mail, web = platform.endswith("_ads"), platform == "email_campaigns", platform == "web_traffic"
+        clicks = 11 + 3 * i if ad or mail else 0
+        shown = 40 * clicks if ad and i % 6 else 0
+        rows.append((client, ts(f"2024-03-0{1 + i % 3}"), platform, None if web or i % 3 == 1 else f"{platform[0]}-{i % 4}",
+                     clicks, shown, clicks * 0.25 if ad else 0.0, 100 * i if mail else 0, 7 * i if web else 0,
+                     f"Client {client}", ["Travel", "Energy", "Media"][i % 3], 2.5 if shown else 0.0, 12.5 * (i % 4)))
+    return rows
+
+
+ROWS = touchpoints()
 COLS = [c.split()[0] for c in FINAL_SCHEMA.split(", ")]
 RECS = [dict(zip(COLS, r)) for r in ROWS]
 
