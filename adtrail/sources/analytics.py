@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from adtrail import schemas as S
 from adtrail.functions.parsing import to_timestamp_ntz
-from adtrail.sources.files import is_missing_path
+from adtrail.sources.scan import is_missing_path
 
 log = logging.getLogger(__name__)
 

@@ -1,14 +1,14 @@
 """Raw source readers (SRC1-SRC11).
 
-Every raw column is read as text, missing-value tokens become NULL, the
-required columns are checked by name (metadata only, no job), and the
+``adtrail.sources.scan`` accepts or rejects each file of a source and reads
+the accepted ones as text; here missing-value tokens become NULL and the
 ingest-time coercions (dates, numerics; bad -> NULL) are applied as column
 expressions. Outcomes follow one convention:
 
-* ``None``            -- the source is invalid (missing file, missing
+* ``None``            -- the source is invalid (missing path, no file with the
                          required columns, malformed JSON);
-* a frame with no columns -- the file exists but is empty;
-* otherwise           -- a lazy frame; nothing is read until an action.
+* a frame with no columns -- the files exist but all are empty;
+* otherwise           -- a lazy frame of the accepted files' rows.
 
 CSV is read splittable by default (``multiline=False``), so a large export
 is scanned by many tasks; set ``multiline=True`` only for files with
@@ -20,12 +20,12 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from adtrail import schemas as S
 from adtrail.functions.parsing import na_to_null_sql, number_sql, quote, timestamp_sql
+from adtrail.sources.scan import SourceScan, list_files, scan_csv, scan_json
 
 log = logging.getLogger(__name__)
 
@@ -35,12 +35,6 @@ def blank_frame(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], T.StructType([]))
 
 
-def is_missing_path(err: AnalysisException) -> bool:
-    cond = getattr(err, "getCondition", None) or getattr(err, "getErrorClass", None)
-    name = cond() if cond else None
-    return name == "PATH_NOT_FOUND" or "Path does not exist" in str(err)
-
-
 def coerce_source(df: DataFrame, source: str, text_tokens: bool = True,
                   date_format: str | None = None) -> DataFrame:
     """Text cleanup plus the reader-level coercions of one source.
@@ -63,59 +57,35 @@ def coerce_source(df: DataFrame, source: str, text_tokens: bool = True,
     return df.selectExpr(*exprs)
 
 
-def validate_required(df: DataFrame, source: str) -> bool:
-    """All required columns present, any order, extras allowed (SRC7)."""
-    required = S.REQUIRED_COLUMNS[source]
-    ok = all(c in df.columns for c in required)
-    if not ok:
-        log.error("%s is missing required columns; found %s, need %s", source, df.columns, required)
-    return ok
-
-
-def read_csv_source(spark: SparkSession, path: str, source: str,
-                    multiline: bool = False, date_format: str | None = None) -> DataFrame | None:
-    """One CSV export with a header line (SRC1, SRC2, SRC4, SRC5, SRC6)."""
-    try:
-        df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-              .option("enforceSchema", False)  # a file with another header fails the read instead of mixing columns
-              .option("mode", "PERMISSIVE").csv(path))
-    except AnalysisException as err:
-        if is_missing_path(err):
-            log.error("%s file not found at %s", source, path)
-            return None
-        raise
-    if not df.columns:
-        log.warning("%s file is empty at %s", source, path)
-        return blank_frame(spark)
-    if not validate_required(df, source):
-        return None
-    return coerce_source(df, source, date_format=date_format)
+def read_csv_source(spark: SparkSession, path: str, source: str, multiline: bool = False,
+                    date_format: str | None = None) -> DataFrame | None:
+    """CSV exports with a header line each (SRC1, SRC2, SRC4, SRC5, SRC6). Columns
+    go by name, whatever their order in a file."""
+    return _coerced(spark, scan_csv(spark, source, path, multiline=multiline), path, date_format)
 
 
-def read_json_source(spark: SparkSession, path: str, source: str = S.FACEBOOK_ADS,
-                     json_lines: bool = False, date_format: str | None = None) -> DataFrame | None:
-    """JSON export: a top-level array of objects, or JSON Lines (SRC3).
+def read_json_source(spark: SparkSession, path: str, source: str = S.FACEBOOK_ADS, json_lines: bool = False,
+                     date_format: str | None = None, check_files: bool = True) -> DataFrame | None:
+    """JSON exports: a top-level array of objects a file, or JSON Lines (SRC3).
 
-    Leaf values are read as text; a file that does not parse as a whole
-    yields only the corrupt-record column and is reported as invalid.
-    An empty file or ``[]`` has no columns and fails the required-column
-    check, so it is invalid too (SRC8).
-    """
-    try:
-        df = (spark.read.option("multiLine", not json_lines).option("primitivesAsString", True)
-              .option("mode", "PERMISSIVE").json(path))
-    except AnalysisException as err:
-        if is_missing_path(err):
-            log.error("%s file not found at %s", source, path)
-            return None
-        raise
-    if df.columns == ["_corrupt_record"]:
-        log.error("%s JSON is malformed at %s", source, path)
+    A file without records has no columns, so it lacks the required ones: with
+    no other file the source is invalid (SRC8)."""
+    scan = scan_json(spark, source, path, json_lines=json_lines, check_files=check_files)
+    return _coerced(spark, scan, path, date_format, empty_is_valid=False)
+
+
+def _coerced(spark: SparkSession, scan: SourceScan, path: str, date_format: str | None,
+             empty_is_valid: bool = True) -> DataFrame | None:
+    if not scan.found:
+        log.error("%s not found at %s", scan.source, path)
         return None
-    if not validate_required(df, source):
+    if scan.rows is None:
+        if empty_is_valid and scan.only_empty():
+            log.warning("%s is empty at %s", scan.source, path)
+            return blank_frame(spark)
+        log.error("%s has no valid file at %s", scan.source, path)
         return None
-    return coerce_source(df.drop("_corrupt_record"), source, date_format=date_format)
+    return coerce_source(scan.rows, scan.source, date_format=date_format)
 
 
 def read_source(spark: SparkSession, source: str, path: str, **options) -> DataFrame | None:
@@ -127,13 +97,7 @@ def read_source(spark: SparkSession, source: str, path: str, **options) -> DataF
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, via the session's file listing."""
-    try:
-        spark.read.format("binaryFile").load(path).schema
-        return True
-    except AnalysisException as err:
-        if is_missing_path(err):
-            return False
-        raise
+    return list_files(spark, path) is not None
 
 
 def ingest_all(spark: SparkSession, paths: dict[str, str], **options) -> dict[str, DataFrame]:

@@ -1,5 +1,5 @@
 """Structured Streaming refresh of the analytics table on file arrival."""
 
-from adtrail.streaming.refresh import land_new_files, raw_stream, read_landed, refresh
+from adtrail.streaming.refresh import land_new_files, new_files, read_landed, read_quarantine, refresh
 
-__all__ = ["land_new_files", "raw_stream", "read_landed", "refresh"]
+__all__ = ["land_new_files", "new_files", "read_landed", "read_quarantine", "refresh"]

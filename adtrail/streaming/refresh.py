@@ -2,11 +2,12 @@
 
 Design (Structured Streaming, file sources):
 
-1. *Land.* One file stream per raw source folder, filtered to its suffix
-   (``*.csv`` / ``*.json``, sub-folders included). Each micro-batch is
-   written to ``<work>/bronze/<source>/batch=<id>`` with overwrite, so a
-   batch replayed after a failure rewrites the same folder: exactly-once
-   landing. Stream progress lives in the checkpoint folder, which must be
+1. *Land.* One stream of file names per raw source folder, filtered to its
+   suffix (``*.csv`` / ``*.json``, sub-folders included). Each micro-batch reads
+   its files with the batch reader (by header, required columns, malformed JSON):
+   good files are written to ``<work>/bronze/<source>/batch=<id>`` with
+   overwrite, so a batch replayed after a failure rewrites the same folder
+   (exactly-once landing); bad ones are listed in ``<work>/quarantine``. Stream progress lives in the checkpoint folder, which must be
    on shared storage (``spark.checkpoint.dir``) so a restarted driver or a
    lost executor resumes where it stopped.
 2. *Recompute.* When the trigger has drained the new files, the whole
@@ -24,67 +25,74 @@ import logging
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from adtrail import schemas as S
 from adtrail.plans.batch import analyze, log_quality, transform_sources, with_quality_metrics
 from adtrail.sinks import save_final
-from adtrail.sources.files import blank_frame, coerce_source, essential_sources_present, is_missing_path
+from adtrail.sources.files import blank_frame, coerce_source, essential_sources_present
+from adtrail.sources.scan import EMPTY, OK, STATUS_SCHEMA, is_missing_path, scan_source
 
 log = logging.getLogger(__name__)
 
 # fixed values: file suffix per source format (STM2)
 SUFFIX = {"csv": "*.csv", "json": "*.json"}
 
+MAX_FILES_PER_TRIGGER = 10_000  # a larger backlog is drained in several micro-batches
+
 
 def source_format(source: str) -> str:
     return "json" if source == S.FACEBOOK_ADS else "csv"
 
 
-def text_schema(source: str) -> T.StructType:
-    """Required raw columns of a source, all as text; a stream needs its
-    schema up front."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in S.REQUIRED_COLUMNS[source]])
-
-
-def csv_layout(spark: SparkSession, source: str, folder: str) -> T.StructType:
-    """Text schema of a CSV source in its files' column order.
-
-    A CSV stream maps columns by position, so the schema must follow the
-    header of the exports; it is read from the files already in the folder
-    (the required columns in their usual order when there are none yet)."""
-    try:
-        header = (spark.read.option("header", True).option("pathGlobFilter", SUFFIX["csv"])
-                  .option("recursiveFileLookup", True).csv(folder).columns)
-    except AnalysisException as err:
-        if not (is_missing_path(err) or "UNABLE_TO_INFER_SCHEMA" in str(err)):
-            raise
-        header = []
-    if not header:
-        return text_schema(source)
-    return T.StructType([T.StructField(c, T.StringType()) for c in header])
-
-
-def raw_stream(spark: SparkSession, source: str, folder: str, max_files_per_trigger: int | None = None,
-               json_lines: bool = False) -> DataFrame:
-    """New files of one source folder as a streaming frame (STM2).
-
-    JSON fields are matched by name. CSV columns follow the header layout
-    of the folder's files, and ``enforceSchema`` is off, so a later file
-    with a different header fails the stream instead of landing values
-    under the wrong names."""
-    fmt = source_format(source)
-    schema = csv_layout(spark, source, folder) if fmt == "csv" else text_schema(source)
-    reader = (spark.readStream.schema(schema).format(fmt)
-              .option("pathGlobFilter", SUFFIX[fmt]).option("recursiveFileLookup", True))
-    if fmt == "csv":
-        reader = reader.option("header", True).option("escape", '"').option("enforceSchema", False)
-    else:
-        # a JSON array is parsed per file; JSON Lines files split across tasks
-        reader = reader.option("multiLine", not json_lines)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(folder)
+# a stream of files needs the listing's schema up front
+FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def new_files(spark: SparkSession, source: str, folder: str,
+              max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Paths of one source folder's new files as a streaming frame (STM2);
+    their content is not read here."""
+    return (spark.readStream.schema(FILE_LISTING).format("binaryFile")
+            .option("pathGlobFilter", SUFFIX[source_format(source)]).option("recursiveFileLookup", True)
+            .option("maxFilesPerTrigger", max_files_per_trigger).load(folder).select("path"))
+
+
+def land_files(spark: SparkSession, source: str, folder: str, work_root: str, checkpoint: str,
+               max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, json_lines: bool = False):
+    """Start a stream that lands a folder's new files and stops when those
+    present at start are done.
+
+    Each micro-batch passes its files (at most ``max_files_per_trigger``)
+    through the batch reader's checks (SRC7, SRC8): rows of accepted files go to
+    ``bronze/<source>/batch=<id>``, the others' names and faults to
+    ``quarantine/<source>/batch=<id>``. Both overwrite, so a replayed batch lands once."""
+    def land(batch: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in batch.collect()]
+        if not paths:
+            return
+        scan = scan_source(spark, source, paths, json_lines=json_lines)
+        if scan.rows is not None:
+            scan.rows.write.mode("overwrite").parquet(f"{work_root}/bronze/{source}/batch={batch_id}")
+        bad = [s for s in scan.statuses if s[2] not in (OK, EMPTY)]
+        if bad:
+            (spark.createDataFrame(bad, STATUS_SCHEMA).coalesce(1).write.mode("overwrite")
+             .parquet(f"{work_root}/quarantine/{source}/batch={batch_id}"))
+
+    stream = new_files(spark, source, folder, max_files_per_trigger)
+    return (stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+            .queryName(f"land_{source}").trigger(availableNow=True).start())
+
+
+def read_quarantine(spark: SparkSession, work_root: str, sources=S.ALL_SOURCES) -> DataFrame:
+    """Rejected files so far: ``source, file, status, missing, records, corrupt_records, batch``."""
+    out = spark.createDataFrame([], f"{STATUS_SCHEMA}, batch int")
+    for source in sources:
+        try:
+            out = out.unionByName(spark.read.parquet(f"{work_root}/quarantine/{source}"))
+        except AnalysisException as err:
+            if not is_missing_path(err):
+                raise
+    return out
 
 
 def land_stream(stream: DataFrame, bronze: str, checkpoint: str, name: str | None):
@@ -102,14 +110,12 @@ def land_stream(stream: DataFrame, bronze: str, checkpoint: str, name: str | Non
 def land_new_files(spark: SparkSession, landing: dict[str, str], work_root: str,
                    checkpoint_root: str | None = None, max_files_per_trigger: int | None = None,
                    json_lines: bool = False) -> None:
-    """Land every source folder's new files into bronze parquet (step 1).
-
-    With ``max_files_per_trigger`` a large backlog is drained in several
-    bounded micro-batches instead of one."""
+    """Land every source folder's new files into bronze parquet (step 1); bad
+    files are listed in the quarantine and change nothing else."""
     # progress lies beside the rows it accounts for: another work folder starts anew
     ckpt = checkpoint_root or f"{work_root}/progress"
-    queries = [land_stream(raw_stream(spark, src, folder, max_files_per_trigger, json_lines),
-                           f"{work_root}/bronze/{src}", f"{ckpt}/{src}", f"land_{src}")
+    queries = [land_files(spark, src, folder, work_root, f"{ckpt}/{src}",
+                          max_files_per_trigger or MAX_FILES_PER_TRIGGER, json_lines)
                for src, folder in landing.items()]
     for q in queries:
         q.awaitTermination()

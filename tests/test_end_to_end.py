@@ -8,7 +8,7 @@ import pytest
 from adtrail import schemas as S
 from adtrail.plans.batch import run_batch
 from adtrail.sources.analytics import load_analytics
-from adtrail.streaming.refresh import refresh
+from adtrail.streaming.refresh import read_quarantine, refresh
 
 FILES = {
     "clients.csv": "client_id,name,industry,account_manager,signup_date\n"
@@ -165,16 +165,26 @@ def test_streaming_csv_with_reordered_and_extra_columns(spark, tmp_dir):
     check_final(load_analytics(spark, out["parquet"]["path"]))
 
 
-def test_streaming_csv_layout_change_fails_loudly(spark, tmp_dir):
+def test_streaming_files_of_other_layouts_and_bad_files(spark, tmp_dir):
     landing = write_sources(os.path.join(tmp_dir, "landing"), layout="folders")
     work, ck = os.path.join(tmp_dir, "work"), os.path.join(tmp_dir, "ck")
-    out = {"parquet": {"save": True, "path": os.path.join(tmp_dir, "final")}}
+    refresh(spark, landing, work, {"parquet": {"save": True, "path": os.path.join(tmp_dir, "final")}}, checkpoint_root=ck)
+    assert read_quarantine(spark, work).count() == 0
+    files = {("revenue", "swapped.csv"): "date,client_id,attributed_revenue,channel\n2024-12-02,C102,40.0,facebook\n",
+             ("revenue", "short.csv"): "date,client_id,channel\n2024-12-02,C102,facebook\n", ("revenue", "none.csv"): "",
+             ("facebook_ads", "cut.json"): json.dumps(FACEBOOK)[:-9],
+             ("facebook_ads", "few.json"): json.dumps([{"client": "C101", "date": "2024-12-01"}])}
+    for (source, name), text in files.items():
+        with open(os.path.join(landing[source], name), "w") as f:
+            f.write(text)
+    out = {"parquet": {"save": True, "path": os.path.join(tmp_dir, "f2")}}
     refresh(spark, landing, work, out, checkpoint_root=ck)
-    with open(os.path.join(landing["revenue"], "swapped.csv"), "w") as f:  # columns in another order
-        f.write("date,client_id,attributed_revenue,channel\n2024-12-02,C102,40.0,facebook\n")
-    with pytest.raises(Exception):
-        refresh(spark, landing, work, {"parquet": {"save": True, "path": os.path.join(tmp_dir, "f2")}},
-                checkpoint_root=ck)
+    final = load_analytics(spark, out["parquet"]["path"])
+    assert final.count() == 11  # the swapped file's row only
+    assert final.where("platform = 'facebook_ads'").first().attributed_revenue_from_source_usd == 40.0
+    bad = {(r.source, r.file.rsplit("/", 1)[1]): r.status for r in read_quarantine(spark, work).collect()}
+    assert bad == {("revenue", "short.csv"): "missing_columns", ("facebook_ads", "cut.json"): "malformed",
+                   ("facebook_ads", "few.json"): "missing_columns"}
 
 
 def test_streaming_json_lines_and_quality(spark, tmp_dir):

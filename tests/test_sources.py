@@ -3,6 +3,7 @@ import os
 
 from adtrail.sources.files import (essential_sources_present, ingest_all, read_csv_source,
                                    read_json_source)
+from adtrail.sources.scan import scan_source
 from tests.conftest import ts
 
 
@@ -99,3 +100,45 @@ def test_explicit_date_format_per_source(spark, tmp_dir):
     assert fixed == {"C1": ts("2024-12-05"), "C2": None}  # only the declared layout is accepted
     guessed = {r.client_id: r.date for r in read_csv_source(spark, p, "revenue").collect()}
     assert guessed == {"C1": None, "C2": ts("2024-12-05")}  # without it: ISO and the common layouts
+
+
+def test_csv_files_of_two_column_orders_go_by_name(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "a.csv"), "client_id,date,channel,attributed_revenue\nC1,2024-01-01,email,10\n")
+    write(os.path.join(tmp_dir, "b.csv"), 'note,attributed_revenue,channel,client_id,date\n"x, ""y""",7.5,organic,C2,2024-01-02\n')
+    write(os.path.join(tmp_dir, "c.csv"), "﻿client_id,date,channel,attributed_revenue,Channel\nC3,2024-01-03,email,1,z\n")
+    rows = {r.client_id: (r.date, r.channel, r.attributed_revenue, r.note) for r in read_csv_source(spark, tmp_dir, "revenue").collect()}
+    assert rows == {"C1": (ts("2024-01-01"), "email", 10.0, None), "C2": (ts("2024-01-02"), "organic", 7.5, 'x, "y"'),
+                    "C3": (ts("2024-01-03"), "email", 1.0, None)}
+
+
+def test_bad_files_are_rejected_one_by_one(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "ok.csv"), "client_id,date,channel,attributed_revenue\nC1,2024-01-01,email,10\n")
+    write(os.path.join(tmp_dir, "short.csv"), "client_id,date\nC2,2024-01-01\n")
+    write(os.path.join(tmp_dir, "blank.csv"), "")
+    scan = scan_source(spark, "revenue", tmp_dir)
+    assert scan.rows.count() == 1
+    got = {r.file.rsplit("/", 1)[1]: (r.status, r.missing) for r in scan.report(spark).collect()}
+    assert got == {"ok.csv": ("ok", None), "short.csv": ("missing_columns", "channel,attributed_revenue"), "blank.csv": ("empty", None)}
+
+
+def test_broken_json_records_never_become_rows(spark, tmp_dir):
+    lines = os.path.join(tmp_dir, "lines")
+    os.makedirs(lines)
+    write(os.path.join(lines, "a.json"), "\n".join([json.dumps(FB[0]), '{"client": "C9", "clicks"', json.dumps(FB[1])]))
+    write(os.path.join(lines, "b.json"), json.dumps(FB[1]))
+    write(os.path.join(lines, "c.json"), json.dumps({"client": "C1", "clicks": 1}))
+    good = read_json_source(spark, lines, json_lines=True).collect()
+    assert [r.fb_campaign_id for r in good] == ["F2"]  # a.json is malformed, c.json lacks columns
+    loose = read_json_source(spark, lines, json_lines=True, check_files=False).collect()
+    assert sorted(str(r.fb_campaign_id) for r in loose) == ["F1", "F2", "F2", "None"] and len(loose) == 4
+    status = {s[1].rsplit("/", 1)[1]: s[2:] for s in scan_source(spark, "facebook_ads", lines, json_lines=True).statuses}
+    assert status["a.json"] == ("malformed", None, 3, 1) and status["b.json"] == ("ok", None, 1, 0)
+    assert status["c.json"][0] == "missing_columns" and "fb_campaign_id" in status["c.json"][1]
+
+
+def test_json_arrays_with_one_cut_file(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "a.json"), json.dumps(FB, indent=1))
+    write(os.path.join(tmp_dir, "b.json"), json.dumps(FB, indent=1)[:-3])
+    write(os.path.join(tmp_dir, "c.json"), "[]")
+    assert sorted(r.fb_campaign_id for r in read_json_source(spark, tmp_dir).collect()) == ["F1", "F2"]
+    assert [s[2] for s in sorted(scan_source(spark, "facebook_ads", tmp_dir).statuses)] == ["ok", "malformed", "empty"]
