@@ -10,6 +10,7 @@ Spark query.
 from __future__ import annotations
 
 from adtrail.plans import registry as RG
+from adtrail.plans.exports import ORACLE_SQL as EXPORT_SQL
 
 _CHANNEL_OF_PLATFORM = """CASE {p} WHEN 'google_ads' THEN 'google_ads' WHEN 'facebook_ads' THEN 'facebook'
         WHEN 'email_campaigns' THEN 'email' WHEN 'web_traffic' THEN 'organic' END"""
@@ -341,4 +342,5 @@ ORACLE_SQL: dict[str, str] = {
               SELECT client_id, platform, campaign_id FROM cl_facebook UNION ALL
               SELECT client_id, platform, campaign_id FROM cl_email) c
         WHERE campaign_id IS NOT NULL AND EXISTS (SELECT 1 FROM cl_clients k WHERE k.client_id = c.client_id)"""),
+    **EXPORT_SQL,
 }

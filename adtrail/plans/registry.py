@@ -26,6 +26,7 @@ from adtrail.operators.joins import join_marketing_data
 from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics, summarize_metrics
 from adtrail.plans.batch import build_final
+from adtrail.plans.exports import QUERIES as EXPORT_QUERIES
 from adtrail.session import checkpoint_path
 from adtrail.sinks import write_parquet
 from adtrail.sources.analytics import load_analytics, parse_quality
@@ -280,4 +281,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_web_daily": q_stream_web_daily,
     "kpis_display": q_kpis_display,
     "final_round_trip": q_final_round_trip,
+    **EXPORT_QUERIES,
 }

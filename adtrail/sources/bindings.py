@@ -111,7 +111,7 @@ def raw_web_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_discount").alias("bounce_rate"), _duration_text().alias("avg_session_duration"))
 
 
-def _channel() -> Column:
+def revenue_channel() -> Column:
     p = F.substring("o_orderpriority", 1, 1)
     return (F.when(p == "1", "google_ads").when(p == "2", "facebook").when(p == "3", "email")
             .when(p == "4", "organic").otherwise("other"))
@@ -121,7 +121,7 @@ def revenue_projection(orders: DataFrame) -> DataFrame:
     """Raw revenue rows from order rows; works on a static or a streaming
     frame."""
     return orders.select(_client().alias("client_id"), F.col("o_orderdate").alias("date"),
-                         _channel().alias("channel"), F.col("o_totalprice").alias("attributed_revenue"))
+                         revenue_channel().alias("channel"), F.col("o_totalprice").alias("attributed_revenue"))
 
 
 def raw_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
