@@ -342,5 +342,13 @@ ORACLE_SQL: dict[str, str] = {
               SELECT client_id, platform, campaign_id FROM cl_facebook UNION ALL
               SELECT client_id, platform, campaign_id FROM cl_email) c
         WHERE campaign_id IS NOT NULL AND EXISTS (SELECT 1 FROM cl_clients k WHERE k.client_id = c.client_id)"""),
+    "published_range": _q(f"""
+        SELECT * FROM fin WHERE date BETWEEN TIMESTAMP '{RG.FILTER_RANGE[0]}' AND TIMESTAMP '{RG.FILTER_RANGE[1]}'"""),
+    "published_day": _q(f"SELECT * FROM fin WHERE date = TIMESTAMP '{RG.FILTER_DAY[0]}'"),
+    "file_index": _q("SELECT CAST(count(*) AS BIGINT) AS rows, min(date) AS first_date, max(date) AS last_date FROM final"),
+    "replaced_table": _q("SELECT * FROM fin"),
+    "both_formats": _q("""
+        SELECT format, platform, count(*) AS rows, CAST(sum(clicks) AS BIGINT) AS clicks
+        FROM fin, (VALUES ('parquet'), ('table')) AS f(format) GROUP BY format, platform"""),
     **EXPORT_SQL,
 }

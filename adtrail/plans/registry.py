@@ -26,6 +26,7 @@ from adtrail.operators.joins import join_marketing_data
 from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics, summarize_metrics
 from adtrail.plans.batch import build_final
+from adtrail.plans import stored
 from adtrail.plans.exports import QUERIES as EXPORT_QUERIES
 from adtrail.session import checkpoint_path
 from adtrail.sinks import write_parquet
@@ -281,5 +282,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_web_daily": q_stream_web_daily,
     "kpis_display": q_kpis_display,
     "final_round_trip": q_final_round_trip,
+    "published_range": lambda spark, sf_dir: stored.published(spark, _attributed(spark, sf_dir), FILTER_RANGE),
+    "published_day": lambda spark, sf_dir: stored.published(spark, _attributed(spark, sf_dir), FILTER_DAY),
+    "file_index": lambda spark, sf_dir: stored.file_index(spark, _attributed(spark, sf_dir)),
+    "replaced_table": lambda spark, sf_dir: stored.replaced(spark, _attributed(spark, sf_dir)),
+    "both_formats": lambda spark, sf_dir: stored.both_formats(spark, _attributed(spark, sf_dir)),
     **EXPORT_QUERIES,
 }

@@ -8,12 +8,13 @@ are discarded and its tasks rerun. Errors are raised, never swallowed.
 from __future__ import annotations
 
 import logging
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adtrail import schemas as S
+from adtrail import versions as V
 
 log = logging.getLogger(__name__)
 
@@ -38,15 +39,17 @@ def replace_table(df: DataFrame, table: str = S.FINAL_TABLE,
     """Replace a catalog table with ``df`` (SNK1). A zero-row frame still
     creates the table with all its columns.
 
-    Unpartitioned (the default), the new data is written to a staging
-    table and swapped in by renames only after that write has committed, so
-    a job that fails half-way (executors lost beyond the retry limit, bad
-    input) leaves the old table untouched. Rows are clustered by
-    (platform, date) inside each task, so row groups are almost always
-    single-platform and narrow in time: platform and date predicates skip
-    row groups without folder partitioning. With ``partition_by`` the table
-    is overwritten in place (renaming a partitioned table would leave its
-    partition locations behind).
+    Unpartitioned (the default), the data is written to a folder of its own
+    under ``<warehouse>/<table>__versions`` and, once that job has committed, the
+    table's location is changed in the catalog: one metadata update, no folder is
+    renamed and the table never disappears. A job that fails leaves the table as
+    it was. The folder before stays for readers that have begun; older ones go.
+    Only when columns are removed or change their type is the table made anew
+    (columns that are added are added in the catalog first).
+    Rows are clustered by (platform, date) inside each task, so row groups are
+    almost always single-platform and narrow in time: platform and date
+    predicates skip row groups without folder partitioning. With ``partition_by``
+    the table is overwritten in place.
     """
     spark = df.sparkSession
     df, parts = _layout(df, partition_by, sort_within)
@@ -54,21 +57,46 @@ def replace_table(df: DataFrame, table: str = S.FINAL_TABLE,
         df.write.mode("overwrite").format("parquet").partitionBy(*parts).saveAsTable(table)
         log.info("replaced table %s in place", table)
         return
-    # names of their own per run: files a failed write left behind stand in nobody's way
-    run = uuid.uuid4().hex[:12]
-    staging, previous = f"{table}__staging_{run}", f"{table}__previous_{run}"
-    try:
-        df.write.format("parquet").saveAsTable(staging)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
-        raise
+    root = table_root(spark, table)
+    version = V.new_version()
+    location = f"{root}/{version}"
+    df.write.parquet(location)
+    before = None
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+        before = _location(spark, table).rstrip("/").rsplit("/", 1)[-1]
+        if not _same_columns(spark, table, df):
+            spark.sql(f"DROP TABLE {table}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    else:
+        spark.catalog.createTable(table, path=location, source="parquet", schema=df.schema)
+    spark.catalog.refreshTable(table)
+    V.delete_others(spark, root, (version, before))
     log.info("replaced table %s", table)
 
 
+def table_root(spark: SparkSession, table: str) -> str:
+    """Where the versions of a replaced table lie."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}__versions"
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").collect()
+    return rows[0][0] if rows else ""
+
+
+def _same_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
+    """Whether the table's columns fit ``df``; new columns are added to it."""
+    old = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
+    new = [(f.name, f.dataType) for f in df.schema.fields]
+    if new[:len(old)] != old:
+        return False
+    if len(new) > len(old):
+        added = ", ".join(f"`{name}` {kind.simpleString()}" for name, kind in new[len(old):])
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+    return True
+
+
 # Equality filters on these columns (the client selector) skip row groups
 # through parquet bloom filters.
 BLOOM_COLUMNS = ("client_id",)
@@ -96,6 +124,33 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("plat
     log.info("wrote parquet to %s", path)
 
 
+def publish_parquet(df: DataFrame, root: str, partition_by: Sequence[str] = ("platform",),
+                    bloom_columns: Sequence[str] = BLOOM_COLUMNS, files: int | None = None) -> str:
+    """Write a parquet dataset as a new version of ``root`` and make it the
+    current one (SNK2, see ``adtrail.versions``); returns the version's name.
+
+    Rows are range partitioned by the folder columns and the date, so each
+    file holds a short span of dates and a date filter opens few files; a
+    hash of the row is the last key, so a date or platform that holds much of the data
+    is spread over several files. ``files`` sets the number of ranges
+    (default: the session's shuffle partitions, coalesced by AQE)."""
+    spark = df.sparkSession
+    keys = [c for c in (*partition_by, "date") if c in df.columns]
+    if "date" in df.columns:
+        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1024))
+        ranges = [*keys, spread]
+        df = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
+    version = V.new_version()
+    before = V.current_version(spark, root)
+    write_parquet(df, f"{root}/{version}/{V.DATA}", partition_by, ("date",), bloom_columns)
+    V.put_schema(spark, root, version, df.schema)
+    if "date" in df.columns:
+        V.index_files(spark, root, version)
+    V.set_current(spark, root, version)
+    V.delete_others(spark, root, (version, before))
+    return version
+
+
 def write_report_csv(df: DataFrame, path: str, order_by: Sequence[str] = (),
                      single_file: bool = False) -> None:
     """A report as headed CSV (SNK3).
@@ -124,18 +179,24 @@ def save_final(df: DataFrame, output: dict) -> dict | None:
     """Write the final table as configured (SNK4).
 
     ``output`` maps a format (``parquet`` or ``table``) to a dict with a
-    ``save`` flag plus ``path`` / ``table``. Returns the first config that
-    was written, or None when nothing was saved.
+    ``save`` flag plus ``path`` / ``table``. The plan of ``df`` runs once: each
+    further format is written from the first one as committed. Returns the
+    first config that was written, or None when nothing was saved.
     """
     written = None
     for fmt, cfg in output.items():
         if not cfg.get("save"):
             continue
         if fmt == "parquet":
-            write_parquet(df, cfg["path"])
+            publish_parquet(df, cfg["path"])
         elif fmt == "table":
             replace_table(df, cfg.get("table", S.FINAL_TABLE))
         else:
             raise ValueError(f"unknown output format {fmt}")
-        written = written or {"format": fmt, **cfg}
+        if written is None:
+            written = {"format": fmt, **cfg}
+            columns = df.columns
+            done = V.read_current(df.sparkSession, cfg["path"]) if fmt == "parquet" else \
+                df.sparkSession.table(cfg.get("table", S.FINAL_TABLE))
+            df = done.select(*[f"`{c}`" for c in columns])
     return written

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtrail import schemas as S
+from adtrail import versions as V
 from adtrail.functions.parsing import to_timestamp_ntz
 from adtrail.sources.scan import is_missing_path
 
@@ -18,13 +19,20 @@ log = logging.getLogger(__name__)
 
 
 def load_analytics(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
-                   table: str | None = S.FINAL_TABLE) -> DataFrame | None:
-    """Final table from a parquet folder or a catalog table; unknown format
-    or missing data -> None. ``date`` is parsed and NULL-date rows dropped.
+                   table: str | None = S.FINAL_TABLE, date_range: tuple | None = None) -> DataFrame | None:
+    """Final table from a parquet folder (versioned or plain) or a catalog
+    table; unknown format or missing data -> None. ``date`` is parsed and
+    NULL-date rows dropped.
+
+    ``date_range`` (one date, or first and last) keeps these days (FLT3, FLT4);
+    a versioned folder then opens only the files that hold them.
     """
+    first, last = (date_range[0], date_range[-1]) if date_range else (None, None)
     try:
         if fmt == "parquet":
-            df = spark.read.parquet(path)
+            df = V.read_current(spark, path, first, last)
+            if df is None:
+                df = spark.read.parquet(path)
         elif fmt == "table":
             if not spark.catalog.tableExists(table):
                 log.error("table %s not found", table)
@@ -41,6 +49,8 @@ def load_analytics(spark: SparkSession, path: str | None = None, fmt: str = "par
     if "date" in df.columns:
         df = (df.withColumn("date", to_timestamp_ntz("date", df.schema["date"].dataType))
               .where(F.col("date").isNotNull()))
+        if date_range:
+            df = df.where(F.col("date").between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
     return df
 
 

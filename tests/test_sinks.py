@@ -1,6 +1,10 @@
 import os
 
-from adtrail.sinks import append_batch, replace_table, save_final, write_parquet
+import pytest
+from pyspark.sql import functions as F
+
+from adtrail import versions as V
+from adtrail.sinks import append_batch, publish_parquet, replace_table, save_final, table_root, write_parquet
 from adtrail.sources.analytics import load_analytics
 from tests.conftest import ts
 
@@ -91,3 +95,90 @@ def test_partitioned_table_replace(spark):
     replace_table(df, "t_parts", partition_by=("platform",))
     replace_table(df.limit(1), "t_parts", partition_by=("platform",))
     assert spark.table("t_parts").count() == 1
+
+
+def dated(spark, days=40, per_day=25):
+    """Rows over many days; one day holds a third of them, some have no date."""
+    return (spark.range(days * per_day).select(
+        F.when(F.col("id") % 50 == 7, F.lit(None)).when(F.col("id") % 3 == 0, F.lit("2024-02-10")).otherwise(
+            F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % days).cast("int")), "yyyy-MM-dd"))
+        .cast("timestamp_ntz").alias("date"),
+        F.element_at(F.array(F.lit("google_ads"), F.lit("web_traffic")), (F.col("id") % 2 + 1).cast("int")).alias("platform"),
+        F.concat(F.lit("C"), F.col("id") % 11).alias("client_id"), F.col("id").alias("clicks")))
+
+
+def test_published_folder_is_swapped_by_its_pointer(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "data", "final")
+    first = publish_parquet(dated(spark), root)
+    early = V.read_current(spark, root)
+    held = early.count()
+    second = publish_parquet(dated(spark).limit(10), root)
+    assert V.current_version(spark, root) == second and V.versions(spark, root) == [first, second]
+    assert V.read_current(spark, root).count() == 10 and early.count() == held == 1000  # begun readers finish on the old
+    bad = dated(spark).withColumn("clicks", F.when(F.col("clicks") == 500, F.raise_error(F.lit("boom"))).otherwise(F.col("clicks")))
+    with pytest.raises(Exception):
+        publish_parquet(bad, root)
+    assert V.current_version(spark, root) == second and load_analytics(spark, root).count() <= 10
+    third = publish_parquet(dated(spark).limit(3), root)
+    assert V.versions(spark, root) == [second, third]  # the failed write and the oldest version are gone
+
+
+def test_a_write_cut_before_the_pointer_changes_nothing(spark, tmp_dir, monkeypatch):
+    root = os.path.join(tmp_dir, "final")
+    publish_parquet(dated(spark).limit(5), root)
+
+    def die(*args):
+        raise KeyboardInterrupt
+    monkeypatch.setattr(V, "set_current", die)
+    with pytest.raises(KeyboardInterrupt):
+        publish_parquet(dated(spark), root)
+    monkeypatch.undo()
+    assert V.read_current(spark, root).count() == 5 and len(V.versions(spark, root)) == 2
+
+
+def test_a_day_opens_few_files_and_a_hot_day_is_spread(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "final")
+    df = dated(spark, per_day=250)
+    publish_parquet(df, root, files=24)
+    files = len(V.read_current(spark, root).inputFiles())
+    assert files >= 24
+    for day in ("2024-01-03", "2024-02-10", "2024-02-05"):
+        got = load_analytics(spark, root, date_range=(day,))
+        want = df.where(F.col("date") == F.lit(day).cast("timestamp_ntz"))
+        assert sorted(r.clicks for r in got.collect()) == sorted(r.clicks for r in want.collect())
+        opened = len(got.inputFiles())
+        assert opened > 4 if day == "2024-02-10" else opened <= files // 6
+    few = load_analytics(spark, root, date_range=("2024-01-05", "2024-01-08"))
+    assert few.count() == df.where("date between timestamp_ntz'2024-01-05' and timestamp_ntz'2024-01-08'").count()
+    assert load_analytics(spark, root, date_range=("2031-01-01",)).count() == 0
+    assert load_analytics(spark, root).count() == df.where("date is not null").count()
+
+
+def test_table_swap_changes_only_the_location(spark, tmp_dir):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    replace_table(df, "t_swap")
+    early = spark.table("t_swap")
+    n = early.count()
+    statements = []
+    spark_sql = type(spark).sql
+    try:
+        type(spark).sql = lambda self, q, *a, **k: (statements.append(q), spark_sql(self, q, *a, **k))[1]
+        replace_table(df.limit(1), "t_swap")
+    finally:
+        type(spark).sql = spark_sql
+    assert not [q for q in statements if "DROP" in q or "RENAME" in q] and any("SET LOCATION" in q for q in statements)
+    assert spark.table("t_swap").count() == 1 and n == 3
+    replace_table(df.withColumn("extra", F.lit("x")), "t_swap")  # a new column
+    assert spark.table("t_swap").columns[-1] == "extra" and spark.table("t_swap").count() == 3
+    replace_table(df.withColumn("clicks", F.col("clicks").cast("string")), "t_swap")  # another type: made anew
+    assert dict(spark.table("t_swap").dtypes)["clicks"] == "string" and spark.table("t_swap").count() == 3
+    assert len(V.versions(spark, table_root(spark, "t_swap"))) == 2
+
+
+def test_second_format_is_written_from_the_first(spark, tmp_dir):
+    runs = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    counted = spark.createDataFrame(df.rdd.map(lambda r: (runs.add(1), tuple(r))[1]), SCHEMA)
+    out = save_final(counted, {"table": {"save": True, "table": "t_both"}, "parquet": {"save": True, "path": os.path.join(tmp_dir, "b")}})
+    assert out["format"] == "table" and runs.value == len(ROWS)
+    assert spark.table("t_both").count() == V.read_current(spark, os.path.join(tmp_dir, "b")).count() == 3
