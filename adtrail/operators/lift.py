@@ -13,7 +13,7 @@ from adtrail.functions import metrics as M
 
 log = logging.getLogger(__name__)
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def with_conversion_flag(df: DataFrame, conversion_column: str = S.ATTRIBUTED_REVENUE_COL) -> DataFrame:
@@ -37,7 +37,7 @@ def channel_lift(df: DataFrame, conversion_column: str = S.ATTRIBUTED_REVENUE_CO
         log.error("platform column missing")
         return None
     conv_type = df.schema[conversion_column].dataType
-    conv_sum = (M.count_sum(conversion_column) if isinstance(conv_type, _INTEGRAL)
+    conv_sum = (M.count_sum(conversion_column) if isinstance(conv_type, INTEGRAL)
                 else M.money_sum(conversion_column))
     per_channel = (df.where(F.col("platform").isNotNull()).groupBy("platform").agg(
         conv_sum.alias("total_attributed_revenue"),
@@ -46,8 +46,12 @@ def channel_lift(df: DataFrame, conversion_column: str = S.ATTRIBUTED_REVENUE_CO
         M.count_sum("impressions").alias("total_impressions"),
         F.count("platform").alias("total_touchpoints"),
     ))
-    per_channel = per_channel.withColumns({
+    return lift_ratios(per_channel)
+
+
+def lift_ratios(per_channel: DataFrame) -> DataFrame:
+    """The ratios of each channel's sums, in order (MTH6, MTH7, SRT1)."""
+    return (per_channel.withColumns({
         "revenue_per_touchpoint": M.guarded_ratio("total_attributed_revenue", "total_touchpoints"),
         "attributed_roi": M.roi_percent("total_attributed_revenue", "total_spend"),
-    })
-    return per_channel.orderBy(F.col("revenue_per_touchpoint").desc(), F.col("platform"))
+    }).orderBy(F.col("revenue_per_touchpoint").desc(), F.col("platform")))

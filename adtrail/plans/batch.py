@@ -6,9 +6,8 @@ ANA1, and the whole run).
 and plans the shuffles. Emptiness checks run only where the reference
 stops early, and each reads at most one row of a source scan.
 
-Reports re-read the written table instead of caching it: every report
-needs two to five of its 28 columns, so a pruned columnar scan per report
-is cheaper than holding the whole wide table in executor memory.
+Reports re-read the written table instead of caching it, once for all of
+them: one pruned columnar scan and one aggregate over grouping sets.
 """
 
 from __future__ import annotations
@@ -26,9 +25,10 @@ from adtrail.operators.attribution import aggregate_revenue, merge_revenue, prep
 from adtrail.operators.cleaning import clean_sources
 from adtrail.operators.facts import fact_branches, union_branches
 from adtrail.operators.joins import CLIENT_BROADCAST_MAX_ROWS, count_dimension, join_with_clients
-from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics
-from adtrail.operators.reports import REPORTS, ad_platform_rows
+from adtrail.operators.reports import REPORTS
+from adtrail.operators.summary import KEY_SETS, LIFT, available_reports, report_frames, summarize_reports
+from adtrail.session import scratch_folder
 from adtrail.sinks import save_final, write_report_csv
 from adtrail.sources.analytics import load_analytics
 from adtrail.sources.files import essential_sources_present, ingest_all
@@ -87,33 +87,52 @@ def transform_sources(sources: dict[str, DataFrame | None],
 
 def generate_summary_reports(spark: SparkSession, output_dir: str, data_path: str | None = None,
                              fmt: str = "parquet", table: str | None = S.FINAL_TABLE,
-                             final: DataFrame | None = None, checked: bool = False) -> list[str]:
-    """Load the final table once and write the four reports (AG17).
-
-    Nothing is written when the table is empty; the CTR report is skipped
-    when there are no ad-platform rows; a report whose columns are missing
-    is skipped. ``checked=True`` means the caller already knows ``final``
-    has rows. Returns the names of the reports written.
+                             final: DataFrame | None = None, checked: bool = False,
+                             lift_path: str | None = None) -> list[str]:
+    """Load the final table once and write the four reports (AG17); with
+    ``lift_path`` the channel lift too (ANA1).
+
+    One pass over the table sums all reports; the sums are kept in the shared
+    folder and each report is written from them. Nothing is written when the table
+    is empty; the CTR report is skipped when there are no ad-platform rows; a report
+    whose columns are missing is skipped. ``checked=True`` means the caller
+    already knows ``final`` has rows. Returns the names of the reports written.
     """
     df = final if final is not None else load_analytics(spark, data_path, fmt, table)
     if df is None or (not checked and df.isEmpty()):
         log.warning("no data loaded for report generation; skipping reports")
         return []
-    jobs = {}
-    for name, (build, keys, bounded) in REPORTS.items():
-        report = build(df)
-        if report is None:
+    names = available_reports(df)
+    for name in KEY_SETS:
+        if name not in names and (name != LIFT or lift_path):
             log.warning("skipping %s: missing required columns", name)
-            continue
-        if name == "ctr_trends_report" and ad_platform_rows(df).isEmpty():
+    if not lift_path:
+        names = [n for n in names if n != LIFT]
+    if not names:
+        return []
+    kept = kept_summary(spark, summarize_reports(df, reports=names))
+    jobs = {}
+    for name, report in report_frames(kept, names).items():
+        if name == "ctr_trends_report" and report.isEmpty():
             log.warning("no ad-platform rows; skipping %s", name)
             continue
-        jobs[name] = (report, os.path.join(output_dir, name), keys, bounded)
-    run_concurrently({n: (lambda r=r, p=p, k=k, b=b: write_report_csv(r, p, order_by=k, single_file=b))
-                      for n, (r, p, k, b) in jobs.items()})
+        if name == LIFT:  # at most one row per platform, in its own order
+            jobs[name] = lambda r=report: write_report_csv(r, lift_path, single_file=True)
+        else:
+            _, keys, bounded = REPORTS[name]
+            jobs[name] = lambda r=report, n=name, k=keys, b=bounded: write_report_csv(
+                r, os.path.join(output_dir, n), order_by=k, single_file=b)
+    run_concurrently(jobs)
     return list(jobs)
 
 
+def kept_summary(spark: SparkSession, summary: DataFrame) -> DataFrame:
+    """The sums of all reports, written once to the shared folder, a folder per report."""
+    path = scratch_folder(spark, "reports")
+    summary.write.partitionBy("report").parquet(path)
+    return spark.read.schema(summary.schema).parquet(path)
+
+
 def run_concurrently(actions: dict, max_workers: int = 4) -> None:
     """Run independent Spark actions from a few driver threads so the
     scheduler can overlap their jobs; the first failure is raised."""
@@ -136,14 +155,8 @@ def analyze(spark: SparkSession, written: dict | None, reports_dir: str,
     if final is None or final.isEmpty():
         log.warning("final table missing or empty; skipping analytics")
         return []
-    done = generate_summary_reports(spark, reports_dir, final=final, checked=True)
-    lift = channel_lift(final)
-    if lift is not None:
-        # At most one row per platform: a single ordered file is safe.
-        write_report_csv(lift, lift_path or os.path.join(reports_dir, "cross_channel_lift_report"),
-                         single_file=True)
-        done.append("cross_channel_lift_report")
-    return done
+    return generate_summary_reports(spark, reports_dir, final=final, checked=True,
+                                    lift_path=lift_path or os.path.join(reports_dir, LIFT))
 
 
 def with_quality_metrics(final: DataFrame) -> tuple[DataFrame, Observation]:

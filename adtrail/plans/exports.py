@@ -8,14 +8,12 @@ with the library's readers or streams, and its SQL states what must survive.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from adtrail import schemas as S
-from adtrail.session import checkpoint_path
+from adtrail.session import scratch_folder
 from adtrail.sources import bindings as B
 from adtrail.sources.files import read_source
 from adtrail.sources.scan import scan_source
@@ -27,14 +25,6 @@ CUT_BUCKET, SHORT_BUCKET = 3, 5
 NO_CHANNEL = 3  # orders with this last digit are in CSV files without a channel column
 
 
-def new_folder(spark: SparkSession, tag: str) -> str:
-    """A folder under the shared checkpoint root that goes when the application ends."""
-    path = checkpoint_path(spark, "exports", f"{tag}-{uuid.uuid4().hex}")
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return path
-
-
 def _write_csv(df: DataFrame, folder: str) -> None:
     df.write.mode("append").option("header", True).option("escape", '"').csv(folder)
 
@@ -85,7 +75,7 @@ def write_facebook_exports(spark: SparkSession, sf_dir: str, folder: str) -> Non
 
 
 def _exports(spark: SparkSession, sf_dir: str, source: str) -> str:
-    folder = new_folder(spark, source)
+    folder = scratch_folder(spark, source)
     (write_facebook_exports if source == S.FACEBOOK_ADS else write_revenue_exports)(spark, sf_dir, folder)
     return folder
 
@@ -108,7 +98,7 @@ def q_file_status(spark, sf_dir):
 
 
 def _landed(spark, sf_dir, source):
-    folder, work = _exports(spark, sf_dir, source), new_folder(spark, "landing")
+    folder, work = _exports(spark, sf_dir, source), scratch_folder(spark, "landing")
     if source == S.FACEBOOK_ADS:  # Spark names text files .txt; the stream takes *.json
         folder = renamed_copy(spark, folder)
     land_new_files(spark, {source: folder}, work)

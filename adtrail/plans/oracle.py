@@ -342,6 +342,23 @@ ORACLE_SQL: dict[str, str] = {
               SELECT client_id, platform, campaign_id FROM cl_facebook UNION ALL
               SELECT client_id, platform, campaign_id FROM cl_email) c
         WHERE campaign_id IS NOT NULL AND EXISTS (SELECT 1 FROM cl_clients k WHERE k.client_id = c.client_id)"""),
+    "reports_one_pass": _q(" UNION ALL ".join(f"""
+        SELECT '{report}' AS report, {date} AS date, {client} AS client_id, {platform} AS platform, {campaign} AS campaign_id,
+               {_money('spend_usd')} AS total_spend, {_count('clicks')} AS total_clicks,
+               {_count('impressions')} AS total_impressions,
+               {_count("CASE WHEN platform IN ('google_ads', 'facebook_ads') THEN clicks END")} AS ad_clicks,
+               {_count("CASE WHEN platform IN ('google_ads', 'facebook_ads') THEN impressions END")} AS ad_impressions,
+               count(*) FILTER (WHERE platform IN ('google_ads', 'facebook_ads')) AS ad_rows,
+               {_money('attributed_revenue_from_source_usd')} AS total_revenue, count(*) AS touchpoints
+        FROM fin WHERE {keys} GROUP BY ALL""" for report, keys, date, client, platform, campaign in [
+            ("daily_client_spend_report", "date IS NOT NULL AND client_id IS NOT NULL", "date", "client_id",
+             "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
+            ("total_clicks_by_platform_report", "platform IS NOT NULL", "CAST(NULL AS TIMESTAMP)", "CAST(NULL AS VARCHAR)",
+             "platform", "CAST(NULL AS VARCHAR)"),
+            ("ctr_trends_report", "date IS NOT NULL", "date", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)",
+             "CAST(NULL AS VARCHAR)"),
+            ("campaign_summary_report", "client_id IS NOT NULL AND campaign_id IS NOT NULL", "CAST(NULL AS TIMESTAMP)",
+             "client_id", "CAST(NULL AS VARCHAR)", "campaign_id")])),
     "published_range": _q(f"""
         SELECT * FROM fin WHERE date BETWEEN TIMESTAMP '{RG.FILTER_RANGE[0]}' AND TIMESTAMP '{RG.FILTER_RANGE[1]}'"""),
     "published_day": _q(f"SELECT * FROM fin WHERE date = TIMESTAMP '{RG.FILTER_DAY[0]}'"),

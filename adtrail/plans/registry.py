@@ -8,7 +8,6 @@ match the SQL in ``adtrail.plans.oracle``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +24,11 @@ from adtrail.operators.facts import combine_facts
 from adtrail.operators.joins import join_marketing_data
 from adtrail.operators.lift import channel_lift
 from adtrail.operators.metrics import add_key_metrics, summarize_metrics
+from adtrail.operators.summary import summarize_reports
 from adtrail.plans.batch import build_final
 from adtrail.plans import stored
 from adtrail.plans.exports import QUERIES as EXPORT_QUERIES
-from adtrail.session import checkpoint_path
+from adtrail.session import scratch_folder
 from adtrail.sinks import write_parquet
 from adtrail.sources.analytics import load_analytics, parse_quality
 from adtrail.sources.bindings import (ingested_sources, raw_sources, revenue_projection, table,
@@ -197,7 +197,7 @@ def q_final_round_trip(spark, sf_dir):
     """SNK2 then SRC12/SRC13: the final table written as parquet
     (partitioned by platform) under the shared checkpoint root, and read
     back for analysis."""
-    path = checkpoint_path(spark, "registry", f"final-{uuid.uuid4().hex}")
+    path = scratch_folder(spark, "final")
     write_parquet(_attributed(spark, sf_dir), path)
     return load_analytics(spark, path, "parquet")
 
@@ -209,7 +209,7 @@ def _land_table_stream(spark: SparkSession, sf_dir: str, name: str,
     checkpoint root, and read back coerced like a file reader would."""
     schema = table(spark, sf_dir, name).schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-    root = checkpoint_path(spark, "registry", f"stream-{uuid.uuid4().hex}")
+    root = scratch_folder(spark, "stream")
     land_stream(projection(stream), f"{root}/bronze/{source}", f"{root}/ckpt", None).awaitTermination()
     return read_landed(spark, root, [source])[source]
 
@@ -282,6 +282,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_web_daily": q_stream_web_daily,
     "kpis_display": q_kpis_display,
     "final_round_trip": q_final_round_trip,
+    "reports_one_pass": _over_final(summarize_reports),
     "published_range": lambda spark, sf_dir: stored.published(spark, _attributed(spark, sf_dir), FILTER_RANGE),
     "published_day": lambda spark, sf_dir: stored.published(spark, _attributed(spark, sf_dir), FILTER_DAY),
     "file_index": lambda spark, sf_dir: stored.file_index(spark, _attributed(spark, sf_dir)),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtrail import versions as V
-from adtrail.plans.exports import new_folder
+from adtrail.session import scratch_folder
 from adtrail.sinks import publish_parquet, replace_table, save_final, table_root
 from adtrail.sources.analytics import load_analytics
 
@@ -19,7 +19,7 @@ DAY_FILES = 32  # ranges of the dataset from which one day is read
 def published(spark: SparkSession, final: DataFrame, day: tuple) -> DataFrame:
     """SNK2, FLT3, FLT4: a first version, a second over it, and the days wanted
     from the second's files that hold them."""
-    root = new_folder(spark, "published")
+    root = scratch_folder(spark, "published")
     publish_parquet(final.limit(0), root)
     publish_parquet(final, root, files=DAY_FILES)
     return load_analytics(spark, root, date_range=day)
@@ -27,7 +27,7 @@ def published(spark: SparkSession, final: DataFrame, day: tuple) -> DataFrame:
 
 def file_index(spark: SparkSession, final: DataFrame) -> DataFrame:
     """The file index of a version, summed up."""
-    root = new_folder(spark, "indexed")
+    root = scratch_folder(spark, "indexed")
     publish_parquet(final, root, files=DAY_FILES)
     index = spark.read.parquet(f"{root}/{V.current_version(spark, root)}/{V.FILES}")
     return index.agg(F.sum("rows").alias("rows"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
@@ -44,7 +44,7 @@ def replaced(spark: SparkSession, final: DataFrame) -> DataFrame:
 
 def both_formats(spark: SparkSession, final: DataFrame) -> DataFrame:
     """SNK4: rows and spend of each written format."""
-    name, root = f"final_{uuid.uuid4().hex[:12]}", new_folder(spark, "formats")
+    name, root = f"final_{uuid.uuid4().hex[:12]}", scratch_folder(spark, "formats")
     save_final(final, {"parquet": {"save": True, "path": root}, "table": {"save": True, "table": name}})
     _forget(spark, name)
     outputs = {"parquet": load_analytics(spark, root), "table": load_analytics(spark, fmt="table", table=name)}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -89,3 +90,11 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     """A sub-path of the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, *parts) if "://" not in root else "/".join([root.rstrip("/"), *parts])
+
+
+def scratch_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder under the shared checkpoint root that goes when the application ends."""
+    path = checkpoint_path(spark, "scratch", f"{tag}-{uuid.uuid4().hex}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path

@@ -7,6 +7,7 @@ import pytest
 from adtrail import schemas as S
 from adtrail.operators import reports as R
 from adtrail.operators.lift import channel_lift, with_conversion_flag
+from adtrail.operators.summary import KEY_SETS, LIFT, available_reports, report_frames, summarize_reports
 from adtrail.plans.batch import generate_summary_reports
 from tests.conftest import ts
 
@@ -180,3 +181,27 @@ def test_platform_report_is_one_file(spark, final, tmp_dir):
     generate_summary_reports(spark, out, data_path=src)
     parts = glob.glob(os.path.join(out, "total_clicks_by_platform_report", "part-*.csv"))
     assert len(parts) == 1  # at most one row per platform: a single ordered file
+
+
+def test_one_pass_gives_the_single_reports(spark, final, tmp_dir):
+    src = os.path.join(tmp_dir, "final")
+    final.write.parquet(src)
+    df = spark.read.parquet(src)
+    names = available_reports(df)
+    assert names == list(KEY_SETS)
+    summary = summarize_reports(df)
+    assert summary._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    single = {n: build(df) for n, (build, _, _) in R.REPORTS.items()} | {LIFT: channel_lift(df)}
+    for name, got in report_frames(summary, names).items():
+        assert got.columns == single[name].columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, single[name].collect())), name
+
+
+def test_one_pass_skips_what_is_missing(spark, final):
+    few = final.drop("clicks", "campaign_id")
+    assert available_reports(few) == ["daily_client_spend_report"]
+    got = report_frames(summarize_reports(few), ["daily_client_spend_report"])["daily_client_spend_report"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, R.daily_client_spend(final).collect()))
+    assert summarize_reports(final.select("client_id")) is None
+    no_ads = final.where("platform = 'web_traffic'")
+    assert report_frames(summarize_reports(no_ads), ["ctr_trends_report"])["ctr_trends_report"].count() == 0
