@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import logging
 import os
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -159,20 +160,19 @@ def analyze(spark: SparkSession, written: dict | None, reports_dir: str,
                                     lift_path=lift_path or os.path.join(reports_dir, LIFT))
 
 
-def with_quality_metrics(final: DataFrame) -> tuple[DataFrame, Observation]:
-    """Attach data-quality counts to the final table's write: total rows,
-    rows without a date, facts whose client is unknown, rows carrying
-    revenue. ``observe`` computes them inside the write job itself -- no
-    extra scan -- and sits on top of the plan, so no pushdown is blocked."""
+def quality_metrics() -> tuple[Callable[[DataFrame], DataFrame], Observation]:
+    """Data-quality counts for the final table's write: total rows, rows
+    without a date, facts whose client is unknown, rows carrying revenue.
+    The function attaches them to a frame: ``observe`` computes them inside the
+    write job itself -- no extra scan -- on top of the plan, so no pushdown is blocked."""
     obs = Observation("final_table_quality")
-    observed = final.observe(
+    return (lambda final: final.observe(
         obs,
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("date").isNull()).alias("rows_without_date"),
         F.count_if(F.col("name") == F.lit(S.UNKNOWN)).alias("rows_with_unknown_client"),
         F.count_if(F.col(S.ATTRIBUTED_REVENUE_COL) > 0).alias("rows_with_revenue"),
-    )
-    return observed, obs
+    )), obs
 
 
 def log_quality(metrics: dict) -> None:
@@ -198,8 +198,8 @@ def run_batch(spark: SparkSession, paths: dict[str, str], output: dict, reports_
     if final is None:
         log.error("transformation produced nothing; skipping load and analytics")
         return None
-    final, obs = with_quality_metrics(final)
-    written = save_final(final, output)
+    observe, obs = quality_metrics()
+    written = save_final(final, output, observe)
     if written is not None:
         written = {**written, "quality": obs.get}
         log_quality(written["quality"])

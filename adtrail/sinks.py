@@ -8,7 +8,7 @@ are discarded and its tasks rerun. Errors are raised, never swallowed.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,7 +125,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("plat
 
 
 def publish_parquet(df: DataFrame, root: str, partition_by: Sequence[str] = ("platform",),
-                    bloom_columns: Sequence[str] = BLOOM_COLUMNS, files: int | None = None) -> str:
+                    bloom_columns: Sequence[str] = BLOOM_COLUMNS, files: int | None = None,
+                    observe: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Write a parquet dataset as a new version of ``root`` and make it the
     current one (SNK2, see ``adtrail.versions``); returns the version's name.
 
@@ -133,13 +134,17 @@ def publish_parquet(df: DataFrame, root: str, partition_by: Sequence[str] = ("pl
     file holds a short span of dates and a date filter opens few files; a
     hash of the row is the last key, so a date or platform that holds much of the data
     is spread over several files. ``files`` sets the number of ranges
-    (default: the session's shuffle partitions, coalesced by AQE)."""
+    (default: the session's shuffle partitions, coalesced by AQE).
+
+    Range partitioning samples the rows, so the last stage of their plan runs twice;
+    ``observe`` (which adds metrics to a frame) is applied behind it, where each row passes once."""
     spark = df.sparkSession
     keys = [c for c in (*partition_by, "date") if c in df.columns]
     if "date" in df.columns:
         spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1024))
         ranges = [*keys, spread]
         df = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
+    df = observe(df) if observe else df
     version = V.new_version()
     before = V.current_version(spark, root)
     write_parquet(df, f"{root}/{version}/{V.DATA}", partition_by, ("date",), bloom_columns)
@@ -175,26 +180,28 @@ def append_batch(df: DataFrame, path: str, fmt: str = "parquet", **options) -> N
     w.save(path)
 
 
-def save_final(df: DataFrame, output: dict) -> dict | None:
+def save_final(df: DataFrame, output: dict,
+               observe: Callable[[DataFrame], DataFrame] | None = None) -> dict | None:
     """Write the final table as configured (SNK4).
 
     ``output`` maps a format (``parquet`` or ``table``) to a dict with a
     ``save`` flag plus ``path`` / ``table``. The plan of ``df`` runs once: each
-    further format is written from the first one as committed. Returns the
-    first config that was written, or None when nothing was saved.
+    further format is written from the first one as committed. ``observe`` adds
+    metrics to the first write. Returns the first config that was written, or
+    None when nothing was saved.
     """
     written = None
     for fmt, cfg in output.items():
         if not cfg.get("save"):
             continue
         if fmt == "parquet":
-            publish_parquet(df, cfg["path"])
+            publish_parquet(df, cfg["path"], observe=observe)
         elif fmt == "table":
-            replace_table(df, cfg.get("table", S.FINAL_TABLE))
+            replace_table(observe(df) if observe else df, cfg.get("table", S.FINAL_TABLE))
         else:
             raise ValueError(f"unknown output format {fmt}")
         if written is None:
-            written = {"format": fmt, **cfg}
+            written, observe = {"format": fmt, **cfg}, None
             columns = df.columns
             done = V.read_current(df.sparkSession, cfg["path"]) if fmt == "parquet" else \
                 df.sparkSession.table(cfg.get("table", S.FINAL_TABLE))

@@ -27,7 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from adtrail import schemas as S
-from adtrail.plans.batch import analyze, log_quality, transform_sources, with_quality_metrics
+from adtrail.plans.batch import analyze, log_quality, quality_metrics, transform_sources
 from adtrail.sinks import save_final
 from adtrail.sources.files import blank_frame, coerce_source, essential_sources_present
 from adtrail.sources.scan import EMPTY, OK, STATUS_SCHEMA, is_missing_path, scan_source
@@ -155,8 +155,8 @@ def refresh(spark: SparkSession, landing: dict[str, str], work_root: str, output
     if final is None:
         log.warning("nothing to refresh yet")
         return None
-    final, obs = with_quality_metrics(final)
-    written = save_final(final, output)
+    observe, obs = quality_metrics()
+    written = save_final(final, output, observe)
     if written is not None:
         written = {**written, "quality": obs.get}
         log_quality(written["quality"])
