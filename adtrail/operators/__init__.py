@@ -10,9 +10,8 @@ from adtrail.operators.explore import (apply_filters, clicks_over_time, ctr_by_p
                                        web_daily)
 from adtrail.operators.facts import align_to_schema, combine_facts, empty_frame, fill_fact_defaults
 from adtrail.operators.ids import campaign_counts, campaigns_per_client, next_client_number
-from adtrail.operators.joins import (bounded_count, broadcast_if_bounded, client_dimension,
-                                     count_dimension, has_at_most, join_marketing_data,
-                                     join_with_clients, salted_left_join)
+from adtrail.operators.joins import (client_dimension, join_marketing_data, join_with_clients,
+                                     salted_left_join)
 from adtrail.operators.lift import channel_lift, with_conversion_flag
 from adtrail.operators.metrics import add_key_metrics, summarize_metrics
 from adtrail.operators.reports import (campaign_summary, clicks_by_platform, ctr_trends,
@@ -25,7 +24,7 @@ __all__ = [
     "distinct_values", "format_key_totals", "key_totals", "preview", "revenue_over_time", "selector_options",
     "spend_by_platform", "web_daily", "align_to_schema", "combine_facts", "empty_frame",
     "fill_fact_defaults", "campaign_counts", "campaigns_per_client", "next_client_number",
-    "bounded_count", "broadcast_if_bounded", "client_dimension", "count_dimension", "has_at_most",
+    "client_dimension",
     "join_marketing_data", "join_with_clients", "salted_left_join", "channel_lift", "with_conversion_flag", "add_key_metrics",
     "summarize_metrics", "campaign_summary", "clicks_by_platform", "ctr_trends",
     "daily_client_spend",

@@ -27,7 +27,10 @@ def _ts(value) -> F.Column:
         return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
     if isinstance(value, _dt.date):
         return F.lit(value.isoformat()).cast("timestamp_ntz")
-    return F.lit(str(value)).try_cast("timestamp_ntz")
+    try:  # a filter that cannot be read is an error, not an empty result (DT2)
+        return _ts(_dt.datetime.fromisoformat(str(value).strip()))
+    except ValueError as err:
+        raise ValueError(f"not a date: {value!r}") from err
 
 
 def apply_filters(df: DataFrame, client: str = ALL, platform: str = ALL,

@@ -1,14 +1,10 @@
 """Facts LEFT JOIN the client dimension (JN1-JN3).
 
-Join strategy: the dimension is broadcast only after a bounded row count
-proves it small. The count is an incremental ``take`` of a one-column
-projection: Spark scans one partition, then 4x more, and stops as soon as
-n + 1 rows are seen, so a huge dimension costs a few partitions, not a
-task per file.
-Otherwise the join is left to the planner: a shuffle join whose skewed
-partitions (one client holding a large share of facts) AQE splits at run
-time, and which AQE still turns into a broadcast when the measured size of
-the dimension is small.
+The join carries no hint and building its plan runs no job: Spark broadcasts
+the dimension when its size, as known from the files or as measured by AQE at run time,
+is under ``spark.sql.autoBroadcastJoinThreshold``. Otherwise it is a shuffle join
+whose skewed partitions (one client holding a large share of facts) AQE splits;
+``salt_buckets`` salts it explicitly instead.
 """
 
 from __future__ import annotations
@@ -26,27 +22,6 @@ from adtrail.operators.facts import combine_facts
 
 log = logging.getLogger(__name__)
 
-# About 100 bytes a row: 200k rows stay well under a 64 MB broadcast.
-CLIENT_BROADCAST_MAX_ROWS = 200_000
-
-
-def bounded_count(df: DataFrame, max_rows: int) -> int:
-    """min(row count, max_rows + 1), reading as few partitions as possible."""
-    return len(df.select(F.lit(1).alias("_one")).take(max(max_rows, 0) + 1))
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded check: True when ``df`` has at most ``max_rows`` rows."""
-    return bounded_count(df, max_rows) <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; else unchanged."""
-    if max_rows > 0 and has_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
-
-
 SALT = "_salt"
 
 
@@ -84,29 +59,19 @@ def client_dimension(clients: DataFrame) -> DataFrame:
     return clients.select(*cols)
 
 
-def join_with_clients(facts: DataFrame, clients: DataFrame,
-                      broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS,
-                      dim_rows: int | None = None, salt_buckets: int = 0) -> DataFrame:
+def join_with_clients(facts: DataFrame, clients: DataFrame, salt_buckets: int = 0) -> DataFrame:
     """LEFT JOIN on ``client_id`` (as text). Duplicate client ids fan out,
     as in any equi-join. Unmatched rows get 'Unknown' text attributes; their
     ``signup_date`` stays NULL (a date column holds no text).
 
-    ``dim_rows`` is a bounded row count already taken by the caller
-    (``bounded_count``); without it the bound is checked here. A dimension
-    too big to broadcast is joined by shuffle; ``salt_buckets > 1`` then
-    salts it explicitly (see ``salted_left_join``), otherwise AQE's
-    skew-join splitting handles hot clients.
+    ``salt_buckets > 1`` spreads every client over that many tasks (see
+    ``salted_left_join``); otherwise AQE's skew-join splitting handles hot clients.
     """
     dim = client_dimension(clients)
-    if dim_rows is None and broadcast_max_rows > 0:
-        dim_rows = bounded_count(dim, broadcast_max_rows)
-    small = dim_rows is not None and dim_rows <= broadcast_max_rows
     left = facts
     if not isinstance(facts.schema["client_id"].dataType, T.StringType):
         left = facts.withColumn("client_id", to_key("client_id"))
-    if small:
-        joined = left.join(F.broadcast(dim), on="client_id", how="left")
-    elif salt_buckets > 1:
+    if salt_buckets > 1:
         joined = salted_left_join(left, dim, ["client_id"], salt_buckets)
     else:
         joined = left.join(dim, on="client_id", how="left")
@@ -119,32 +84,17 @@ def join_with_clients(facts: DataFrame, clients: DataFrame,
     return joined.select(*cols)
 
 
-def count_dimension(clients: DataFrame | None, broadcast_max_rows: int) -> int | None:
-    """Bounded row count of the client dimension; None when it is missing,
-    invalid or empty (JN3)."""
-    if clients is None or is_blank(clients):
-        log.error("clients are missing; cannot join")
-        return None
-    dim_rows = bounded_count(client_dimension(clients), broadcast_max_rows)
-    if dim_rows == 0:
-        log.error("clients are empty; cannot join")
-        return None
-    return dim_rows
-
-
-def join_marketing_data(cleaned: dict[str, DataFrame],
-                        broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS,
-                        salt_buckets: int = 0) -> DataFrame | None:
+def join_marketing_data(cleaned: dict[str, DataFrame], salt_buckets: int = 0,
+                        check_empty: bool = True) -> DataFrame | None:
     """No clients (missing, invalid or empty) -> None; otherwise the stacked
     facts joined with the dimension. With no fact rows the result is an
-    empty frame with all joined columns.
+    empty frame with all joined columns (JN3).
 
-    One bounded count of the dimension answers both "is it empty?" and "is
-    it small enough to broadcast?".
+    ``check_empty`` looks for one row of the dimension; a caller that has
+    passed the gate of essential sources needs no such job.
     """
     clients = cleaned.get(S.CLIENTS)
-    dim_rows = count_dimension(clients, broadcast_max_rows)
-    if dim_rows is None:
+    if clients is None or is_blank(clients) or (check_empty and clients.isEmpty()):
+        log.error("clients are missing or empty; cannot join")
         return None
-    facts = combine_facts(cleaned, clients.sparkSession)
-    return join_with_clients(facts, clients, broadcast_max_rows, dim_rows, salt_buckets)
+    return join_with_clients(combine_facts(cleaned, clients.sparkSession), clients, salt_buckets)

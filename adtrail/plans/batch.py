@@ -23,9 +23,9 @@ from pyspark.sql import types as T
 
 from adtrail import schemas as S
 from adtrail.operators.attribution import aggregate_revenue, merge_revenue, prepared_revenue_or_none
-from adtrail.operators.cleaning import clean_sources
 from adtrail.operators.facts import fact_branches, union_branches
-from adtrail.operators.joins import CLIENT_BROADCAST_MAX_ROWS, count_dimension, join_with_clients
+from adtrail.operators.cleaning import clean_sources, is_blank
+from adtrail.operators.joins import join_with_clients
 from adtrail.operators.metrics import add_key_metrics
 from adtrail.operators.reports import REPORTS
 from adtrail.operators.summary import KEY_SETS, LIFT, available_reports, report_frames, summarize_reports
@@ -38,7 +38,6 @@ log = logging.getLogger(__name__)
 
 
 def build_final(cleaned: dict[str, DataFrame],
-                broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS,
                 salt_buckets: int = 0) -> DataFrame | None:
     """The 28-column final table from cleaned sources; None without a
     client dimension.
@@ -58,8 +57,8 @@ def build_final(cleaned: dict[str, DataFrame],
     and a fanned-out duplicate client copies the same revenue either way.
     """
     clients = cleaned.get(S.CLIENTS)
-    dim_rows = count_dimension(clients, broadcast_max_rows)
-    if dim_rows is None:
+    if clients is None or is_blank(clients):
+        log.error("clients are missing; cannot join")
         return None
     revenue = prepared_revenue_or_none(cleaned.get(S.REVENUE))
     schema = T.StructType(S.FACT_SCHEMA.fields + [T.StructField(S.ATTRIBUTED_REVENUE_COL, T.DoubleType())])
@@ -71,19 +70,18 @@ def build_final(cleaned: dict[str, DataFrame],
         merged = merge_revenue(union_branches(mapped), aggregate_revenue(revenue), salt_buckets)
         passing.insert(0, merged.select(*schema.names))
     facts = union_branches(passing, clients.sparkSession, schema)
-    joined = join_with_clients(facts, clients, broadcast_max_rows, dim_rows, salt_buckets)
+    joined = join_with_clients(facts, clients, salt_buckets)
     metrics = add_key_metrics(joined)
     return metrics.select(*S.METRICS_COLUMNS, S.ATTRIBUTED_REVENUE_COL,
                           F.lit(0.0).alias(S.ATTRIBUTED_MODEL_COL))
 
 
 def transform_sources(sources: dict[str, DataFrame | None],
-                      broadcast_max_rows: int = CLIENT_BROADCAST_MAX_ROWS,
                       salt_buckets: int = 0) -> DataFrame | None:
     """clean -> stack facts -> join clients -> metrics -> attribution
     (ATT4). None when there is no client dimension. ``salt_buckets``
     turns on explicit salting of both joins (default: AQE skew splitting)."""
-    return build_final(clean_sources(sources), broadcast_max_rows, salt_buckets)
+    return build_final(clean_sources(sources), salt_buckets)
 
 
 def generate_summary_reports(spark: SparkSession, output_dir: str, data_path: str | None = None,

@@ -45,30 +45,34 @@ def _seconds(x: str) -> str:
 D0 = "CAST(0.0 AS DOUBLE)"
 
 
+_CLIENT = """CASE WHEN o_custkey % 37 = 5 THEN NULL WHEN o_custkey % 10 = 0 THEN 'C0' || CAST(o_custkey AS VARCHAR)
+                 ELSE 'C' || CAST(o_custkey AS VARCHAR) END"""
+_DATE = "CASE WHEN o_orderkey % 29 <> 3 THEN o_orderdate END"
+
 _CTES = f"""
 lo AS (
-    SELECT l.*, o.o_custkey, o.o_orderdate
+    SELECT l.*, {_CLIENT} AS cid, {_DATE} AS day
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 raw_google AS (
     SELECT CASE WHEN l_discount > 0 THEN CAST(l_partkey AS VARCHAR) END AS campaign_id,
-           CAST(o_custkey AS VARCHAR) AS client_id, o_orderdate AS date,
+           cid AS client_id, day AS date,
            l_quantity AS clicks, l_quantity * (l_linenumber - 1) * 20 AS impressions,
            l_extendedprice AS cost_usd, l_linestatus AS device_type, CAST(NULL AS VARCHAR) AS geo
     FROM lo WHERE l_returnflag = 'N'),
 raw_facebook AS (
     SELECT CASE WHEN l_discount > 0 THEN CAST(l_partkey AS VARCHAR) END AS fb_campaign_id,
-           CAST(o_custkey AS VARCHAR) AS client, o_orderdate AS date,
+           cid AS client, day AS date,
            l_quantity AS clicks, l_quantity * (l_linenumber - 1) * 20 AS reach,
            l_extendedprice AS spend, l_linestatus AS platform, CAST(NULL AS VARCHAR) AS geo
     FROM lo WHERE l_returnflag = 'R'),
 raw_email AS (
     SELECT CASE WHEN l_discount > 0 THEN CAST(l_partkey AS VARCHAR) END AS email_id,
-           CAST(o_custkey AS VARCHAR) AS client_id, o_orderdate AS date,
+           cid AS client_id, day AS date,
            l_quantity * 1000 AS emails_sent, l_discount AS open_rate, l_tax AS click_rate,
            CAST(NULL AS VARCHAR) AS subject_line
     FROM lo WHERE l_returnflag = 'A' AND l_linestatus = 'F'),
 raw_web AS (
-    SELECT CAST(o_custkey AS VARCHAR) AS client_id, o_orderdate AS date,
+    SELECT cid AS client_id, day AS date,
            l_quantity * 20 AS pageviews, l_quantity * 10 AS sessions, l_discount AS bounce_rate,
            CASE WHEN l_linenumber <= 4
                   THEN CAST(l_linenumber - 1 AS VARCHAR) || ':' || CAST(CAST(l_quantity AS BIGINT) % 60 AS VARCHAR)
@@ -79,18 +83,17 @@ raw_web AS (
            END AS avg_session_duration
     FROM lo WHERE l_returnflag = 'A' AND l_linestatus = 'O'),
 raw_revenue AS (
-    SELECT CAST(o_custkey AS VARCHAR) AS client_id, o_orderdate AS date,
+    SELECT {_CLIENT} AS client_id, {_DATE} AS date,
            CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'google_ads' WHEN '2' THEN 'facebook'
                 WHEN '3' THEN 'email' WHEN '4' THEN 'organic' ELSE 'other' END AS channel,
-           o_totalprice AS attributed_revenue
+           CASE WHEN o_orderkey % 19 <> 2 THEN o_totalprice END AS attributed_revenue
     FROM orders),
 raw_clients AS (
-    SELECT CAST(c_custkey AS VARCHAR) AS client_id, c_name AS name, c_mktsegment AS industry,
+    SELECT 'C' || CAST(c_custkey AS VARCHAR) AS client_id, c_name AS name, c_mktsegment AS industry,
            n_name AS account_manager,
            CAST(1990 + c_custkey % 8 AS VARCHAR) || '-' || lpad(CAST(1 + c_custkey % 12 AS VARCHAR), 2, '0')
              || '-' || lpad(CAST(1 + c_custkey % 31 AS VARCHAR), 2, '0') AS signup_text
-    FROM customer JOIN nation ON c_nationkey = n_nationkey
-    WHERE c_acctbal >= 0),
+    FROM customer JOIN nation ON c_nationkey = n_nationkey),
 in_clients AS (
     SELECT client_id, name, industry, account_manager, TRY_CAST(signup_text AS TIMESTAMP) AS signup_date
     FROM raw_clients),

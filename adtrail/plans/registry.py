@@ -36,7 +36,7 @@ from adtrail.sources.bindings import (ingested_sources, raw_sources, revenue_pro
 from adtrail.streaming.refresh import land_stream, read_landed
 
 # fixed values: parameters of the filter queries (values present in the data)
-FILTER_CLIENT = "42"
+FILTER_CLIENT = "C41"
 FILTER_PLATFORM = S.GOOGLE_ADS
 FILTER_RANGE = ("1997-01-01", "1997-03-31")
 FILTER_DAY = ("1998-06-15",)
@@ -66,7 +66,7 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, sf_dir, "joined", lambda: join_marketing_data(_cleaned(spark, sf_dir)))
+    return _memo(spark, sf_dir, "joined", lambda: join_marketing_data(_cleaned(spark, sf_dir), check_empty=False))
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,9 +13,11 @@ fixed values (the binding itself):
 * web_traffic     lineitem x orders, l_returnflag = 'A', l_linestatus = 'O'
 * revenue         orders; channel from o_orderpriority
                   1 google_ads, 2 facebook, 3 email, 4 organic, 5 other
-* clients         customer x nation for customers with c_acctbal >= 0, so
-                  the facts of the others find no client; signup_date is
+* clients         customer x nation, ids with the prefix C; signup_date is
                   text and some values are impossible days (-> NULL)
+* faults          facts and revenue of customers ending in 0 carry an id that no
+                  client has (C0...), every 37th customer's none; every 29th
+                  order has no date, every 19th no revenue
 
 Campaign ids are NULL on lines without discount; impressions are 0 on
 line 1; the web duration text has ``H:M:S`` shape on lines 1-4, ``M:S``
@@ -60,7 +62,13 @@ def _campaign() -> Column:
 
 
 def _client() -> Column:
-    return F.col("o_custkey").cast("string")
+    k, text = F.col("o_custkey"), F.col("o_custkey").cast("string")
+    return (F.when(k % 37 == 5, F.lit(None).cast("string")).when(k % 10 == 0, F.concat(F.lit("C0"), text))
+            .otherwise(F.concat(F.lit("C"), text)))
+
+
+def _date() -> Column:
+    return F.when(F.col("o_orderkey") % 29 != 3, F.col("o_orderdate"))
 
 
 def _impressions() -> Column:
@@ -71,7 +79,7 @@ def raw_google_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = _line_orders(spark, sf_dir, F.col("l_returnflag") == "N")
     return lo.select(
         _campaign().alias("campaign_id"), _client().alias("client_id"),
-        F.col("o_orderdate").alias("date"), F.col("l_quantity").alias("clicks"),
+        _date().alias("date"), F.col("l_quantity").alias("clicks"),
         _impressions().alias("impressions"), F.col("l_extendedprice").alias("cost_usd"),
         F.col("l_linestatus").alias("device_type"), F.lit(None).cast("string").alias("geo"))
 
@@ -80,7 +88,7 @@ def raw_facebook_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = _line_orders(spark, sf_dir, F.col("l_returnflag") == "R")
     return lo.select(
         _campaign().alias("fb_campaign_id"), _client().alias("client"),
-        F.col("o_orderdate").alias("date"), F.col("l_quantity").alias("clicks"),
+        _date().alias("date"), F.col("l_quantity").alias("clicks"),
         _impressions().alias("reach"), F.col("l_extendedprice").alias("spend"),
         F.col("l_linestatus").alias("platform"), F.lit(None).cast("string").alias("geo"))
 
@@ -89,7 +97,7 @@ def raw_email_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = _line_orders(spark, sf_dir, (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F"))
     return lo.select(
         _campaign().alias("email_id"), _client().alias("client_id"),
-        F.col("o_orderdate").alias("date"), (F.col("l_quantity") * 1000).alias("emails_sent"),
+        _date().alias("date"), (F.col("l_quantity") * 1000).alias("emails_sent"),
         F.col("l_discount").alias("open_rate"), F.col("l_tax").alias("click_rate"),
         F.lit(None).cast("string").alias("subject_line"))
 
@@ -106,7 +114,7 @@ def _duration_text() -> Column:
 def raw_web_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = _line_orders(spark, sf_dir, (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"))
     return lo.select(
-        _client().alias("client_id"), F.col("o_orderdate").alias("date"),
+        _client().alias("client_id"), _date().alias("date"),
         (F.col("l_quantity") * 20).alias("pageviews"), (F.col("l_quantity") * 10).alias("sessions"),
         F.col("l_discount").alias("bounce_rate"), _duration_text().alias("avg_session_duration"))
 
@@ -120,8 +128,8 @@ def revenue_channel() -> Column:
 def revenue_projection(orders: DataFrame) -> DataFrame:
     """Raw revenue rows from order rows; works on a static or a streaming
     frame."""
-    return orders.select(_client().alias("client_id"), F.col("o_orderdate").alias("date"),
-                         revenue_channel().alias("channel"), F.col("o_totalprice").alias("attributed_revenue"))
+    return orders.select(_client().alias("client_id"), _date().alias("date"),
+                         revenue_channel().alias("channel"), F.when(F.col("o_orderkey") % 19 != 2, F.col("o_totalprice")).alias("attributed_revenue"))
 
 
 def raw_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,10 +144,10 @@ def _signup_text() -> Column:
 
 
 def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"], "inner")
-    return cn.select(F.col("c_custkey").cast("string").alias("client_id"),
+    return cn.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("client_id"),
                      F.col("c_name").alias("name"), F.col("c_mktsegment").alias("industry"),
                      F.col("n_name").alias("account_manager"), _signup_text().alias("signup_date"))
 

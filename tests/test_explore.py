@@ -123,3 +123,10 @@ def test_dashboard_views(spark):
     assert views["key_totals"].first().total_clicks == sum(r["clicks"] for r in k7)
     assert views["preview"].count() == min(5, len(k7))
     assert {r.platform for r in views["clicks_by_platform"].collect()} == {r["platform"] for r in k7}
+
+
+def test_unreadable_filter_date_is_an_error(spark):
+    import pytest
+    for bad in (("soon",), ("2024-03-01", "2024-13-01")):
+        with pytest.raises(ValueError):
+            X.apply_filters(final(spark), date_range=bad)

@@ -58,10 +58,10 @@ def test_written_table_prunes_partitions_and_pushes_filters(spark, tmp_dir):
     path = os.path.join(tmp_dir, "final")
     write_parquet(final_table(spark, SF), path)
     t = load_analytics(spark, path)
-    df = X.apply_filters(t, client="42", platform="google_ads", date_range=("1997-01-01", "1997-12-31"))
+    df = X.apply_filters(t, client="C41", platform="google_ads", date_range=("1997-01-01", "1997-12-31"))
     plan = physical(df)
     assert "PartitionFilters: [isnotnull(platform" in plan and "(platform" in plan
-    assert "EqualTo(client_id,42)" in plan and "GreaterThanOrEqual(date" in plan
+    assert "EqualTo(client_id,C41)" in plan and "GreaterThanOrEqual(date" in plan
 
 
 def test_lift_shuffles_partial_aggregates(spark):

@@ -34,7 +34,7 @@ def test_hot_client_is_split_by_aqe(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        out = join_with_clients(skewed_facts(spark), dimension(spark), broadcast_max_rows=0)
+        out = join_with_clients(skewed_facts(spark), dimension(spark))
         rows = out.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()
         counts = {r.name: r.n for r in rows}
         assert sum(counts.values()) == N  # whole result: nothing dropped or duplicated
@@ -54,7 +54,7 @@ def test_hot_client_is_split_by_aqe(spark):
 def test_hot_client_salted_join_is_whole(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = join_with_clients(skewed_facts(spark), dimension(spark), broadcast_max_rows=0, salt_buckets=8)
+        out = join_with_clients(skewed_facts(spark), dimension(spark), salt_buckets=8)
         assert out.count() == N
         assert out.where(F.col("name") == "name-HOT").count() == N // 3
         assert out.columns == ["client_id", "n"] + S.CLIENT_ATTRIBUTE_COLUMNS
@@ -93,7 +93,7 @@ def test_salted_build_equals_plain_build(spark):
     from adtrail.sources.bindings import ingested_sources
     cleaned = clean_sources(ingested_sources(spark, sf))
     plain = build_final(cleaned)
-    salted = build_final(cleaned, broadcast_max_rows=0, salt_buckets=4)
+    salted = build_final(cleaned, salt_buckets=4)
     assert salted.columns == plain.columns == S.FINAL_COLUMNS
     diff = plain.exceptAll(salted).count() + salted.exceptAll(plain).count()
     assert diff == 0 and salted.count() == plain.count()
