@@ -8,6 +8,8 @@ with the library's readers or streams, and its SQL states what must survive.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,7 +17,7 @@ from pyspark.sql.window import Window
 from adtrail import schemas as S
 from adtrail.session import scratch_folder
 from adtrail.sources import bindings as B
-from adtrail.sources.files import read_source
+from adtrail.sources.files import essential_sources_present, ingest_all, read_source
 from adtrail.sources.scan import scan_source
 from adtrail.streaming.refresh import land_new_files, read_landed, read_quarantine
 
@@ -135,6 +137,18 @@ def q_stream_quarantine(spark, sf_dir):
     return bad.groupBy("source", "status", "missing").agg(F.count(F.lit(1)).alias("files"))
 
 
+def q_source_gate(spark, sf_dir):
+    """SRC10, SRC11, FLT9: every source of a folder read at once (two have files,
+    the others none), its rows, and whether the essential sources are there."""
+    paths = {S.REVENUE: _exports(spark, sf_dir, S.REVENUE), S.FACEBOOK_ADS: _exports(spark, sf_dir, S.FACEBOOK_ADS)}
+    missing = scratch_folder(spark, "missing")
+    data = ingest_all(spark, {s: paths.get(s, f"{missing}/{s}.csv") for s in S.ALL_SOURCES})
+    gate = essential_sources_present(data)
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(s).alias("source"), "rows", F.lit(gate).alias("complete"))
+             for s, df in sorted(data.items())]
+    return reduce(DataFrame.unionAll, parts)
+
+
 QUERIES = {
     "csv_exports": q_csv_exports,
     "json_exports": q_json_exports,
@@ -142,6 +156,7 @@ QUERIES = {
     "stream_csv_landing": q_stream_csv_landing,
     "stream_json_landing": q_stream_json_landing,
     "stream_quarantine": q_stream_quarantine,
+    "source_gate": q_source_gate,
 }
 
 _REVENUE_SQL = f"""
@@ -171,6 +186,10 @@ ORACLE_SQL = {
     "file_status": _BUCKETS_SQL,
     "stream_csv_landing": _REVENUE_SQL,
     "stream_json_landing": _FACEBOOK_SQL,
+    "source_gate": f"""
+        SELECT 'revenue' AS source, count(*) AS rows, false AS complete FROM ({_REVENUE_SQL})
+        UNION ALL SELECT 'facebook_ads', count(*), false FROM ({_FACEBOOK_SQL})
+        UNION ALL SELECT s, 0, false FROM (VALUES ('clients'), ('google_ads'), ('email_campaigns'), ('web_traffic')) AS v(s)""",
     "stream_quarantine": f"""SELECT 'facebook_ads' AS source, status, missing, files
                              FROM ({_BUCKETS_SQL}) WHERE status <> 'ok'""",
 }

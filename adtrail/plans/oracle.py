@@ -345,6 +345,25 @@ ORACLE_SQL: dict[str, str] = {
               SELECT client_id, platform, campaign_id FROM cl_facebook UNION ALL
               SELECT client_id, platform, campaign_id FROM cl_email) c
         WHERE campaign_id IS NOT NULL AND EXISTS (SELECT 1 FROM cl_clients k WHERE k.client_id = c.client_id)"""),
+    "report_files": _q(f"""
+        SELECT client_id, campaign_id, {_money('spend_usd')} AS total_spend, {_count('clicks')} AS total_clicks,
+               {_count('impressions')} AS total_impressions
+        FROM fin WHERE client_id IS NOT NULL AND campaign_id IS NOT NULL GROUP BY client_id, campaign_id"""),
+    "appended_clients": _q("""
+        SELECT client_id, name, signup_date FROM in_clients WHERE right(client_id, 1) < '5'
+        UNION ALL
+        SELECT 'C' || (row_number() OVER (ORDER BY name) + (SELECT max(CAST(replace(client_id, 'C', '') AS BIGINT))
+                       FROM in_clients WHERE right(client_id, 1) < '5')), name, signup_date
+        FROM in_clients WHERE right(client_id, 1) >= '5'"""),
+    "converted_touchpoints": _q("""
+        SELECT platform, attributed_revenue_from_source_usd > 0 AS is_converted, count(*) AS touchpoints FROM fin GROUP BY 1, 2"""),
+    "skipped_reports": _q("""
+        SELECT 'daily_client_spend_report' AS report, count(DISTINCT (date, client_id)) AS groups
+        FROM fin WHERE date IS NOT NULL AND client_id IS NOT NULL"""),
+    "clients_without_facts": _q("SELECT * FROM joined WHERE false"),
+    "attribution_invalid_revenue": _q(f"""
+        SELECT *, {D0} AS attributed_revenue_from_source_usd, {D0} AS attributed_revenue_model_usd FROM metrics"""),
+    "rate_columns": _q(f"SELECT *, {D0} AS bounce_rate FROM cl_email"),
     "reports_one_pass": _q(" UNION ALL ".join(f"""
         SELECT '{report}' AS report, {date} AS date, {client} AS client_id, {platform} AS platform, {campaign} AS campaign_id,
                {_money('spend_usd')} AS total_spend, {_count('clicks')} AS total_clicks,

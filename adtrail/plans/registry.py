@@ -23,7 +23,7 @@ from adtrail.operators.cleaning import clean_source, clean_sources, enforce_type
 from adtrail.operators.facts import combine_facts
 from adtrail.operators.joins import join_marketing_data
 from adtrail.operators.lift import channel_lift
-from adtrail.operators.metrics import add_key_metrics, summarize_metrics
+from adtrail.operators.metrics import add_key_metrics, ensure_rate_columns, summarize_metrics
 from adtrail.operators.summary import summarize_reports
 from adtrail.plans.batch import build_final
 from adtrail.plans import stored
@@ -282,6 +282,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_web_daily": q_stream_web_daily,
     "kpis_display": q_kpis_display,
     "final_round_trip": q_final_round_trip,
+    "report_files": lambda spark, sf_dir: stored.report_files(spark, _attributed(spark, sf_dir)),
+    "appended_clients": lambda spark, sf_dir: stored.appended_clients(spark, _sources(spark, sf_dir)[S.CLIENTS]),
+    "converted_touchpoints": _over_final(stored.converted_touchpoints),
+    "skipped_reports": lambda spark, sf_dir: stored.skipped_reports(spark, final_table(spark, sf_dir)),
+    "clients_without_facts": lambda spark, sf_dir: join_marketing_data({S.CLIENTS: _cleaned(spark, sf_dir)[S.CLIENTS]}),
+    "attribution_invalid_revenue": lambda spark, sf_dir: ATT.perform_attribution(
+        _metrics(spark, sf_dir), _cleaned(spark, sf_dir)[S.REVENUE].drop("attributed_revenue_usd")),
+    "rate_columns": lambda spark, sf_dir: ensure_rate_columns(_cleaned(spark, sf_dir)[S.EMAIL_CAMPAIGNS]),
     "reports_one_pass": _over_final(summarize_reports),
     "published_range": lambda spark, sf_dir: stored.published(spark, _attributed(spark, sf_dir), FILTER_RANGE),
     "published_day": lambda spark, sf_dir: stored.published(spark, _attributed(spark, sf_dir), FILTER_DAY),

@@ -4,13 +4,18 @@ and read back by the library's sinks and loaders."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtrail import versions as V
+from adtrail.operators.ids import number_new_clients
+from adtrail.operators.lift import with_conversion_flag
+from adtrail.operators.summary import available_reports, report_frames, summarize_reports
+from adtrail.plans.batch import analyze
 from adtrail.session import scratch_folder
-from adtrail.sinks import publish_parquet, replace_table, save_final, table_root
+from adtrail.sinks import append_batch, publish_parquet, replace_table, save_final, table_root
 from adtrail.sources.analytics import load_analytics
 
 DAY_FILES = 32  # ranges of the dataset from which one day is read
@@ -57,3 +62,37 @@ def _forget(spark: SparkSession, table: str) -> None:
     """The table's folders go when the application ends; its name is of no use then."""
     p = spark._jvm.org.apache.hadoop.fs.Path(table_root(spark, table))
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def report_files(spark: SparkSession, final: DataFrame) -> DataFrame:
+    """SNK3, SRT2, ANA1: all reports written from a saved table, the campaign report read back."""
+    root, out = scratch_folder(spark, "saved"), scratch_folder(spark, "report-files")
+    written = save_final(final, {"parquet": {"save": True, "path": root}})
+    analyze(spark, written, out)
+    return spark.read.option("header", True).schema(
+        "client_id string, campaign_id string, total_spend double, total_clicks bigint, total_impressions bigint"
+    ).csv(f"{out}/campaign_summary_report")
+
+
+def appended_clients(spark: SparkSession, clients: DataFrame) -> DataFrame:
+    """SNK5, SET2, AG18: a first batch of clients, and a second that gets the next ids as it is appended."""
+    path = scratch_folder(spark, "clients")
+    first = F.substring("client_id", -1, 1) < "5"
+    append_batch(clients.where(first), path)
+    held = spark.read.schema(clients.schema).parquet(path)
+    append_batch(number_new_clients(clients.where(~first), held, ["name"]).select(*clients.columns), path)
+    return spark.read.schema(clients.schema).parquet(path).select("client_id", "name", "signup_date")
+
+
+def converted_touchpoints(final: DataFrame) -> DataFrame:
+    """PRD1: touchpoints by platform and whether revenue was attributed."""
+    return with_conversion_flag(final).groupBy("platform", "is_converted").agg(F.count(F.lit(1)).alias("touchpoints"))
+
+
+def skipped_reports(spark: SparkSession, final: DataFrame) -> DataFrame:
+    """FLT8: the rows of each report that can be made without clicks."""
+    few = final.drop("clicks")
+    names = available_reports(few)
+    frames = report_frames(summarize_reports(few, reports=names), names)
+    return reduce(DataFrame.unionAll, [df.agg(F.count(F.lit(1)).alias("groups")).select(F.lit(n).alias("report"), "groups")
+                                       for n, df in frames.items()])

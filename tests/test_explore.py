@@ -130,3 +130,14 @@ def test_unreadable_filter_date_is_an_error(spark):
     for bad in (("soon",), ("2024-03-01", "2024-13-01")):
         with pytest.raises(ValueError):
             X.apply_filters(final(spark), date_range=bad)
+
+
+def test_new_clients_get_numbers_without_gaps(spark):
+    from pyspark.sql import functions as F
+    from adtrail.operators.ids import number_new_clients
+    held = spark.createDataFrame([("C205",), ("C219",)], "client_id string")
+    batch = spark.range(500, numPartitions=7).select(F.lit("x").alias("client_id"), F.format_string("n%04d", 499 - F.col("id")).alias("name"))
+    got = {r.name: r.client_id for r in number_new_clients(batch, held, ["name"]).collect()}
+    assert got == {f"n{i:04d}": f"C{220 + i}" for i in range(500)}
+    assert number_new_clients(batch.limit(0), held, ["name"]).count() == 0
+    assert [r.client_id for r in number_new_clients(batch.limit(1), held.limit(0), ["name"]).collect()] == ["C101"]
