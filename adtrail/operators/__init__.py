@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators of the channel-analytics model."""
 
-from adtrail.operators.attribution import (aggregate_revenue, map_platforms, merge_revenue,
-                                           perform_attribution, prepare_placeholders)
+from adtrail.operators.attribution import (attach_revenue, daily_channel_revenue, perform_attribution,
+                                           usable_revenue)
 from adtrail.operators.cleaning import (clean_source, clean_sources, enforce_types, is_blank,
                                         standardize_columns)
 from adtrail.operators.explore import (apply_filters, clicks_over_time, ctr_by_platform, dashboard_views,
@@ -18,8 +18,8 @@ from adtrail.operators.reports import (campaign_summary, clicks_by_platform, ctr
                                        daily_client_spend)
 
 __all__ = [
-    "aggregate_revenue", "map_platforms", "merge_revenue", "perform_attribution",
-    "prepare_placeholders", "clean_source", "clean_sources", "enforce_types", "is_blank",
+    "attach_revenue", "daily_channel_revenue", "perform_attribution", "usable_revenue",
+    "clean_source", "clean_sources", "enforce_types", "is_blank",
     "standardize_columns", "apply_filters", "dashboard_views", "clicks_over_time", "ctr_by_platform", "date_bounds",
     "distinct_values", "format_key_totals", "key_totals", "preview", "revenue_over_time", "selector_options",
     "spend_by_platform", "web_daily", "align_to_schema", "combine_facts", "empty_frame",

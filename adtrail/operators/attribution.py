@@ -33,40 +33,32 @@ log = logging.getLogger(__name__)
 REVENUE_KEYS = ["client_id", "date", "channel"]
 
 
-def prepare_placeholders(df: DataFrame) -> DataFrame:
-    """Both attribution columns as 0.0 where absent; existing kept (ATT3)."""
-    missing = {c: F.lit(0.0) for c in (S.ATTRIBUTED_REVENUE_COL, S.ATTRIBUTED_MODEL_COL)
-               if c not in df.columns}
-    return df.withColumns(missing) if missing else df
+def usable_revenue(revenue: DataFrame | None) -> bool:
+    """Whether there is a revenue source to attribute from; without one (missing, an
+    empty-file marker, no amount column) attributed revenue is 0.0 everywhere (ATT2, ATT3).
+    A zero-row source is usable: nothing matches it."""
+    if revenue is None or is_blank(revenue):
+        log.warning("no revenue data; attributed revenue is 0.0")
+        return False
+    if "attributed_revenue_usd" not in revenue.columns:
+        log.error("revenue lacks attributed_revenue_usd; attributed revenue is 0.0")
+        return False
+    return True
 
 
-def prepare_revenue(revenue: DataFrame) -> DataFrame:
-    """Keys as text/timestamp, revenue parsed with NULL/bad -> 0.0 (ATT2)."""
+def daily_channel_revenue(revenue: DataFrame) -> DataFrame:
+    """Revenue per (client_id, date, channel) from cleaned revenue rows (AG1):
+    keys as text and timestamp, rows without a key left out, amounts that are
+    NULL or do not parse count 0.0 (NUL6)."""
     types = {f.name: f.dataType for f in revenue.schema.fields}
-    return revenue.select(
-        to_key("client_id").alias("client_id"),
-        to_timestamp_ntz("date", types.get("date")).alias("date"),
-        F.col("channel").cast("string").alias("channel"),
-        F.coalesce(to_number("attributed_revenue_usd", types["attributed_revenue_usd"]),
-                   F.lit(0.0)).alias("attributed_revenue_usd"),
-    )
-
-
-def aggregate_revenue(revenue: DataFrame) -> DataFrame:
-    """Sum revenue per (client_id, date, channel); NULL keys dropped (AG1)."""
-    keyed = revenue.where(F.col("client_id").isNotNull() & F.col("date").isNotNull()
-                          & F.col("channel").isNotNull())
-    return keyed.groupBy(*REVENUE_KEYS).agg(
-        money_sum("attributed_revenue_usd").alias(S.ATTRIBUTED_REVENUE_COL))
-
-
-def map_platforms(df: DataFrame) -> DataFrame:
-    """Adds ``channel_for_merge`` (NULL for unmapped platforms) (MAP1)."""
-    return df.withColumn("channel_for_merge", channel_for_platform("platform"))
+    amount = F.coalesce(to_number("attributed_revenue_usd", types["attributed_revenue_usd"]), F.lit(0.0))
+    rows = revenue.select(to_key("client_id").alias("client_id"), to_timestamp_ntz("date", types.get("date")).alias("date"),
+                          F.col("channel").cast("string").alias("channel"), amount.alias("_amount"))
+    return rows.dropna(subset=REVENUE_KEYS).groupBy(*REVENUE_KEYS).agg(money_sum("_amount").alias(S.ATTRIBUTED_REVENUE_COL))
 
 
-def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame, salt_buckets: int = 0) -> DataFrame:
-    """LEFT JOIN on (client_id, date, channel_for_merge = channel); no match
+def attach_revenue(touchpoints: DataFrame, daily_revenue: DataFrame, salt_buckets: int = 0) -> DataFrame:
+    """Each touchpoint with the whole revenue of its client, day and channel; no match
     -> 0.0 (JN4). A pre-existing attributed column is recomputed (D11).
 
     Touchpoints whose platform has no channel (e.g. the revenue rows
@@ -91,13 +83,13 @@ def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame, salt_buckets
     channel = channel_for_platform("platform")
     unmatched = F.col("client_id").isNull() | F.col("date").isNull() | channel.isNull()
     spread = F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in t.columns]))
-    t = t.withColumn("channel_for_merge", F.when(unmatched, spread).otherwise(channel))
+    t = t.withColumn("_channel_key", F.when(unmatched, spread).otherwise(channel))
     r = daily_revenue.where(F.col("channel").isin(sorted(set(S.PLATFORM_TO_CHANNEL.values())))).select(
         F.col("client_id").alias("_rev_client_id"), F.col("date").alias("_rev_date"),
         F.col("channel").alias("_rev_channel"), F.col(S.ATTRIBUTED_REVENUE_COL))
     def cond(a: DataFrame, b: DataFrame) -> list:
         return [a["client_id"] == b["_rev_client_id"], a["date"] == b["_rev_date"],
-                a["channel_for_merge"] == b["_rev_channel"]]
+                a["_channel_key"] == b["_rev_channel"]]
 
     if salt_buckets > 1:
         joined = salted_left_join(t, r, cond, salt_buckets)
@@ -110,28 +102,11 @@ def merge_revenue(touchpoints: DataFrame, daily_revenue: DataFrame, salt_buckets
     return joined.select(*out)
 
 
-def prepared_revenue_or_none(revenue: DataFrame | None) -> DataFrame | None:
-    """The cleaned revenue source with typed keys and amounts; None when it
-    is missing, an empty-file marker, or lacks its amount column
-    (ATT2/ATT3) -- attributed revenue is then 0.0 everywhere."""
-    if revenue is None or is_blank(revenue):
-        log.warning("no revenue data; attributed revenue is 0.0")
-        return None
-    if "attributed_revenue_usd" not in revenue.columns:
-        log.error("revenue lacks attributed_revenue_usd; attributed revenue is 0.0")
-        return None
-    return prepare_revenue(revenue)
-
-
 def perform_attribution(touchpoints: DataFrame, revenue: DataFrame | None,
                         salt_buckets: int = 0) -> DataFrame:
-    """ATT1: revenue missing, empty-file or without its amount column ->
-    placeholders; else aggregate, map and merge.
-
-    A zero-row revenue frame needs no special case: the left join then
-    yields 0.0 everywhere, the same as the placeholders.
-    """
-    prepared = prepared_revenue_or_none(revenue)
-    if prepared is None:
-        return prepare_placeholders(touchpoints)
-    return merge_revenue(touchpoints, aggregate_revenue(prepared), salt_buckets)
+    """ATT1: both attribution columns, from the revenue source when it is
+    usable; else 0.0, and columns that exist already are kept (ATT3)."""
+    if usable_revenue(revenue):
+        return attach_revenue(touchpoints, daily_channel_revenue(revenue), salt_buckets)
+    zeros = {c: F.lit(0.0) for c in (S.ATTRIBUTED_REVENUE_COL, S.ATTRIBUTED_MODEL_COL) if c not in touchpoints.columns}
+    return touchpoints.withColumns(zeros) if zeros else touchpoints

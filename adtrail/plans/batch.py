@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adtrail import schemas as S
-from adtrail.operators.attribution import aggregate_revenue, merge_revenue, prepared_revenue_or_none
+from adtrail.operators.attribution import attach_revenue, daily_channel_revenue, usable_revenue
 from adtrail.operators.facts import fact_branches, union_branches
 from adtrail.operators.cleaning import clean_sources, is_blank
 from adtrail.operators.joins import join_with_clients
@@ -60,14 +60,15 @@ def build_final(cleaned: dict[str, DataFrame],
     if clients is None or is_blank(clients):
         log.error("clients are missing; cannot join")
         return None
-    revenue = prepared_revenue_or_none(cleaned.get(S.REVENUE))
+    revenue = cleaned.get(S.REVENUE)
+    usable = usable_revenue(revenue)
     schema = T.StructType(S.FACT_SCHEMA.fields + [T.StructField(S.ATTRIBUTED_REVENUE_COL, T.DoubleType())])
     branches = fact_branches(cleaned)
-    mapped = [] if revenue is None else [df for p, df in branches.items() if p in S.PLATFORM_TO_CHANNEL]
+    mapped = [] if not usable else [df for p, df in branches.items() if p in S.PLATFORM_TO_CHANNEL]
     passing = [df.withColumn(S.ATTRIBUTED_REVENUE_COL, F.lit(0.0)) for p, df in branches.items()
-               if revenue is None or p not in S.PLATFORM_TO_CHANNEL]
+               if not usable or p not in S.PLATFORM_TO_CHANNEL]
     if mapped:
-        merged = merge_revenue(union_branches(mapped), aggregate_revenue(revenue), salt_buckets)
+        merged = attach_revenue(union_branches(mapped), daily_channel_revenue(revenue), salt_buckets)
         passing.insert(0, merged.select(*schema.names))
     facts = union_branches(passing, clients.sparkSession, schema)
     joined = join_with_clients(facts, clients, salt_buckets)

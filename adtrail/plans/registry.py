@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtrail import schemas as S
+from adtrail.functions.channels import channel_for_platform
 from adtrail.functions.parsing import duration_seconds
 from adtrail.operators import attribution as ATT
 from adtrail.operators import explore as X
@@ -127,12 +128,12 @@ def q_summary_means(spark, sf_dir):
 
 
 def q_revenue_daily_channel(spark, sf_dir):
-    return ATT.aggregate_revenue(ATT.prepare_revenue(_cleaned(spark, sf_dir)[S.REVENUE]))
+    return ATT.daily_channel_revenue(_cleaned(spark, sf_dir)[S.REVENUE])
 
 
 def q_platform_channel(spark, sf_dir):
-    mapped = ATT.map_platforms(combine_facts(_cleaned(spark, sf_dir), spark))
-    return (mapped.groupBy("platform", F.col("channel_for_merge").alias("channel"))
+    facts = combine_facts(_cleaned(spark, sf_dir), spark)
+    return (facts.groupBy("platform", channel_for_platform("platform").alias("channel"))
             .agg(F.count(F.lit(1)).alias("touchpoints")))
 
 
@@ -217,7 +218,7 @@ def _land_table_stream(spark: SparkSession, sf_dir: str, name: str,
 def q_stream_revenue_daily(spark, sf_dir):
     """STM1/STM2 on orders: daily channel revenue from landed rows."""
     landed = _land_table_stream(spark, sf_dir, "orders", revenue_projection, S.REVENUE)
-    return ATT.aggregate_revenue(ATT.prepare_revenue(clean_source(landed, S.REVENUE)))
+    return ATT.daily_channel_revenue(clean_source(landed, S.REVENUE))
 
 
 def q_stream_web_daily(spark, sf_dir):
