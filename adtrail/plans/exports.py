@@ -19,12 +19,14 @@ from adtrail.session import scratch_folder
 from adtrail.sources import bindings as B
 from adtrail.sources.files import essential_sources_present, ingest_all, read_source
 from adtrail.sources.scan import scan_source
+from adtrail.streaming.incremental import read_periods, refresh_changed
 from adtrail.streaming.refresh import land_new_files, read_landed, read_quarantine
 
 # fixed values of the exports: which rows go to which kind of file
 BUCKETS = 8  # JSON files; the one that is cut, and the one without a required column
 CUT_BUCKET, SHORT_BUCKET = 3, 5
 NO_CHANNEL = 3  # orders with this last digit are in CSV files without a channel column
+LATE_DATE, LATE_CLIENT = "1998-06-01", "07"  # rows from this date on, and clients with such ids, arrive in a second landing
 
 
 def _write_csv(df: DataFrame, folder: str) -> None:
@@ -149,6 +151,32 @@ def q_source_gate(spark, sf_dir):
     return reduce(DataFrame.unionAll, parts)
 
 
+def land_exports(spark: SparkSession, sf_dir: str, landing: dict[str, str], late: bool) -> None:
+    """All six sources as export files, the early or the late rows."""
+    for source, raw in B.raw_sources(spark, sf_dir).items():
+        if source == S.CLIENTS:
+            is_late = F.col("client_id").cast("string").endswith(LATE_CLIENT)
+        else:
+            is_late = F.expr(f"try_cast(`date` AS date) >= DATE '{LATE_DATE}'")
+        rows = raw.where(F.coalesce(is_late, F.lit(False)) == late)
+        if source == S.FACEBOOK_ADS:
+            # a JSON column without any value in a file would count as absent
+            rows.na.fill("", ["geo"]).write.mode("append").json(landing[source])
+        else:
+            _write_csv(rows, landing[source])
+
+
+def q_refreshed_months(spark, sf_dir):
+    """STM1 without a full rebuild: the final table kept by month; the second landing
+    rebuilds the months of its facts, its revenue and its clients' older facts."""
+    root = scratch_folder(spark, "refreshed")
+    landing = {s: f"{root}/landing/{s}" for s in S.ALL_SOURCES}
+    for late in (False, True):
+        land_exports(spark, sf_dir, landing, late)
+        refresh_changed(spark, landing, f"{root}/work", f"{root}/final", "month", json_lines=True)
+    return read_periods(spark, f"{root}/final", "month")
+
+
 QUERIES = {
     "csv_exports": q_csv_exports,
     "json_exports": q_json_exports,
@@ -157,6 +185,7 @@ QUERIES = {
     "stream_json_landing": q_stream_json_landing,
     "stream_quarantine": q_stream_quarantine,
     "source_gate": q_source_gate,
+    "refreshed_months": q_refreshed_months,
 }
 
 _REVENUE_SQL = f"""

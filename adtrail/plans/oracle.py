@@ -258,6 +258,7 @@ ORACLE_SQL: dict[str, str] = {
                count(*) AS touchpoints
         FROM facts GROUP BY ALL"""),
     "attribution": _q("SELECT * FROM final"),
+    "refreshed_months": _q("SELECT * FROM final"),
     "attribution_no_revenue": _q(f"""
         SELECT {_FINAL_COLS}, {D0} AS attributed_revenue_from_source_usd, {D0} AS attributed_revenue_model_usd
         FROM metrics"""),
