@@ -25,6 +25,7 @@ from adtrail.streaming.refresh import land_new_files, read_landed, read_quaranti
 # fixed values of the exports: which rows go to which kind of file
 BUCKETS = 8  # JSON files; the one that is cut, and the one without a required column
 CUT_BUCKET, SHORT_BUCKET = 3, 5
+SPREAD = 61  # tasks over which the files to write are dealt, so that hardly two meet in one
 NO_CHANNEL = 3  # orders with this last digit are in CSV files without a channel column
 LATE_DATE, LATE_CLIENT = "1998-06-01", "07"  # rows from this date on, and clients with such ids, arrive in a second landing
 
@@ -73,9 +74,9 @@ def write_facebook_exports(spark: SparkSession, sf_dir: str, folder: str) -> Non
     last = F.lead("json").over(by_file).isNull()
     line = F.concat(F.when(F.row_number().over(by_file) == 1, "[").otherwise(","), F.col("json"),
                     F.when(last & (F.col("bucket") != CUT_BUCKET), "]").otherwise(""))
-    (rows.select("bucket", "l_orderkey", "l_linenumber", line.alias("value"))
-     .repartition(BUCKETS, "bucket").sortWithinPartitions("bucket", "l_orderkey", "l_linenumber", F.substring("value", 2, 1 << 20))
-     .select("bucket", "value").write.partitionBy("bucket").option("compression", "none").text(folder))
+    # the window's one shuffle and order serve the writer, too
+    (rows.repartition(SPREAD, "bucket").select("bucket", line.alias("value"))
+     .write.partitionBy("bucket").option("compression", "none").text(folder))
 
 
 def _exports(spark: SparkSession, sf_dir: str, source: str) -> str:

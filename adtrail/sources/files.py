@@ -13,7 +13,8 @@ expressions. Outcomes follow one convention:
 CSV is read splittable by default (``multiline=False``), so a large export
 is scanned by many tasks; set ``multiline=True`` only for files with
 quoted line breaks, which forces one task per file. A top-level JSON array
-is likewise one task per file; JSON Lines (``json_lines=True``) splits.
+splits when each of its records is a line, else it is likewise one task per
+file; JSON Lines (``json_lines=True``) splits.
 """
 
 from __future__ import annotations
