@@ -205,7 +205,7 @@ def parsed_rows(spark: SparkSession, files: list[str], required: Sequence[str],
     """Rows of the files without corrupt records."""
     if not files:
         return None
-    if not json_lines:  # with the corrupt record column, each row of a cut array would read the whole file again
+    if not json_lines:  # the corrupt record column would hold the whole text of a cut file
         return read_json(spark, files, required, json_lines, "DROPMALFORMED")
     # the second test is always true: Spark refuses to read the corrupt record column alone, as a plain count would
     parsed = F.col(CORRUPT).isNull() & (F.coalesce(F.length(required[0]), F.lit(0)) >= 0)
@@ -224,7 +224,7 @@ def file_counts(rows: DataFrame, required: Sequence[str]) -> DataFrame:
 
 def whole_counts(spark: SparkSession, files: list[str], required: Sequence[str]) -> DataFrame:
     """The same for files parsed as a whole. Corrupt are the records that are missing
-    when malformed files are dropped: naming them by their text would read the file once for each."""
+    when malformed files are dropped, so no file's whole text is held as a record."""
     def read(mode: str, sign: int) -> DataFrame:
         return (read_json(spark, files, required, False, mode).groupBy(F.col("_metadata.file_path").alias(FILE))
                 .agg(F.count(F.lit(1)).alias("n"), *_counts(required)).withColumn("sign", F.lit(sign)))

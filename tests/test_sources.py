@@ -205,7 +205,7 @@ def test_array_files_are_judged_as_a_whole_parse_would(spark, tmp_dir, name, tex
             sorted(str(r).replace(", _bad=None", "") for r in parsed)
 
 
-def test_a_cut_array_is_not_read_once_for_each_of_its_rows(spark, tmp_dir):
+def test_a_cut_array_is_dropped_without_holding_its_text(spark, tmp_dir):
     write(os.path.join(tmp_dir, "a.json"), json.dumps(FB * 3, indent=1)[:-3])
     write(os.path.join(tmp_dir, "b.json"), json.dumps(FB, indent=1))
     loose = read_json_source(spark, tmp_dir, check_files=False)
