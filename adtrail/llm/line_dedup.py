@@ -18,6 +18,10 @@ are joined too: lines meet that are equal but for one word, changed or left out
 So edits within one word (of a longer line: within two) are found by construction, whatever the length. Lines that meet so are
 verified against two representatives, the least and the greatest by hash, so the pairs are at most twice the keys.
 
+Representatives may be unlike lines that are alike, so then the lines that met and are still
+in different groups are compared with each other: of each key those outside its largest group with the rest. Pairs that
+cannot be similar go by length and by which letters occur an odd number of times, before their texts are read.
+
 Lines under ``MIN_WORDS`` words are never removed. Defined cases: a null text
 stays null and an empty one empty; null ids sort after all others; rows with
 the same id count as one document whose n-th lines are one occurrence when
@@ -49,6 +53,7 @@ SHORT_WORDS = 16            # up to so many words any one may differ
 LONG_WORDS = 10             # from so many words (some 50 characters, so 5 edits) on two of
 RUNS = 5                    # so many runs of words may differ
 LENGTH_RATIO = 0.9          # characters; lengths further apart cannot be that similar
+PLACE_LINES = 4096          # lines of a key that a task compares at a time
 
 _NORMAL = np.arange(256, dtype=np.uint8)
 _NORMAL[:128] = [c + 32 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c if 97 <= c <= 122 or c == 10 else 32
@@ -58,7 +63,7 @@ _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 # A byte's eight bits, highest first, as eight counters in memory order.
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64)[:, 0]
 
-LINES = "rid long, doc_id long, line int, k1 long, k2 long, simhash long, size int"
+LINES = "rid long, doc_id long, line int, k1 long, k2 long, simhash long, size int, odd long"
 
 
 class _Words:
@@ -120,8 +125,8 @@ def segment_keys(texts: list[str], min_words: int) -> tuple[np.ndarray, np.ndarr
 
 def line_table(texts: list[str]):
     """Of the lines with words: text number, line number, two 64-bit hashes of
-    the normalised words in order, SimHash, words and normalised length in
-    characters."""
+    the normalised words in order, SimHash, words, normalised length in
+    characters and a bitmap in which every character (by its first byte) flips one bit."""
     w = _Words(texts)
     buf, feeds, starts, ends, words = w.buf, w.feeds, w.starts, w.ends, w.words
     lines, first, n_words, last = w.lines, w.first, w.n_words, w.last
@@ -135,10 +140,12 @@ def line_table(texts: list[str]):
     rest = np.concatenate([[0], np.cumsum((buf & 0xC0) == 0x80)])  # bytes that begin no character
     chars = ends - starts - (rest[ends] - rest[starts])
     spans = np.add.reduceat(chars, first) + n_words - 1 if len(lines) else np.zeros(0, np.int64)
+    bits = np.where((buf == 32) | (buf == 10) | ((buf & 0xC0) == 0x80), np.uint64(0), np.uint64(1) << (buf & 63).astype(np.uint64))
+    odd = np.bitwise_xor.reduceat(bits, starts[first]) if len(lines) else np.zeros(0, np.uint64)
     text_end = np.cumsum(w.sizes)
     text = np.searchsorted(text_end, feeds[lines], side="right")
     first_line = np.concatenate([[0], np.searchsorted(feeds, text_end[:-1])])
-    return text, lines - first_line[text], w.ordered_hash(words), w.ordered_hash(S.mix(words * _SECOND)), simhash, n_words, spans
+    return text, lines - first_line[text], w.ordered_hash(words), w.ordered_hash(S.mix(words * _SECOND)), simhash, n_words, spans, odd
 
 
 def _bit_counts(words: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -162,12 +169,13 @@ def line_rows(batches, min_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rids, docs, all_texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
         for a, b in C.slices([len(t) for t in all_texts]):
-            text, line, k1, k2, simhash, n, size = line_table(all_texts[a:b])
+            text, line, k1, k2, simhash, n, size, odd = line_table(all_texts[a:b])
             keep = n >= min_words
             yield pa.RecordBatch.from_arrays(
                 [rids[a:b].take(pa.array(text[keep])), docs[a:b].take(pa.array(text[keep])), pa.array(line[keep].astype(np.int32)),
-                 *(pa.array(x[keep].view(np.int64)) for x in (k1, k2, simhash)), pa.array(size[keep].astype(np.int32))],
-                ["rid", "doc_id", "line", "k1", "k2", "simhash", "size"])
+                 *(pa.array(x[keep].view(np.int64)) for x in (k1, k2, simhash)), pa.array(size[keep].astype(np.int32)),
+                 pa.array(odd[keep].view(np.int64))],
+                ["rid", "doc_id", "line", "k1", "k2", "simhash", "size", "odd"])
 
 
 def segment_rows(batches, min_words: int) -> Iterator[pa.RecordBatch]:
@@ -178,16 +186,36 @@ def segment_rows(batches, min_words: int) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(k1.view(np.int64))], ["key", "k1"])
 
 
-def _segment_pairs(texts: DataFrame, min_words: int) -> DataFrame:
-    """``a, b``: lines that are equal but for those runs, each with its group's two
+def _segment_places(texts: DataFrame, min_words: int) -> DataFrame:
+    """``key, k1, low, high``: lines that are equal but for those runs, each with its group's two
     representatives. The groups are found by minima and maxima, so a task sends a row a key whatever
     its copies; only keys with different lines are met again by their members."""
     keyed = C.map_batches(texts.select("text"), segment_rows, "key long, k1 long", min_words=min_words)
     groups = keyed.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high")
     groups = C.materialize(groups, "line-runs")
-    met = keyed.join(C.small(groups, groups.count()), "key")
-    ends = met.select("k1", F.explode(F.array("low", "high")).alias("rep")).where("k1 <> rep")
-    return ends.select(F.least("k1", "rep").alias("a"), F.greatest("k1", "rep").alias("b")).distinct()
+    return C.materialize(keyed.join(C.small(groups, groups.count()), "key").distinct(), "line-places")
+
+
+def _open_pairs(places: DataFrame, distinct: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: lines of one key (``places``: key, k1) that are in different groups so far and may
+    be similar. An edit flips at most two bits of ``odd``."""
+    met = (places.join(distinct.select("k1", "size", "odd"), "k1").join(groups, F.col("k1") == F.col("node"), "left")
+           .select("key", "k1", "size", "odd", F.coalesce("component", "k1").alias("component")))
+    parts = met.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
+    mixed = (parts.groupBy("key").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("n"), F.count(F.lit(1)).alias("parts"))
+             .where("parts > 1").select("key", F.col("top.component").alias("main"), F.ceil(F.col("n") / PLACE_LINES).alias("deals")))
+    rows = C.materialize(met.join(mixed, "key"), "open-lines")
+    # a key with many lines is dealt to several tasks; its lines outside the largest group go to each
+    outside = rows.where("component <> main").select(
+        "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"),
+        *[F.col(c).alias(f"{c}_a") for c in ("k1", "size", "odd", "component")])
+    others = rows.select("key", F.expr("pmod(xxhash64(k1), deals)").alias("deal"), "main", "k1", "size", "odd", "component")
+    edits = F.floor(F.greatest("size_a", "size") * F.lit(1 - similarity) + F.lit(1e-9))
+    fit = (F.abs(F.col("size_a") - F.col("size")) <= edits) & (F.bit_count(F.col("odd_a").bitwiseXOR(F.col("odd"))) <= 2 * edits)
+    # two lines outside the largest group meet once, not twice
+    once = (F.col("component") == F.col("main")) | (F.col("k1_a") < F.col("k1"))
+    return (outside.join(others, ["key", "deal"]).where((F.col("component_a") != F.col("component")) & once & fit)
+            .select(F.least("k1_a", "k1").alias("a"), F.greatest("k1_a", "k1").alias("b")).distinct())
 
 
 def pick_lines(batches) -> Iterator[pa.RecordBatch]:
@@ -255,8 +283,8 @@ def differing_parts(batches, similarity: float) -> Iterator[pa.RecordBatch]:
 
 
 def _block_pairs(classes: DataFrame) -> DataFrame:
-    """``x, y``: SimHash values at most MAX_DISTANCE bits apart whose first
-    lines' lengths are near. ``classes``: simhash, size."""
+    """``x, y``: SimHash values at most MAX_DISTANCE bits apart that have
+    lines of near lengths. ``classes``: simhash, size."""
     blocks = MAX_DISTANCE + 1
     width = 64 // blocks
     length = F.floor(F.log(F.col("size")) / -np.log(LENGTH_RATIO)).cast("long")
@@ -273,6 +301,26 @@ def _block_pairs(classes: DataFrame) -> DataFrame:
     return x.join(y, "key").where(((F.col("shift") == 1) & (F.col("x") != F.col("y")) | (F.col("x") < F.col("y"))) & near).select("x", "y").distinct()
 
 
+def _links(pairs: DataFrame, distinct: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b: line hashes) that are similar enough, verified on the lines' texts."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = C.materialize(pairs, "line-pairs")
+    if pairs.isEmpty():
+        return pairs
+    nodes = pairs.select(F.col("a").alias("k1")).unionByName(pairs.select(F.col("b").alias("k1"))).distinct()
+    asked = C.materialize(distinct.join(nodes, "k1", "left_semi").groupBy(F.col("head_rid").alias("asked_id")).agg(
+        F.collect_list(F.struct(F.col("k1").alias("node"), F.col("head.line").alias("line"))).alias("asked")), "asked")
+    ids = asked.select(F.col("asked_id").alias("rid"))
+    wanted = texts.select("rid", "text").join(C.small(ids, asked.count()), "rid", "left_semi")
+    bodies = C.map_batches(wanted.join(asked, F.col("rid") == F.col("asked_id")).select("text", "asked"),
+                           pick_lines, "node long, body string").groupBy("node").agg(F.min("body").alias("body"))
+    bodies = C.materialize(bodies, "bodies")
+    both = (pairs.join(bodies.select(F.col("node").alias("a"), F.col("body").alias("p")), "a")
+            .join(bodies.select(F.col("node").alias("b"), F.col("body").alias("q")), "b").select("a", "b", "p", "q"))
+    both = C.map_batches(both, differing_parts, "a long, b long, p string, q string, limit int", similarity=similarity)
+    return C.materialize(both.where(F.expr("levenshtein(p, q, limit)") >= 0).select("a", "b"), "line-links")
+
+
 def repeated_lines(texts: DataFrame, min_words: int = MIN_WORDS, similarity: float = EDIT_SIMILARITY) -> DataFrame:
     """``gone_id, gone``: the numbers of the lines to remove. ``texts``: rid,
     doc_id, text."""
@@ -280,33 +328,35 @@ def repeated_lines(texts: DataFrame, min_words: int = MIN_WORDS, similarity: flo
     # null ids last
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
     distinct = C.materialize(lines.groupBy("k1", "k2").agg(
-        F.min("simhash").alias("simhash"), F.min("size").alias("size"), F.min(place).alias("head"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "line", "rid"))["rid"].alias("head_rid"),
+        F.min("simhash").alias("simhash"), F.min("size").alias("size"), F.min("odd").alias("odd"), F.min(place).alias("head"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "line", "rid"))["rid"].alias("head_rid"),
         F.count(F.lit(1)).alias("copies")), "distinct-lines")
-    classes = distinct.groupBy("simhash").agg(F.min(F.struct("head", "k1", "size")).alias("r"), F.count(F.lit(1)).alias("members"))
-    classes = C.materialize(classes.select("simhash", F.col("r.k1").alias("rep"), F.col("r.size").alias("size"), "members"), "line-classes")
+    classes = distinct.groupBy("simhash").agg(F.min(F.struct("head", "k1")).alias("r"), F.count(F.lit(1)).alias("members"))
+    classes = C.materialize(classes.select("simhash", F.col("r.k1").alias("rep"), "members"), "line-classes")
 
-    near = _block_pairs(classes.select("simhash", "size"))
+    # 1. lines against representatives
+    near = C.materialize(_block_pairs(distinct.select("simhash", "size").distinct()), "near-hashes")
     rep = classes.select("simhash", "rep")
     between = (near.join(rep.withColumnRenamed("simhash", "x").withColumnRenamed("rep", "a"), "x")
                .join(rep.withColumnRenamed("simhash", "y").withColumnRenamed("rep", "b"), "y").select("a", "b"))
-    within = (distinct.join(classes.where("members > 1").select("simhash", "rep"), "simhash")
-              .where(F.col("k1") != F.col("rep")).select(F.col("k1").alias("a"), F.col("rep").alias("b")))
-    by_hash = between.unionByName(within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = C.materialize(by_hash.unionByName(_segment_pairs(texts, min_words)).distinct(), "line-pairs")
-
-    nodes = pairs.select(F.col("a").alias("k1")).unionByName(pairs.select(F.col("b").alias("k1"))).distinct()
-    asked = C.materialize(distinct.join(nodes, "k1", "left_semi").groupBy(F.col("head_rid").alias("asked_id")).agg(
-        F.collect_list(F.struct(F.col("k1").alias("node"), F.col("head.line").alias("line"))).alias("asked")), "asked")
-    ids = asked.select(F.col("asked_id").alias("rid"))
-    wanted = texts.select("rid", "text").join(C.small(ids, asked.count()), "rid", "left_semi")
-    bodies = C.map_batches(wanted.join(asked, F.col("rid") == F.col("asked_id")).select("text", "asked"),
-                           pick_lines, "node long, body string").groupBy("node").agg(F.min("body").alias("body"))
-    bodies = C.materialize(bodies, "bodies")
-    both = (pairs.join(bodies.select(F.col("node").alias("a"), F.col("body").alias("p")), "a")
-            .join(bodies.select(F.col("node").alias("b"), F.col("body").alias("q")), "b").select("a", "b", "p", "q"))
-    both = C.map_batches(both, differing_parts, "a long, b long, p string, q string, limit int", similarity=similarity)
-    links = both.where(F.expr("levenshtein(p, q, limit)") >= 0).select("a", "b")
-    groups = connected_components(C.materialize(links, "line-links"))
+    several = classes.where("members > 1").select("simhash", "rep")
+    same_hash = distinct.join(several, "simhash").select("simhash", "rep", "k1")
+    within = same_hash.where(F.col("k1") != F.col("rep")).select(F.col("k1").alias("a"), F.col("rep").alias("b"))
+    runs = _segment_places(texts, min_words)
+    by_runs = runs.select(F.col("k1").alias("a"), F.explode(F.array("low", "high")).alias("b")).where("a <> b")
+    pairs = between.unionByName(within).unionByName(by_runs)
+    links = _links(pairs, distinct, texts, similarity)
+    groups = connected_components(links)
+
+    # 2. lines that met and are in different groups; hashes of one line each have been compared
+    crowded = near.join(several.select(F.col("simhash").alias("x")), "x", "left_semi").unionByName(
+        near.join(several.select(F.col("simhash").alias("y")), "y", "left_semi").select("x", "y")).distinct()
+    of_pairs = (crowded.select(F.explode(F.array("x", "y")).alias("simhash"), F.xxhash64("x", "y").alias("key"))
+                .join(distinct.select("simhash", "k1"), "simhash").select("key", "k1"))
+    places = runs.select("key", "k1").unionByName(same_hash.select(F.col("simhash").alias("key"), "k1")).unionByName(of_pairs).distinct()
+    more = _links(_open_pairs(places, distinct, groups, similarity), distinct, texts, similarity)
+    if not more.isEmpty():
+        stars = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        groups = connected_components(stars.unionByName(more))
 
     grouped = distinct.join(groups, distinct["k1"] == groups["node"], "left").where("component IS NOT NULL OR copies > 1")
     grouped = grouped.select("k1", "k2", "head", F.coalesce("component", "k1").alias("component"))

@@ -104,3 +104,36 @@ def test_lines_surely_near_are_near():
         for edits in range(8):
             if L._surely_near(p, q, edits):
                 assert edit_distance(p, q) <= edits
+
+
+def test_alike_lines_beside_unlike_representatives(spark):
+    # all lines differ in their last word alone, so they meet in one key; most are not similar to its two representatives
+    rng = random.Random(5)
+    lines = []
+    for _ in range(60):
+        line = "delta kappa " + "".join(rng.choices("abcdefghiklmnoprstu", k=8))
+        lines += [line, edited(rng, line)]
+    lines = [x for x in dict.fromkeys(lines) if x.startswith("delta kappa ")]
+    want = expected_removed(lines)
+    assert len(want) > 20 and removed(spark, lines) == want
+
+
+def test_alike_lines_of_one_simhash_beside_an_unlike_first_line(spark):
+    # the same words in another order have one SimHash; a letter that many words outvote does not change it
+    words = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in "lmnr"]
+    turned = words[40:] + words[:40]
+    swapped = turned.copy()
+    for i in (0, 20, 40, 60):
+        swapped[i], swapped[i + 1] = turned[i + 1], turned[i]
+    lines = [" ".join(x) for x in (words, turned, swapped)]
+    assert similar(lines[1], lines[2]) and not similar(lines[0], lines[1]) and not similar(lines[0], lines[2])
+    assert removed(spark, lines) == {2}
+
+
+def test_odd_letters_bound_the_edits():
+    rng = random.Random(11)
+    for _ in range(200):
+        p = " ".join("".join(rng.choices("abcé日0", k=rng.randint(1, 6))) for _ in range(rng.randint(1, 8)))
+        q = edited(rng, edited(rng, p))
+        x, y = (sum(L.line_table([t])[7].tolist()) for t in (p, q))  # 0 of a line without a word
+        assert (x ^ y).bit_count() <= 2 * edit_distance(L.normalised(p), L.normalised(q))
