@@ -104,14 +104,15 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window_words: int = WINDOW_
     found = (phrase_candidates(postings, terms).join(C.small(phrases, n_phrases), "window")
              .groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "window", "phrase")).alias("found"))
              .withColumnRenamed("doc_id", "row"))
+    found = C.materialize(found, "found")
 
-    checked = (base.join(found, "row", "left")
-               .select("row", "doc_id", words(F.col("text")).alias("ws"), "found"))
+    # only texts with a place to compare are sent
+    asked = base.join(C.small(found.select("row"), found.count()), "row", "left_semi")
+    checked = asked.join(found, "row").select("row", words(F.col("text")).alias("ws"), "found")
     same = F.filter("found", lambda x: F.array_join(F.slice("ws", x["start"] + 1, x["n"]), " ") == x["phrase"])
     hits = C.materialize(checked.select(
-        "row", "doc_id", word_count(F.col("ws")).cast("long").alias("n_words"),
-        F.transform(same, lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["n"]).alias("end"),
-                                             x["window"].alias("window"))).alias("hits")), "hits")
+        "row", F.transform(same, lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["n"]).alias("end"),
+                                                    x["window"].alias("window"))).alias("hits")), "hits")
 
     occurrences = hits.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.*")
     by_row = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
@@ -123,7 +124,8 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window_words: int = WINDOW_
     items = (occurrences.select("row", "window").distinct().join(window_items, "window")
              .select("row", F.col("item_id").cast("string").alias("item_id")).distinct()
              .groupBy("row").agg(F.array_sort(F.collect_list("item_id")).alias("item_ids")))
-    return (hits.join(covered, "row", "left").join(items, "row", "left")
+    judged = base.select("row", "doc_id", word_count(words(F.col("text"))).cast("long").alias("n_words"))
+    return (judged.join(covered, "row", "left").join(items, "row", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
