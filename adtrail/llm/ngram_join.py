@@ -69,6 +69,25 @@ def repeated_shingles(batches) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["shingle", "n"])
 
 
+def most_frequent(often: DataFrame, most: int) -> np.ndarray:
+    """About ``most`` shingles (sorted) that occur most often. The counts alone say from
+    which on they are listed, so no task sorts all of them; of those with that very count a share goes by hash.
+    The driver gets one row a count and the list, as columns."""
+    rows = often.groupBy("n").agg(F.count(F.lit(1)).alias("m")).toArrow()
+    counts, held = (np.asarray(rows[c], np.int64) for c in ("n", "m"))
+    order = np.argsort(-counts)
+    total = np.cumsum(held[order])
+    at = int(np.searchsorted(total, most, side="right"))
+    if at == len(total):
+        chosen = often
+    else:
+        last = order[at]
+        room = most - int(total[at] - held[last])
+        limit = -(1 << 63) + (room << 64) // int(held[last])
+        chosen = often.where((F.col("n") > int(counts[last])) | (F.col("n") == int(counts[last])) & (F.col("shingle") < limit))
+    return np.sort(np.asarray(chosen.select("shingle").toArrow()["shingle"], np.int64).view(np.uint64))
+
+
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (percent * n + 99) // 100 + 1
 
@@ -199,9 +218,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     """``doc_id, n_shingles, component_id`` of every document."""
     spark = docs.sparkSession
     texts = C.id_text(docs, id_col, text_col)
-    often = (C.map_batches(texts, repeated_shingles, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "shingle").limit(FREQUENT).select("shingle").toPandas())
-    frequent = np.sort(often["shingle"].to_numpy(np.int64).view(np.uint64))
+    often = C.materialize(C.map_batches(texts, repeated_shingles, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "repeated")
+    frequent = most_frequent(often, FREQUENT)
 
     rows = C.materialize(C.map_batches(texts, prefixes, PREFIXES, frequent=frequent, percent=percent), "prefixes")
     members = C.materialize(rows.where("n > 0").groupBy("n", "h1", "h2", "grp").agg(

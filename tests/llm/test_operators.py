@@ -279,6 +279,29 @@ def test_jaccard_components_match_brute_force(docs, empty):
     assert ngram_join.jaccard_components(empty).count() == 0
 
 
+def test_list_of_frequent_shingles_comes_as_columns(spark, monkeypatch):
+    """The most frequent first, ties by hash; neither row objects nor a sort of all shingles."""
+    rng = random.Random(4)
+    rows = [(x, n) for n, m in ((9, 5), (4, 20), (2, 4000)) for x in (rng.randrange(-1 << 63, 1 << 63) for _ in range(m))]
+    often = spark.createDataFrame(rows, "shingle long, n long")
+    monkeypatch.setattr(type(often), "toPandas", lambda df: pytest.fail("row objects"))
+    monkeypatch.setattr(type(often), "collect", lambda df: pytest.fail("row objects"))
+    for most in (10, 25, 1025, 5000):
+        got = ngram_join.most_frequent(often, most).view(np.int64)
+        assert len(got) <= most * 1.2 and (np.diff(got.view(np.uint64)) > 0).all()
+        counts = collections.Counter(dict(rows)[x] for x in got.tolist())
+        assert counts[9] == 5 and counts[4] == (20 if most >= 25 else counts[4])
+        if most == 1025:
+            assert 800 < counts[2] < 1200
+            twos = sorted(x for x, n in rows if n == 2)
+            assert sorted(x for x in got.tolist() if dict(rows)[x] == 2) == twos[:counts[2]]
+        if most == 5000:
+            assert len(got) == len(rows)
+    assert len(ngram_join.most_frequent(often.limit(0), 10)) == 0
+    found = ngram_join.jaccard_components(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string"))
+    assert sorted(r.component_id for r in found.toLocalIterator()) == [1, 1]
+
+
 def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
     rng = random.Random(9)
     one, two = (" ".join("v%d" % rng.randint(0, 999) for _ in range(80)) for _ in range(2))
