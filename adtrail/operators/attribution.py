@@ -94,7 +94,9 @@ def attach_revenue(touchpoints: DataFrame, daily_revenue: DataFrame, salt_bucket
     if salt_buckets > 1:
         joined = salted_left_join(t, r, cond, salt_buckets)
     else:
-        joined = t.join(r, on=cond(t, r), how="left")
+        # revenue has one short row a key, so its side of a partition is small however skewed the touchpoints
+        # are: a hash of it spares sorting (and, as range partitioning samples, sorting twice) the wide rows
+        joined = t.join(r.hint("shuffle_hash"), on=cond(t, r), how="left")
     out = [F.col(f"`{c}`") for c in keep]
     out.append(F.coalesce(F.col(S.ATTRIBUTED_REVENUE_COL), F.lit(0.0)).alias(S.ATTRIBUTED_REVENUE_COL))
     if S.ATTRIBUTED_MODEL_COL not in keep:

@@ -18,7 +18,12 @@ from adtrail.session import scratch_folder
 from adtrail.sinks import append_batch, publish_parquet, replace_table, save_final, table_root
 from adtrail.sources.analytics import load_analytics
 
-DAY_FILES = 32  # ranges of the dataset from which one day is read
+DAY_FILES = 32  # ranges at least of the dataset from which one day is read
+
+
+def _ranges(spark: SparkSession) -> int:
+    """Ranges of a dataset: they follow the session's partitions, which follow the data, so that a task's rows fit its memory."""
+    return max(DAY_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def published(spark: SparkSession, final: DataFrame, day: tuple) -> DataFrame:
@@ -26,14 +31,14 @@ def published(spark: SparkSession, final: DataFrame, day: tuple) -> DataFrame:
     from the second's files that hold them."""
     root = scratch_folder(spark, "published")
     publish_parquet(final.limit(0), root)
-    publish_parquet(final, root, files=DAY_FILES)
+    publish_parquet(final, root, files=_ranges(spark))
     return load_analytics(spark, root, date_range=day)
 
 
 def file_index(spark: SparkSession, final: DataFrame) -> DataFrame:
     """The file index of a version, summed up."""
     root = scratch_folder(spark, "indexed")
-    publish_parquet(final, root, files=DAY_FILES)
+    publish_parquet(final, root, files=_ranges(spark))
     index = spark.read.parquet(f"{root}/{V.current_version(spark, root)}/{V.FILES}")
     return index.agg(F.sum("rows").alias("rows"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
 

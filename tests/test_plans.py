@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from adtrail.operators import explore as X
+from adtrail.plans import stored
 from adtrail.plans.registry import QUERIES, final_table
 from adtrail.sinks import write_parquet
 from adtrail.sources.analytics import load_analytics
@@ -67,3 +68,19 @@ def test_written_table_prunes_partitions_and_pushes_filters(spark, tmp_dir):
 def test_lift_shuffles_partial_aggregates(spark):
     plan = physical(QUERIES["channel_lift"](spark, SF))
     assert "partial_sum" in plan  # map-side combine before the platform shuffle
+
+
+def test_wide_rows_are_not_sorted_for_the_revenue_join(spark):
+    """Its result is range partitioned, which runs the join twice; a sort there spilled twice."""
+    joins = [ln for ln in physical(QUERIES["attribution"](spark, SF)).splitlines() if "Join" in ln and "_rev_client_id" in ln]
+    assert joins and all("ShuffledHashJoin" in ln and "BuildRight" in ln for ln in joins)
+
+
+def test_published_ranges_follow_the_sessions_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions, ranges in ((8, 32), (200, 200)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert stored._ranges(spark) == ranges
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
