@@ -197,7 +197,9 @@ def save_final(df: DataFrame, output: dict,
         if fmt == "parquet":
             publish_parquet(df, cfg["path"], observe=observe)
         elif fmt == "table":
-            replace_table(observe(df) if observe else df, cfg.get("table", S.FINAL_TABLE))
+            # read back, rows come file by file, and each file is of one platform and in date order
+            order = ("platform", "date") if written is None or written["format"] != "parquet" else ()
+            replace_table(observe(df) if observe else df, cfg.get("table", S.FINAL_TABLE), sort_within=order)
         else:
             raise ValueError(f"unknown output format {fmt}")
         if written is None:

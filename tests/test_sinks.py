@@ -182,3 +182,26 @@ def test_second_format_is_written_from_the_first(spark, tmp_dir):
     out = save_final(counted, {"table": {"save": True, "table": "t_both"}, "parquet": {"save": True, "path": os.path.join(tmp_dir, "b")}})
     assert out["format"] == "table" and runs.value == len(ROWS)
     assert spark.table("t_both").count() == V.read_current(spark, os.path.join(tmp_dir, "b")).count() == 3
+
+
+def test_second_format_is_not_sorted_again(spark, tmp_dir, monkeypatch):
+    """The first format's files are in order already; a table written alone or first is still sorted."""
+    from adtrail import sinks
+
+    orders = []
+    layout = sinks._layout
+
+    def spy(df, partition_by, sort_within):
+        orders.append((tuple(partition_by), tuple(sort_within)))
+        return layout(df, partition_by, sort_within)
+
+    monkeypatch.setattr(sinks, "_layout", spy)
+    df = spark.sql("SELECT id, CAST(id % 3 AS string) AS platform, TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(int(id % 7)) AS date FROM range(50)")
+    path = os.path.join(tmp_dir, "first")
+    sinks.save_final(df, {"parquet": {"save": True, "path": path}, "table": {"save": True, "table": "t_second"}})
+    assert orders == [(("platform",), ("date",)), ((), ())]
+    rows = lambda t: sorted(tuple(r) for r in t.select("id", "platform", "date").toLocalIterator())
+    assert rows(spark.table("t_second")) == rows(df)
+    orders.clear()
+    sinks.save_final(df, {"table": {"save": True, "table": "t_second"}})
+    assert orders == [((), ("platform", "date"))]
