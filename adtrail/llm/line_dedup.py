@@ -9,8 +9,10 @@ normalised lines' characters, and of each connected group the first occurrence
 (smallest document id, then line) is kept.
 
 Lines with equal SimHash form a class; its members are verified against its
-first line, and classes through their first lines. So no block makes pairs of
-all its lines' copies, and the result does not depend on how data is dealt.
+first line. Classes in the same block are compared with their neighbours in order first; near classes are
+joined after that, only as far as their lines are in different groups by then, so a family of near copies
+makes no pairs of all its lines. The result is that of
+all pairs that meet, whatever is compared first.
 
 A changed word flips many bits of a short line's SimHash, so blocks of the line itself
 are joined too: lines meet that are equal but for one word, changed or left out (lines of at most
@@ -18,8 +20,8 @@ are joined too: lines meet that are equal but for one word, changed or left out
 So edits within one word (of a longer line: within two) are found by construction, whatever the length. Lines that meet so are
 verified against two representatives, the least and the greatest by hash, so the pairs are at most twice the keys.
 
-Representatives may be unlike lines that are alike, so then the lines that met and are still
-in different groups are compared with each other: of each key those outside its largest group with the rest. Pairs that
+Representatives may be unlike lines that are alike, so then the lines that met (by key, or by equal or near SimHash) and
+are still in different groups are compared with each other: of each key those outside its largest group with the rest. Pairs that
 cannot be similar go by length and by which letters occur an odd number of times, before their texts are read.
 
 Lines under ``MIN_WORDS`` words are never removed. Defined cases: a null text
@@ -38,9 +40,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from adtrail.llm import common as C
 from adtrail.llm import shingles as S
@@ -196,11 +199,10 @@ def _segment_places(texts: DataFrame, min_words: int) -> DataFrame:
     return C.materialize(keyed.join(C.small(groups, groups.count()), "key").distinct(), "line-places")
 
 
-def _open_pairs(places: DataFrame, distinct: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+def _open_pairs(places: DataFrame, grouped: DataFrame, similarity: float) -> DataFrame:
     """``a, b``: lines of one key (``places``: key, k1) that are in different groups so far and may
-    be similar. An edit flips at most two bits of ``odd``."""
-    met = (places.join(distinct.select("k1", "size", "odd"), "k1").join(groups, F.col("k1") == F.col("node"), "left")
-           .select("key", "k1", "size", "odd", F.coalesce("component", "k1").alias("component")))
+    be similar. An edit flips at most two bits of ``odd``. ``grouped``: k1, size, odd, component."""
+    met = places.join(grouped.select("k1", "size", "odd", "component"), "k1").select("key", "k1", "size", "odd", "component")
     parts = met.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
     mixed = (parts.groupBy("key").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("n"), F.count(F.lit(1)).alias("parts"))
              .where("parts > 1").select("key", F.col("top.component").alias("main"), F.ceil(F.col("n") / PLACE_LINES).alias("deals")))
@@ -282,23 +284,52 @@ def differing_parts(batches, similarity: float) -> Iterator[pa.RecordBatch]:
                                           pa.array(limit, pa.int32())], ["a", "b", "p", "q", "limit"])
 
 
-def _block_pairs(classes: DataFrame) -> DataFrame:
+_BLOCKS = MAX_DISTANCE + 1
+_WIDTH = 64 // _BLOCKS
+
+
+def _length_class() -> Column:
+    return F.floor(F.log(F.col("size")) / -np.log(LENGTH_RATIO)).cast("long")
+
+
+def _block_keys(length: Column) -> list[Column]:
+    """A key for each block of ``simhash`` and a length class."""
+    return [F.shiftleft(F.lit(i).cast("long"), 56).bitwiseOR(F.shiftleft(length, _WIDTH)).bitwiseOR(
+        F.shiftrightunsigned("simhash", i * _WIDTH).bitwiseAND((1 << _WIDTH) - 1)) for i in range(_BLOCKS)]
+
+
+def _near(x: str, y: str) -> Column:
+    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= MAX_DISTANCE
+
+
+def _block_neighbours(distinct: DataFrame) -> DataFrame:
+    """``x, y``: of each block the SimHash values that are neighbours in order and near, so
+    a row a value. ``distinct``: simhash, size."""
+    classes = distinct.select("simhash", _length_class().alias("length")).distinct()
+    # in order by the bits behind the block, then by those before it
+    turned = [F.shiftrightunsigned("simhash", i * _WIDTH).bitwiseOR(F.shiftleft("simhash", 64 - i * _WIDTH)) if i else F.col("simhash")
+              for i in range(_BLOCKS)]
+    placed = classes.select(F.col("simhash").alias("x"), F.explode(F.array(*[
+        F.struct(key.alias("key"), t.alias("turned")) for key, t in zip(_block_keys(F.col("length")), turned)])).alias("p"))
+    before = F.lag("x").over(Window.partitionBy("p.key").orderBy("p.turned"))
+    met = placed.withColumn("y", before).where(_near("x", "y"))
+    return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def _block_pairs(grouped: DataFrame) -> DataFrame:
     """``x, y``: SimHash values at most MAX_DISTANCE bits apart that have
-    lines of near lengths. ``classes``: simhash, size."""
-    blocks = MAX_DISTANCE + 1
-    width = 64 // blocks
-    length = F.floor(F.log(F.col("size")) / -np.log(LENGTH_RATIO)).cast("long")
+    lines of near lengths in different groups. ``grouped``: simhash, size, component."""
+    classes = grouped.select("simhash", _length_class().alias("length"), "component").distinct()
 
     def keyed(shift):
-        keys = F.array(*[F.shiftleft(F.lit(i).cast("long"), 56).bitwiseOR(F.shiftleft(length + shift, width)).bitwiseOR(
-            F.shiftrightunsigned("simhash", i * width).bitwiseAND((1 << width) - 1)) for i in range(blocks)])
-        return classes.select(F.explode(keys).alias("key"), F.col("simhash"), F.lit(shift).alias("shift"))
+        return classes.select(F.explode(F.array(*_block_keys(F.col("length") + shift))).alias("key"), "simhash", "component", F.lit(shift).alias("shift"))
 
     # a line meets those of its own length class, and those of the next
-    x = keyed(0).unionByName(keyed(1)).select("key", F.col("simhash").alias("x"), "shift")
-    y = keyed(0).select("key", F.col("simhash").alias("y"))
-    near = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= MAX_DISTANCE
-    return x.join(y, "key").where(((F.col("shift") == 1) & (F.col("x") != F.col("y")) | (F.col("x") < F.col("y"))) & near).select("x", "y").distinct()
+    x = keyed(0).unionByName(keyed(1)).select("key", F.col("simhash").alias("x"), F.col("component").alias("x_in"), "shift")
+    y = keyed(0).select("key", F.col("simhash").alias("y"), F.col("component").alias("y_in"))
+    once = (F.col("shift") == 1) & (F.col("x") != F.col("y")) | (F.col("x") < F.col("y"))
+    met = x.join(y, "key").where(once & (F.col("x_in") != F.col("y_in")) & _near("x", "y"))
+    return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
 def _links(pairs: DataFrame, distinct: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -333,35 +364,33 @@ def repeated_lines(texts: DataFrame, min_words: int = MIN_WORDS, similarity: flo
     classes = distinct.groupBy("simhash").agg(F.min(F.struct("head", "k1")).alias("r"), F.count(F.lit(1)).alias("members"))
     classes = C.materialize(classes.select("simhash", F.col("r.k1").alias("rep"), "members"), "line-classes")
 
-    # 1. lines against representatives
-    near = C.materialize(_block_pairs(distinct.select("simhash", "size").distinct()), "near-hashes")
+    # 1. lines against representatives, classes against their neighbours
     rep = classes.select("simhash", "rep")
-    between = (near.join(rep.withColumnRenamed("simhash", "x").withColumnRenamed("rep", "a"), "x")
-               .join(rep.withColumnRenamed("simhash", "y").withColumnRenamed("rep", "b"), "y").select("a", "b"))
+    between = (_block_neighbours(distinct).join(rep.select(F.col("simhash").alias("x"), F.col("rep").alias("a")), "x")
+               .join(rep.select(F.col("simhash").alias("y"), F.col("rep").alias("b")), "y").select("a", "b"))
     several = classes.where("members > 1").select("simhash", "rep")
     same_hash = distinct.join(several, "simhash").select("simhash", "rep", "k1")
     within = same_hash.where(F.col("k1") != F.col("rep")).select(F.col("k1").alias("a"), F.col("rep").alias("b"))
     runs = _segment_places(texts, min_words)
     by_runs = runs.select(F.col("k1").alias("a"), F.explode(F.array("low", "high")).alias("b")).where("a <> b")
-    pairs = between.unionByName(within).unionByName(by_runs)
-    links = _links(pairs, distinct, texts, similarity)
-    groups = connected_components(links)
-
-    # 2. lines that met and are in different groups; hashes of one line each have been compared
-    crowded = near.join(several.select(F.col("simhash").alias("x")), "x", "left_semi").unionByName(
-        near.join(several.select(F.col("simhash").alias("y")), "y", "left_semi").select("x", "y")).distinct()
-    of_pairs = (crowded.select(F.explode(F.array("x", "y")).alias("simhash"), F.xxhash64("x", "y").alias("key"))
+    groups = connected_components(_links(between.unionByName(within).unionByName(by_runs), distinct, texts, similarity))
+
+    # 2. lines that met and are in different groups
+    grouped = C.materialize(distinct.join(groups, distinct["k1"] == groups["node"], "left")
+                            .select("k1", "simhash", "size", "odd", F.coalesce("component", "k1").alias("component")), "grouped-lines")
+    near = C.materialize(_block_pairs(grouped), "near-hashes")
+    of_pairs = (near.select(F.explode(F.array("x", "y")).alias("simhash"), F.xxhash64("x", "y").alias("key"))
                 .join(distinct.select("simhash", "k1"), "simhash").select("key", "k1"))
     places = runs.select("key", "k1").unionByName(same_hash.select(F.col("simhash").alias("key"), "k1")).unionByName(of_pairs).distinct()
-    more = _links(_open_pairs(places, distinct, groups, similarity), distinct, texts, similarity)
+    more = _links(_open_pairs(places, grouped, similarity), distinct, texts, similarity)
     if not more.isEmpty():
         stars = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         groups = connected_components(stars.unionByName(more))
 
-    grouped = distinct.join(groups, distinct["k1"] == groups["node"], "left").where("component IS NOT NULL OR copies > 1")
-    grouped = grouped.select("k1", "k2", "head", F.coalesce("component", "k1").alias("component"))
-    kept = grouped.groupBy("component").agg(F.min("head").alias("keep"))
-    target = grouped.join(kept, "component").select("k1", "k2", "keep")
+    repeated = distinct.join(groups, distinct["k1"] == groups["node"], "left").where("component IS NOT NULL OR copies > 1")
+    repeated = repeated.select("k1", "k2", "head", F.coalesce("component", "k1").alias("component"))
+    kept = repeated.groupBy("component").agg(F.min("head").alias("keep"))
+    target = repeated.join(kept, "component").select("k1", "k2", "keep")
     gone = (lines.join(target, ["k1", "k2"])
             .where(~(F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("line") == F.col("keep.line")))))
     return gone.groupBy(F.col("rid").alias("gone_id")).agg(F.collect_list("line").alias("gone"))

@@ -137,3 +137,25 @@ def test_odd_letters_bound_the_edits():
         q = edited(rng, edited(rng, p))
         x, y = (sum(L.line_table([t])[7].tolist()) for t in (p, q))  # 0 of a line without a word
         assert (x ^ y).bit_count() <= 2 * edit_distance(L.normalised(p), L.normalised(q))
+
+
+def test_family_of_near_copies_makes_no_pairs_of_all_its_lines(spark, monkeypatch):
+    # a word of many flips few bits of the SimHash, so most lines have near ones
+    rng = random.Random(23)
+    vocabulary = ["".join(rng.choices("abcdefgiklmnoprstu", k=6)) for _ in range(300)]
+    words = rng.choices(vocabulary, k=200)
+    lines = []
+    for _ in range(160):
+        line = words.copy()
+        for i in rng.sample(range(len(line)), 3):  # in three runs, mostly, so no key of runs need be shared
+            line[i] = rng.choice(vocabulary)
+        lines.append(" ".join(line))
+    rows, kept = {}, L.C.materialize
+
+    def materialize(df, tag):
+        out = kept(df, tag)
+        rows.setdefault(tag, []).append(out.count())
+        return out
+    monkeypatch.setattr(L.C, "materialize", materialize)
+    assert removed(spark, lines) == set(range(1, len(lines)))
+    assert rows["near-hashes"][0] + rows["line-pairs"][0] <= 8 * len(lines)
