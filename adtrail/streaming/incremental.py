@@ -34,7 +34,7 @@ from adtrail import schemas as S
 from adtrail import versions as V
 from adtrail.operators.cleaning import clean_source
 from adtrail.operators.joins import client_dimension
-from adtrail.plans.batch import build_final
+from adtrail.plans.batch import build_final, run_concurrently
 from adtrail.sources.files import coerce_source, essential_sources_present
 from adtrail.streaming.refresh import land_new_files
 
@@ -70,12 +70,11 @@ def _applied(spark: SparkSession, work_root: str, source: str) -> int:
 
 
 def _spread_write(df: DataFrame, path: str, columns: list[str], mode: str) -> None:
-    """Write ``df`` by folder columns. Ranges end in a hash of the row, so a
-    period with much of the data is written by several tasks. With mode ``dynamic`` only the
-    partitions that ``df`` has rows of are replaced."""
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1024))
+    """Write ``df`` by folder columns. Rows are dealt by period and AQE splits a period
+    with much of the data among several tasks; ranges would need a sample, for which the whole
+    plan of ``df`` runs once more. With mode ``dynamic`` only the partitions that ``df`` has rows of are replaced."""
     order = [*columns, *(c for c in ("platform", "date") if c in df.columns)]
-    (df.repartitionByRange(*columns, spread).sortWithinPartitions(*order).write.mode("overwrite")
+    (df.hint("rebalance", *[F.col(c) for c in columns]).sortWithinPartitions(*order).write.mode("overwrite")
      .option("partitionOverwriteMode", mode).partitionBy(*columns).parquet(path))
 
 
@@ -110,13 +109,14 @@ def changed_periods(rows: dict[str, DataFrame], newer: dict[str, int], kind: str
     """Periods whose final rows can differ once the batches after ``newer`` count.
 
     Those of new facts and revenue come from folder names; only when clients have
-    come, the kept facts' client ids are read. One row a period is collected."""
+    come, the client ids of facts kept before are read. One row a period is collected."""
     facts = {s: df for s, df in rows.items() if s != S.CLIENTS}
     parts = [df.where(F.col("batch") > newer[s]).select(kind) for s, df in facts.items()]
-    if S.CLIENTS in rows:
+    kept = [df for s, df in facts.items() if newer[s] >= 0]  # all periods of the others are there already
+    if S.CLIENTS in rows and kept:
         came = rows[S.CLIENTS].where(F.col("batch") > newer[S.CLIENTS]).select("client_id").dropna().distinct()
         if not came.isEmpty():
-            parts += [df.select("client_id", kind).distinct().join(came, "client_id", "left_semi").select(kind) for df in facts.values()]
+            parts += [df.select("client_id", kind).distinct().join(came, "client_id", "left_semi").select(kind) for df in kept]
     if not parts:
         return []
     found = reduce(DataFrame.unionAll, parts).distinct().select(F.col(kind).cast("string"))
@@ -138,10 +138,8 @@ def refresh_changed(spark: SparkSession, landing: dict[str, str], work_root: str
     land_new_files(spark, landing, work_root, checkpoint_root, max_files_per_trigger, json_lines)
     newer = {s: _applied(spark, work_root, s) for s in landing}
     batches = {s: _batches(spark, f"{work_root}/bronze/{s}") for s in landing}
-    for source, ids in batches.items():
-        for batch in ids:
-            if batch > newer[source]:
-                _keep_clean(spark, work_root, source, batch, kind, date_format)
+    run_concurrently({(s, b): lambda s=s, b=b: _keep_clean(spark, work_root, s, b, kind, date_format)
+                      for s, ids in batches.items() for b in ids if b > newer[s]})
     rows = {s: _clean(spark, work_root, s, kind) for s, ids in batches.items() if ids}
     if not essential_sources_present(rows):
         log.error("essential sources missing or empty; the final table stays as it is")

@@ -148,3 +148,18 @@ def test_months_and_files_without_rows(landing):
 def test_unknown_period(landing):
     with pytest.raises(ValueError):
         landing.refresh("hour")
+
+
+def test_periods_are_written_without_a_second_run_of_the_plan(spark, tmp_path):
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id % 10 > 0 THEN add_months(DATE '2024-01-01', int(id % 3)) END AS month")
+    path = str(tmp_path / "periods")
+    I._spread_write(df.mapInArrow(counted, df.schema), path, ["month"], "static")
+    assert passed.value == 1000
+    back = spark.read.parquet(path)
+    assert back.count() == 1000 and back.where("month IS NULL").count() == 100 and back.select("month").distinct().count() == 4
