@@ -302,11 +302,17 @@ def corpus_totals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def build_index(docs: DataFrame, totals: tuple[int, int], id_col: str = "doc_id", text_col: str = "text",
                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row per shard (see the module text); write it once, search it often."""
+    """One row per shard (see the module text); write it once (``kept_index``), search it often."""
     return C.map_batches(_texts(docs, id_col, text_col), shard_index, SHARD, docs=totals[0], terms=totals[1],
                          shard_bytes=shard_bytes)
 
 
+def kept_index(docs: DataFrame, totals: tuple[int, int], **params) -> DataFrame:
+    """The index in the shared folder. A shard is a row group, so that a task holds one
+    shard at a time, however many of them its part of the documents makes."""
+    return C.materialize(build_index(docs, totals, **params), "search-index", group_rows=1)
+
+
 def item_terms(items: DataFrame, index: DataFrame, n_docs: int, id_col: str = "item_id",
                text_col: str = "text") -> DataFrame:
     """Distinct terms of each item row that the index holds, with their weight
@@ -344,7 +350,7 @@ def search(index: DataFrame, terms: DataFrame, top: int = TOP, items_per_block:
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark")
     totals = corpus_totals(docs)
-    index = C.materialize(build_index(docs, totals), "search-index")
+    index = kept_index(docs, totals)
     found = search(index, item_terms(items, index, totals[0]))
     return found.select("item_id", "rank", "doc_id", "score")
 

@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -98,6 +99,14 @@ def test_search_cuts_ties_by_id_and_keeps_every_rank(spark):
     assert sorted((r["rank"], r["doc_id"]) for r in found) == [(k + 1, 701 + k) for k in range(7)]
 
 
+def test_kept_index_has_a_shard_a_row_group(spark, docs):
+    """The reader holds a row group's rows at once, the writer at least a hundred unless told otherwise."""
+    index = lexical_search.kept_index(docs.coalesce(1), lexical_search.corpus_totals(docs), shard_bytes=700)
+    files = [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")).metadata for f in index.inputFiles()]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert index.count() > 20 and groups == [1] * index.count()
+
+
 def test_treap_holds_every_point():
     rng = np.random.default_rng(1)
     points = np.unique(rng.integers(0, 37 * 21, 300))
