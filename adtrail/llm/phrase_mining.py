@@ -7,11 +7,14 @@ positions of one piece) and items. Length k + 1 comes from length k as in SETM:
 
 1. a merge join of the relation of k-phrases with the relation of words, on
    place + k, gives the occurrences of (k-phrase, next word);
-2. a group count over all blocks keeps the groups that reach the least count.
-   Each block sends a group once, so no key holds more rows than there are blocks;
-3. a semi-join with the frequent groups leaves the relation of (k + 1)-phrases,
-   which is written to the shared folder before the next length begins. A filter
-   of bounded size, made of the frequent groups, keeps most others from being sent.
+2. a group count over all blocks keeps the groups that reach the least count. A
+   block sends each group once, dealt by a hash of the group, as sorted and packed
+   columns, one row for each part; a part is counted in one task, which holds few of
+   all groups, and no group has more entries than there are blocks;
+3. a semi-join with the frequent groups leaves the relation of (k + 1)-phrases. The task
+   that has counted a part answers each block: one bit for each group that the block sent,
+   and the numbers of the frequent ones. The relation is written to the shared
+   folder before the next length begins.
 
 A phrase is at most as frequent as each of its parts, so nothing that reaches
 the least count is lost. Scores, the rule for phrases inside longer ones and
@@ -29,7 +32,7 @@ from __future__ import annotations
 import string
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import accumulate, count
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +49,8 @@ SCALE = 2_000_000
 COVER = (100, 80)  # a phrase goes when 100 * f(longer) >= 80 * f(phrase)
 NO_LANG = "und"
 BLOCK_BYTES = 6 << 20  # text of a block: its relation is a few numbers a word in one task
+PART_GROUPS = 4 << 20  # groups, as sent by the blocks, that a task counts at most; they are some dozen bytes each
 ROWS_PER_BATCH = 1 << 16
-FILTER_BITS = 16  # of the filter of frequent groups, a group; at most 8 MB in all, then more groups pass it
-MOST_FILTER_BITS = 1 << 26
 
 BREAK = b"."
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -56,8 +58,35 @@ FOLD = bytes.maketrans(string.ascii_uppercase.encode() + BREAKS,
                        string.ascii_lowercase.encode() + BREAK * len(BREAKS))
 
 WORDS = "block long, langs array<string>, words array<string>, counts array<long>, items binary"
-RELATION = "block long, word_at binary, word binary, word_ids binary, at binary, phrase binary, phrase_ids binary"
-GROUPS = "block long, left long, item long, pair long, n long"
+RELATION = "block long, words binary, word_ids binary, phrases binary, phrase_ids binary"
+SENT = "part int, block long, groups binary"
+COUNTED = "part int, block long, held binary, ids binary, frequent binary"
+GROUPS = "left long, item long, id long, a long"
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length, of numbers not below zero: the bytes in use, byte by byte of all numbers."""
+    columns = [np.ascontiguousarray(c, np.int64) for c in columns]
+    widths = [max(1, (int(c.max()).bit_length() + 7) // 8) if len(c) else 0 for c in columns]
+    planes = b"".join(c.view(np.uint8).reshape(-1, 8)[:, :w].T.tobytes() for c, w in zip(columns, widths))
+    return len(columns[0]).to_bytes(8, "little") + bytes(widths) + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpack(data: bytes, columns: int) -> list[np.ndarray]:
+    size, widths = int.from_bytes(data[:8], "little"), data[8:8 + columns]
+    planes = np.frombuffer(pa.decompress(data[8 + columns:], size * sum(widths), "zstd", asbytes=True), np.uint8)
+    out, start = [], 0
+    for w in widths:
+        column = np.zeros((size, 8), np.uint8)
+        column[:, :w] = planes[start:start + size * w].reshape(w, size).T
+        out.append(column.view(np.int64).reshape(-1))
+        start += size * w
+    return out
+
+
+def _gaps(sorted_numbers: np.ndarray) -> np.ndarray:
+    """Sorted numbers by their distances, which are small."""
+    return np.diff(sorted_numbers, prepend=0)
 
 
 class Block:
@@ -89,7 +118,7 @@ class Block:
         return pa.RecordBatch.from_arrays(
             [pa.array([self.number], pa.int64()), pa.array([langs[1:]], pa.list_(pa.string())),
              pa.array([[w.decode() for w in words[1:]]], pa.list_(pa.string())),
-             pa.array([counts], pa.list_(pa.int64())), pa.array([items.tobytes()], pa.binary())],
+             pa.array([counts], pa.list_(pa.int64())), pa.array([_pack(items)], pa.binary())],
             ["block", "langs", "words", "counts", "items"])
 
 
@@ -108,129 +137,170 @@ def word_blocks(batches, block_bytes: int) -> Iterator[pa.RecordBatch]:
         yield block.row()
 
 
-def _gaps(places: np.ndarray) -> bytes:
-    """Sorted places, stored by their distances, which are small."""
-    return np.diff(places, prepend=0).astype(np.int32).tobytes()
-
-
-def _places(data: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(data, np.int32), dtype=np.int64)
-
-
-def _numbers(data: bytes, kind=np.int32) -> np.ndarray:
-    return np.frombuffer(data, kind)
-
-
 def _relation_row(block: int, word_at, word, word_ids, at, phrase, phrase_ids) -> pa.RecordBatch:
-    cols = [_gaps(word_at), word.astype(np.int32).tobytes(), word_ids.astype(np.int64).tobytes(),
-            _gaps(at), phrase.astype(np.int32).tobytes(), phrase_ids.astype(np.int64).tobytes()]
+    """Words and phrases are numbered within the block, in the order of their ids."""
+    cols = [_pack(_gaps(word_at), word), _pack(_gaps(word_ids)), _pack(_gaps(at), phrase), _pack(_gaps(phrase_ids))]
     return pa.RecordBatch.from_arrays(
         [pa.array([block], pa.int64())] + [pa.array([c], pa.binary()) for c in cols],
-        ["block", "word_at", "word", "word_ids", "at", "phrase", "phrase_ids"])
+        ["block", "words", "word_ids", "phrases", "phrase_ids"])
+
+
+def _rows(batches) -> Iterator[dict]:
+    """Rows one at a time: they may be megabytes each."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
 def frequent_words(batches) -> Iterator[pa.RecordBatch]:
     """Semi-join of a block's occurrences with the frequent words it holds."""
     none = np.zeros(0, np.int64)
-    for batch in batches:
-        for row in batch.to_pylist():
-            items = _numbers(row["items"])
-            keep = np.full(int(items.max()) + 1, -1, np.int32)
-            keep[np.array(row["local"], np.int64)] = np.arange(len(row["local"]), dtype=np.int32)
-            word = keep[items]
-            at = np.flatnonzero(word >= 0)
-            yield _relation_row(row["block"], at, word[at], np.array(row["id"], np.int64), none, none, none)
+    for row in _rows(batches):
+        items, = _unpack(row["items"], 1)
+        local, ids = np.array(row["local"], np.int64), np.array(row["id"], np.int64)
+        order = np.argsort(ids)
+        keep = np.full(int(items.max()) + 1, -1, np.int64)
+        keep[local[order]] = np.arange(len(order))
+        word = keep[items]
+        at = np.flatnonzero(word >= 0)
+        yield _relation_row(row["block"], at, word[at], ids[order], none, none, none)
 
 
 class Joined:
     """Merge join of a block's phrases of ``k - 1`` words with its words at
-    place + k - 1. ``pair`` numbers the groups (phrase, word) within the block."""
+    place + k - 1. ``pair`` numbers the groups (phrase, word) within the block, in the order of their ids."""
 
     def __init__(self, row: dict, k: int):
-        self.word_at, self.word = _places(row["word_at"]), _numbers(row["word"])
-        self.word_ids = _numbers(row["word_ids"], np.int64)
+        gaps, self.word = _unpack(row["words"], 2)
+        self.word_at, self.word_ids = np.cumsum(gaps), np.cumsum(_unpack(row["word_ids"], 1)[0])
         if k == 2:
             self.at, phrase, self.phrase_ids = self.word_at, self.word, self.word_ids
         else:
-            self.at, phrase = _places(row["at"]), _numbers(row["phrase"])
-            self.phrase_ids = _numbers(row["phrase_ids"], np.int64)
+            gaps, phrase = _unpack(row["phrases"], 2)
+            self.at, self.phrase_ids = np.cumsum(gaps), np.cumsum(_unpack(row["phrase_ids"], 1)[0])
         to = np.searchsorted(self.word_at, self.at + (k - 1))
         to[to == len(self.word_at)] = 0  # no later word: the first is never adjacent
         met = self.word_at[to] == self.at + (k - 1) if len(self.word_at) else np.zeros(0, bool)
         self.at = self.at[met]
-        self.pair = phrase[met].astype(np.int64) * len(self.word_ids) + self.word[to[met]]
+        self.pair = phrase[met] * len(self.word_ids) + self.word[to[met]]
 
+    def ids(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n_words = max(len(self.word_ids), 1)
+        return self.phrase_ids[pairs // n_words], self.word_ids[pairs % n_words]
 
-def filter_places(left: np.ndarray, item: np.ndarray, bits: int) -> np.ndarray:
-    """Two places a group in a filter of ``bits`` bits (a power of two)."""
+
+def dealt(left: np.ndarray, item: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The parts that these groups go to, by a hash of each group: the order that puts
+    the groups by part, the parts that get any, and where each begins in that order."""
     x = left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + item.astype(np.uint64)
     for shift in (32, 29):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(31)
-    return np.stack([x & np.uint64(bits - 1), (x >> np.uint64(32)) & np.uint64(bits - 1)]).astype(np.int64)
-
-
-def filter_words(batches, bits: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        places = np.unique(filter_places(np.asarray(batch.column("left")), np.asarray(batch.column("item")), bits))
-        words, starts = np.unique(places >> 6, return_index=True)
-        ones = np.left_shift(np.uint64(1), (places & 63).astype(np.uint64))
-        held = np.bitwise_or.reduceat(ones, starts) if len(starts) else ones
-        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(held.view(np.int64))], ["word", "held"])
-
-
-def frequent_filter(groups: DataFrame, n: int) -> np.ndarray:
-    """Bits of all frequent groups (``left``, ``item``); its size, not the
-    number of groups, bounds what the driver gets and sends."""
-    bits = 1 << max(10, min(MOST_FILTER_BITS, FILTER_BITS * n).bit_length() - 1)
-    words = (C.map_batches(groups, filter_words, "word long, held long", bits=bits)
-             .groupBy("word").agg(F.bit_or("held").alias("held")).toArrow())
-    out = np.zeros(bits // 64, np.uint64)
-    out[np.asarray(words["word"])] = np.asarray(words["held"]).view(np.uint64)
-    return out
+    part = (x % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    return order, part[starts], starts
+
+
+def sent_groups(batches, k: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """A block's groups with their counts: a row for each part that gets some."""
+    for row in _rows(batches):
+        joined = Joined(row, k)
+        pairs, counts = np.unique(joined.pair, return_counts=True)
+        left, item = joined.ids(pairs)
+        order, to, starts = dealt(left, item, parts)
+        left, item, counts = left[order], item[order], counts[order]
+        packed = [_pack(_gaps(left[a:b]), item[a:b], counts[a:b]) for a, b in zip(starts, [*starts[1:], len(left)])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(to.astype(np.int32)), pa.array(np.full(len(to), row["block"], np.int64)), pa.array(packed, pa.binary())],
+            ["part", "block", "groups"])
+
+
+def _keys(left: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """One number a group, in the order of (left, item)."""
+    size = int(item.max()) + 1
+    if int(left.max()) >= (1 << 63) // size - 1:  # too large for one number: by their ranks in the part
+        left, item = (np.unique(x, return_inverse=True)[1] for x in (left, item))
+        size = int(item.max()) + 1
+    return left * size + item
+
+
+def count_part(part: int, parts: int, sent: list[tuple[int, bytes]], min_count: int) -> Iterator[pa.RecordBatch]:
+    """The frequent groups of a part (a row without a block), and an answer to each block.
+    Ids are dealt out to the parts in turn, so they stay close."""
+    columns = [_unpack(groups, 3) for _, groups in sent]
+    sizes = [len(c[0]) for c in columns]
+    left = np.concatenate([np.cumsum(c[0]) for c in columns])
+    item, counts = (np.concatenate([c[i] for c in columns]) for i in (1, 2))
+    del columns
+    keys = _keys(left, item)
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    total = np.add.reduceat(counts[order], starts)
+    frequent = total >= min_count
+    number = np.where(frequent, np.cumsum(frequent) - 1, -1)
+    of_entry = np.empty(len(order), np.int64)
+    of_entry[order] = np.repeat(number, np.diff(np.append(starts, len(order))))
+    first = order[starts[frequent]]
+    yield _answer(part, [None], [None], [None], [_pack(left[first], item[first], number[frequent] * parts + part, total[frequent])])
+    ends = np.cumsum(sizes)
+    for a in range(0, len(sent), 1000):
+        held, ids = [], []
+        for end, size in zip(ends[a:a + 1000], sizes[a:a + 1000]):
+            mine = of_entry[end - size:end]
+            held.append(np.packbits(mine >= 0).tobytes())
+            ids.append(_pack(_gaps(mine[mine >= 0])))
+        yield _answer(part, [block for block, _ in sent[a:a + 1000]], held, ids, [None] * len(held))
+
+
+def _answer(part: int, blocks: list, held: list, ids: list, frequent: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part] * len(blocks), pa.int32()), pa.array(blocks, pa.int64()), pa.array(held, pa.binary()),
+         pa.array(ids, pa.binary()), pa.array(frequent, pa.binary())], ["part", "block", "held", "ids", "frequent"])
 
 
-def group_rows(batches, k: int, frequent: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """A block's groups with their counts; with a filter only those that pass it."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            joined = Joined(row, k)
-            pairs, counts = np.unique(joined.pair, return_counts=True)
-            n_words = max(len(joined.word_ids), 1)
-            for a in range(0, len(pairs), ROWS_PER_BATCH):
-                some, n = pairs[a:a + ROWS_PER_BATCH], counts[a:a + ROWS_PER_BATCH]
-                left, item = joined.phrase_ids[some // n_words], joined.word_ids[some % n_words]
-                if frequent is not None:
-                    at = filter_places(left, item, 64 * len(frequent))
-                    held = ((frequent[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).all(axis=0)
-                    some, n, left, item = some[held], n[held], left[held], item[held]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), row["block"], np.int64)), pa.array(left), pa.array(item),
-                     pa.array(some), pa.array(n.astype(np.int64))],
-                    ["block", "left", "item", "pair", "n"])
-
-
-def extended(batches, k: int) -> Iterator[pa.RecordBatch]:
-    """Semi-join of the joined occurrences with the frequent groups. Only
-    words that may follow a phrase that is left stay in the word relation."""
+def count_groups(batches, parts: int, min_count: int) -> Iterator[pa.RecordBatch]:
+    sent: defaultdict[int, list] = defaultdict(list)
     for batch in batches:
-        for row in batch.to_pylist():
-            joined = Joined(row, k)
-            pairs, ids = np.array(row["pair"], np.int64), np.array(row["id"], np.int64)
-            order = np.argsort(pairs)
-            pairs, ids = pairs[order], ids[order]
-            slot = np.minimum(np.searchsorted(pairs, joined.pair), len(pairs) - 1)
-            held = pairs[slot] == joined.pair
-            at = joined.at[held]
-            follow = np.isin(joined.word_at, at + k, assume_unique=True)
-            yield _relation_row(row["block"], joined.word_at[follow], joined.word[follow], joined.word_ids,
-                                at, slot[held], ids)
-
-
-def _by_block(matches: DataFrame, name: str) -> DataFrame:
-    """The frequent entries of each block as two lists, at most as long as the block."""
-    lists = matches.groupBy("block").agg(F.collect_list(F.struct(name, "id")).alias("held"))
-    return lists.select("block", F.col(f"held.{name}").alias(name), F.col("held.id").alias("id"))
+        for part, block, groups in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "groups"))):
+            sent[part].append((block, groups))
+    for part in list(sent):
+        yield from count_part(part, parts, sent.pop(part), min_count)
+
+
+def frequent_groups(batches) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        columns = _unpack(row["frequent"], 4)
+        for a in range(0, len(columns[0]), ROWS_PER_BATCH):
+            yield pa.RecordBatch.from_arrays([pa.array(c[a:a + ROWS_PER_BATCH]) for c in columns], ["left", "item", "id", "a"])
+
+
+def extended(batches, k: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Semi-join of the joined occurrences with the frequent groups, by the answers of the parts
+    that the block's groups were sent to. Only words that may follow a phrase that is left stay
+    in the word relation."""
+    for row in _rows(batches):
+        joined = Joined(row, k)
+        pairs, pair = np.unique(joined.pair, return_inverse=True)
+        order, to, starts = dealt(*joined.ids(pairs), parts)
+        begins = dict(zip(to.tolist(), zip(starts, [*starts[1:], len(pairs)])))
+        kept, ids = [], []
+        for answer in row["answers"]:
+            a, b = begins[answer["part"]]
+            kept.append(order[a:b][np.unpackbits(np.frombuffer(answer["held"], np.uint8), count=b - a).astype(bool)])
+            ids.append(np.cumsum(_unpack(answer["ids"], 1)[0]) * parts + answer["part"])
+        kept, ids = np.concatenate(kept), np.concatenate(ids)
+        by_id = np.argsort(ids)
+        local = np.full(len(pairs), -1, np.int64)
+        local[kept[by_id]] = np.arange(len(kept))
+        phrase = local[pair]
+        held = phrase >= 0
+        at = joined.at[held]
+        follow = np.isin(joined.word_at, at + k, assume_unique=True)
+        yield _relation_row(row["block"], joined.word_at[follow], joined.word[follow], joined.word_ids,
+                            at, phrase[held], ids[by_id])
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS,
@@ -240,7 +310,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     occurrences (``lang, k, phrase, a``), and the words of each language (``lang, n``)."""
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANG)).alias("lang"),
                         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("text"))
-    blocks = C.materialize(C.map_batches(texts, word_blocks, WORDS, block_bytes=block_bytes), "phrase-words")
+    blocks = C.materialize(C.map_batches(texts, word_blocks, WORDS, block_bytes=block_bytes), "phrase-words", group_rows=1)
     words = (blocks.select("block", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("pos", "w"))
              .select("block", (F.col("pos") + 1).alias("local"), F.col("w.langs").alias("lang"),
                      F.col("w.words").alias("phrase"), F.col("w.counts").alias("n")))
@@ -248,23 +318,22 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     known = _numbered(words.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= min_count))
     levels = [known]
     found = words.join(C.small(known, known.count()).select("lang", "phrase", "id"), ["lang", "phrase"])
-    relation = C.materialize(C.map_batches(blocks.select("block", "items").join(_by_block(found, "local"), "block"),
-                                           frequent_words, RELATION), "phrases-1")
+    lists = (found.groupBy("block").agg(F.collect_list(F.struct("local", "id")).alias("held"))
+             .select("block", F.col("held.local").alias("local"), F.col("held.id").alias("id")))
+    relation = _kept(C.map_batches(blocks.select("block", "items").join(lists, "block"), frequent_words, RELATION), 1)
     for k in range(2, max_words + 1):
-        groups = C.map_batches(relation, group_rows, GROUPS, k=k)
-        counted = (groups.groupBy("left", "item").agg(F.sum("n").alias("a")).where(F.col("a") >= min_count))
+        parts = _parts(levels[-1])
+        sent = C.map_batches(relation, sent_groups, SENT, k=k, parts=parts).repartitionById(parts, F.col("part"))
+        counted = C.materialize(C.map_batches(sent, count_groups, COUNTED, parts=parts, min_count=min_count), f"phrases-counted-{k}")
+        groups = C.map_batches(counted.where(F.col("block").isNull()).select("frequent"), frequent_groups, GROUPS)
         left = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"))
         item = known.select(F.col("id").alias("item"), F.col("phrase").alias("tail"))
-        level = _numbered(counted.join(left, "left").join(item, "item")
-                          .select("lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "a", "left", "item"))
-        levels.append(level)
+        levels.append(C.materialize(groups.join(left, "left").join(item, "item")
+                                    .select("lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "a", "id"), "phrase-groups"))
         if k < max_words:
-            passed = C.map_batches(relation, group_rows, GROUPS, k=k,
-                                   frequent=frequent_filter(level.select("left", "item"), level.count()))
-            found = (passed.select("block", "left", "item", "pair")
-                     .join(level.select("left", "item", "id"), ["left", "item"]))
-            relation = C.materialize(C.map_batches(relation.join(_by_block(found, "pair"), "block"),
-                                                   extended, RELATION, k=k), f"phrases-{k}")
+            answers = (counted.where(F.col("block").isNotNull()).groupBy("block")
+                       .agg(F.collect_list(F.struct("part", "held", "ids")).alias("answers")))
+            relation = _kept(C.map_batches(relation.join(answers, "block"), extended, RELATION, k=k, parts=parts), k)
     phrases = [f.select("lang", F.lit(i + 1).alias("k"), "phrase", "a") for i, f in enumerate(levels)]
     out = phrases[0]
     for p in phrases[1:]:
@@ -272,9 +341,27 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     return out, totals
 
 
+def _kept(relation: DataFrame, k: int) -> DataFrame:
+    return C.materialize(relation, f"phrases-{k}", group_rows=1)
+
+
+def _parts(level: DataFrame) -> int:
+    """Parts of the groups that follow a length: a block sends at most one group for each
+    occurrence of a frequent phrase of that length."""
+    most = level.agg(F.sum("a")).first()[0] or 0
+    tasks = int(level.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # enough for all cores where there is work for them
+    return max(1, -(-most // PART_GROUPS), min(tasks, 4 * most // PART_GROUPS))
+
+
 def _numbered(df: DataFrame) -> DataFrame:
-    """Frequent groups with numbers that stay the same, as they are written."""
-    return C.materialize(df.withColumn("id", F.monotonically_increasing_id()), "phrase-groups")
+    """Frequent words, as they are written, with numbers without gaps."""
+    held = C.materialize(df.withColumn("at", F.monotonically_increasing_id()), "phrase-groups")
+    task, place = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = sorted(map(tuple, held.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()))
+    ends = accumulate(n for _, n in sizes)
+    begin = held.sparkSession.createDataFrame(pa.table({"task": pa.array([t for t, _ in sizes], pa.int64()),
+                                                        "start": pa.array([end - n for (_, n), end in zip(sizes, ends)], pa.int64())}))
+    return held.withColumn("task", task).join(F.broadcast(begin), "task").select("lang", "phrase", "a", (F.col("start") + place).alias("id"))
 
 
 def _sub_phrase(first, size) -> F.Column:

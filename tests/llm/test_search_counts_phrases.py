@@ -224,6 +224,28 @@ def test_phrases_match_brute_force(docs, block_bytes, min_count, top):
     assert len(want) > 20 and sorted(map(tuple, got)) == want
 
 
+def test_phrases_counted_in_many_parts(docs, monkeypatch):
+    """Few groups a task: each block's groups, and the answers to it, come from many parts."""
+    monkeypatch.setattr(phrase_mining, "PART_GROUPS", 64)
+    got = phrase_mining.mine_phrases(docs, min_count=3, block_bytes=1500).collect()
+    langs = [[None, "en", "und", "de"][(i or 0) % 4] for i, _ in all_rows()]
+    assert sorted(map(tuple, got)) == mined(all_rows(), langs, 2000, 3, 4)
+
+
+def test_group_counts_and_answers_of_a_part():
+    """One row a block and part is sent, not one a group; also for ids too large for one key."""
+    blocks = {5: ([3, 3, 9], [1, 4, 0], [2, 1, 5]), 6: ([3, 9, 9], [4, 0, 7], [1, 1, 1]), 7: ([3], [2], [1])}
+    for large in (0, 1 << 62):
+        sent = [(b, phrase_mining._pack(phrase_mining._gaps(np.array(x) + large), np.array(y) + large // 2, n))
+                for b, (x, y, n) in blocks.items()]
+        found, answers = (batch.to_pylist() for batch in phrase_mining.count_part(3, 8, sent, 2))
+        left, item, ids, a = phrase_mining._unpack(found[0]["frequent"], 4)
+        assert list(zip(left - large, item - large // 2, ids, a)) == [(3, 1, 3, 2), (3, 4, 11, 2), (9, 0, 19, 6)]
+        told = {r["block"]: (np.unpackbits(np.frombuffer(r["held"], np.uint8)).tolist(), phrase_mining._unpack(r["ids"], 1)[0].tolist())
+                for r in answers}
+        assert told == {5: ([1, 1, 1] + [0] * 5, [0, 1, 1]), 6: ([1, 1, 0] + [0] * 5, [1, 1]), 7: ([0] * 8, [])}
+
+
 def test_covered_phrases_go(spark):
     rows = [(i, "uno dos tres. dos tres") for i in range(10)] + [(20 + i, "ab cd ef gh") for i in range(5)] + [(30, "cd ef")]
     got = phrase_mining.mine_phrases(frame(spark, rows, lambda i: "es"), min_count=5).collect()
