@@ -63,6 +63,11 @@ def add_key_metrics(df: DataFrame) -> DataFrame:
     return df.withColumns(new)
 
 
+def with_metrics_of(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` without metrics, as rows travel, with its metrics again: ``columns`` in their order."""
+    return add_key_metrics(df).select(*[F.col(f"`{c}`") for c in columns])
+
+
 def summarize_metrics(df: DataFrame) -> DataFrame:
     """One row of seven means; NULL/NaN skipped, NULL on empty input.
 

@@ -29,7 +29,7 @@ from adtrail.operators.joins import join_with_clients
 from adtrail.operators.metrics import add_key_metrics
 from adtrail.operators.reports import REPORTS
 from adtrail.operators.summary import KEY_SETS, LIFT, available_reports, report_frames, summarize_reports
-from adtrail.session import scratch_folder
+from adtrail.session import released_shuffles, scratch_folder
 from adtrail.sinks import save_final, write_report_csv
 from adtrail.sources.analytics import load_analytics
 from adtrail.sources.files import essential_sources_present, ingest_all
@@ -37,8 +37,8 @@ from adtrail.sources.files import essential_sources_present, ingest_all
 log = logging.getLogger(__name__)
 
 
-def build_final(cleaned: dict[str, DataFrame],
-                salt_buckets: int = 0) -> DataFrame | None:
+def build_final(cleaned: dict[str, DataFrame], salt_buckets: int = 0,
+                deal: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
     """The 28-column final table from cleaned sources; None without a
     client dimension.
 
@@ -55,6 +55,8 @@ def build_final(cleaned: dict[str, DataFrame],
     None of the steps depends on another: attribution keys on (client_id,
     date, platform), which the client join and the metrics do not change,
     and a fanned-out duplicate client copies the same revenue either way.
+    ``deal`` shuffles the rows as they are to be written; the metrics, which
+    follow from a row's own columns, are added behind it and not shuffled.
     """
     clients = cleaned.get(S.CLIENTS)
     if clients is None or is_blank(clients):
@@ -72,6 +74,8 @@ def build_final(cleaned: dict[str, DataFrame],
         passing.insert(0, merged.select(*schema.names))
     facts = union_branches(passing, clients.sparkSession, schema)
     joined = join_with_clients(facts, clients, salt_buckets)
+    if deal:
+        joined = deal(joined)
     metrics = add_key_metrics(joined)
     return metrics.select(*S.METRICS_COLUMNS, S.ATTRIBUTED_REVENUE_COL,
                           F.lit(0.0).alias(S.ATTRIBUTED_MODEL_COL))
@@ -110,19 +114,20 @@ def generate_summary_reports(spark: SparkSession, output_dir: str, data_path: st
         names = [n for n in names if n != LIFT]
     if not names:
         return []
-    kept = kept_summary(spark, summarize_reports(df, reports=names))
-    jobs = {}
-    for name, report in report_frames(kept, names).items():
-        if name == "ctr_trends_report" and report.isEmpty():
-            log.warning("no ad-platform rows; skipping %s", name)
-            continue
-        if name == LIFT:  # at most one row per platform, in its own order
-            jobs[name] = lambda r=report: write_report_csv(r, lift_path, single_file=True)
-        else:
-            _, keys, bounded = REPORTS[name]
-            jobs[name] = lambda r=report, n=name, k=keys, b=bounded: write_report_csv(
-                r, os.path.join(output_dir, n), order_by=k, single_file=b)
-    run_concurrently(jobs)
+    with released_shuffles(spark):
+        kept = kept_summary(spark, summarize_reports(df, reports=names))
+        jobs = {}
+        for name, report in report_frames(kept, names).items():
+            if name == "ctr_trends_report" and report.isEmpty():
+                log.warning("no ad-platform rows; skipping %s", name)
+                continue
+            if name == LIFT:  # at most one row per platform, in its own order
+                jobs[name] = lambda r=report: write_report_csv(r, lift_path, single_file=True)
+            else:
+                _, keys, bounded = REPORTS[name]
+                jobs[name] = lambda r=report, n=name, k=keys, b=bounded: write_report_csv(
+                    r, os.path.join(output_dir, n), order_by=k, single_file=b)
+        run_concurrently(jobs)
     return list(jobs)
 
 

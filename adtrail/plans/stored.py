@@ -72,7 +72,7 @@ def _forget(spark: SparkSession, table: str) -> None:
 def report_files(spark: SparkSession, final: DataFrame) -> DataFrame:
     """SNK3, SRT2, ANA1: all reports written from a saved table, the campaign report read back."""
     root, out = scratch_folder(spark, "saved"), scratch_folder(spark, "report-files")
-    written = save_final(final, {"parquet": {"save": True, "path": root}})
+    written = save_final(final, {"parquet": {"save": True, "path": root}}, with_metrics=True)
     analyze(spark, written, out)
     return spark.read.option("header", True).schema(
         "client_id string, campaign_id string, total_spend double, total_clicks bigint, total_impressions bigint"

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from adtrail import schemas as S
 from adtrail import versions as V
+from adtrail.operators.metrics import with_metrics_of
+from adtrail.session import released_shuffles
 
 log = logging.getLogger(__name__)
 
@@ -126,7 +128,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("plat
 
 def publish_parquet(df: DataFrame, root: str, partition_by: Sequence[str] = ("platform",),
                     bloom_columns: Sequence[str] = BLOOM_COLUMNS, files: int | None = None,
-                    observe: Callable[[DataFrame], DataFrame] | None = None) -> str:
+                    observe: Callable[[DataFrame], DataFrame] | None = None, with_metrics: bool = False) -> str:
     """Write a parquet dataset as a new version of ``root`` and make it the
     current one (SNK2, see ``adtrail.versions``); returns the version's name.
 
@@ -137,13 +139,17 @@ def publish_parquet(df: DataFrame, root: str, partition_by: Sequence[str] = ("pl
     (default: the session's shuffle partitions, coalesced by AQE).
 
     Range partitioning samples the rows, so the last stage of their plan runs twice;
-    ``observe`` (which adds metrics to a frame) is applied behind it, where each row passes once."""
-    spark = df.sparkSession
+    ``observe`` (which adds metrics to a frame) is applied behind it, where each row passes once.
+    ``with_metrics`` says that the per-row metrics of ``df`` are those of ``add_key_metrics``: they
+    follow from the row, so they are not shuffled but added behind the ranges."""
+    spark, columns = df.sparkSession, df.columns
     keys = [c for c in (*partition_by, "date") if c in df.columns]
-    if "date" in df.columns:
+    if "date" in columns:
+        df = df.drop(*S.METRIC_COLUMNS) if with_metrics else df
         spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1024))
         ranges = [*keys, spread]
         df = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
+        df = with_metrics_of(df, columns) if with_metrics else df
     df = observe(df) if observe else df
     version = V.new_version()
     before = V.current_version(spark, root)
@@ -180,14 +186,15 @@ def append_batch(df: DataFrame, path: str, fmt: str = "parquet", **options) -> N
     w.save(path)
 
 
-def save_final(df: DataFrame, output: dict,
-               observe: Callable[[DataFrame], DataFrame] | None = None) -> dict | None:
+def save_final(df: DataFrame, output: dict, observe: Callable[[DataFrame], DataFrame] | None = None,
+               with_metrics: bool = False) -> dict | None:
     """Write the final table as configured (SNK4).
 
     ``output`` maps a format (``parquet`` or ``table``) to a dict with a
     ``save`` flag plus ``path`` / ``table``. The plan of ``df`` runs once: each
-    further format is written from the first one as committed. ``observe`` adds
-    metrics to the first write. Returns the first config that was written, or
+    further format is written from the first one as committed; the shuffle files of a
+    write go when it ends. ``observe`` adds
+    metrics to the first write; ``with_metrics``: see ``publish_parquet``. Returns the first config that was written, or
     None when nothing was saved.
     """
     written = None
@@ -195,11 +202,13 @@ def save_final(df: DataFrame, output: dict,
         if not cfg.get("save"):
             continue
         if fmt == "parquet":
-            publish_parquet(df, cfg["path"], observe=observe)
+            with released_shuffles(df.sparkSession):
+                publish_parquet(df, cfg["path"], observe=observe, with_metrics=with_metrics and written is None)
         elif fmt == "table":
             # read back, rows come file by file, and each file is of one platform and in date order
             order = ("platform", "date") if written is None or written["format"] != "parquet" else ()
-            replace_table(observe(df) if observe else df, cfg.get("table", S.FINAL_TABLE), sort_within=order)
+            with released_shuffles(df.sparkSession):
+                replace_table(observe(df) if observe else df, cfg.get("table", S.FINAL_TABLE), sort_within=order)
         else:
             raise ValueError(f"unknown output format {fmt}")
         if written is None:

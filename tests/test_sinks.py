@@ -1,9 +1,13 @@
 import os
+import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from adtrail import versions as V
+from adtrail.operators.metrics import add_key_metrics
+from adtrail.session import SHUFFLE_CLEANUP, released_shuffles
 from adtrail.sinks import append_batch, publish_parquet, replace_table, save_final, table_root, write_parquet
 from adtrail.sources.analytics import load_analytics
 from tests.conftest import ts
@@ -205,3 +209,39 @@ def test_second_format_is_not_sorted_again(spark, tmp_dir, monkeypatch):
     orders.clear()
     sinks.save_final(df, {"table": {"save": True, "table": "t_second"}})
     assert orders == [((), ("platform", "date"))]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def gone(spark, before):
+    for _ in range(100):
+        if not shuffle_files(spark) - before:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_shuffle_files_go_with_each_write(spark, tmp_path):
+    before, setting = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    save_final(dated(spark), {"parquet": {"save": True, "path": str(tmp_path / "p")}})
+    assert gone(spark, before) and spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    with pytest.raises(ValueError):
+        with released_shuffles(spark):
+            raise ValueError
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+
+
+def test_metrics_are_not_shuffled(spark, tmp_path):
+    """The metrics of a published final table are made behind the ranges, and are the same."""
+    rows = [("K1", datetime(2024, 1, 1), 3, 0, 2.5, 0, 0, "n"), ("K2", datetime(2024, 1, 2), 0, 9, 0.0, 4, 1, "m"), ("K3", None, 5, 7, 1.0, 0, 2, "o")]
+    facts = spark.createDataFrame(rows, "client_id string, date timestamp_ntz, clicks long, impressions long, spend_usd double, "
+                                        "emails_sent long, sessions long, name string")
+    final = add_key_metrics(facts).withColumn("last", F.lit(1))
+    for i, with_metrics in enumerate((False, True)):
+        publish_parquet(final, str(tmp_path / str(i)), partition_by=(), with_metrics=with_metrics)
+    kept = [V.read_current(spark, str(tmp_path / str(i))) for i in (0, 1)]
+    assert kept[0].columns == kept[1].columns == final.columns and kept[0].dtypes == kept[1].dtypes == final.dtypes
+    assert sorted(map(str, kept[0].collect())) == sorted(map(str, kept[1].collect())) == sorted(map(str, final.collect()))
