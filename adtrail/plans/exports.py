@@ -30,8 +30,8 @@ NO_CHANNEL = 3  # orders with this last digit are in CSV files without a channel
 LATE_DATE, LATE_CLIENT = "1998-06-01", "07"  # rows from this date on, and clients with such ids, arrive in a second landing
 
 
-def _write_csv(df: DataFrame, folder: str) -> None:
-    df.write.mode("append").option("header", True).option("escape", '"').csv(folder)
+def _write_csv(df: DataFrame, folder: str, compression: str = "none") -> None:
+    df.write.mode("append").option("header", True).option("escape", '"').option("compression", compression).csv(folder)
 
 
 def write_revenue_exports(spark: SparkSession, sf_dir: str, folder: str) -> None:
@@ -153,7 +153,8 @@ def q_source_gate(spark, sf_dir):
 
 
 def land_exports(spark: SparkSession, sf_dir: str, landing: dict[str, str], late: bool) -> None:
-    """All six sources as export files, the early or the late rows."""
+    """All six sources as export files, the early or the late rows; the text of all rows is
+    large, so it is compressed."""
     for source, raw in B.raw_sources(spark, sf_dir).items():
         if source == S.CLIENTS:
             is_late = F.col("client_id").cast("string").endswith(LATE_CLIENT)
@@ -162,9 +163,9 @@ def land_exports(spark: SparkSession, sf_dir: str, landing: dict[str, str], late
         rows = raw.where(F.coalesce(is_late, F.lit(False)) == late)
         if source == S.FACEBOOK_ADS:
             # a JSON column without any value in a file would count as absent
-            rows.na.fill("", ["geo"]).write.mode("append").json(landing[source])
+            rows.na.fill("", ["geo"]).write.mode("append").option("compression", "gzip").json(landing[source])
         else:
-            _write_csv(rows, landing[source])
+            _write_csv(rows, landing[source], "gzip")
 
 
 def q_refreshed_months(spark, sf_dir):

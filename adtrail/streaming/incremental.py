@@ -35,6 +35,7 @@ from adtrail import versions as V
 from adtrail.operators.cleaning import clean_source
 from adtrail.operators.joins import client_dimension
 from adtrail.plans.batch import build_final, run_concurrently
+from adtrail.session import released_shuffles
 from adtrail.sources.files import coerce_source, essential_sources_present
 from adtrail.streaming.refresh import land_new_files
 
@@ -69,12 +70,18 @@ def _applied(spark: SparkSession, work_root: str, source: str) -> int:
     return int(V.current_version(spark, f"{work_root}/applied/{source}") or -1)
 
 
-def _spread_write(df: DataFrame, path: str, columns: list[str], mode: str) -> None:
-    """Write ``df`` by folder columns. Rows are dealt by period and AQE splits a period
-    with much of the data among several tasks; ranges would need a sample, for which the whole
-    plan of ``df`` runs once more. With mode ``dynamic`` only the partitions that ``df`` has rows of are replaced."""
+def _dealt(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows are dealt by period and AQE splits a period with much of the data among several tasks;
+    ranges would need a sample, for which the whole plan of ``df`` runs once more."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
+def _spread_write(df: DataFrame, path: str, columns: list[str], mode: str, dealt: bool = False) -> None:
+    """Write ``df`` by folder columns, dealt by them unless it is so (``dealt``). With mode
+    ``dynamic`` only the partitions that ``df`` has rows of are replaced."""
+    df = df if dealt else _dealt(df, columns)
     order = [*columns, *(c for c in ("platform", "date") if c in df.columns)]
-    (df.hint("rebalance", *[F.col(c) for c in columns]).sortWithinPartitions(*order).write.mode("overwrite")
+    (df.sortWithinPartitions(*order).write.mode("overwrite")
      .option("partitionOverwriteMode", mode).partitionBy(*columns).parquet(path))
 
 
@@ -135,9 +142,16 @@ def refresh_changed(spark: SparkSession, landing: dict[str, str], work_root: str
     folder and the table; it cannot change later."""
     if kind not in PERIODS:
         raise ValueError(f"period must be one of {PERIODS}, not {kind!r}")
-    land_new_files(spark, landing, work_root, checkpoint_root, max_files_per_trigger, json_lines)
-    newer = {s: _applied(spark, work_root, s) for s in landing}
-    batches = {s: _batches(spark, f"{work_root}/bronze/{s}") for s in landing}
+    with released_shuffles(spark):
+        land_new_files(spark, landing, work_root, checkpoint_root, max_files_per_trigger, json_lines)
+        return _apply_landed(spark, list(landing), work_root, path, kind, salt_buckets, date_format)
+
+
+def _apply_landed(spark: SparkSession, sources: list[str], work_root: str, path: str, kind: str, salt_buckets: int,
+                  date_format: str | None) -> list[str | None] | None:
+    """The part of ``refresh_changed`` behind the landing."""
+    newer = {s: _applied(spark, work_root, s) for s in sources}
+    batches = {s: _batches(spark, f"{work_root}/bronze/{s}") for s in sources}
     run_concurrently({(s, b): lambda s=s, b=b: _keep_clean(spark, work_root, s, b, kind, date_format)
                       for s, ids in batches.items() for b in ids if b > newer[s]})
     rows = {s: _clean(spark, work_root, s, kind) for s, ids in batches.items() if ids}
@@ -150,8 +164,8 @@ def refresh_changed(spark: SparkSession, landing: dict[str, str], work_root: str
     periods = changed_periods(rows, newer, kind)
     if periods:
         cleaned = {s: (df if s == S.CLIENTS else df.where(_within(kind, periods)).drop(kind)).drop("batch") for s, df in rows.items()}
-        final = build_final(cleaned, salt_buckets).withColumn(kind, _period(kind))
-        _spread_write(final, path, [kind], "dynamic")
+        final = build_final(cleaned, salt_buckets, deal=lambda df: _dealt(df.withColumn(kind, _period(kind)), [kind]))
+        _spread_write(final.withColumn(kind, _period(kind)), path, [kind], "dynamic", True)
     for source, ids in batches.items():
         if ids and ids[-1] > newer[source]:
             V.set_current(spark, f"{work_root}/applied/{source}", str(ids[-1]))

@@ -3,7 +3,7 @@
 Design (Structured Streaming, file sources):
 
 1. *Land.* One stream of file names per raw source folder, filtered to its
-   suffix (``*.csv`` / ``*.json``, sub-folders included). Each micro-batch reads
+   suffix (``*.csv`` / ``*.json``, or these and ``.gz``, sub-folders included). Each micro-batch reads
    its files with the batch reader (by header, required columns, malformed JSON):
    good files are written to ``<work>/bronze/<source>/batch=<id>`` with
    overwrite, so a batch replayed after a failure rewrites the same folder
@@ -34,8 +34,8 @@ from adtrail.sources.scan import EMPTY, OK, STATUS_SCHEMA, is_missing_path, scan
 
 log = logging.getLogger(__name__)
 
-# fixed values: file suffix per source format (STM2)
-SUFFIX = {"csv": "*.csv", "json": "*.json"}
+# fixed values: file suffix per source format (STM2); files may be compressed by gzip
+SUFFIX = {"csv": "*.csv{,.gz}", "json": "*.json{,.gz}"}
 
 MAX_FILES_PER_TRIGGER = 10_000  # a larger backlog is drained in several micro-batches
 

@@ -1,5 +1,7 @@
 """Refreshes that rebuild the changed periods only, against full rebuilds."""
 
+import glob
+import gzip
 import os
 from collections import Counter
 from datetime import date
@@ -8,9 +10,12 @@ import pytest
 
 from adtrail import schemas as S
 from adtrail import versions as V
+from adtrail.plans.exports import land_exports
+from adtrail.session import SHUFFLE_CLEANUP
 from adtrail.streaming import incremental as I
 from adtrail.streaming.refresh import read_landed
 from adtrail.plans.batch import transform_sources
+from tests.test_sinks import gone, shuffle_files
 
 HEADERS = {s: ",".join(S.REQUIRED_COLUMNS[s]) for s in S.ALL_SOURCES}
 
@@ -163,3 +168,30 @@ def test_periods_are_written_without_a_second_run_of_the_plan(spark, tmp_path):
     assert passed.value == 1000
     back = spark.read.parquet(path)
     assert back.count() == 1000 and back.where("month IS NULL").count() == 100 and back.select("month").distinct().count() == 4
+
+
+def test_compressed_files_land_and_shuffle_files_go(landing, monkeypatch):
+    landing.first()
+    landing.refresh("month")
+    setting, whole, seen = landing.spark.conf.get(SHUFFLE_CLEANUP, None), I._spread_write, []
+
+    def noted(*args):
+        before = shuffle_files(landing.spark)
+        whole(*args)
+        if args[1] == landing.path:  # the only job at that time
+            seen.append(gone(landing.spark, before))
+    monkeypatch.setattr(I, "_spread_write", noted)
+    landing.put(S.REVENUE, "K2,2031-07-30,facebook,1.0")
+    [new] = [f for f in glob.glob(f"{landing.folders[S.REVENUE]}/*.csv") if "2031-07-30" in open(f).read()]
+    with open(new, "rb") as plain, gzip.open(f"{landing.folders[S.REVENUE]}/late.csv.gz", "wb") as packed:
+        packed.write(plain.read().replace(b"2031-07-30", b"2031-08-30"))
+    assert landing.refresh("month") == ["2031-07-01", "2031-08-01"]
+    assert seen == [True] and landing.spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+
+
+def test_exports_are_compressed(spark, tmp_path):
+    folders = {s: str(tmp_path / s) for s in S.ALL_SOURCES}
+    land_exports(spark, "/root/testdata/sf0.001", folders, False)
+    for source, folder in folders.items():
+        files = glob.glob(f"{folder}/part-*")
+        assert files and all(f.endswith(".gz") for f in files), source
