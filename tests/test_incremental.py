@@ -190,8 +190,17 @@ def test_compressed_files_land_and_shuffle_files_go(landing, monkeypatch):
 
 
 def test_exports_are_compressed(spark, tmp_path):
-    folders = {s: str(tmp_path / s) for s in S.ALL_SOURCES}
-    land_exports(spark, "/root/testdata/sf0.001", folders, False)
+    day = "TIMESTAMP_NTZ '1997-05-06 00:00:00'"
+    rows = {"nation": ["0 AS n_nationkey", "'N' AS n_name"],
+            "customer": ["id AS c_custkey", "'c' AS c_name", "0 AS c_nationkey", "'m' AS c_mktsegment"],
+            "orders": ["id AS o_orderkey", "id AS o_custkey", "2.5D AS o_totalprice", f"{day} AS o_orderdate", "'1-URGENT' AS o_orderpriority"],
+            "lineitem": ["id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "2 AS l_linenumber", "3D AS l_quantity",
+                         "4D AS l_extendedprice", "0.1D AS l_discount", "0.2D AS l_tax", "substr('NRAA', int(id % 4) + 1, 1) AS l_returnflag",
+                         "substr('OFFO', int(id % 4) + 1, 1) AS l_linestatus"]}
+    for name, cols in rows.items():
+        spark.range(1 if name == "nation" else 40).selectExpr(*cols).write.parquet(str(tmp_path / f"{name}.parquet"))
+    folders = {s: str(tmp_path / "landing" / s) for s in S.ALL_SOURCES}
+    land_exports(spark, str(tmp_path), folders, False)
     for source, folder in folders.items():
         files = glob.glob(f"{folder}/part-*")
         assert files and all(f.endswith(".gz") for f in files), source
